@@ -1,0 +1,6 @@
+"""Streaming.
+
+The planning jobs are monthly batches: no source is read as a stream and no
+state is carried between runs except the published table itself.  Nothing is
+implemented here on purpose; see README ("Not built").
+"""

@@ -28,7 +28,7 @@ from ..functions.expressions import (
 from ..session import materialize
 from .demand import segment_demand
 from .pricing import unit_price
-from .running import running_total_desc
+from .running import ROWS_PER_BUCKET, running_totals_desc
 
 CLASS_TABLE_COLUMNS = (
     "Part_no", "value_contribution_pct", "qty_contribution_pct",
@@ -66,10 +66,14 @@ def categorise(value_class: str | Column, movement_class: str | Column) -> Colum
     return lookup(F.concat(vc, mc), CATEGORY_OF_PAIR, DEFAULT_CATEGORY)
 
 
-def with_totals(demand: DataFrame) -> DataFrame:
+def grand_totals(demand: DataFrame) -> DataFrame:
+    """One row: ``_total_value, _total_qty``."""
+    return demand.agg(F.sum("value").alias("_total_value"), F.sum("qty").alias("_total_qty"))
+
+
+def with_totals(demand: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     """Attach the grand totals of ``value`` and ``qty`` (one-row aggregate, broadcast)."""
-    totals = demand.agg(F.sum("value").alias("_total_value"), F.sum("qty").alias("_total_qty"))
-    return demand.crossJoin(F.broadcast(totals))
+    return demand.crossJoin(F.broadcast(grand_totals(demand) if totals is None else totals))
 
 
 def share_of_total(demand: DataFrame) -> DataFrame:
@@ -81,14 +85,15 @@ def share_of_total(demand: DataFrame) -> DataFrame:
     )
 
 
-def pareto_classes(demand: DataFrame, buckets: int | None = None) -> DataFrame:
+def pareto_classes(demand: DataFrame, max_buckets: int | None = None,
+                   rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Class columns for a part-level demand frame (``Part_Id, qty, value``).
 
     Output: the class-table columns without ``NDP``.
     """
-    df = with_totals(demand)
-    df = running_total_desc(df, "value", "_cum_value", buckets)
-    df = running_total_desc(df, "qty", "_cum_qty", buckets)
+    df = running_totals_desc(demand, {"value": "_cum_value", "qty": "_cum_qty"},
+                             max_buckets, rows_per_bucket)
+    df = with_totals(df, grand_totals(demand))
     a, b, c = VALUE_CLASSES
     f, m, s = MOVEMENT_CLASSES
     df = df.select(
@@ -115,7 +120,8 @@ PRICE_WINDOW = {"2W": (7, 2), "3W": (5, 2)}
 def classify_parts(billing: DataFrame, dispatch: DataFrame, as_of, segment: str,
                    demand_window: tuple[int, int] = CLASS_WINDOW,
                    price_window: tuple[int, int] | None = None,
-                   dedup: bool = True, buckets: int | None = None) -> DataFrame:
+                   dedup: bool = True, max_buckets: int | None = None,
+                   rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """The class table of a segment (one row per billed part).
 
     The part-level demand is written to the checkpoint folder once: the totals,
@@ -124,7 +130,7 @@ def classify_parts(billing: DataFrame, dispatch: DataFrame, as_of, segment: str,
     """
     n, m = demand_window
     demand = materialize(segment_demand(billing, as_of, n, m, segment, dedup=dedup))
-    classes = pareto_classes(demand, buckets)
+    classes = pareto_classes(demand, max_buckets, rows_per_bucket)
     pn, pm = price_window or PRICE_WINDOW.get(segment, PRICE_WINDOW["2W"])
     prices = unit_price(dispatch, as_of, pn, pm).withColumnRenamed("Part_Id", "Part_no")
     return classes.join(prices, "Part_no", "left").select(*CLASS_TABLE_COLUMNS)

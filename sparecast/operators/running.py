@@ -2,17 +2,23 @@
 
 ``sum(v) OVER (ORDER BY v DESC)`` without a partition clause plans an
 ``Exchange SinglePartition``: every row goes to one task.  This operator gives
-the same answer with the work spread over ``buckets`` tasks:
+the same answer with the work spread over buckets:
 
 1. Collapse ties: one row per distinct ``v`` with the sum of its rows.  Equal
    values share one running total (RANGE frame), and the table shrinks.
 2. Cut points: approximate quantiles of ``v`` over the tie table, evaluated
-   once and inlined as literals (at most ``buckets - 1`` numbers).  A row's
-   bucket is a pure function of its value, so ties never split and a retried
-   task computes the same bucket.
+   once and inlined as literals (a handful of numbers, never data rows).  A
+   row's bucket is a pure function of its value, so ties never split and a
+   retried task computes the same bucket.  The cut points of several columns
+   and the row count come from one aggregate job.
 3. Bucket totals (at most ``buckets + 1`` rows) -> exclusive prefix sums.
 4. Running total inside each bucket by a partitioned window, plus the offset.
 
+The bucket count follows the data: ``ceil(distinct values / rows_per_bucket)``
+capped at ``max_buckets`` (default: the session's shuffle partitions), so a
+small tie table is not cut into many tiny tasks and a large one never lands in
+one task.
+
 Exact for BIGINT and DECIMAL inputs.  NULL values sort last: their running
 total is the sum of all non-NULL values (the RANGE frame includes every row
 before the NULL peer group).
@@ -20,10 +26,16 @@ before the NULL peer group).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_ACCURACY = 10000
+ROWS_PER_BUCKET = 200_000
+# Quantile grid evaluated in the single cut-point job; the cut points actually
+# used are every k-th of them.
+QUANTILE_GRID = 256
 
 
 def _bucket_expr(v: Column, cuts_desc: list[float]) -> Column:
@@ -40,37 +52,43 @@ def _bucket_expr(v: Column, cuts_desc: list[float]) -> Column:
     return F.when(v.isNull(), F.lit(len(cuts_desc) + 1)).otherwise(tree(0, len(cuts_desc)))
 
 
-def cut_points(ties: DataFrame, value_col: str, buckets: int,
-               accuracy: int = DEFAULT_ACCURACY) -> list[float]:
-    """Distinct descending quantile cut points of ``value_col`` (a tiny collected list)."""
-    if buckets <= 1:
-        return []
-    fractions = [i / buckets for i in range(1, buckets)]
-    row = (
-        ties.where(F.col(value_col).isNotNull())
-        .agg(F.percentile_approx(F.col(value_col).cast("double"), fractions, accuracy).alias("q"))
-        .first()
-    )
-    q = row["q"] if row is not None else None
-    return sorted(set(q or []), reverse=True)
-
+def plan_buckets(df: DataFrame, value_cols: list[str], max_buckets: int | None = None,
+                 rows_per_bucket: int = ROWS_PER_BUCKET,
+                 accuracy: int = DEFAULT_ACCURACY) -> dict[str, list[float]]:
+    """Descending cut points per column (one small aggregate job, a few numbers back).
 
-def running_total_desc(df: DataFrame, value_col: str, out_col: str,
-                       buckets: int | None = None, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """Add ``out_col`` = sum of ``value_col`` over all rows whose value is >= the row's value.
-
-    Same result as ``F.sum(v).over(Window.orderBy(F.desc(v)))`` without moving
-    every row through one task.
+    The distinct-value count of each column is estimated from the same pass
+    (``approx_count_distinct``); it only decides how many cut points to use.
     """
-    spark = df.sparkSession
-    if buckets is None:
-        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if max_buckets is None:
+        max_buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    grid = max(1, min(QUANTILE_GRID, max_buckets))
+    fractions = [i / grid for i in range(1, grid)]
+    aggs = []
+    for c in value_cols:
+        aggs.append(F.approx_count_distinct(c).alias(f"n_{c}"))
+        if fractions:
+            aggs.append(F.percentile_approx(F.col(c).cast("double"), fractions, accuracy).alias(f"q_{c}"))
+    row = df.agg(*aggs).first()
+    out: dict[str, list[float]] = {}
+    for c in value_cols:
+        n = row[f"n_{c}"] or 0
+        buckets = max(1, min(max_buckets, math.ceil(n / rows_per_bucket)))
+        q = (row[f"q_{c}"] or []) if fractions else []
+        step = grid / buckets
+        chosen = [q[round(step * j) - 1] for j in range(1, buckets)] if q else []
+        out[c] = sorted(set(chosen), reverse=True)
+    return out
+
+
+def running_total_with_cuts(df: DataFrame, value_col: str, out_col: str,
+                            cuts_desc: list[float]) -> DataFrame:
+    """Add ``out_col`` using the given cut points (see module doc)."""
     v = F.col(value_col)
-
-    ties = df.groupBy(value_col).agg(F.sum(value_col).alias("_tie_sum"))
-    cuts = cut_points(ties, value_col, buckets, accuracy)
-    ties = ties.withColumn("_bucket", _bucket_expr(v.cast("double"), cuts))
-
+    ties = (
+        df.groupBy(value_col).agg(F.sum(value_col).alias("_tie_sum"))
+        .withColumn("_bucket", _bucket_expr(v.cast("double"), cuts_desc))
+    )
     # At most len(cuts) + 2 rows: the window over them is trivially small.
     offsets = (
         ties.groupBy("_bucket").agg(F.sum("_tie_sum").alias("_bucket_sum"))
@@ -83,7 +101,7 @@ def running_total_desc(df: DataFrame, value_col: str, out_col: str,
     )
     local = F.sum("_tie_sum").over(Window.partitionBy("_bucket").orderBy(v.desc_nulls_last()))
     totals = (
-        ties.withColumn("_local", local)
+        ties.select(v, "_bucket", local.alias("_local"))
         .join(F.broadcast(offsets), "_bucket")
         .select(
             v.alias("_rt_key"),
@@ -96,6 +114,26 @@ def running_total_desc(df: DataFrame, value_col: str, out_col: str,
     return df.join(totals, v.eqNullSafe(F.col("_rt_key"))).drop("_rt_key")
 
 
+def running_totals_desc(df: DataFrame, columns: dict[str, str], max_buckets: int | None = None,
+                        rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """Add one running total per ``{value_col: out_col}``; same result as
+    ``F.sum(v).over(Window.orderBy(F.desc(v)))`` for each column.
+
+    ``df`` is read once for the cut points and again by the plan, so pass a
+    materialized (checkpointed) frame when it is expensive to compute.
+    """
+    cuts = plan_buckets(df, list(columns), max_buckets, rows_per_bucket)
+    for value_col, out_col in columns.items():
+        df = running_total_with_cuts(df, value_col, out_col, cuts[value_col])
+    return df
+
+
+def running_total_desc(df: DataFrame, value_col: str, out_col: str, max_buckets: int | None = None,
+                       rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """Single-column form of :func:`running_totals_desc`."""
+    return running_totals_desc(df, {value_col: out_col}, max_buckets, rows_per_bucket)
+
+
 def running_total_single_task(df: DataFrame, value_col: str, out_col: str) -> DataFrame:
     """Reference form (one task): used only by tests to check the distributed one."""
     return df.withColumn(out_col, F.sum(value_col).over(Window.orderBy(F.desc(value_col))))

@@ -24,6 +24,7 @@ from ..operators import forecast as fc
 from ..operators import publish as pb
 from ..operators.pricing import unit_price
 from ..operators.running import running_total_desc
+from ..session import materialize
 from ..sources import testdata as td
 from .oracle import AS_OF
 
@@ -128,9 +129,9 @@ def q_share_of_total(spark, sf_dir):
 def q_running_share(kind: str):
     def q(spark, sf_dir):
         i = Inputs(spark, sf_dir)
-        d = cl.with_totals(_class_demand(i))
         total = "_total_value" if kind == "value" else "_total_qty"
-        d = running_total_desc(d, kind, f"cum_{kind}")
+        base = materialize(_class_demand(i))
+        d = cl.with_totals(running_total_desc(base, kind, f"cum_{kind}"), cl.grand_totals(base))
         return d.select(
             F.col("Part_Id").alias("Part_no"),
             F.col(kind).cast("double" if kind == "value" else "bigint").alias(kind),

@@ -38,8 +38,18 @@ UPLOAD_CLASS = "B_M"
 UPLOAD_DATE_PATTERN = "yyyy/MM/dd"
 
 
+_READS: dict[tuple[int, str], DataFrame] = {}
+
+
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The table as a (lazy) DataFrame; the file listing and footer read are
+    done once per session and path, not once per query."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    df = _READS.get(key)
+    if df is None:
+        df = _READS[key] = spark.read.parquet(path)
+    return df
 
 
 def segment_of(p_type: Column) -> Column:

@@ -25,10 +25,9 @@ from ..functions.expressions import (
     lookup,
     safe_div,
 )
-from ..session import materialize
 from .demand import segment_demand
 from .pricing import unit_price
-from .running import ROWS_PER_BUCKET, running_totals_desc
+from .running import ROWS_PER_BUCKET, materialize_for_running_totals, running_totals_desc
 
 CLASS_TABLE_COLUMNS = (
     "Part_no", "value_contribution_pct", "qty_contribution_pct",
@@ -86,13 +85,13 @@ def share_of_total(demand: DataFrame) -> DataFrame:
 
 
 def pareto_classes(demand: DataFrame, max_buckets: int | None = None,
-                   rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+                   rows_per_bucket: int = ROWS_PER_BUCKET, cuts: dict | None = None) -> DataFrame:
     """Class columns for a part-level demand frame (``Part_Id, qty, value``).
 
     Output: the class-table columns without ``NDP``.
     """
     df = running_totals_desc(demand, {"value": "_cum_value", "qty": "_cum_qty"},
-                             max_buckets, rows_per_bucket)
+                             max_buckets, rows_per_bucket, cuts)
     df = with_totals(df, grand_totals(demand))
     a, b, c = VALUE_CLASSES
     f, m, s = MOVEMENT_CLASSES
@@ -129,8 +128,10 @@ def classify_parts(billing: DataFrame, dispatch: DataFrame, as_of, segment: str,
     should rescan the invoice lines.
     """
     n, m = demand_window
-    demand = materialize(segment_demand(billing, as_of, n, m, segment, dedup=dedup))
-    classes = pareto_classes(demand, max_buckets, rows_per_bucket)
+    demand, cuts = materialize_for_running_totals(
+        segment_demand(billing, as_of, n, m, segment, dedup=dedup), ["value", "qty"],
+        max_buckets, rows_per_bucket)
+    classes = pareto_classes(demand, max_buckets, rows_per_bucket, cuts)
     pn, pm = price_window or PRICE_WINDOW.get(segment, PRICE_WINDOW["2W"])
     prices = unit_price(dispatch, as_of, pn, pm).withColumnRenamed("Part_Id", "Part_no")
     return classes.join(prices, "Part_no", "left").select(*CLASS_TABLE_COLUMNS)

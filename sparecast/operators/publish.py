@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from ..functions.expressions import FORECAST_TYPE, UPLOAD_DEFAULT_CLASS, class_code
 from ..functions.periods import run_date as run_date_of
+from ..session import materialize
 from ..sources import sinks
 from .forecast import active_parts
 
@@ -125,6 +126,17 @@ def conform_upload(upload: DataFrame, default_class: str = UPLOAD_DEFAULT_CLASS)
     return conform_staging(filled)
 
 
+def typed_upload(upload: DataFrame, date_pattern: str = "yy/MM/dd",
+                 default_class: str = UPLOAD_DEFAULT_CLASS) -> DataFrame:
+    """An upload file conformed to the published types, checkpointed once.
+
+    Replacing by key reads the uploads twice (keys for the anti join, rows for
+    the union); an upload is a manual file, so writing it once to the
+    checkpoint folder is cheap and keeps both reads identical.
+    """
+    return materialize(to_published(conform_upload(upload, default_class), date_pattern))
+
+
 def rows_not_in(target: DataFrame, source: DataFrame, keys: Sequence[str] = PUBLISH_KEYS) -> DataFrame:
     """Target rows without a key match in ``source`` (NULL keys never match)."""
     cond = [target[k] == source[k] for k in keys]
@@ -200,7 +212,7 @@ def replace_by_key_table(upload: DataFrame, target: str, date_pattern: str = "yy
     """
     spark = upload.sparkSession
     create_publish_table(spark, target)
-    uploads = to_published(conform_upload(upload), date_pattern)
+    uploads = typed_upload(upload, date_pattern)
     current = spark.table(target)
     if swap:
         sinks.swap_table(spark, replace_by_key(current, uploads, keys), target, partition_by="order_date")

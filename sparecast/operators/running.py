@@ -6,11 +6,12 @@ the same answer with the work spread over buckets:
 
 1. Collapse ties: one row per distinct ``v`` with the sum of its rows.  Equal
    values share one running total (RANGE frame), and the table shrinks.
-2. Cut points: approximate quantiles of ``v`` over the tie table, evaluated
-   once and inlined as literals (a handful of numbers, never data rows).  A
-   row's bucket is a pure function of its value, so ties never split and a
-   retried task computes the same bucket.  The cut points of several columns
-   and the row count come from one aggregate job.
+2. Cut points: approximate quantiles of ``v``, evaluated once and inlined as
+   literals (a handful of numbers, never data rows).  A row's bucket is a pure
+   function of its value, so ties never split and a retried task computes the
+   same bucket.  The cut points of several columns and their distinct counts
+   come from one aggregate, observed during the job that checkpoints the input
+   (no extra pass).
 3. Bucket totals (at most ``buckets + 1`` rows) -> exclusive prefix sums.
 4. Running total inside each bucket by a partitioned window, plus the offset.
 
@@ -52,29 +53,50 @@ def _bucket_expr(v: Column, cuts_desc: list[float]) -> Column:
     return F.when(v.isNull(), F.lit(len(cuts_desc) + 1)).otherwise(tree(0, len(cuts_desc)))
 
 
-def plan_buckets(df: DataFrame, value_cols: list[str], max_buckets: int | None = None,
-                 rows_per_bucket: int = ROWS_PER_BUCKET,
-                 accuracy: int = DEFAULT_ACCURACY) -> dict[str, list[float]]:
-    """Descending cut points per column (one small aggregate job, a few numbers back).
+def _grid(spark, max_buckets: int | None) -> tuple[int, int]:
+    if max_buckets is None:
+        max_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max_buckets, max(1, min(QUANTILE_GRID, max_buckets))
 
-    The distinct-value count of each column is estimated from the same pass
-    (``approx_count_distinct``); it only decides how many cut points to use.
+
+def cut_point_stats(spark, value_cols: list[str], max_buckets: int | None = None,
+                    accuracy: int = DEFAULT_ACCURACY) -> list:
+    """Aggregate columns whose values :func:`cuts_from_stats` turns into cut points.
+
+    Evaluate them with ``df.agg`` or, for free, with ``materialize(df, observe=...)``.
     """
-    if max_buckets is None:
-        max_buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    grid = max(1, min(QUANTILE_GRID, max_buckets))
+    _, grid = _grid(spark, max_buckets)
     fractions = [i / grid for i in range(1, grid)]
     aggs = []
     for c in value_cols:
         aggs.append(F.approx_count_distinct(c).alias(f"n_{c}"))
         if fractions:
             aggs.append(F.percentile_approx(F.col(c).cast("double"), fractions, accuracy).alias(f"q_{c}"))
-    row = df.agg(*aggs).first()
+    return aggs
+
+
+def plan_buckets(df: DataFrame, value_cols: list[str], max_buckets: int | None = None,
+                 rows_per_bucket: int = ROWS_PER_BUCKET,
+                 accuracy: int = DEFAULT_ACCURACY) -> dict[str, list[float]]:
+    """Descending cut points per column (one small aggregate job, a few numbers back).
+
+    The distinct-value count of each column is estimated from the same pass
+    (``approx_count_distinct``); it only decides how many cut points to use.
+    """
+    row = df.agg(*cut_point_stats(df.sparkSession, value_cols, max_buckets, accuracy)).first()
+    return cuts_from_stats(df.sparkSession, row.asDict() if row else {}, value_cols, max_buckets,
+                           rows_per_bucket)
+
+
+def cuts_from_stats(spark, stats: dict, value_cols: list[str], max_buckets: int | None = None,
+                    rows_per_bucket: int = ROWS_PER_BUCKET) -> dict[str, list[float]]:
+    """Descending cut points per column from the aggregates of :func:`cut_point_stats`."""
+    max_buckets, grid = _grid(spark, max_buckets)
     out: dict[str, list[float]] = {}
     for c in value_cols:
-        n = row[f"n_{c}"] or 0
+        n = stats.get(f"n_{c}") or 0
         buckets = max(1, min(max_buckets, math.ceil(n / rows_per_bucket)))
-        q = (row[f"q_{c}"] or []) if fractions else []
+        q = stats.get(f"q_{c}") or []
         step = grid / buckets
         chosen = [q[round(step * j) - 1] for j in range(1, buckets)] if q else []
         out[c] = sorted(set(chosen), reverse=True)
@@ -115,19 +137,32 @@ def running_total_with_cuts(df: DataFrame, value_col: str, out_col: str,
 
 
 def running_totals_desc(df: DataFrame, columns: dict[str, str], max_buckets: int | None = None,
-                        rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+                        rows_per_bucket: int = ROWS_PER_BUCKET,
+                        cuts: dict[str, list[float]] | None = None) -> DataFrame:
     """Add one running total per ``{value_col: out_col}``; same result as
     ``F.sum(v).over(Window.orderBy(F.desc(v)))`` for each column.
 
-    ``df`` is read once for the cut points and again by the plan, so pass a
-    materialized (checkpointed) frame when it is expensive to compute.
+    Without ``cuts`` the cut points are computed by one extra job over ``df``;
+    pass them (see :func:`materialize_for_running_totals`) to avoid it.
     """
-    cuts = plan_buckets(df, list(columns), max_buckets, rows_per_bucket)
+    if cuts is None:
+        cuts = plan_buckets(df, list(columns), max_buckets, rows_per_bucket)
     for value_col, out_col in columns.items():
         df = running_total_with_cuts(df, value_col, out_col, cuts[value_col])
     return df
 
 
+def materialize_for_running_totals(df: DataFrame, value_cols: list[str],
+                                   max_buckets: int | None = None,
+                                   rows_per_bucket: int = ROWS_PER_BUCKET) -> tuple[DataFrame, dict]:
+    """Checkpoint ``df`` and gather the cut points of ``value_cols`` in the same job."""
+    from ..session import materialize
+
+    spark = df.sparkSession
+    out, stats = materialize(df, observe=cut_point_stats(spark, value_cols, max_buckets))
+    return out, cuts_from_stats(spark, stats, value_cols, max_buckets, rows_per_bucket)
+
+
 def running_total_desc(df: DataFrame, value_col: str, out_col: str, max_buckets: int | None = None,
                        rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Single-column form of :func:`running_totals_desc`."""

@@ -23,8 +23,7 @@ from ..operators import demand as dm
 from ..operators import forecast as fc
 from ..operators import publish as pb
 from ..operators.pricing import unit_price
-from ..operators.running import running_total_desc
-from ..session import materialize
+from ..operators.running import materialize_for_running_totals, running_totals_desc
 from ..sources import testdata as td
 from .oracle import AS_OF
 
@@ -86,7 +85,7 @@ class Inputs:
         return pb.format_publish(self.apportioned(segment), self.master, self.as_of, segment)
 
     def typed_upload(self) -> DataFrame:
-        return pb.to_published(pb.conform_upload(self.upload), td.UPLOAD_DATE_PATTERN)
+        return pb.typed_upload(self.upload, td.UPLOAD_DATE_PATTERN)
 
 
 def _money(df: DataFrame, *cols: str) -> DataFrame:
@@ -130,8 +129,8 @@ def q_running_share(kind: str):
     def q(spark, sf_dir):
         i = Inputs(spark, sf_dir)
         total = "_total_value" if kind == "value" else "_total_qty"
-        base = materialize(_class_demand(i))
-        d = cl.with_totals(running_total_desc(base, kind, f"cum_{kind}"), cl.grand_totals(base))
+        base, cuts = materialize_for_running_totals(_class_demand(i), [kind])
+        d = cl.with_totals(running_totals_desc(base, {kind: f"cum_{kind}"}, cuts=cuts), cl.grand_totals(base))
         return d.select(
             F.col("Part_Id").alias("Part_no"),
             F.col(kind).cast("double" if kind == "value" else "bigint").alias(kind),

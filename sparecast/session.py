@@ -61,7 +61,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, observe: list | None = None) -> tuple[DataFrame, dict] | DataFrame:
     """Cut lineage by writing ``df`` to the shared checkpoint folder.
 
     Used for small intermediate results (one row per part) that later stages
@@ -69,7 +69,20 @@ def materialize(df: DataFrame) -> DataFrame:
     checkpoint is reliable storage, so a lost executor does not force a
     recomputation.  Without a checkpoint folder the plan stays lazy (Spark then
     recomputes the input where it is referenced, which is correct but slower).
+
+    With ``observe`` (aggregate columns), the aggregates are computed during the
+    same job and returned as a dict next to the frame: ``(frame, metrics)``.
+    Metrics only steer physical choices (bucket cut points), never results.
     """
+    if observe is None:
+        if checkpoint_dir(df.sparkSession) is None:
+            return df
+        return df.checkpoint(eager=True)
     if checkpoint_dir(df.sparkSession) is None:
-        return df
-    return df.checkpoint(eager=True)
+        row = df.agg(*observe).first()
+        return df, (row.asDict() if row is not None else {})
+    from pyspark.sql import Observation
+
+    obs = Observation("materialize")
+    out = df.observe(obs, *observe).checkpoint(eager=True)
+    return out, dict(obs.get)

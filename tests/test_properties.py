@@ -1,0 +1,125 @@
+"""Properties on seeded random inputs and on the shared test tables."""
+
+from __future__ import annotations
+
+import bisect
+import random
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from sparecast.operators import running as rn
+
+from .conftest import SF_SMALL
+
+
+def _random_frame(spark, seed: int, kind: str, n: int = 600):
+    rnd = random.Random(seed)
+    rows = []
+    for i in range(n):
+        roll = rnd.random()
+        if roll < 0.05:
+            v = None
+        elif roll < 0.35:
+            v = rnd.choice([1, 2, 3, 10])          # heavy ties
+        else:
+            v = rnd.randint(-50, 5000)
+        if v is not None and kind == "decimal":
+            v = Decimal(v) / Decimal(100)
+        rows.append((i, v))
+    vt = T.LongType() if kind == "bigint" else T.DecimalType(18, 2)
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", vt)])
+    return spark.createDataFrame(rows, schema)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("kind", ["bigint", "decimal"])
+@pytest.mark.parametrize("buckets", [1, 8])
+def test_distributed_running_total_equals_single_task_window(spark, seed, kind, buckets):
+    df = _random_frame(spark, seed, kind)
+    got = rn.running_totals_desc(df, {"v": "rt"}, max_buckets=buckets, rows_per_bucket=10)
+    ref = rn.running_total_single_task(df, "v", "rt_ref")
+    joined = got.join(ref.select("id", "rt_ref"), "id")
+    bad = joined.where(~F.col("rt").eqNullSafe(F.col("rt_ref"))).count()
+    assert joined.count() == df.count()
+    assert bad == 0
+
+
+def test_bucket_expression_matches_bisect(spark):
+    cuts = sorted({random.Random(5).uniform(-100, 100) for _ in range(37)}, reverse=True)
+    values = [random.Random(9).uniform(-120, 120) for _ in range(300)] + cuts + [None]
+    df = spark.createDataFrame([(x,) for x in values], "v double")
+    out = df.select("v", rn._bucket_expr(F.col("v"), cuts).alias("b")).collect()
+    asc = sorted(cuts)
+    for r in out:
+        if r.v is None:
+            assert r.b == len(cuts) + 1
+        else:
+            assert r.b == len(asc) - bisect.bisect_right(asc, r.v)
+
+
+def test_cut_points_follow_data_size(spark):
+    df = spark.range(0, 5000).select(F.col("id").alias("v"))
+    assert rn.plan_buckets(df, ["v"], max_buckets=8, rows_per_bucket=10_000)["v"] == []
+    cuts = rn.plan_buckets(df, ["v"], max_buckets=8, rows_per_bucket=100)["v"]
+    assert len(cuts) == 7 and cuts == sorted(cuts, reverse=True)
+
+
+# --- on the shared test tables (sf0.001) -------------------------------------
+
+@pytest.fixture(scope="module")
+def reg():
+    from sparecast.plans.queries import registry
+    return registry()
+
+
+def test_shares_sum_to_100_and_one_row_per_part(spark, reg):
+    ct = reg["class_table_2w"](spark, SF_SMALL)
+    r = ct.agg(F.sum("value_contribution_pct").alias("v"), F.sum("qty_contribution_pct").alias("q"),
+               F.count("*").alias("n"), F.countDistinct("Part_no").alias("d")).first()
+    assert r.v == pytest.approx(100.0, abs=1e-6) and r.q == pytest.approx(100.0, abs=1e-6)
+    assert r.n == r.d > 0
+
+
+def test_class_is_monotone_in_share(spark, reg):
+    rows = reg["class_table_3w"](spark, SF_SMALL).collect()
+    order = {"A": 0, "B": 1, "C": 2}
+    rows.sort(key=lambda r: -r.value_contribution_pct)
+    letters = [order[r.value_contribution_pct_category] for r in rows]
+    assert letters == sorted(letters)
+
+
+def test_ratios_sum_to_one(spark, reg):
+    df = reg["dealer_ratios"](spark, SF_SMALL)
+    sums = df.groupBy("Part_Id").agg(F.sum("contribution_ratio").alias("s")).collect()
+    assert sums and all(abs(r.s - 1.0) < 1e-9 for r in sums)
+
+
+def test_forecast_is_parts_times_months_and_non_negative(spark, reg):
+    df = reg["forecast_detail"](spark, SF_SMALL)
+    r = df.agg(F.count("*").alias("n"), F.countDistinct("Part_Id").alias("p"),
+               F.countDistinct("Forecast_month").alias("m"), F.min("Rounded_Qty").alias("lo"),
+               F.min("forecast_value").alias("vlo"),
+               F.sum(F.isnan("forecast_value").cast("int")).alias("nan")).first()
+    assert r.m == 12 and r.n == r.p * r.m
+    assert r.lo >= 0 and r.vlo >= 0 and r.nan == 0
+
+
+def test_published_rows_have_class_codes(spark, reg):
+    codes = {r.ABC_FMS for r in reg["publish_layout"](spark, SF_SMALL).select("ABC_FMS").distinct().collect()}
+    assert codes and all(len(c) == 3 and c[1] == "_" for c in codes)
+
+
+def test_replace_by_key_is_idempotent_for_unique_upload_keys(spark):
+    from sparecast.operators import publish as pb
+    from sparecast.sources import testdata as td
+
+    target = td.published(spark, SF_SMALL)
+    up = pb.typed_upload(td.upload(spark, SF_SMALL), td.UPLOAD_DATE_PATTERN)
+    up = up.dropDuplicates(list(pb.PUBLISH_KEYS))
+    once = pb.replace_by_key(target, up)
+    twice = pb.replace_by_key(once, up)
+    assert once.count() == twice.count()
+    assert once.exceptAll(twice).count() == 0 and twice.exceptAll(once).count() == 0

@@ -103,9 +103,10 @@ def cuts_from_stats(spark, stats: dict, value_cols: list[str], max_buckets: int
     return out
 
 
-def running_total_with_cuts(df: DataFrame, value_col: str, out_col: str,
-                            cuts_desc: list[float]) -> DataFrame:
-    """Add ``out_col`` using the given cut points (see module doc)."""
+def running_total_table(df: DataFrame, value_col: str, out_col: str,
+                        cuts_desc: list[float]) -> DataFrame:
+    """``_rt_key, out_col``: one row per distinct value of ``value_col`` with its
+    running total (see module doc)."""
     v = F.col(value_col)
     ties = (
         df.groupBy(value_col).agg(F.sum(value_col).alias("_tie_sum"))
@@ -122,7 +123,7 @@ def running_total_with_cuts(df: DataFrame, value_col: str, out_col: str,
         )
     )
     local = F.sum("_tie_sum").over(Window.partitionBy("_bucket").orderBy(v.desc_nulls_last()))
-    totals = (
+    return (
         ties.select(v, "_bucket", local.alias("_local"))
         .join(F.broadcast(offsets), "_bucket")
         .select(
@@ -133,7 +134,13 @@ def running_total_with_cuts(df: DataFrame, value_col: str, out_col: str,
             .alias(out_col),
         )
     )
-    return df.join(totals, v.eqNullSafe(F.col("_rt_key"))).drop("_rt_key")
+
+
+def running_total_with_cuts(df: DataFrame, value_col: str, out_col: str,
+                            cuts_desc: list[float]) -> DataFrame:
+    """Add ``out_col`` using the given cut points (see module doc)."""
+    totals = running_total_table(df, value_col, out_col, cuts_desc)
+    return df.join(totals, F.col(value_col).eqNullSafe(totals["_rt_key"])).drop("_rt_key")
 
 
 def running_totals_desc(df: DataFrame, columns: dict[str, str], max_buckets: int | None = None,
@@ -142,13 +149,17 @@ def running_totals_desc(df: DataFrame, columns: dict[str, str], max_buckets: int
     """Add one running total per ``{value_col: out_col}``; same result as
     ``F.sum(v).over(Window.orderBy(F.desc(v)))`` for each column.
 
-    Without ``cuts`` the cut points are computed by one extra job over ``df``;
-    pass them (see :func:`materialize_for_running_totals`) to avoid it.
+    The per-column total tables are independent branches over ``df`` (they run
+    concurrently), joined back to ``df`` at the end.  Without ``cuts`` the cut
+    points are computed by one extra job over ``df``; pass them (see
+    :func:`materialize_for_running_totals`) to avoid it.
     """
     if cuts is None:
         cuts = plan_buckets(df, list(columns), max_buckets, rows_per_bucket)
-    for value_col, out_col in columns.items():
-        df = running_total_with_cuts(df, value_col, out_col, cuts[value_col])
+    tables = {c: running_total_table(df, c, out, cuts[c]).withColumnRenamed("_rt_key", f"_rt_key_{c}")
+              for c, out in columns.items()}
+    for c, t in tables.items():
+        df = df.join(t, F.col(c).eqNullSafe(t[f"_rt_key_{c}"])).drop(f"_rt_key_{c}")
     return df
 
 

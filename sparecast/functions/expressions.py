@@ -54,6 +54,16 @@ EXCLUDED_PART_TEXT = "BATTERY"
 # ---------------------------------------------------------------------------
 
 
+def with_scalars(df, one_row) -> "DataFrame":  # noqa: F821
+    """Attach every column of a one-row aggregate ``one_row`` to each row of ``df``.
+
+    Uses one scalar subquery (a struct of all columns): Spark evaluates it once
+    and inlines the value, so no join and no exchange of ``df`` is needed.
+    """
+    packed = one_row.select(F.struct(*one_row.columns).alias("_s")).scalar()
+    return df.withColumns({c: packed.getField(c) for c in one_row.columns})
+
+
 def col_(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

@@ -94,11 +94,15 @@ def monthly_actuals(dispatch: DataFrame, billing: DataFrame, as_of, segment: str
     """Dispatched quantity and value per part and month for parts of ``segment``.
 
     The two-level sum of the original (day/dealer, then month) equals one sum
-    per (part, month); the semi join is applied to the day-level partial sums.
+    per (part, month), and the segment filter depends on the part only, so the
+    sums come first (partial aggregation before the shuffle) and the semi join
+    sees one row per part and month.
     """
-    daily = dispatch_in_segment(dispatch, billing, as_of, segment, window)
-    return daily.groupBy("Part_Id", F.trunc("LeoDate", "MM").alias("start_of_month")).agg(
+    n, m = window
+    monthly = dispatch_lines(dispatch, as_of, n, m).groupBy(
+        "Part_Id", F.trunc("LeoDate", "MM").alias("start_of_month")).agg(
         F.sum("qty").alias("qty"), F.sum("value").alias("value"))
+    return monthly.join(segment_parts(billing, segment), "Part_Id", "left_semi")
 
 
 DEALER_PRICE_WINDOW = (5, 2)

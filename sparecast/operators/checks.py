@@ -1,7 +1,7 @@
 """Reconciliation figures for a run (what the original jobs eyeballed).
 
-All figures are computed as one-row aggregates next to each other (a cross
-join of one-row frames); nothing is collected.
+All figures are one-row aggregates placed side by side as scalar subqueries;
+nothing is collected.
 """
 
 from __future__ import annotations
@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.expressions import with_scalars
+
 
 def class_table_checks(class_table: DataFrame) -> DataFrame:
     """Shares should sum to 100; there should be one row per part."""
@@ -39,11 +41,8 @@ def demand_checks(monthly: DataFrame) -> DataFrame:
 
 def reconcile(class_table: DataFrame, part_forecast: DataFrame, monthly: DataFrame) -> DataFrame:
     """One row of run figures; ``forecast_complete`` is rows == parts x months."""
-    df = (
-        F.broadcast(class_table_checks(class_table))
-        .crossJoin(F.broadcast(forecast_checks(part_forecast)))
-        .crossJoin(F.broadcast(demand_checks(monthly)))
-    )
+    df = with_scalars(with_scalars(class_table_checks(class_table), forecast_checks(part_forecast)),
+                      demand_checks(monthly))
     return df.withColumn(
         "forecast_complete",
         F.col("forecast_rows") == F.col("forecast_parts") * F.col("forecast_months"),

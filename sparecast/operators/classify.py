@@ -24,6 +24,7 @@ from ..functions.expressions import (
     VALUE_CLASSES,
     lookup,
     safe_div,
+    with_scalars,
 )
 from .demand import segment_demand
 from .pricing import unit_price
@@ -71,8 +72,8 @@ def grand_totals(demand: DataFrame) -> DataFrame:
 
 
 def with_totals(demand: DataFrame, totals: DataFrame | None = None) -> DataFrame:
-    """Attach the grand totals of ``value`` and ``qty`` (one-row aggregate, broadcast)."""
-    return demand.crossJoin(F.broadcast(grand_totals(demand) if totals is None else totals))
+    """Attach the grand totals of ``value`` and ``qty`` (a scalar subquery)."""
+    return with_scalars(demand, grand_totals(demand) if totals is None else totals)
 
 
 def share_of_total(demand: DataFrame) -> DataFrame:

@@ -15,8 +15,8 @@ Forecast, per part and month of the horizon::
 
 The plan of a month is the sum of the plan rows with that ``MMM-yy`` label and
 segment (0 when there is none).  The horizon is generated per part with
-``explode(sequence(...))``; the plan side is at most ``horizon`` rows and the
-totals one row, so both are broadcast with a proven size bound.
+``explode(sequence(...))``; the plan side is at most ``horizon`` rows (broadcast
+with a proven size bound) and the two totals are one scalar subquery.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ from ..functions.expressions import (
     clamp_at_zero,
     contains_ci,
     lookup,
+    with_scalars,
 )
 from ..functions.periods import horizon_months, month_label, month_label_of
 from .demand import monthly_demand
@@ -139,11 +140,9 @@ def forecast_frame(base: DataFrame, plan: DataFrame, as_of, segment: str, horizo
         "Forecast_month",
         F.explode(F.sequence(F.lit(months[0]), F.lit(months[-1]), F.expr("INTERVAL 1 MONTH"))),
     ).withColumn("_label", month_label("Forecast_month"))
-    df = (
-        expanded.join(F.broadcast(month_plan(plan, segment, months)), "_label", "left")
-        .crossJoin(F.broadcast(totals))
-        .withColumn("Plan", F.coalesce(F.col("Plan"), F.lit(0.0)))
-    )
+    df = with_scalars(
+        expanded.join(F.broadcast(month_plan(plan, segment, months)), "_label", "left"), totals
+    ).withColumn("Plan", F.coalesce(F.col("Plan"), F.lit(0.0)))
     weight = (F.col("ABC_FMS_Ratio") * F.lit(CLASS_WEIGHT_SHARE)
               + F.col("qty") / F.col("_sum_total_qty") * F.lit(DEMAND_WEIGHT_SHARE))
     adj = F.when(

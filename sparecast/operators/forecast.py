@@ -174,10 +174,11 @@ def plan_forecast(base: DataFrame, plan: DataFrame, as_of, segment: str, horizon
 
 
 def forecast_summary(frame: DataFrame) -> DataFrame:
-    """Per forecast month: total quantity, total value, parts."""
+    """Per forecast month: total quantity, total value (and as report text
+    ``1,234,567.89``), parts."""
     return frame.groupBy("Forecast_month").agg(
         F.sum("Rounded_Qty").alias("total_qty"),
         F.sum(F.greatest(F.lit(0), F.col("Rounded_raw").cast("decimal(20,0)")
                          * F.col("NDP").cast("decimal(18,2)"))).cast("double").alias("total_value"),
         F.count(F.lit(1)).alias("parts"),
-    )
+    ).withColumn("total_value_text", F.format_number("total_value", 2))

@@ -345,10 +345,11 @@ def oracle_queries() -> dict[str, str]:
         "SELECT Part_Id, Forecast_month, Plan, Weighted_Ratio, plan_and_order_adjusted, Updated_Qty, "
         "Rounded_Qty, forecast_value FROM ff", f2)
     q["forecast_summary"] = _q(
+        "SELECT *, format('{:,.2f}', total_value) AS total_value_text FROM ("
         "SELECT Forecast_month, SUM(Rounded_Qty) AS total_qty, "
         "CAST(SUM(CASE WHEN CAST(rraw AS DECIMAL(20,0)) * CAST(NDP AS DECIMAL(18,2)) > 0 "
         "THEN CAST(rraw AS DECIMAL(20,0)) * CAST(NDP AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) AS total_value, "
-        "COUNT(*) AS parts FROM ff GROUP BY Forecast_month",
+        "COUNT(*) AS parts FROM ff GROUP BY Forecast_month)",
         class_ctes("3W") + forecast_ctes("3W"))
 
     d2 = dealer_ctes("2W")

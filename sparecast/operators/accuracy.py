@@ -24,21 +24,24 @@ def backtest_rows(billing: DataFrame, master: DataFrame, class_table: DataFrame,
                   as_of, segment: str = "2W", weights: dict | None = None,
                   history: tuple[int, int] = BACKTEST_HISTORY,
                   actual: tuple[int, int] = BACKTEST_ACTUAL,
-                  exclude_text: str | None = EXCLUDED_PART_TEXT) -> DataFrame:
+                  exclude_text: str | None = EXCLUDED_PART_TEXT,
+                  dedup_master: bool = False) -> DataFrame:
     """Per part: actual quantity of the test month, forecast, absolute error.
 
     Output: ``Part_Id, start_of_month, qty, Forecast_month, Rounded_Qty,
     Absolute_error``.  The actuals are joined with the master without
-    de-duplication, like the forecast side.
+    de-duplication (unless ``dedup_master``), like the forecast side.
     """
     base = base_demand(billing, master, class_table, as_of, segment, window=history,
-                       weights=weights or BACKTEST_WEIGHTS, exclude_text=exclude_text)
+                       weights=weights or BACKTEST_WEIGHTS, exclude_text=exclude_text,
+                       dedup_master=dedup_master)
     test_offset = -actual[1]
     fc = forecast_frame(base, plan, as_of, segment, horizon=1, first_offset=test_offset).select(
         "Part_Id", "Forecast_month", "Rounded_Qty")
     n, m = actual
+    parts = active_parts(master, segment, exclude_text)
     act = monthly_demand(billing, as_of, n, m, segment).join(
-        active_parts(master, segment, exclude_text), "Part_Id")
+        parts.distinct() if dedup_master else parts, "Part_Id")
     return act.join(fc, "Part_Id").select(
         "Part_Id", "start_of_month", "qty", "Forecast_month", "Rounded_Qty",
         F.abs(F.col("qty").cast("double") - F.col("Rounded_Qty")).alias("Absolute_error"),

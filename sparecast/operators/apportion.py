@@ -45,16 +45,29 @@ def dealer_shares(billing: DataFrame, as_of, segment: str,
     )
 
 
-def coverage_cut(shares: DataFrame, per_mille: int = COVERAGE_CUT_PER_MILLE) -> DataFrame:
-    """Members whose running share is at most ``per_mille`` / 10 percent (exact)."""
-    return shares.where(F.col("cumulative_qty") * F.lit(1000) <= F.col("total_qty") * F.lit(per_mille))
+def coverage_cut(shares: DataFrame, per_mille: int = COVERAGE_CUT_PER_MILLE,
+                 keep_crossing: bool = False) -> DataFrame:
+    """Members whose running share is at most ``per_mille`` / 10 percent (exact).
+
+    With ``keep_crossing`` the member (or tied group) whose running share first
+    passes the cut is kept too, so no part loses all its members.  Its "share
+    before" is the running total minus its tie group; the tie count is a window
+    over (part, qty), which the part partitioning already serves.
+    """
+    limit = F.col("total_qty") * F.lit(per_mille)
+    kept = F.col("cumulative_qty") * F.lit(1000) <= limit
+    if not keep_crossing:
+        return shares.where(kept)
+    tied = F.count(F.lit(1)).over(Window.partitionBy("Part_Id", "qty"))
+    before = F.col("cumulative_qty") - F.col("qty") * F.col("_tied")
+    return shares.withColumn("_tied", tied).where(kept | (before * F.lit(1000) < limit)).drop("_tied")
 
 
 def dealer_ratios(billing: DataFrame, as_of, segment: str,
                   window: tuple[int, int] = RATIO_WINDOW, per_mille: int = COVERAGE_CUT_PER_MILLE,
-                  dedup: bool = True) -> DataFrame:
+                  dedup: bool = True, keep_crossing: bool = False) -> DataFrame:
     """``Part_Id, contribution_ratio, DealerID, country``; ratios of a part sum to 1."""
-    kept = coverage_cut(dealer_shares(billing, as_of, segment, window, dedup), per_mille)
+    kept = coverage_cut(dealer_shares(billing, as_of, segment, window, dedup), per_mille, keep_crossing)
     kept_total = F.sum("qty").over(Window.partitionBy("Part_Id"))
     return kept.select(
         "Part_Id",

@@ -63,23 +63,27 @@ def active_parts(master: DataFrame, segment: str, exclude_text: str | None = EXC
 
 
 def master_multiplicity(master: DataFrame, segment: str,
-                        exclude_text: str | None = EXCLUDED_PART_TEXT) -> DataFrame:
-    """``Part_Id, _k``: how often each active part is listed (one row per part)."""
-    return active_parts(master, segment, exclude_text).groupBy("Part_Id").agg(
-        F.count(F.lit(1)).alias("_k"))
+                        exclude_text: str | None = EXCLUDED_PART_TEXT,
+                        dedup_master: bool = False) -> DataFrame:
+    """``Part_Id, _k``: how often each active part is listed (one row per part;
+    ``_k = 1`` with ``dedup_master``)."""
+    count = F.lit(1).cast("bigint") if dedup_master else F.count(F.lit(1))
+    return active_parts(master, segment, exclude_text).groupBy("Part_Id").agg(count.alias("_k"))
 
 
 def avg_active_month(monthly: DataFrame, master: DataFrame, segment: str,
-                     exclude_text: str | None = EXCLUDED_PART_TEXT) -> DataFrame:
+                     exclude_text: str | None = EXCLUDED_PART_TEXT,
+                     dedup_master: bool = False) -> DataFrame:
     """``Part_Id, Total_qty, Months_Count, qty`` for active parts.
 
     ``qty = ceil(Total_qty / Months_Count)``; the divisor counts months with a
     row for the part, not the window length.  A part listed ``k`` times in the
-    master has its quantity counted ``k`` times (as a plain inner join would).
+    master has its quantity counted ``k`` times (as a plain inner join would),
+    unless ``dedup_master``.
     """
     per_part = monthly.groupBy("Part_Id").agg(
         F.sum("qty").alias("_t"), F.count(F.lit(1)).alias("Months_Count"))
-    df = per_part.join(master_multiplicity(master, segment, exclude_text), "Part_Id")
+    df = per_part.join(master_multiplicity(master, segment, exclude_text, dedup_master), "Part_Id")
     total = (F.col("_t") * F.col("_k")).cast("bigint")
     return df.select(
         "Part_Id",
@@ -102,12 +106,12 @@ def class_pairs(class_table: DataFrame) -> DataFrame:
 def base_demand(billing: DataFrame, master: DataFrame, class_table: DataFrame, as_of,
                 segment: str, window: tuple[int, int] | None = None,
                 weights: dict | None = None, exclude_text: str | None = EXCLUDED_PART_TEXT,
-                dedup: bool = True) -> DataFrame:
+                dedup: bool = True, dedup_master: bool = False) -> DataFrame:
     """Base demand rows: ``Part_Id, Total_qty, Months_Count, qty, ABC_class,
     Fsn_class, NDP, OrderValue, ABC_FMS, ABC_FMS_Ratio``."""
     n, m = window or BASE_WINDOW[segment]
     monthly = monthly_demand(billing, as_of, n, m, segment, dedup=dedup)
-    avg = avg_active_month(monthly, master, segment, exclude_text)
+    avg = avg_active_month(monthly, master, segment, exclude_text, dedup_master)
     pair = F.concat(F.col("ABC_class"), F.col("Fsn_class"))
     return (
         avg.join(class_pairs(class_table), "Part_Id")

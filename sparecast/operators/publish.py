@@ -59,15 +59,19 @@ PUBLISHED_COLUMNS = tuple(f.name for f in PUBLISHED_SCHEMA.fields)
 PUBLISH_KEYS = ("order_date", "dealer_id", "country", "part_id", "type")
 
 
-def format_publish(apportioned: DataFrame, master: DataFrame, as_of, segment: str) -> DataFrame:
+def format_publish(apportioned: DataFrame, master: DataFrame, as_of, segment: str,
+                   dedup_master: bool = False) -> DataFrame:
     """Dealer forecast in the publish layout.
 
     Class pair ``AF`` becomes ``A_F``; ``type`` is ``Forecast``; ``run_date`` is
     the 3rd of the month of ``as_of`` as ``YYYY-MM-DD``; the description comes
     from the master (inner join: parts missing from it are dropped, parts listed
-    twice are published twice).
+    twice are published twice unless ``dedup_master``, which keeps the smallest
+    description of a part).
     """
     desc = active_parts(master, segment, exclude_text=None, with_description=True)
+    if dedup_master:
+        desc = desc.groupBy("Part_Id").agg(F.min("Part_Description").alias("Part_Description"))
     return (
         apportioned.join(desc, "Part_Id")
         .select(
@@ -163,17 +167,25 @@ def create_publish_table(spark: SparkSession, name: str) -> None:
     sinks.create_empty_table(spark, name, PUBLISHED_SCHEMA, partition_by="order_date")
 
 
-def publish(layout_rows: DataFrame, target: str, backup: str | None = None) -> sinks.WriteReport:
-    """Conform, back up the target, append, and report the counts.
+def publish(layout_rows: DataFrame, target: str, backup: str | None = None,
+            mode: str = "append") -> sinks.WriteReport:
+    """Conform, back up the target, write, and report the counts.
 
-    Appending the same run twice publishes it twice (as the original jobs do);
-    use :func:`replace_run` to make a rerun idempotent.
+    ``mode="append"`` (default): appending the same run twice publishes it
+    twice, as the original jobs do.  ``mode="replace_run"``: rows of the same
+    run date and segment in the touched months are replaced (idempotent rerun);
+    ``after == before + inserted - replaced`` then.
     """
     spark = layout_rows.sparkSession
     create_publish_table(spark, target)
     backup_rows = sinks.snapshot(spark, target, backup) if backup else None
     before = spark.table(target).count()
-    inserted = sinks.append_by_name(to_published(conform_staging(layout_rows)), target)
+    if mode == "append":
+        inserted = sinks.append_by_name(to_published(conform_staging(layout_rows)), target)
+    elif mode == "replace_run":
+        inserted = replace_run(layout_rows, target)
+    else:
+        raise ValueError(f"unknown publish mode {mode!r}")
     after = spark.table(target).count()
     return sinks.WriteReport(target, before, inserted, after, backup_rows)
 
@@ -185,21 +197,29 @@ def _stage(df: DataFrame, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def replace_run(layout_rows: DataFrame, target: str) -> None:
+def replace_run(layout_rows: DataFrame, target: str) -> int:
     """Publish a run idempotently: in the order months it touches, rows of the
     same run date and segment are replaced, everything else is kept.  Only the
-    touched ``order_date`` partitions are rewritten."""
+    touched ``order_date`` partitions are rewritten.  Returns the rows written
+    for the run (counted while staging, no extra pass)."""
+    from pyspark.sql import Observation
+
     spark = layout_rows.sparkSession
     create_publish_table(spark, target)
-    new = to_published(conform_staging(layout_rows))
+    new = materialize(to_published(conform_staging(layout_rows)))
     touched = new.select("order_date", "run_date", "industry").distinct()
     current = spark.table(target)
     in_touched_months = current.join(touched.select("order_date").distinct(), "order_date", "left_semi")
     kept = in_touched_months.join(touched, ["order_date", "run_date", "industry"], "left_anti")
-    staged = _stage(kept.select(*PUBLISHED_COLUMNS).unionByName(new.select(*PUBLISHED_COLUMNS)),
-                    f"{target}__stage")
+    obs = Observation("replace_run")
+    rows = (kept.select(*PUBLISHED_COLUMNS).withColumn("_new", F.lit(0))
+            .unionByName(new.select(*PUBLISHED_COLUMNS).withColumn("_new", F.lit(1)))
+            .observe(obs, F.sum("_new").alias("new_rows"))
+            .drop("_new"))
+    staged = _stage(rows, f"{target}__stage")
     sinks.replace_partitions(staged, target)
     sinks.drop_table(spark, f"{target}__stage")
+    return int(obs.get["new_rows"] or 0)
 
 
 def replace_by_key_table(upload: DataFrame, target: str, date_pattern: str = "yy/MM/dd",

@@ -108,13 +108,15 @@ def running_total_table(df: DataFrame, value_col: str, out_col: str,
     """``_rt_key, out_col``: one row per distinct value of ``value_col`` with its
     running total (see module doc)."""
     v = F.col(value_col)
+    bucket = _bucket_expr(v.cast("double"), cuts_desc)
     ties = (
         df.groupBy(value_col).agg(F.sum(value_col).alias("_tie_sum"))
-        .withColumn("_bucket", _bucket_expr(v.cast("double"), cuts_desc))
+        .withColumn("_bucket", bucket)
     )
-    # At most len(cuts) + 2 rows: the window over them is trivially small.
+    # Bucket totals straight from the input (a branch parallel to the ties):
+    # at most len(cuts) + 2 rows, so the window over them is trivially small.
     offsets = (
-        ties.groupBy("_bucket").agg(F.sum("_tie_sum").alias("_bucket_sum"))
+        df.groupBy(bucket.alias("_bucket")).agg(F.sum(value_col).alias("_bucket_sum"))
         .select(
             "_bucket",
             F.sum("_bucket_sum").over(

@@ -97,9 +97,13 @@ def apportion(spark: SparkSession, src: Sources, tables: Tables, as_of, segment:
                       partition_by="order_date")
 
 
-def publish(spark: SparkSession, tables: Tables, segments=("2W", "3W")) -> list[sinks.WriteReport]:
-    """Append each segment's dealer forecast to the published table (backup first)."""
-    return [pb.publish(spark.table(tables.dealer_forecast(s)), tables.published, tables.backup)
+def publish(spark: SparkSession, tables: Tables, segments=("2W", "3W"),
+            mode: str = "append") -> list[sinks.WriteReport]:
+    """Write each segment's dealer forecast to the published table (backup first).
+
+    ``mode="append"`` as the original jobs; ``"replace_run"`` makes a rerun idempotent.
+    """
+    return [pb.publish(spark.table(tables.dealer_forecast(s)), tables.published, tables.backup, mode)
             for s in segments]
 
 
@@ -132,10 +136,10 @@ def monthly_inputs(spark: SparkSession, src: Sources, tables: Tables, as_of, run
 
 
 def run_month(spark: SparkSession, src: Sources, tables: Tables, as_of,
-              segments=("2W", "3W")) -> list[sinks.WriteReport]:
+              segments=("2W", "3W"), mode: str = "append") -> list[sinks.WriteReport]:
     """Classification, forecast and split for each segment, then publish."""
     for s in segments:
         classify(spark, src, tables, as_of, s)
         forecast(spark, src, tables, as_of, s)
         apportion(spark, src, tables, as_of, s)
-    return publish(spark, tables, segments)
+    return publish(spark, tables, segments, mode)

@@ -87,6 +87,20 @@ def test_g2_coverage_cut(spark):
     assert {r.country for r in ratios} == {"NATION_1"}
 
 
+def test_g2_keep_crossing(spark):
+    rows = []
+    parts = {"A": [60, 30, 10], "B": [60, 20, 20], "D": [7], "E": [5, 5, 5]}
+    for p, qs in parts.items():
+        for k, q in enumerate(qs):
+            rows.append(fx.line(p, "2000-09-10", q, 10 * q, dealer=f"D{k + 1}", country="NATION_1"))
+    ratios = ap.dealer_ratios(fx.billing(spark, rows), fx.AS_OF, "2W", keep_crossing=True).collect()
+    got = {(r.Part_Id, r.DealerID): r.contribution_ratio for r in ratios}
+    assert got[("A", "D3")] == pytest.approx(0.1)
+    assert got[("B", "D2")] == pytest.approx(0.2) and got[("B", "D3")] == pytest.approx(0.2)
+    assert got[("D", "D1")] == pytest.approx(1.0)
+    assert [got[("E", f"D{k}")] for k in (1, 2, 3)] == pytest.approx([1 / 3] * 3)
+
+
 # G3 / G4 --------------------------------------------------------------------
 
 def _g3_inputs(spark):
@@ -112,6 +126,16 @@ def test_g3_base_demand(spark):
     assert got["P3"][:2] == (3, 3.0) and got["P3"][2] is None
 
 
+def test_g3_master_fan_out(spark):
+    billing, master, cls = _g3_inputs(spark)
+    twice = master.unionByName(master.where("`2W_Part_Id` = 'P1'"))
+    fan = {r.Part_Id: r.Total_qty for r in fc.base_demand(billing, twice, cls, fx.AS_OF, "2W").collect()}
+    assert fan["P1"] == 722 and fan["P2"] == 15
+    guarded = {r.Part_Id: r.Total_qty
+               for r in fc.base_demand(billing, twice, cls, fx.AS_OF, "2W", dedup_master=True).collect()}
+    assert guarded["P1"] == 361
+
+
 def test_g4_forecast(spark):
     billing, master, cls = _g3_inputs(spark)
     base = fc.base_demand(billing, master, cls, fx.AS_OF, "2W")

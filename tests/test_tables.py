@@ -38,11 +38,13 @@ def test_replace_run_is_idempotent(spark):
     target = "pub_rerun_t"
     sinks.drop_table(spark, target)
     pb.publish(_layout(spark, 4, industry="3W"), target)
-    pb.replace_run(_layout(spark, 4), target)
-    pb.replace_run(_layout(spark, 4), target)
+    r1 = pb.publish(_layout(spark, 4), target, mode="replace_run")
+    r2 = pb.publish(_layout(spark, 4), target, mode="replace_run")
     t = spark.table(target)
     assert t.count() == 8
     assert t.where("industry = '2W'").count() == 4
+    assert (r1.before, r1.inserted, r1.after) == (4, 4, 8)
+    assert (r2.before, r2.inserted, r2.after) == (8, 4, 8)
 
 
 def test_replace_by_key_table_matches_frame(spark):

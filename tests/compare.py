@@ -2,7 +2,8 @@
 
 Usage: ``python -m tests.compare [sf_dir] [name ...]``.  The comparison is
 order-insensitive: columns by name, rows as sorted tuples of canonical text.
-Doubles are compared at 12 significant digits.
+Doubles are compared at 12 significant digits, or bit for bit with
+``COMPARE_EXACT=1``.
 """
 
 from __future__ import annotations
@@ -10,11 +11,13 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import math
+import os
 import sys
 import time
 
 import duckdb
 
+EXACT = os.environ.get("COMPARE_EXACT") == "1"
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
@@ -31,9 +34,9 @@ def _canon(v) -> str:
     if isinstance(v, float):
         if math.isnan(v):
             return "NULL"
-        return f"{v:.12g}"
+        return repr(v) if EXACT else f"{v:.12g}"
     if isinstance(v, decimal.Decimal):
-        return f"{float(v):.12g}"
+        return repr(float(v)) if EXACT else f"{float(v):.12g}"
     if isinstance(v, (dt.datetime, dt.date)):
         return v.isoformat()[:10] if isinstance(v, dt.date) and not isinstance(v, dt.datetime) else v.isoformat()
     if isinstance(v, bool):

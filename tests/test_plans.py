@@ -43,10 +43,13 @@ def test_no_part_rows_through_a_single_partition(spark):
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
     lines = plan.splitlines()
+    found = 0
     for i, line in enumerate(lines):
         if "Exchange SinglePartition" in line:
             below = next(x for x in lines[i + 1:] if x.strip(" :+-"))
             assert "HashAggregate" in below or "ObjectHashAggregate" in below, line + "\n" + below
+            found += 1
+    assert found >= 1          # the bucket offsets do pass one partition, as aggregates
 
 
 def test_oracle_parity_small(spark):

@@ -113,12 +113,11 @@ def base_demand(billing: DataFrame, master: DataFrame, class_table: DataFrame, a
     monthly = monthly_demand(billing, as_of, n, m, segment, dedup=dedup)
     avg = avg_active_month(monthly, master, segment, exclude_text, dedup_master)
     pair = F.concat(F.col("ABC_class"), F.col("Fsn_class"))
-    return (
-        avg.join(class_pairs(class_table), "Part_Id")
-        .withColumn("OrderValue", F.col("qty") * F.col("NDP"))
-        .withColumn("ABC_FMS", pair)
-        .withColumn("ABC_FMS_Ratio", lookup("ABC_FMS", weights or FORECAST_WEIGHTS, 0))
-    )
+    return avg.join(class_pairs(class_table), "Part_Id").withColumns({
+        "OrderValue": F.col("qty") * F.col("NDP"),
+        "ABC_FMS": pair,
+        "ABC_FMS_Ratio": lookup(pair, weights or FORECAST_WEIGHTS, 0),
+    })
 
 
 def month_plan(plan: DataFrame, segment: str, months) -> DataFrame:
@@ -133,7 +132,11 @@ def month_plan(plan: DataFrame, segment: str, months) -> DataFrame:
 
 def forecast_frame(base: DataFrame, plan: DataFrame, as_of, segment: str, horizon: int = 12,
                    first_offset: int = 1) -> DataFrame:
-    """Every base part for every horizon month with all formula columns."""
+    """Every base part for every horizon month with all formula columns.
+
+    The formula is one projection (no chain of ``withColumn``); shared
+    sub-expressions are evaluated once by whole-stage codegen.
+    """
     months = horizon_months(as_of, horizon, first_offset)
     totals = base.agg(
         F.sum("Total_qty").alias("_sum_total_qty"),
@@ -143,28 +146,34 @@ def forecast_frame(base: DataFrame, plan: DataFrame, as_of, segment: str, horizo
     expanded = base.withColumn(
         "Forecast_month",
         F.explode(F.sequence(F.lit(months[0]), F.lit(months[-1]), F.expr("INTERVAL 1 MONTH"))),
-    ).withColumn("_label", month_label("Forecast_month"))
+    )
     df = with_scalars(
-        expanded.join(F.broadcast(month_plan(plan, segment, months)), "_label", "left"), totals
-    ).withColumn("Plan", F.coalesce(F.col("Plan"), F.lit(0.0)))
+        expanded.join(F.broadcast(month_plan(plan, segment, months)),
+                      month_label("Forecast_month") == F.col("_label"), "left"),
+        totals,
+    )
+    plan_value = F.coalesce(F.col("Plan"), F.lit(0.0))
     weight = (F.col("ABC_FMS_Ratio") * F.lit(CLASS_WEIGHT_SHARE)
               + F.col("qty") / F.col("_sum_total_qty") * F.lit(DEMAND_WEIGHT_SHARE))
     adj = F.when(
-        F.col("Plan") != F.lit(0.0),
-        (F.col("Plan") - F.col("_sum_order_value")) / F.col("Plan") * F.col("Weighted_Ratio"),
+        plan_value != F.lit(0.0),
+        (plan_value - F.col("_sum_order_value")) / plan_value * weight,
     ).otherwise(F.lit(0.0))
-    rounded = F.ceil(F.col("_updated")).cast("double")
-    value = F.col("Rounded_raw").cast("decimal(20,0)") * F.col("NDP").cast("decimal(18,2)")
-    return (
-        df.withColumn("Weighted_Ratio", weight)
-        .withColumn("plan_and_order_adjusted", adj)
-        .withColumn("_updated", F.col("qty") * (F.lit(1.0) + F.col("plan_and_order_adjusted")))
-        .withColumn("Rounded_raw", rounded)
-        .withColumn("Updated_Qty", clamp_at_zero("_updated"))
-        .withColumn("Rounded_Qty", clamp_at_zero("Rounded_raw"))
-        .withColumn("forecast_value", clamp_at_zero(value))
-        .withColumn("industry", F.lit(segment))
-        .drop("_label", "_sum_total_qty", "_sum_order_value", "_updated")
+    updated = F.col("qty") * (F.lit(1.0) + adj)
+    rounded = F.ceil(updated).cast("double")
+    value = rounded.cast("decimal(20,0)") * F.col("NDP").cast("decimal(18,2)")
+    keep = [c for c in base.columns]
+    return df.select(
+        *keep,
+        "Forecast_month",
+        plan_value.alias("Plan"),
+        weight.alias("Weighted_Ratio"),
+        adj.alias("plan_and_order_adjusted"),
+        rounded.alias("Rounded_raw"),
+        clamp_at_zero(updated).alias("Updated_Qty"),
+        clamp_at_zero(rounded).alias("Rounded_Qty"),
+        clamp_at_zero(value).alias("forecast_value"),
+        F.lit(segment).alias("industry"),
     )
 
 

@@ -104,15 +104,12 @@ def cuts_from_stats(spark, stats: dict, value_cols: list[str], max_buckets: int
 
 
 def running_total_table(df: DataFrame, value_col: str, out_col: str,
-                        cuts_desc: list[float]) -> DataFrame:
-    """``_rt_key, out_col``: one row per distinct value of ``value_col`` with its
+                        cuts_desc: list[float], key_col: str = "_rt_key") -> DataFrame:
+    """``key_col, out_col``: one row per distinct value of ``value_col`` with its
     running total (see module doc)."""
     v = F.col(value_col)
     bucket = _bucket_expr(v.cast("double"), cuts_desc)
-    ties = (
-        df.groupBy(value_col).agg(F.sum(value_col).alias("_tie_sum"))
-        .withColumn("_bucket", bucket)
-    )
+    ties = df.groupBy(v.alias("_v"), bucket.alias("_bucket")).agg(F.sum(value_col).alias("_tie_sum"))
     # Bucket totals straight from the input (a branch parallel to the ties):
     # at most len(cuts) + 2 rows, so the window over them is trivially small.
     offsets = (
@@ -124,16 +121,14 @@ def running_total_table(df: DataFrame, value_col: str, out_col: str,
             ).alias("_offset"),
         )
     )
-    local = F.sum("_tie_sum").over(Window.partitionBy("_bucket").orderBy(v.desc_nulls_last()))
+    local = F.sum("_tie_sum").over(Window.partitionBy("_bucket").orderBy(F.col("_v").desc_nulls_last()))
+    off, loc = F.col("_offset"), F.col("_local")
     return (
-        ties.select(v, "_bucket", local.alias("_local"))
+        ties.select("_v", "_bucket", local.alias("_local"))
         .join(F.broadcast(offsets), "_bucket")
         .select(
-            v.alias("_rt_key"),
-            F.when(F.col("_offset").isNull(), F.col("_local"))
-            .when(F.col("_local").isNull(), F.col("_offset"))
-            .otherwise(F.col("_offset") + F.col("_local"))
-            .alias(out_col),
+            F.col("_v").alias(key_col),
+            F.when(off.isNull(), loc).when(loc.isNull(), off).otherwise(off + loc).alias(out_col),
         )
     )
 
@@ -141,8 +136,7 @@ def running_total_table(df: DataFrame, value_col: str, out_col: str,
 def running_total_with_cuts(df: DataFrame, value_col: str, out_col: str,
                             cuts_desc: list[float]) -> DataFrame:
     """Add ``out_col`` using the given cut points (see module doc)."""
-    totals = running_total_table(df, value_col, out_col, cuts_desc)
-    return df.join(totals, F.col(value_col).eqNullSafe(totals["_rt_key"])).drop("_rt_key")
+    return running_totals_desc(df, {value_col: out_col}, cuts={value_col: cuts_desc})
 
 
 def running_totals_desc(df: DataFrame, columns: dict[str, str], max_buckets: int | None = None,
@@ -158,11 +152,12 @@ def running_totals_desc(df: DataFrame, columns: dict[str, str], max_buckets: int
     """
     if cuts is None:
         cuts = plan_buckets(df, list(columns), max_buckets, rows_per_bucket)
-    tables = {c: running_total_table(df, c, out, cuts[c]).withColumnRenamed("_rt_key", f"_rt_key_{c}")
-              for c, out in columns.items()}
-    for c, t in tables.items():
-        df = df.join(t, F.col(c).eqNullSafe(t[f"_rt_key_{c}"])).drop(f"_rt_key_{c}")
-    return df
+    out = df
+    for c, name in columns.items():
+        key = f"_rt_key_{c}"
+        t = running_total_table(df, c, name, cuts[c], key)
+        out = out.join(t, F.col(c).eqNullSafe(t[key]))
+    return out.select(*df.columns, *columns.values())
 
 
 def materialize_for_running_totals(df: DataFrame, value_cols: list[str],

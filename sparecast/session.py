@@ -18,6 +18,9 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # Call-site capture for error messages costs several JVM round trips per
+    # DataFrame API call; a forecast plan is built from hundreds of calls.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -35,6 +35,7 @@ from ..functions.expressions import (
     with_scalars,
 )
 from ..functions.periods import horizon_months, month_label, month_label_of
+from ..session import materialize
 from .demand import monthly_demand
 
 # Base demand windows: 9 (2W) or 8 (3W) whole months ending last month.
@@ -135,9 +136,13 @@ def forecast_frame(base: DataFrame, plan: DataFrame, as_of, segment: str, horizo
     """Every base part for every horizon month with all formula columns.
 
     The formula is one projection (no chain of ``withColumn``); shared
-    sub-expressions are evaluated once by whole-stage codegen.
+    sub-expressions are evaluated once by whole-stage codegen.  ``base`` (one
+    row per part) is read twice, by the totals and by the horizon, so it is
+    checkpointed once instead of recomputing the class table and demand for
+    each read.
     """
     months = horizon_months(as_of, horizon, first_offset)
+    base = materialize(base)
     totals = base.agg(
         F.sum("Total_qty").alias("_sum_total_qty"),
         F.sum(F.col("qty").cast("decimal(20,0)") * F.col("NDP").cast("decimal(18,2)"))

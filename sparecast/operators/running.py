@@ -63,7 +63,7 @@ def cut_point_stats(spark, value_cols: list[str], max_buckets: int | None = None
                     accuracy: int = DEFAULT_ACCURACY) -> list:
     """Aggregate columns whose values :func:`cuts_from_stats` turns into cut points.
 
-    Evaluate them with ``df.agg`` or, for free, with ``materialize(df, observe=...)``.
+    Evaluate them with ``df.agg`` or, for free, with ``materialize_observed(df, ...)``.
     """
     _, grid = _grid(spark, max_buckets)
     fractions = [i / grid for i in range(1, grid)]
@@ -164,10 +164,10 @@ def materialize_for_running_totals(df: DataFrame, value_cols: list[str],
                                    max_buckets: int | None = None,
                                    rows_per_bucket: int = ROWS_PER_BUCKET) -> tuple[DataFrame, dict]:
     """Checkpoint ``df`` and gather the cut points of ``value_cols`` in the same job."""
-    from ..session import materialize
+    from ..session import materialize_observed
 
     spark = df.sparkSession
-    out, stats = materialize(df, observe=cut_point_stats(spark, value_cols, max_buckets))
+    out, stats = materialize_observed(df, cut_point_stats(spark, value_cols, max_buckets))
     return out, cuts_from_stats(spark, stats, value_cols, max_buckets, rows_per_bucket)
 
 

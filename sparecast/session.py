@@ -21,6 +21,9 @@ RECOMMENDED_CONF = {
     # Call-site capture for error messages costs several JVM round trips per
     # DataFrame API call; a forecast plan is built from hundreds of calls.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # Remove checkpoint files once nothing references them any more, so the
+    # shared checkpoint folder does not grow run after run.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -64,28 +67,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
-def materialize(df: DataFrame, observe: list | None = None) -> tuple[DataFrame, dict] | DataFrame:
+def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage by writing ``df`` to the shared checkpoint folder.
 
-    Used for small intermediate results (one row per part) that later stages
-    read several times; recomputing them would rescan the fact table.  The
-    checkpoint is reliable storage, so a lost executor does not force a
-    recomputation.  Without a checkpoint folder the plan stays lazy (Spark then
-    recomputes the input where it is referenced, which is correct but slower).
-
-    With ``observe`` (aggregate columns), the aggregates are computed during the
-    same job and returned as a dict next to the frame: ``(frame, metrics)``.
-    Metrics only steer physical choices (bucket cut points), never results.
+    Used for small intermediate results (one row per part, a manual upload)
+    that later stages read several times; recomputing them would rescan the
+    fact tables.  The checkpoint is reliable storage, so a lost executor does
+    not force a recomputation.  Without a checkpoint folder the plan stays lazy
+    (Spark then recomputes the input where it is referenced: correct, slower).
     """
-    if observe is None:
-        if checkpoint_dir(df.sparkSession) is None:
-            return df
-        return df.checkpoint(eager=True)
     if checkpoint_dir(df.sparkSession) is None:
-        row = df.agg(*observe).first()
-        return df, (row.asDict() if row is not None else {})
+        return df
+    return df.checkpoint(eager=True)
+
+
+def materialize_observed(df: DataFrame, aggregates: list) -> tuple[DataFrame, dict]:
+    """:func:`materialize` plus aggregates computed during the same job.
+
+    Returns ``(frame, {alias: value})``.  The metrics only steer physical
+    choices (bucket cut points), never results, so a retried task that feeds
+    its rows into them twice does no harm.
+    """
     from pyspark.sql import Observation
 
+    if checkpoint_dir(df.sparkSession) is None:
+        row = df.agg(*aggregates).first()
+        return df, (row.asDict() if row is not None else {})
     obs = Observation("materialize")
-    out = df.observe(obs, *observe).checkpoint(eager=True)
+    out = df.observe(obs, *aggregates).checkpoint(eager=True)
     return out, dict(obs.get)

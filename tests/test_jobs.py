@@ -47,3 +47,24 @@ def test_run_month_then_upload_then_accuracy(spark):
     inputs = jobs.monthly_inputs(spark, src, tables, AS_OF, "2000-12-03", "2001-01-01")
     assert inputs["published_demand"].count() > 0
     assert inputs["monthly_actuals"].count() > 0
+
+
+def test_command_line_over_catalog_tables(spark, capsys):
+    import json
+
+    from sparecast.plans import cli
+
+    for name, df in (("cli_billing", td.billing(spark, SF_SMALL)), ("cli_dispatch", td.dispatch(spark, SF_SMALL)),
+                     ("cli_master", td.parts_master(spark, SF_SMALL)), ("cli_plan", td.plan(spark, SF_SMALL))):
+        sinks.write_table(df, name)
+    sinks.drop_table(spark, "cli_published")
+    common = ["--as-of", AS_OF, "--segments", "2W", "--billing", "cli_billing", "--dispatch", "cli_dispatch",
+              "--master", "cli_master", "--plan", "cli_plan", "--exclude-text", td.EXCLUDED_TEST_TEXT,
+              "--prefix", "cli", "--published", "cli_published", "--backup", "cli_published_backup"]
+    assert cli.main(["month", *common]) == 0
+    report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert report[0]["after"] == report[0]["inserted"] == registry()["publish_layout"](spark, SF_SMALL).count()
+    assert cli.main(["month", *common, "--mode", "replace_run"]) == 0      # idempotent rerun
+    assert spark.table("cli_published").count() == report[0]["after"]
+    assert cli.main(["backtest", *common]) == 0
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["parts"] > 0

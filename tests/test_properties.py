@@ -123,3 +123,16 @@ def test_replace_by_key_is_idempotent_for_unique_upload_keys(spark):
     twice = pb.replace_by_key(once, up)
     assert once.count() == twice.count()
     assert once.exceptAll(twice).count() == 0 and twice.exceptAll(once).count() == 0
+
+
+def test_results_do_not_depend_on_a_checkpoint_folder(spark, reg, monkeypatch):
+    """Without a checkpoint folder the plans stay lazy; results are identical."""
+    import sparecast.session as session
+
+    names = ("class_table_2w", "plan_forecast_3w", "replace_by_key")
+    with_ckpt = {n: reg[n](spark, SF_SMALL).collect() for n in names}
+    monkeypatch.setattr(session, "checkpoint_dir", lambda _spark: None)
+    for n in names:
+        lazy = reg[n](spark, SF_SMALL)
+        assert "ExistingRDD" not in lazy._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(map(tuple, lazy.collect())) == sorted(map(tuple, with_ckpt[n])), n

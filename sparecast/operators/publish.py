@@ -142,9 +142,14 @@ def typed_upload(upload: DataFrame, date_pattern: str = "yy/MM/dd",
 
 
 def rows_not_in(target: DataFrame, source: DataFrame, keys: Sequence[str] = PUBLISH_KEYS) -> DataFrame:
-    """Target rows without a key match in ``source`` (NULL keys never match)."""
-    cond = [target[k] == source[k] for k in keys]
-    return target.join(source.select(*keys), cond, "left_anti")
+    """Target rows without a key match in ``source`` (NULL keys never match).
+
+    Both sides are aliased, so the condition stays unambiguous when the source
+    is derived from the target itself.
+    """
+    cond = [F.col(f"_t.{k}") == F.col(f"_s.{k}") for k in keys]
+    return target.alias("_t").join(source.select(*keys).alias("_s"), cond, "left_anti").select(
+        *[F.col(f"_t.`{c}`").alias(c) for c in target.columns])
 
 
 def replace_by_key(target: DataFrame, upload_rows: DataFrame,

@@ -211,3 +211,15 @@ def test_window_bounds_and_segment_filter(spark):
             fx.line("P", "2000-06-01", 32, 32, kind="Accessories")]
     r = dm.segment_demand(fx.billing(spark, rows), fx.AS_OF, 13, 1, "2W").collect()[0]
     assert r.qty == 6
+
+
+def test_g5_replace_by_key_with_shared_lineage(spark):
+    """An upload derived from the target itself (same lineage) still matches by value."""
+    def row(key, qty):
+        return (dt.date(2025, 5, 1), key, "IN", "P", qty, "d", "2W", "A_F", dt.date(2025, 4, 3), "Forecast")
+    target = spark.createDataFrame([row(1, 10), row(2, 20), row(3, 30)], pb.PUBLISHED_SCHEMA)
+    upload = target.where("dealer_id = 2").withColumn("order_qty", target["order_qty"] + 1)
+    out = sorted((r.dealer_id, r.order_qty) for r in pb.replace_by_key(target, upload).collect())
+    assert out == [(1, 10), (2, 21), (3, 30)]
+    kept = sorted(r.dealer_id for r in pb.rows_not_in(target, target.where("dealer_id <> 2")).collect())
+    assert kept == [2]

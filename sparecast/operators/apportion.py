@@ -17,22 +17,35 @@ exchange on ``Part_Id``.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import COVERAGE_CUT_PER_MILLE
-from .demand import dealer_demand
+from .demand import segment_demand
 
 RATIO_WINDOW = (7, 1)
 
 
-def dealer_shares(billing: DataFrame, as_of, segment: str,
+def _group(segment) -> list[str]:
+    """Grouping keys of a part: the part, and the segment when several are processed."""
+    return ["Part_Id"] if isinstance(segment, str) else ["industry", "Part_Id"]
+
+
+def dealer_shares(billing: DataFrame, as_of, segment: str | Sequence[str],
                   window: tuple[int, int] = RATIO_WINDOW, dedup: bool = True) -> DataFrame:
     """``Part_Id, DealerID, country, qty, total_qty, cumulative_qty,
-    contribution_percentage, rank`` for parts with a positive total."""
+    contribution_percentage, rank`` for parts with a positive total.
+
+    ``segment`` may be several segments (one pass): rows then carry ``industry``
+    and every window is per (industry, part).
+    """
     n, m = window
-    dd = dealer_demand(billing, as_of, n, m, segment, dedup=dedup)
-    by_part = Window.partitionBy("Part_Id")
+    group = _group(segment)
+    dd = segment_demand(billing, as_of, n, m, segment, by=(*group, "DealerID", "country"),
+                        dedup=dedup, require_dealer_country=True)
+    by_part = Window.partitionBy(*group)
     by_share = by_part.orderBy(F.col("qty").desc())
     ranked = by_part.orderBy(F.col("qty").desc(), F.col("DealerID"), F.col("country"))
     return (
@@ -58,18 +71,22 @@ def coverage_cut(shares: DataFrame, per_mille: int = COVERAGE_CUT_PER_MILLE,
     kept = F.col("cumulative_qty") * F.lit(1000) <= limit
     if not keep_crossing:
         return shares.where(kept)
-    tied = F.count(F.lit(1)).over(Window.partitionBy("Part_Id", "qty"))
+    group = ["industry", "Part_Id"] if "industry" in shares.columns else ["Part_Id"]
+    tied = F.count(F.lit(1)).over(Window.partitionBy(*group, "qty"))
     before = F.col("cumulative_qty") - F.col("qty") * F.col("_tied")
     return shares.withColumn("_tied", tied).where(kept | (before * F.lit(1000) < limit)).drop("_tied")
 
 
-def dealer_ratios(billing: DataFrame, as_of, segment: str,
+def dealer_ratios(billing: DataFrame, as_of, segment: str | Sequence[str],
                   window: tuple[int, int] = RATIO_WINDOW, per_mille: int = COVERAGE_CUT_PER_MILLE,
                   dedup: bool = True, keep_crossing: bool = False) -> DataFrame:
-    """``Part_Id, contribution_ratio, DealerID, country``; ratios of a part sum to 1."""
+    """``Part_Id, contribution_ratio, DealerID, country`` (plus ``industry`` for
+    several segments); ratios of a part sum to 1."""
+    group = _group(segment)
     kept = coverage_cut(dealer_shares(billing, as_of, segment, window, dedup), per_mille, keep_crossing)
-    kept_total = F.sum("qty").over(Window.partitionBy("Part_Id"))
+    kept_total = F.sum("qty").over(Window.partitionBy(*group))
     return kept.select(
+        *group[:-1],
         "Part_Id",
         (F.col("qty").cast("double") / kept_total.cast("double")).alias("contribution_ratio"),
         "DealerID",
@@ -85,8 +102,9 @@ def apportion(part_forecast: DataFrame, ratios: DataFrame) -> DataFrame:
     dealer is rounded on its own, so the dealer quantities of a part need not
     add up to the part quantity.
     """
+    keys = ["industry", "Part_Id"] if "industry" in ratios.columns else ["Part_Id"]
     return (
-        part_forecast.join(ratios, "Part_Id")
+        part_forecast.join(ratios, keys)
         .where(F.col("country").isNotNull())
         .select(
             F.col("Forecast_month").cast("date").alias("Forecast_month"),

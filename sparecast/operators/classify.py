@@ -27,7 +27,7 @@ from ..functions.expressions import (
     with_scalars,
 )
 from .demand import segment_demand
-from .pricing import unit_price
+from .pricing import unit_price, unit_prices_by_segment
 from .running import ROWS_PER_BUCKET, materialize_for_running_totals, running_totals_desc
 
 CLASS_TABLE_COLUMNS = (
@@ -86,17 +86,25 @@ def share_of_total(demand: DataFrame) -> DataFrame:
 
 
 def pareto_classes(demand: DataFrame, max_buckets: int | None = None,
-                   rows_per_bucket: int = ROWS_PER_BUCKET, cuts: dict | None = None) -> DataFrame:
-    """Class columns for a part-level demand frame (``Part_Id, qty, value``).
+                   rows_per_bucket: int = ROWS_PER_BUCKET, cuts: dict | None = None,
+                   by: tuple[str, ...] = ()) -> DataFrame:
+    """Class columns for a part-level demand frame (``[*by,] Part_Id, qty, value``).
 
-    Output: the class-table columns without ``NDP``.
+    Output: the class-table columns without ``NDP`` (plus ``by``).  With ``by``
+    (the segment) shares, running totals and classes are computed per group;
+    the per-group totals are one row per group, joined by broadcast.
     """
     df = running_totals_desc(demand, {"value": "_cum_value", "qty": "_cum_qty"},
-                             max_buckets, rows_per_bucket, cuts)
-    df = with_totals(df, grand_totals(demand))
+                             max_buckets, rows_per_bucket, cuts, by)
+    if by:
+        totals = demand.groupBy(*by).agg(F.sum("value").alias("_total_value"), F.sum("qty").alias("_total_qty"))
+        df = df.join(F.broadcast(totals), list(by))
+    else:
+        df = with_totals(df, grand_totals(demand))
     a, b, c = VALUE_CLASSES
     f, m, s = MOVEMENT_CLASSES
     df = df.select(
+        *by,
         F.col("Part_Id").alias("Part_no"),
         pct("value", "_total_value").alias("value_contribution_pct"),
         pct("qty", "_total_qty").alias("qty_contribution_pct"),
@@ -141,3 +149,25 @@ def classify_parts(billing: DataFrame, dispatch: DataFrame, as_of, segment: str,
 def category_counts(class_table: DataFrame) -> DataFrame:
     """Number of parts per category: ``categorisation, count``."""
     return class_table.groupBy("categorisation").agg(F.count(F.lit(1)).alias("count"))
+
+
+def classify_segments(billing: DataFrame, dispatch: DataFrame, as_of, segments=("2W", "3W"),
+                      demand_window: tuple[int, int] = CLASS_WINDOW, price_windows: dict | None = None,
+                      dedup: bool = True, max_buckets: int | None = None,
+                      rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """The class tables of several segments from one pass over the invoice lines
+    and one over the dispatches; the class-table columns plus ``industry``.
+
+    Equal to :func:`classify_parts` per segment: shares, running totals and
+    classes are per segment (``industry`` is a grouping key everywhere), and
+    each segment's price uses its own window.
+    """
+    n, m = demand_window
+    segments = tuple(segments)
+    demand, cuts = materialize_for_running_totals(
+        segment_demand(billing, as_of, n, m, segments, by=("industry", "Part_Id"), dedup=dedup),
+        ["value", "qty"], max_buckets, rows_per_bucket)
+    classes = pareto_classes(demand, max_buckets, rows_per_bucket, cuts, by=("industry",))
+    windows = {s: (price_windows or PRICE_WINDOW).get(s, PRICE_WINDOW["2W"]) for s in segments}
+    prices = unit_prices_by_segment(dispatch, as_of, windows).withColumnRenamed("Part_Id", "Part_no")
+    return classes.join(prices, ["industry", "Part_no"], "left").select(*CLASS_TABLE_COLUMNS, "industry")

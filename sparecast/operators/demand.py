@@ -24,16 +24,23 @@ from ..functions.periods import first_of_month, in_month_window
 PARTS_TYPE = "Parts"
 
 
-def billing_lines(billing: DataFrame, as_of, n: int, m: int, segment: str | None,
+def segment_filter(segment: str | Sequence[str]) -> F.Column:
+    """``industry = segment``, or ``industry IN (...)`` for several segments."""
+    if isinstance(segment, str):
+        return F.col("industry") == F.lit(segment)
+    return F.col("industry").isin(*segment)
+
+
+def billing_lines(billing: DataFrame, as_of, n: int, m: int, segment: str | Sequence[str] | None,
                   line_type: str | None = PARTS_TYPE) -> DataFrame:
-    """Invoice lines of ``segment`` inside the whole-month window ``(n, m)``.
+    """Invoice lines of ``segment`` (one or several) inside the whole-month window ``(n, m)``.
 
-    Columns: ``Part_Id, DealerID, country, LeoDate (DATE), qty (INT), value``.
-    The quantity is truncated to an integer before anything else.
+    Columns: ``Part_Id, DealerID, country, LeoDate (DATE), qty (INT), value,
+    industry``.  The quantity is truncated to an integer before anything else.
     """
     cond = in_month_window("BillingDate", as_of, n, m)
     if segment is not None:
-        cond = cond & (F.col("industry") == F.lit(segment))
+        cond = cond & segment_filter(segment)
     if line_type is not None:
         cond = cond & (F.col("Type") == F.lit(line_type))
     return billing.where(cond).select(
@@ -43,16 +50,18 @@ def billing_lines(billing: DataFrame, as_of, n: int, m: int, segment: str | None
         F.col("BillingDate").cast("date").alias("LeoDate"),
         F.col("YF2_InvoiceQuantity").cast("int").alias("qty"),
         F.col("YF2_Invoice_ValueinINR").alias("value"),
+        F.col("industry"),
     )
 
 
-def segment_demand(billing: DataFrame, as_of, n: int, m: int, segment: str | None,
+def segment_demand(billing: DataFrame, as_of, n: int, m: int, segment: str | Sequence[str] | None,
                    by: Sequence[str] = ("Part_Id",), monthly: bool = False,
                    dedup: bool = True, require_dealer_country: bool = False,
                    line_type: str | None = PARTS_TYPE) -> DataFrame:
     """Sum of quantity and value per ``by`` keys (plus ``start_of_month`` if ``monthly``).
 
-    ``by`` may name ``Part_Id``, ``DealerID`` and ``country``.  With
+    ``by`` may name ``industry``, ``Part_Id``, ``DealerID`` and ``country``
+    (``industry`` keeps several segments apart in one pass).  With
     ``require_dealer_country`` lines with an empty/NULL country or a NULL dealer
     are dropped (the dealer/country split needs both).
     Output: ``*by, [start_of_month], qty (BIGINT), value``.

@@ -59,7 +59,7 @@ PUBLISHED_COLUMNS = tuple(f.name for f in PUBLISHED_SCHEMA.fields)
 PUBLISH_KEYS = ("order_date", "dealer_id", "country", "part_id", "type")
 
 
-def format_publish(apportioned: DataFrame, master: DataFrame, as_of, segment: str,
+def format_publish(apportioned: DataFrame, master: DataFrame, as_of, segment: str | Sequence[str],
                    dedup_master: bool = False) -> DataFrame:
     """Dealer forecast in the publish layout.
 
@@ -69,11 +69,19 @@ def format_publish(apportioned: DataFrame, master: DataFrame, as_of, segment: st
     twice are published twice unless ``dedup_master``, which keeps the smallest
     description of a part).
     """
-    desc = active_parts(master, segment, exclude_text=None, with_description=True)
+    if isinstance(segment, str):
+        desc, keys = active_parts(master, segment, exclude_text=None, with_description=True), ["Part_Id"]
+    else:   # several segments in one pass: each segment's id column, tagged with the segment
+        keys = ["industry", "Part_Id"]
+        desc = None
+        for seg in segment:
+            part = active_parts(master, seg, exclude_text=None, with_description=True).withColumn(
+                "industry", F.lit(seg))
+            desc = part if desc is None else desc.unionByName(part)
     if dedup_master:
-        desc = desc.groupBy("Part_Id").agg(F.min("Part_Description").alias("Part_Description"))
+        desc = desc.groupBy(*keys).agg(F.min("Part_Description").alias("Part_Description"))
     return (
-        apportioned.join(desc, "Part_Id")
+        apportioned.join(desc, keys)
         .select(
             F.col("Forecast_month").alias("order_date"),
             F.col("DealerID").alias("dealer_id"),

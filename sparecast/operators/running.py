@@ -28,6 +28,7 @@ before the NULL peer group).
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -104,29 +105,32 @@ def cuts_from_stats(spark, stats: dict, value_cols: list[str], max_buckets: int
 
 
 def running_total_table(df: DataFrame, value_col: str, out_col: str,
-                        cuts_desc: list[float], key_col: str = "_rt_key") -> DataFrame:
-    """``key_col, out_col``: one row per distinct value of ``value_col`` with its
-    running total (see module doc)."""
+                        cuts_desc: list[float], key_col: str = "_rt_key",
+                        by: Sequence[str] = ()) -> DataFrame:
+    """``*by, key_col, out_col``: one row per group and distinct value of
+    ``value_col`` with its running total inside the group (see module doc)."""
     v = F.col(value_col)
     bucket = _bucket_expr(v.cast("double"), cuts_desc)
-    ties = df.groupBy(v.alias("_v"), bucket.alias("_bucket")).agg(F.sum(value_col).alias("_tie_sum"))
+    ties = df.groupBy(*by, v.alias("_v"), bucket.alias("_bucket")).agg(F.sum(value_col).alias("_tie_sum"))
     # Bucket totals straight from the input (a branch parallel to the ties):
-    # at most len(cuts) + 2 rows, so the window over them is trivially small.
+    # at most groups x (len(cuts) + 2) rows, so the window over them is tiny.
     offsets = (
-        df.groupBy(bucket.alias("_bucket")).agg(F.sum(value_col).alias("_bucket_sum"))
+        df.groupBy(*by, bucket.alias("_bucket")).agg(F.sum(value_col).alias("_bucket_sum"))
         .select(
-            "_bucket",
+            *by, "_bucket",
             F.sum("_bucket_sum").over(
-                Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+                Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
             ).alias("_offset"),
         )
     )
-    local = F.sum("_tie_sum").over(Window.partitionBy("_bucket").orderBy(F.col("_v").desc_nulls_last()))
+    local = F.sum("_tie_sum").over(
+        Window.partitionBy(*by, "_bucket").orderBy(F.col("_v").desc_nulls_last()))
     off, loc = F.col("_offset"), F.col("_local")
     return (
-        ties.select("_v", "_bucket", local.alias("_local"))
-        .join(F.broadcast(offsets), "_bucket")
+        ties.select(*by, "_v", "_bucket", local.alias("_local"))
+        .join(F.broadcast(offsets), [*by, "_bucket"])
         .select(
+            *by,
             F.col("_v").alias(key_col),
             F.when(off.isNull(), loc).when(loc.isNull(), off).otherwise(off + loc).alias(out_col),
         )
@@ -141,13 +145,15 @@ def running_total_with_cuts(df: DataFrame, value_col: str, out_col: str,
 
 def running_totals_desc(df: DataFrame, columns: dict[str, str], max_buckets: int | None = None,
                         rows_per_bucket: int = ROWS_PER_BUCKET,
-                        cuts: dict[str, list[float]] | None = None) -> DataFrame:
+                        cuts: dict[str, list[float]] | None = None,
+                        by: Sequence[str] = ()) -> DataFrame:
     """Add one running total per ``{value_col: out_col}``; same result as
-    ``F.sum(v).over(Window.orderBy(F.desc(v)))`` for each column.
+    ``F.sum(v).over(Window.partitionBy(*by).orderBy(F.desc(v)))`` for each column.
 
     The per-column total tables are independent branches over ``df`` (they run
-    concurrently), joined back to ``df`` at the end.  Without ``cuts`` the cut
-    points are computed by one extra job over ``df``; pass them (see
+    concurrently), joined back to ``df`` at the end.  Groups (``by``, e.g. the
+    segment) share the cut points; offsets are per group.  Without ``cuts`` the
+    cut points are computed by one extra job over ``df``; pass them (see
     :func:`materialize_for_running_totals`) to avoid it.
     """
     if cuts is None:
@@ -155,8 +161,10 @@ def running_totals_desc(df: DataFrame, columns: dict[str, str], max_buckets: int
     out = df
     for c, name in columns.items():
         key = f"_rt_key_{c}"
-        t = running_total_table(df, c, name, cuts[c], key)
-        out = out.join(t, F.col(c).eqNullSafe(t[key]))
+        t = running_total_table(df, c, name, cuts[c], key, by)
+        renamed = t.select(*[F.col(b).alias(f"_rt_{c}_{b}") for b in by], key, name)
+        cond = [F.col(c).eqNullSafe(renamed[key])] + [F.col(b) == renamed[f"_rt_{c}_{b}"] for b in by]
+        out = out.join(renamed, cond)
     return out.select(*df.columns, *columns.values())
 
 

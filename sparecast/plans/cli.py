@@ -53,12 +53,14 @@ def main(argv: list[str] | None = None) -> int:
     segments = tuple(s for s in args.segments.split(",") if s)
     out: object = None
     if args.step == "month":
-        out = [asdict(r) for r in jobs.run_month(spark, src, tables, args.as_of, segments, args.mode)]
-    elif args.step in ("classify", "forecast", "apportion"):
+        out = asdict(jobs.run_month(spark, src, tables, args.as_of, segments, args.mode))
+    elif args.step in ("classify", "apportion"):
+        getattr(jobs, args.step)(spark, src, tables, args.as_of, segments)
+    elif args.step == "forecast":
         for s in segments:
-            getattr(jobs, args.step)(spark, src, tables, args.as_of, s)
+            jobs.forecast(spark, src, tables, args.as_of, s)
     elif args.step == "publish":
-        out = [asdict(r) for r in jobs.publish(spark, tables, segments, args.mode)]
+        out = asdict(jobs.publish(spark, tables, args.mode))
     elif args.step == "upload":
         out = {"published_rows": jobs.upload(spark, tables, args.upload, args.date_pattern)}
     elif args.step == "backtest":

@@ -4,10 +4,15 @@ Each job reads its inputs (tables, Parquet paths, CSV files or DataFrames),
 runs the operators and writes one table; the next job reads that table back.
 Every job takes ``as_of`` explicitly.
 
-    classify    billing + dispatch            -> class table
-    forecast    billing + master + class + plan -> part forecast   (by Forecast_month)
-    apportion   billing + part forecast + master -> dealer forecast (by order_date)
-    publish     dealer forecasts               -> published table (append, backup, counts)
+    classify    billing + dispatch            -> class table      (all segments, by industry)
+    forecast    billing + master + class + plan -> part forecast  (per segment, by Forecast_month)
+    apportion   billing + part forecasts + master -> dealer forecast (all segments, by order_date)
+    publish     dealer forecast                -> published table (append, backup, counts)
+
+Segments share one pass wherever their windows agree (classification, dealer
+split, publish): the segment is a grouping key, so the invoice lines are read
+once instead of once per segment.  The base demand windows differ per segment,
+so the forecast runs per segment.
     upload      manual CSV                     -> published table (replace by key)
     backtest    billing + master + class + plan -> accuracy
     monthly_inputs published + dispatch + billing -> accuracy inputs
@@ -15,9 +20,10 @@ Every job takes ``as_of`` explicitly.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import accuracy as acc
 from ..operators import apportion as ap
@@ -51,60 +57,75 @@ class Sources:
 
 @dataclass
 class Tables:
-    """Names of the tables the jobs write (one set per segment)."""
+    """Names of the tables the jobs write."""
 
     prefix: str = "ib_spares"
     published: str = "ib_industry_country_spare"
     backup: str | None = "ib_industry_country_spare_backup"
-    names: dict = field(default_factory=dict)
 
-    def cls(self, segment: str) -> str:
-        return self.names.get(("class", segment), f"{self.prefix}_{segment.lower()}_abc_fms")
+    @property
+    def classes(self) -> str:
+        """Class table of all segments, partitioned by ``industry``."""
+        return f"{self.prefix}_abc_fms"
 
     def part_forecast(self, segment: str) -> str:
-        return self.names.get(("forecast", segment), f"{self.prefix}_{segment.lower()}_part_forecast")
+        return f"{self.prefix}_{segment.lower()}_part_forecast"
 
-    def dealer_forecast(self, segment: str) -> str:
-        return self.names.get(("dealer", segment), f"{self.prefix}_{segment.lower()}_dealer_forecast")
+    @property
+    def dealer_forecast(self) -> str:
+        """Dealer/country forecast of all segments, partitioned by ``order_date``."""
+        return f"{self.prefix}_dealer_forecast"
 
+    def class_table(self, spark: SparkSession, segment: str) -> DataFrame:
+        """One segment's class table (a partition of :attr:`classes`)."""
+        return spark.table(self.classes).where(F.col("industry") == segment).drop("industry")
 
-def classify(spark: SparkSession, src: Sources, tables: Tables, as_of, segment: str) -> DataFrame:
-    """Write the class table; return the category counts (lazy, read from the table)."""
+
+def classify(spark: SparkSession, src: Sources, tables: Tables, as_of,
+             segments=("2W", "3W")) -> DataFrame:
+    """Write the class table of all segments (one pass over the invoice lines and
+    one over the dispatches); return the category counts per segment (lazy)."""
     billing = read_billing(spark, _frame(spark, src.billing))
     dispatch = read_dispatch(spark, _frame(spark, src.dispatch))
-    sinks.write_table(cl.classify_parts(billing, dispatch, as_of, segment), tables.cls(segment))
-    return cl.category_counts(spark.table(tables.cls(segment)))
+    sinks.write_table(cl.classify_segments(billing, dispatch, as_of, segments), tables.classes,
+                      partition_by="industry")
+    return spark.table(tables.classes).groupBy("industry", "categorisation").agg(F.count(F.lit(1)).alias("count"))
 
 
 def forecast(spark: SparkSession, src: Sources, tables: Tables, as_of, segment: str) -> None:
-    """Write the 12-month part forecast, partitioned by month."""
+    """Write one segment's 12-month part forecast, partitioned by month (the
+    demand window differs per segment)."""
     billing = read_billing(spark, _frame(spark, src.billing))
     master = _frame(spark, src.master, csv_src.read_parts_master)
     plan = _frame(spark, src.plan, csv_src.read_plan)
-    base = fc.base_demand(billing, master, spark.table(tables.cls(segment)), as_of, segment,
+    base = fc.base_demand(billing, master, tables.class_table(spark, segment), as_of, segment,
                           exclude_text=src.exclude_text)
     sinks.write_table(fc.plan_forecast(base, plan, as_of, segment), tables.part_forecast(segment),
                       partition_by="Forecast_month")
 
 
-def apportion(spark: SparkSession, src: Sources, tables: Tables, as_of, segment: str) -> None:
-    """Write the dealer/country forecast in the publish layout, partitioned by order date."""
+def apportion(spark: SparkSession, src: Sources, tables: Tables, as_of, segments=("2W", "3W")) -> None:
+    """Write the dealer/country forecast of all segments in the publish layout
+    (one pass over the invoice lines for the ratios), partitioned by order date."""
+    segments = tuple(segments)
     billing = read_billing(spark, _frame(spark, src.billing))
     master = _frame(spark, src.master, csv_src.read_parts_master)
-    ratios = ap.dealer_ratios(billing, as_of, segment)
-    dealer = ap.apportion(spark.table(tables.part_forecast(segment)), ratios)
-    sinks.write_table(pb.format_publish(dealer, master, as_of, segment), tables.dealer_forecast(segment),
+    forecasts = None
+    for s in segments:
+        f = spark.table(tables.part_forecast(s))
+        forecasts = f if forecasts is None else forecasts.unionByName(f)
+    ratios = ap.dealer_ratios(billing, as_of, segments)
+    dealer = ap.apportion(forecasts, ratios)
+    sinks.write_table(pb.format_publish(dealer, master, as_of, segments), tables.dealer_forecast,
                       partition_by="order_date")
 
 
-def publish(spark: SparkSession, tables: Tables, segments=("2W", "3W"),
-            mode: str = "append") -> list[sinks.WriteReport]:
-    """Write each segment's dealer forecast to the published table (backup first).
+def publish(spark: SparkSession, tables: Tables, mode: str = "append") -> sinks.WriteReport:
+    """Write the dealer forecast of all segments to the published table (backup first).
 
     ``mode="append"`` as the original jobs; ``"replace_run"`` makes a rerun idempotent.
     """
-    return [pb.publish(spark.table(tables.dealer_forecast(s)), tables.published, tables.backup, mode)
-            for s in segments]
+    return pb.publish(spark.table(tables.dealer_forecast), tables.published, tables.backup, mode)
 
 
 def upload(spark: SparkSession, tables: Tables, upload_source, date_pattern: str = "yy/MM/dd") -> int:
@@ -118,7 +139,7 @@ def backtest(spark: SparkSession, src: Sources, tables: Tables, as_of, segment:
     billing = read_billing(spark, _frame(spark, src.billing))
     master = _frame(spark, src.master, csv_src.read_parts_master)
     plan = _frame(spark, src.plan, csv_src.read_plan)
-    rows = acc.backtest_rows(billing, master, spark.table(tables.cls(segment)), plan, as_of, segment,
+    rows = acc.backtest_rows(billing, master, tables.class_table(spark, segment), plan, as_of, segment,
                              exclude_text=src.exclude_text)
     return acc.accuracy(rows)
 
@@ -136,10 +157,11 @@ def monthly_inputs(spark: SparkSession, src: Sources, tables: Tables, as_of, run
 
 
 def run_month(spark: SparkSession, src: Sources, tables: Tables, as_of,
-              segments=("2W", "3W"), mode: str = "append") -> list[sinks.WriteReport]:
-    """Classification, forecast and split for each segment, then publish."""
+              segments=("2W", "3W"), mode: str = "append") -> sinks.WriteReport:
+    """Classification (all segments, one pass), forecast per segment, split
+    (all segments, one pass), then one publish of all segments."""
+    classify(spark, src, tables, as_of, segments)
     for s in segments:
-        classify(spark, src, tables, as_of, s)
         forecast(spark, src, tables, as_of, s)
-        apportion(spark, src, tables, as_of, s)
-    return publish(spark, tables, segments, mode)
+    apportion(spark, src, tables, as_of, segments)
+    return publish(spark, tables, mode)

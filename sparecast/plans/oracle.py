@@ -424,6 +424,18 @@ CROSS JOIN (SELECT COUNT(DISTINCT Part_Id) AS demand_parts, MAX(start_of_month)
         "SELECT Part_Id, CAST(DealerID AS VARCHAR) || '_' || country AS DealerID_country, "
         "split_part(CAST(DealerID AS VARCHAR) || '_' || country, '_', 1) AS dealer_piece, "
         "split_part(CAST(DealerID AS VARCHAR) || '_' || country, '_', 2) AS country_piece, qty FROM dd", d2)
+    both = class_ctes("2W") + class_ctes("3W", "_3")
+    q["class_table_all"] = _q(
+        f"SELECT {CLASS_COLS}, '2W' AS industry FROM clsx UNION ALL "
+        f"SELECT {CLASS_COLS}, '3W' AS industry FROM clsx_3", both)
+    q["dealer_ratios_all"] = _q(
+        "SELECT '2W' AS industry, Part_Id, contribution_ratio, DealerID, country FROM ratios UNION ALL "
+        "SELECT '3W' AS industry, Part_Id, contribution_ratio, DealerID, country FROM ratios_3",
+        dealer_ctes("2W") + dealer_ctes("3W", "_3"))
+    lay_cols = ("order_date, dealer_id, country, part_id, order_qty, type, Material_Description, industry, "
+                "ABC_FMS, run_date")
+    q["publish_layout_all"] = _q(f"SELECT {lay_cols} FROM lay UNION ALL SELECT {lay_cols} FROM lay_3",
+                                 full2 + full3)
     q["preview"] = _q(
         f"SELECT {PUB_COLS} FROM published ORDER BY order_date, dealer_id, country, part_id, type, order_qty, "
         "Material_Description, industry, ABC_FMS, run_date LIMIT 10")

@@ -290,6 +290,28 @@ def q_dealer_key_split(spark, sf_dir):
                         country_piece.alias("country_piece"), "qty")
 
 
+SEGMENTS = ("2W", "3W")
+
+
+def q_class_table_all(spark, sf_dir):
+    """Both segments' class tables from one pass (``industry`` as a key)."""
+    i = Inputs(spark, sf_dir)
+    return cl.classify_segments(i.billing, i.dispatch, i.as_of, SEGMENTS)
+
+
+def q_dealer_ratios_all(spark, sf_dir):
+    i = Inputs(spark, sf_dir)
+    return ap.dealer_ratios(i.billing, i.as_of, SEGMENTS)
+
+
+def q_publish_layout_all(spark, sf_dir):
+    """Both segments' publish rows: ratios, split and layout in one pass."""
+    i = Inputs(spark, sf_dir)
+    forecasts = i.part_forecast("2W").unionByName(i.part_forecast("3W"))
+    dealer = ap.apportion(forecasts, ap.dealer_ratios(i.billing, i.as_of, SEGMENTS))
+    return pb.format_publish(dealer, i.master, i.as_of, SEGMENTS)
+
+
 def q_preview(spark, sf_dir):
     i = Inputs(spark, sf_dir)
     order = [F.col(c) for c in ("order_date", "dealer_id", "country", "part_id", "type", "order_qty",
@@ -336,4 +358,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "reconciliation": q_reconciliation,
         "dealer_key_split": q_dealer_key_split,
         "preview": q_preview,
+        "class_table_all": q_class_table_all,
+        "dealer_ratios_all": q_dealer_ratios_all,
+        "publish_layout_all": q_publish_layout_all,
     }

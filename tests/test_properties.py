@@ -136,3 +136,17 @@ def test_results_do_not_depend_on_a_checkpoint_folder(spark, reg, monkeypatch):
         lazy = reg[n](spark, SF_SMALL)
         assert "ExistingRDD" not in lazy._jdf.queryExecution().optimizedPlan().toString()
         assert sorted(map(tuple, lazy.collect())) == sorted(map(tuple, with_ckpt[n])), n
+
+
+@pytest.mark.parametrize("buckets", [1, 8])
+def test_grouped_running_total_equals_partitioned_window(spark, buckets):
+    from pyspark.sql import Window
+
+    a = _random_frame(spark, 11, "decimal").withColumn("g", F.lit("2W"))
+    b = _random_frame(spark, 12, "decimal").withColumn("g", F.lit("3W"))
+    df = a.unionByName(b).withColumn("id", F.monotonically_increasing_id())
+    got = rn.running_totals_desc(df, {"v": "rt"}, max_buckets=buckets, rows_per_bucket=10, by=["g"])
+    ref = df.withColumn("rt_ref", F.sum("v").over(Window.partitionBy("g").orderBy(F.desc("v"))))
+    joined = got.join(ref.select("id", "rt_ref"), "id")
+    assert joined.count() == df.count()
+    assert joined.where(~F.col("rt").eqNullSafe(F.col("rt_ref"))).count() == 0

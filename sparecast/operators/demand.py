@@ -57,16 +57,19 @@ def billing_lines(billing: DataFrame, as_of, n: int, m: int, segment: str | Sequ
 def segment_demand(billing: DataFrame, as_of, n: int, m: int, segment: str | Sequence[str] | None,
                    by: Sequence[str] = ("Part_Id",), monthly: bool = False,
                    dedup: bool = True, require_dealer_country: bool = False,
-                   line_type: str | None = PARTS_TYPE) -> DataFrame:
+                   line_type: str | None = PARTS_TYPE, line_filter: F.Column | None = None) -> DataFrame:
     """Sum of quantity and value per ``by`` keys (plus ``start_of_month`` if ``monthly``).
 
     ``by`` may name ``industry``, ``Part_Id``, ``DealerID`` and ``country``
     (``industry`` keeps several segments apart in one pass).  With
     ``require_dealer_country`` lines with an empty/NULL country or a NULL dealer
-    are dropped (the dealer/country split needs both).
+    are dropped (the dealer/country split needs both).  ``line_filter`` is an
+    extra predicate on the lines (e.g. a window per segment).
     Output: ``*by, [start_of_month], qty (BIGINT), value``.
     """
     lines = billing_lines(billing, as_of, n, m, segment, line_type)
+    if line_filter is not None:
+        lines = lines.where(line_filter)
     if require_dealer_country:
         lines = lines.where((F.col("country") != F.lit("")) & F.col("DealerID").isNotNull())
     lines = lines.select(*by, "LeoDate", "qty", "value")

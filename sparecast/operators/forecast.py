@@ -34,9 +34,9 @@ from ..functions.expressions import (
     lookup,
     with_scalars,
 )
-from ..functions.periods import horizon_months, month_label, month_label_of
+from ..functions.periods import horizon_months, month_label, month_label_of, month_window
 from ..session import materialize
-from .demand import monthly_demand
+from .demand import monthly_demand, segment_demand
 
 # Base demand windows: 9 (2W) or 8 (3W) whole months ending last month.
 BASE_WINDOW = {"2W": (10, 1), "3W": (9, 1)}
@@ -121,17 +121,70 @@ def base_demand(billing: DataFrame, master: DataFrame, class_table: DataFrame, a
     })
 
 
-def month_plan(plan: DataFrame, segment: str, months) -> DataFrame:
-    """``_label, Plan``: summed plan per horizon month of ``segment`` (<= len(months) rows)."""
+def base_demand_segments(billing: DataFrame, master: DataFrame, class_table: DataFrame, as_of,
+                         segments=("2W", "3W"), windows: dict | None = None,
+                         weights: dict | None = None, exclude_text: str | None = EXCLUDED_PART_TEXT,
+                         dedup: bool = True, dedup_master: bool = False) -> DataFrame:
+    """:func:`base_demand` of several segments from one scan of the invoice lines.
+
+    The widest window is read once; each segment keeps only its own months (a
+    per-segment date condition), and ``industry`` is a key throughout.
+    ``class_table`` holds all segments (with ``industry``).  Output: the base
+    demand columns plus ``industry``.
+    """
+    segments = tuple(segments)
+    wins = {s: (windows or BASE_WINDOW)[s] for s in segments}
+    n, m = max(w[0] for w in wins.values()), min(w[1] for w in wins.values())
+    keep = None
+    for s, (sn, sm) in wins.items():
+        start, end = month_window(as_of, sn, sm)
+        cond = (F.col("industry") == F.lit(s)) & (F.col("LeoDate") >= F.lit(start)) & (F.col("LeoDate") < F.lit(end))
+        keep = cond if keep is None else keep | cond
+    monthly = segment_demand(billing, as_of, n, m, segments, by=("industry", "Part_Id"), monthly=True,
+                             dedup=dedup, line_filter=keep)
+    per_part = monthly.groupBy("industry", "Part_Id").agg(
+        F.sum("qty").alias("_t"), F.count(F.lit(1)).alias("Months_Count"))
+    mult = None
+    for s in segments:
+        one = master_multiplicity(master, s, exclude_text, dedup_master).withColumn("industry", F.lit(s))
+        mult = one if mult is None else mult.unionByName(one)
+    total = (F.col("_t") * F.col("_k")).cast("bigint")
+    avg = per_part.join(mult, ["industry", "Part_Id"]).select(
+        "industry", "Part_Id", total.alias("Total_qty"), "Months_Count",
+        F.ceil(total / F.col("Months_Count")).cast("double").alias("qty"))
+    pairs = class_table.select(
+        "industry",
+        F.col("Part_no").alias("Part_Id"),
+        F.col("value_contribution_pct_category").alias("ABC_class"),
+        F.col("qty_contribution_pct_category").alias("Fsn_class"),
+        F.col("NDP"),
+    ).distinct()
+    pair = F.concat(F.col("ABC_class"), F.col("Fsn_class"))
+    return avg.join(pairs, ["industry", "Part_Id"]).withColumns({
+        "OrderValue": F.col("qty") * F.col("NDP"),
+        "ABC_FMS": pair,
+        "ABC_FMS_Ratio": lookup(pair, weights or FORECAST_WEIGHTS, 0),
+    })
+
+
+def month_plan(plan: DataFrame, segment, months) -> DataFrame:
+    """``_label, [_plan_industry,] Plan``: summed plan per horizon month and
+    segment (at most ``len(months)`` rows per segment)."""
     labels = [month_label_of(d) for d in months]
+    if isinstance(segment, str):
+        return (
+            plan.where((F.col("Type") == F.lit(segment)) & F.col("Month").isin(labels))
+            .groupBy(F.col("Month").alias("_label"))
+            .agg(F.sum("Plan").alias("Plan"))
+        )
     return (
-        plan.where((F.col("Type") == F.lit(segment)) & F.col("Month").isin(labels))
-        .groupBy(F.col("Month").alias("_label"))
+        plan.where(F.col("Type").isin(*segment) & F.col("Month").isin(labels))
+        .groupBy(F.col("Month").alias("_label"), F.col("Type").alias("_plan_industry"))
         .agg(F.sum("Plan").alias("Plan"))
     )
 
 
-def forecast_frame(base: DataFrame, plan: DataFrame, as_of, segment: str, horizon: int = 12,
+def forecast_frame(base: DataFrame, plan: DataFrame, as_of, segment, horizon: int = 12,
                    first_offset: int = 1) -> DataFrame:
     """Every base part for every horizon month with all formula columns.
 
@@ -142,8 +195,10 @@ def forecast_frame(base: DataFrame, plan: DataFrame, as_of, segment: str, horizo
     each read.
     """
     months = horizon_months(as_of, horizon, first_offset)
+    multi = not isinstance(segment, str)
     base = materialize(base)
-    totals = base.agg(
+    keys = ["industry"] if multi else []
+    totals = base.groupBy(*keys).agg(
         F.sum("Total_qty").alias("_sum_total_qty"),
         F.sum(F.col("qty").cast("decimal(20,0)") * F.col("NDP").cast("decimal(18,2)"))
         .cast("double").alias("_sum_order_value"),
@@ -152,11 +207,15 @@ def forecast_frame(base: DataFrame, plan: DataFrame, as_of, segment: str, horizo
         "Forecast_month",
         F.explode(F.sequence(F.lit(months[0]), F.lit(months[-1]), F.expr("INTERVAL 1 MONTH"))),
     )
-    df = with_scalars(
-        expanded.join(F.broadcast(month_plan(plan, segment, months)),
-                      month_label("Forecast_month") == F.col("_label"), "left"),
-        totals,
-    )
+    on_plan = month_label("Forecast_month") == F.col("_label")
+    if multi:
+        # Several segments: totals per segment (one row each) and plan keyed by segment.
+        on_plan = on_plan & (F.col("industry") == F.col("_plan_industry"))
+        df = (expanded.join(F.broadcast(month_plan(plan, segment, months)), on_plan, "left")
+              .join(F.broadcast(totals), keys))
+    else:
+        df = with_scalars(expanded.join(F.broadcast(month_plan(plan, segment, months)), on_plan, "left"),
+                          totals)
     plan_value = F.coalesce(F.col("Plan"), F.lit(0.0))
     weight = (F.col("ABC_FMS_Ratio") * F.lit(CLASS_WEIGHT_SHARE)
               + F.col("qty") / F.col("_sum_total_qty") * F.lit(DEMAND_WEIGHT_SHARE))
@@ -167,7 +226,7 @@ def forecast_frame(base: DataFrame, plan: DataFrame, as_of, segment: str, horizo
     updated = F.col("qty") * (F.lit(1.0) + adj)
     rounded = F.ceil(updated).cast("double")
     value = rounded.cast("decimal(20,0)") * F.col("NDP").cast("decimal(18,2)")
-    keep = [c for c in base.columns]
+    keep = list(base.columns)
     return df.select(
         *keep,
         "Forecast_month",
@@ -178,14 +237,14 @@ def forecast_frame(base: DataFrame, plan: DataFrame, as_of, segment: str, horizo
         clamp_at_zero(updated).alias("Updated_Qty"),
         clamp_at_zero(rounded).alias("Rounded_Qty"),
         clamp_at_zero(value).alias("forecast_value"),
-        F.lit(segment).alias("industry"),
+        *([] if multi else [F.lit(segment).alias("industry")]),
     )
 
 
 PART_FORECAST_COLUMNS = ("Part_Id", "Forecast_month", "Rounded_Qty", "ABC_FMS", "industry")
 
 
-def plan_forecast(base: DataFrame, plan: DataFrame, as_of, segment: str, horizon: int = 12,
+def plan_forecast(base: DataFrame, plan: DataFrame, as_of, segment, horizon: int = 12,
                   first_offset: int = 1) -> DataFrame:
     """Part forecast rows: ``Part_Id, Forecast_month, Rounded_Qty, ABC_FMS, industry``."""
     return forecast_frame(base, plan, as_of, segment, horizon, first_offset).select(*PART_FORECAST_COLUMNS)

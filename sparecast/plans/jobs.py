@@ -5,14 +5,14 @@ runs the operators and writes one table; the next job reads that table back.
 Every job takes ``as_of`` explicitly.
 
     classify    billing + dispatch            -> class table      (all segments, by industry)
-    forecast    billing + master + class + plan -> part forecast  (per segment, by Forecast_month)
+    forecast    billing + master + class + plan -> part forecast  (all segments, by industry, month)
     apportion   billing + part forecasts + master -> dealer forecast (all segments, by order_date)
     publish     dealer forecast                -> published table (append, backup, counts)
 
-Segments share one pass wherever their windows agree (classification, dealer
-split, publish): the segment is a grouping key, so the invoice lines are read
-once instead of once per segment.  The base demand windows differ per segment,
-so the forecast runs per segment.
+Every step handles all segments in one pass: the segment is a grouping key, so
+the invoice lines are read once per step instead of once per segment.  Where
+the segments' windows differ (prices, base demand), the widest window is read
+once and each segment keeps its own months.
     upload      manual CSV                     -> published table (replace by key)
     backtest    billing + master + class + plan -> accuracy
     monthly_inputs published + dispatch + billing -> accuracy inputs
@@ -68,8 +68,14 @@ class Tables:
         """Class table of all segments, partitioned by ``industry``."""
         return f"{self.prefix}_abc_fms"
 
-    def part_forecast(self, segment: str) -> str:
-        return f"{self.prefix}_{segment.lower()}_part_forecast"
+    @property
+    def part_forecasts(self) -> str:
+        """Part forecast of all segments, partitioned by ``industry`` and month."""
+        return f"{self.prefix}_part_forecast"
+
+    def part_forecast(self, spark: SparkSession, segment: str) -> DataFrame:
+        """One segment's part forecast (partitions of :attr:`part_forecasts`)."""
+        return spark.table(self.part_forecasts).where(F.col("industry") == segment)
 
     @property
     def dealer_forecast(self) -> str:
@@ -92,16 +98,18 @@ def classify(spark: SparkSession, src: Sources, tables: Tables, as_of,
     return spark.table(tables.classes).groupBy("industry", "categorisation").agg(F.count(F.lit(1)).alias("count"))
 
 
-def forecast(spark: SparkSession, src: Sources, tables: Tables, as_of, segment: str) -> None:
-    """Write one segment's 12-month part forecast, partitioned by month (the
-    demand window differs per segment)."""
+def forecast(spark: SparkSession, src: Sources, tables: Tables, as_of, segments=("2W", "3W")) -> None:
+    """Write the 12-month part forecast of all segments (one scan of the invoice
+    lines over the widest demand window; each segment keeps its own months),
+    partitioned by segment and month."""
+    segments = tuple(segments)
     billing = read_billing(spark, _frame(spark, src.billing))
     master = _frame(spark, src.master, csv_src.read_parts_master)
     plan = _frame(spark, src.plan, csv_src.read_plan)
-    base = fc.base_demand(billing, master, tables.class_table(spark, segment), as_of, segment,
-                          exclude_text=src.exclude_text)
-    sinks.write_table(fc.plan_forecast(base, plan, as_of, segment), tables.part_forecast(segment),
-                      partition_by="Forecast_month")
+    base = fc.base_demand_segments(billing, master, spark.table(tables.classes), as_of, segments,
+                                   exclude_text=src.exclude_text)
+    sinks.write_table(fc.plan_forecast(base, plan, as_of, segments), tables.part_forecasts,
+                      partition_by=["industry", "Forecast_month"])
 
 
 def apportion(spark: SparkSession, src: Sources, tables: Tables, as_of, segments=("2W", "3W")) -> None:
@@ -110,10 +118,7 @@ def apportion(spark: SparkSession, src: Sources, tables: Tables, as_of, segments
     segments = tuple(segments)
     billing = read_billing(spark, _frame(spark, src.billing))
     master = _frame(spark, src.master, csv_src.read_parts_master)
-    forecasts = None
-    for s in segments:
-        f = spark.table(tables.part_forecast(s))
-        forecasts = f if forecasts is None else forecasts.unionByName(f)
+    forecasts = spark.table(tables.part_forecasts).where(F.col("industry").isin(*segments))
     ratios = ap.dealer_ratios(billing, as_of, segments)
     dealer = ap.apportion(forecasts, ratios)
     sinks.write_table(pb.format_publish(dealer, master, as_of, segments), tables.dealer_forecast,
@@ -158,10 +163,9 @@ def monthly_inputs(spark: SparkSession, src: Sources, tables: Tables, as_of, run
 
 def run_month(spark: SparkSession, src: Sources, tables: Tables, as_of,
               segments=("2W", "3W"), mode: str = "append") -> sinks.WriteReport:
-    """Classification (all segments, one pass), forecast per segment, split
-    (all segments, one pass), then one publish of all segments."""
+    """Classification, forecast and split, each one pass over all segments, then
+    one publish of all segments."""
     classify(spark, src, tables, as_of, segments)
-    for s in segments:
-        forecast(spark, src, tables, as_of, s)
+    forecast(spark, src, tables, as_of, segments)
     apportion(spark, src, tables, as_of, segments)
     return publish(spark, tables, mode)

@@ -428,6 +428,10 @@ CROSS JOIN (SELECT COUNT(DISTINCT Part_Id) AS demand_parts, MAX(start_of_month)
     q["class_table_all"] = _q(
         f"SELECT {CLASS_COLS}, '2W' AS industry FROM clsx UNION ALL "
         f"SELECT {CLASS_COLS}, '3W' AS industry FROM clsx_3", both)
+    q["plan_forecast_all"] = _q(
+        "SELECT Part_Id, Forecast_month, Rounded_Qty, ABC_FMS, industry FROM ff UNION ALL "
+        "SELECT Part_Id, Forecast_month, Rounded_Qty, ABC_FMS, industry FROM ff_3",
+        class_ctes("2W") + forecast_ctes("2W") + class_ctes("3W", "_3") + forecast_ctes("3W", "_3"))
     q["dealer_ratios_all"] = _q(
         "SELECT '2W' AS industry, Part_Id, contribution_ratio, DealerID, country FROM ratios UNION ALL "
         "SELECT '3W' AS industry, Part_Id, contribution_ratio, DealerID, country FROM ratios_3",

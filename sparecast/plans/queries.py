@@ -299,6 +299,14 @@ def q_class_table_all(spark, sf_dir):
     return cl.classify_segments(i.billing, i.dispatch, i.as_of, SEGMENTS)
 
 
+def q_plan_forecast_all(spark, sf_dir):
+    """Both segments' 12-month forecasts from one scan of the invoice lines."""
+    i = Inputs(spark, sf_dir)
+    classes = cl.classify_segments(i.billing, i.dispatch, i.as_of, SEGMENTS)
+    base = fc.base_demand_segments(i.billing, i.master, classes, i.as_of, SEGMENTS, exclude_text=i.exclude_text)
+    return fc.plan_forecast(base, i.plan, i.as_of, SEGMENTS)
+
+
 def q_dealer_ratios_all(spark, sf_dir):
     i = Inputs(spark, sf_dir)
     return ap.dealer_ratios(i.billing, i.as_of, SEGMENTS)
@@ -359,6 +367,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dealer_key_split": q_dealer_key_split,
         "preview": q_preview,
         "class_table_all": q_class_table_all,
+        "plan_forecast_all": q_plan_forecast_all,
         "dealer_ratios_all": q_dealer_ratios_all,
         "publish_layout_all": q_publish_layout_all,
     }

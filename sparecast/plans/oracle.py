@@ -15,7 +15,7 @@ Numeric conventions shared with the Spark side:
 
 from __future__ import annotations
 
-from ..functions.periods import horizon_months, month_label_of, month_window, run_date
+from ..functions.periods import horizon_months, month_window, run_date
 
 AS_OF = "2000-12-15"
 

@@ -227,12 +227,10 @@ def q_conform_types(spark, sf_dir):
 
 
 def q_publish_append(spark, sf_dir):
+    """The published table after appending both segments' new run (one pass)."""
     i = Inputs(spark, sf_dir)
-    new = [pb.to_published(pb.conform_staging(i.layout(s))) for s in ("2W", "3W")]
-    out = i.published.select(*pb.PUBLISHED_COLUMNS)
-    for df in new:
-        out = out.unionByName(df)
-    return out
+    new = pb.to_published(pb.conform_staging(_layout_all(i)))
+    return i.published.select(*pb.PUBLISHED_COLUMNS).unionByName(new)
 
 
 def q_rows_not_in_upload(spark, sf_dir):
@@ -299,25 +297,30 @@ def q_class_table_all(spark, sf_dir):
     return cl.classify_segments(i.billing, i.dispatch, i.as_of, SEGMENTS)
 
 
-def q_plan_forecast_all(spark, sf_dir):
-    """Both segments' 12-month forecasts from one scan of the invoice lines."""
-    i = Inputs(spark, sf_dir)
+def _forecast_all(i: Inputs) -> DataFrame:
     classes = cl.classify_segments(i.billing, i.dispatch, i.as_of, SEGMENTS)
     base = fc.base_demand_segments(i.billing, i.master, classes, i.as_of, SEGMENTS, exclude_text=i.exclude_text)
     return fc.plan_forecast(base, i.plan, i.as_of, SEGMENTS)
 
 
+def _layout_all(i: Inputs) -> DataFrame:
+    dealer = ap.apportion(_forecast_all(i), ap.dealer_ratios(i.billing, i.as_of, SEGMENTS))
+    return pb.format_publish(dealer, i.master, i.as_of, SEGMENTS)
+
+
+def q_plan_forecast_all(spark, sf_dir):
+    """Both segments' 12-month forecasts from one scan of the invoice lines."""
+    return _forecast_all(Inputs(spark, sf_dir))
+
+
 def q_dealer_ratios_all(spark, sf_dir):
     i = Inputs(spark, sf_dir)
     return ap.dealer_ratios(i.billing, i.as_of, SEGMENTS)
 
 
 def q_publish_layout_all(spark, sf_dir):
-    """Both segments' publish rows: ratios, split and layout in one pass."""
-    i = Inputs(spark, sf_dir)
-    forecasts = i.part_forecast("2W").unionByName(i.part_forecast("3W"))
-    dealer = ap.apportion(forecasts, ap.dealer_ratios(i.billing, i.as_of, SEGMENTS))
-    return pb.format_publish(dealer, i.master, i.as_of, SEGMENTS)
+    """Both segments' publish rows: every step in one pass."""
+    return _layout_all(Inputs(spark, sf_dir))
 
 
 def q_preview(spark, sf_dir):

@@ -41,11 +41,16 @@ UPLOAD_DATE_PATTERN = "yyyy/MM/dd"
 _READS: dict[tuple[int, str], DataFrame] = {}
 
 
+def _session_key(spark: SparkSession) -> int:
+    """Identity of the underlying session (the JVM session in classic mode)."""
+    return id(getattr(spark, "_jsparkSession", spark))
+
+
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The table as a (lazy) DataFrame; the file listing and footer read are
     done once per session and path, not once per query."""
     path = f"{sf_dir}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
+    key = (_session_key(spark), path)
     df = _READS.get(key)
     if df is None:
         df = _READS[key] = spark.read.parquet(path)
@@ -59,7 +64,7 @@ def _bound(builder):
     """Build each bound input once per session and folder (a lazy plan, no data),
     so its analysis is not repeated by every query."""
     def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (id(spark._jsparkSession), sf_dir, builder.__name__)
+        key = (_session_key(spark), sf_dir, builder.__name__)
         df = _BOUND.get(key)
         if df is None:
             df = _BOUND[key] = builder(spark, sf_dir)

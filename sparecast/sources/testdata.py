@@ -38,26 +38,34 @@ UPLOAD_CLASS = "B_M"
 UPLOAD_DATE_PATTERN = "yyyy/MM/dd"
 
 
-_READS: dict[tuple[int, str], DataFrame] = {}
+_READS: dict[tuple[int, str], tuple[object, DataFrame]] = {}
 
 
 def _session_key(spark: SparkSession) -> int:
-    """Identity of the underlying session (the JVM session in classic mode)."""
+    """Identity of the underlying session (the JVM session in classic mode).
+
+    Cache entries keep a reference to that object, so its id cannot be reused
+    by a later session while the entry exists.
+    """
     return id(getattr(spark, "_jsparkSession", spark))
 
 
+def _cached(cache: dict, key: tuple, spark: SparkSession, build) -> DataFrame:
+    owner = getattr(spark, "_jsparkSession", spark)
+    hit = cache.get(key)
+    if hit is None or hit[0] is not owner:
+        hit = cache[key] = (owner, build())
+    return hit[1]
+
+
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The table as a (lazy) DataFrame; the file listing and footer read are
     done once per session and path, not once per query."""
     path = f"{sf_dir}/{name}.parquet"
-    key = (_session_key(spark), path)
-    df = _READS.get(key)
-    if df is None:
-        df = _READS[key] = spark.read.parquet(path)
-    return df
+    return _cached(_READS, (_session_key(spark), path), spark, lambda: spark.read.parquet(path))
 
 
-_BOUND: dict[tuple[int, str, str], DataFrame] = {}
+_BOUND: dict[tuple[int, str, str], tuple[object, DataFrame]] = {}
 
 
 def _bound(builder):
@@ -65,10 +73,7 @@ def _bound(builder):
     so its analysis is not repeated by every query."""
     def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
         key = (_session_key(spark), sf_dir, builder.__name__)
-        df = _BOUND.get(key)
-        if df is None:
-            df = _BOUND[key] = builder(spark, sf_dir)
-        return df
+        return _cached(_BOUND, key, spark, lambda: builder(spark, sf_dir))
     wrapper.__name__ = builder.__name__
     wrapper.__doc__ = builder.__doc__
     return wrapper

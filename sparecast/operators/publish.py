@@ -203,6 +203,18 @@ def publish(layout_rows: DataFrame, target: str, backup: str | None = None,
     return sinks.WriteReport(target, before, inserted, after, backup_rows)
 
 
+def touched_partitions(rows: DataFrame, column: str = "order_date") -> list:
+    """The distinct partition values ``rows`` write to (a short list of months,
+    read with a one-row aggregate).  Filtering the target with them as literals
+    gives static partition pruning: only those partitions are read."""
+    row = rows.agg(F.collect_set(column).alias("v")).first()
+    return sorted(v for v in (row["v"] if row else []) if v is not None)
+
+
+def _in_partitions(target: DataFrame, values: list, column: str = "order_date") -> DataFrame:
+    return target.where(F.col(column).isin(*values)) if values else target.limit(0)
+
+
 def _stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     sinks.drop_table(spark, name)
@@ -221,8 +233,7 @@ def replace_run(layout_rows: DataFrame, target: str) -> int:
     create_publish_table(spark, target)
     new = materialize(to_published(conform_staging(layout_rows)))
     touched = new.select("order_date", "run_date", "industry").distinct()
-    current = spark.table(target)
-    in_touched_months = current.join(touched.select("order_date").distinct(), "order_date", "left_semi")
+    in_touched_months = _in_partitions(spark.table(target), touched_partitions(new))
     kept = in_touched_months.join(touched, ["order_date", "run_date", "industry"], "left_anti")
     obs = Observation("replace_run")
     rows = (kept.select(*PUBLISHED_COLUMNS).withColumn("_new", F.lit(0))
@@ -239,8 +250,9 @@ def replace_by_key_table(upload: DataFrame, target: str, date_pattern: str = "yy
                          keys: Sequence[str] = PUBLISH_KEYS, swap: bool = False) -> int:
     """Apply a manual upload to the published table; returns the table's new row count.
 
-    Default: only the ``order_date`` partitions the upload touches are
-    rewritten (dynamic partition overwrite from a staged copy).  ``swap=True``
+    Default: only the ``order_date`` partitions the upload touches are read
+    (static partition pruning on the touched months) and rewritten (dynamic
+    partition overwrite from a staged copy).  ``swap=True``
     rewrites the whole table and swaps it in, keeping ``<target>__backup``.
     """
     spark = upload.sparkSession
@@ -250,8 +262,7 @@ def replace_by_key_table(upload: DataFrame, target: str, date_pattern: str = "yy
     if swap:
         sinks.swap_table(spark, replace_by_key(current, uploads, keys), target, partition_by="order_date")
         return spark.table(target).count()
-    months = uploads.select("order_date").distinct()
-    affected = current.join(months, "order_date", "left_semi")
+    affected = _in_partitions(current, touched_partitions(uploads))
     staged = _stage(replace_by_key(affected, uploads, keys), f"{target}__stage")
     sinks.replace_partitions(staged, target)
     sinks.drop_table(spark, f"{target}__stage")

@@ -89,3 +89,17 @@ def test_csv_readers_round_trip(spark):
         f.write("25/05/01,12,NA,P1,3,Forecast,desc,2W,,25/04/03\n")
     u = pb.to_published(pb.conform_upload(csv_src.read_upload(spark, upload)), "yy/MM/dd").first()
     assert u.country == "NA" and u.ABC_FMS == "A_F" and u.order_date == dt.date(2025, 5, 1)
+
+
+def test_upload_reads_only_the_touched_partitions(spark):
+    target = "pub_prune_t"
+    sinks.drop_table(spark, target)
+    sinks.write_table(td.published(spark, SF_SMALL), target, partition_by="order_date")
+    up = pb.typed_upload(td.upload(spark, SF_SMALL).where("order_date like '2000/0%'"), td.UPLOAD_DATE_PATTERN)
+    months = pb.touched_partitions(up)
+    assert months and all(m.year == 2000 for m in months)
+    affected = pb._in_partitions(spark.table(target), months)
+    affected.collect()
+    plan = affected._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan" in line and target in line)
+    assert "PartitionFilters: [" in scan and " IN (" in scan.split("PartitionFilters: [", 1)[1]

@@ -7,6 +7,8 @@
 
     python -m sparecast.plans.cli upload --upload /data/upload.csv --published db.ib_industry_country_spare
     python -m sparecast.plans.cli backtest --as-of 2025-04-15 ...
+    python -m sparecast.plans.cli monthly_inputs --as-of 2025-05-15 --run-date 2025-04-03 \
+        --order-date 2025-05-01 ...
 
 The session comes from ``SparkSession.builder.getOrCreate()``: cluster
 settings (including ``spark.checkpoint.dir``) belong to the submission.
@@ -21,13 +23,14 @@ from dataclasses import asdict
 
 from pyspark.sql import SparkSession
 
+from ..sources import sinks
 from . import jobs
 
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="sparecast")
     p.add_argument("step", choices=["month", "classify", "forecast", "apportion", "publish", "upload",
-                                    "backtest"])
+                                    "backtest", "monthly_inputs"])
     p.add_argument("--as-of", help="planning date (YYYY-MM-DD); required except for upload/publish")
     p.add_argument("--segments", default="2W,3W")
     p.add_argument("--billing")
@@ -41,6 +44,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--mode", choices=["append", "replace_run"], default="append")
     p.add_argument("--upload")
     p.add_argument("--date-pattern", default="yy/MM/dd")
+    p.add_argument("--run-date", help="monthly_inputs: run date of the published forecast")
+    p.add_argument("--order-date", help="monthly_inputs: order month of the published forecast")
     return p
 
 
@@ -60,6 +65,12 @@ def main(argv: list[str] | None = None) -> int:
         out = asdict(jobs.publish(spark, tables, args.mode))
     elif args.step == "upload":
         out = {"published_rows": jobs.upload(spark, tables, args.upload, args.date_pattern)}
+    elif args.step == "monthly_inputs":
+        frames = jobs.monthly_inputs(spark, src, tables, args.as_of, args.run_date, args.order_date,
+                                     segments[0])
+        for name, df in frames.items():
+            sinks.write_table(df, f"{tables.prefix}_{name}")
+        out = {name: f"{tables.prefix}_{name}" for name in frames}
     elif args.step == "backtest":
         row = jobs.backtest(spark, src, tables, args.as_of, segments[0]).first()   # one-row report
         out = row.asDict() if row is not None else None

@@ -73,3 +73,7 @@ def test_command_line_over_catalog_tables(spark, capsys):
     assert spark.table("cli_published").count() == report["after"]
     assert cli.main(["backtest", *common]) == 0
     assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["parts"] > 0
+    assert cli.main(["monthly_inputs", *common, "--run-date", "2000-12-03", "--order-date", "2001-01-01"]) == 0
+    written = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert spark.table(written["published_demand"]).count() > 0
+    assert spark.table(written["monthly_actuals"]).count() > 0

@@ -63,7 +63,11 @@ class Inputs:
         return td.upload(self.spark, self.sf_dir)
 
     def class_table(self, segment: str) -> DataFrame:
-        return cl.classify_parts(self.billing, self.dispatch, self.as_of, segment)
+        """Built once per query (an ``Inputs`` lives for one query)."""
+        cache = self.__dict__.setdefault("_classes", {})
+        if segment not in cache:
+            cache[segment] = cl.classify_parts(self.billing, self.dispatch, self.as_of, segment)
+        return cache[segment]
 
     def base(self, segment: str) -> DataFrame:
         return fc.base_demand(self.billing, self.master, self.class_table(segment), self.as_of, segment,

@@ -69,8 +69,8 @@ def spans(data: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(step == 1), np.flatnonzero(step == -1)
 
 
-def substring_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of every ``data[start:end]``; ``starts`` and ``ends`` ascend.
+def substring_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = _BYTE) -> np.ndarray:
+    """Hash of every ``data[start:end]``; ``starts`` and ``ends`` ascend, ``values`` has each element's own hash.
 
     Differences of one running polynomial sum, taken block by block so that a
     very long text needs no more scratch memory than a short one.
@@ -82,7 +82,7 @@ def substring_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) ->
         lead = _U(pow(_BASE, b, 1 << 64))
         run = np.empty(len(chunk) + 1, np.uint64)
         run[0] = 0
-        np.cumsum(_BYTE[chunk] * _POW[: len(chunk)], out=run[1:])
+        np.cumsum(values[chunk] * _POW[: len(chunk)], out=run[1:])
         run = run * lead + _U(carry)
         for positions, out in ((starts, at_start), (ends, at_end)):
             lo, hi = np.searchsorted(positions, (b, b + _BLOCK))

@@ -18,16 +18,71 @@ def importable(spark: SparkSession) -> None:
     spark.sparkContext.environment.setdefault("PYTHONPATH", root)
 
 
+def tokenizer_file() -> str:
+    """The vocabulary of the registered queries; the operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparecast.llm.token_files import token_report
+
+    importable(spark)
+    return token_report(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
+def op6_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparecast.llm.shards import shard_documents
+
+    importable(spark)
+    return shard_documents(table(spark, sf_dir, "documents"), shards=24)
+
+
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparecast.llm.exact_dedup import exact_duplicates
+
+    importable(spark)
+    return exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
+
+
+def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparecast.llm.bpe import encode_documents
+
+    importable(spark)
+    return encode_documents(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparecast.llm.near_dedup import near_duplicates
 
     importable(spark)
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents"), size=5, percent=85)
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparecast.llm.decontaminate import contamination
+
+    importable(spark)
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10)
+
+
+QUERIES = (op2_token_files, op6_minimax_shards, op7_exact_dedup, op8_bpe_round_trip, op9_minhash_near_dedup, op10_decontamination)
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: Exact dedup as plain grouping by the normalised text.
+OP7_SQL = f"""
+WITH d AS (SELECT doc_id, {_LOWER} AS t FROM documents),
+g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(d.t) AS text_sha256
+FROM d JOIN g ON d.t = g.t
+"""
 
 
 def llm_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op9_minhash_near_dedup,)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def llm_sql() -> dict[str, str]:
-    return {}
+    return {"op7_exact_dedup": OP7_SQL}

@@ -32,6 +32,13 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_report(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparecast.llm.toxicity import toxicity_report
+
+    importable(spark)
+    return toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparecast.llm.quality import quality_report
 
@@ -74,7 +81,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10)
 
 
-QUERIES = (op2_token_files, op4_quality_classifier, op6_minimax_shards, op7_exact_dedup, op8_bpe_round_trip, op9_minhash_near_dedup, op10_decontamination)
+QUERIES = (op2_token_files, op3_toxicity, op4_quality_classifier, op6_minimax_shards, op7_exact_dedup, op8_bpe_round_trip, op9_minhash_near_dedup, op10_decontamination)
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 

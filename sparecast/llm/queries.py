@@ -25,6 +25,15 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from sparecast.llm.secrets import scan
+
+    importable(spark)
+    return scan(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparecast.llm.token_files import token_report
 
@@ -46,6 +55,13 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparecast.llm.html_text import extract
+
+    importable(spark)
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op6_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparecast.llm.shards import shard_documents
 
@@ -81,7 +97,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10)
 
 
-QUERIES = (op2_token_files, op3_toxicity, op4_quality_classifier, op6_minimax_shards, op7_exact_dedup, op8_bpe_round_trip, op9_minhash_near_dedup, op10_decontamination)
+QUERIES = (op1_secret_scan, op2_token_files, op3_toxicity, op4_quality_classifier, op5_html_main_text, op6_minimax_shards,
+           op7_exact_dedup, op8_bpe_round_trip, op9_minhash_near_dedup, op10_decontamination)
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 

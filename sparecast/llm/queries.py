@@ -28,7 +28,7 @@ def tokenizer_file() -> str:
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    from sparecast.llm.secrets import scan
+    from sparecast.llm.secret_scan import scan
 
     importable(spark)
     return scan(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)

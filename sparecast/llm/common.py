@@ -68,3 +68,15 @@ def offsets(df: DataFrame, part: str, value: str, out: str) -> DataFrame:
     totals = df.groupBy(part).agg(F.sum(value).alias("total"))
     before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     return totals.select(part, F.coalesce(F.sum("total").over(before), F.lit(0)).alias(out))
+
+
+def only_rows(docs: DataFrame, kept: DataFrame, id_col: str, key: Column) -> DataFrame:
+    """One row of ``docs``, all columns as they were, for every ``id`` (null matches null) and text ``key`` in ``kept``."""
+    from pyspark.sql import Window
+
+    wanted = kept.select(F.col("id").alias("__kept_id"), F.col("key").alias("__kept_key")).distinct()
+    marked = docs.withColumn("__key", key)
+    match = marked[f"`{id_col}`"].eqNullSafe(wanted["__kept_id"]) & (marked["__key"] == wanted["__kept_key"])
+    copies = Window.partitionBy("__kept_id", "__kept_key").orderBy(F.lit(0))
+    rows = marked.join(wanted, match).withColumn("__copy", F.row_number().over(copies)).filter("__copy = 1")
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparecast.llm.common import ascii_lower, stored, work_folder
+from sparecast.llm.common import ascii_lower, only_rows, stored, work_folder
 
 RUNS = 64
 ROUND_BITS = 2
@@ -97,12 +97,6 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest") -> DataFrame:
     """``docs`` with exactly one row of every group of equal texts, all columns as they were."""
-    from pyspark.sql import Window
-
     kept = exact_duplicates(docs, id_col, text_col, keep).filter("kept")
-    kept = kept.select(F.col(id_col).alias("__kept_id"), F.unhex("text_sha256").alias("__kept_proof")).distinct()
-    marked = docs.withColumn("__proof", text_proof(F.col(text_col)))
-    match = marked[id_col].eqNullSafe(kept["__kept_id"]) & (marked["__proof"] == kept["__kept_proof"])
-    own = Window.partitionBy("__kept_id", "__kept_proof").orderBy(F.lit(0))
-    rows = marked.join(kept, match).withColumn("__copy", F.row_number().over(own))
-    return rows.filter("__copy = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = kept.select(F.col(f"`{id_col}`").alias("id"), F.unhex("text_sha256").alias("key"))
+    return only_rows(docs, kept, id_col, text_proof(F.col(f"`{text_col}`")))

@@ -17,9 +17,10 @@ links.  Two documents are linked when ``100 * |A & B| >= percent * |A | B|``.
    a bucket.  So no link between groups is lost, while a bucket of one group
    costs one row per member instead of all its pairs.  The pairs left out are
    only those inside one group, which cannot change the grouping.
-4. A pair whose signatures agree far too little (five standard deviations
-   below the threshold) or whose set sizes exclude the threshold is dropped,
-   every other pair is confirmed on the full sets made from the whole texts.
+4. A pair whose signatures (and, in the second comparison, larger bottom
+   sketches) agree far too little, five standard deviations below the
+   threshold, or whose set sizes exclude the threshold is dropped; every other
+   pair is confirmed on the full sets made from the whole texts.
 5. Links are grouped by union-find inside partitions, then by distributed
    smallest-label rounds over what remains.
 
@@ -40,12 +41,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparecast.llm.common import per_batch, stored, utf8_texts, work_folder
+from sparecast.llm.common import only_rows, per_batch, stored, utf8_texts, work_folder
 from sparecast.llm.words import SPACED, Words, mix, passes, window_hashes
 
 SLOTS, BANDS, ROWS = 128, 25, 5
 HUBS = 3
 BLOCK = 256
+BOTTOM = 1024
 MIN_PERCENT = 80
 
 _U = np.uint64
@@ -134,10 +136,10 @@ def _bands(classes: DataFrame) -> DataFrame:
         for r in range(ROWS):
             acc = mix(acc * _U(0x9E3779B97F4A7C15) + cols[:, :, r])
         cls = batch.column(0).take(pa.array(np.repeat(np.arange(len(sig)), BANDS)))
-        turn = np.tile(np.arange(BANDS, dtype=np.int32) % HUBS, len(sig))
-        return pa.RecordBatch.from_arrays([pa.array(acc.ravel().view(np.int64)), pa.array(turn), cls], ["bucket", "turn", "cls"])
+        band = np.tile(np.arange(BANDS, dtype=np.int32), len(sig))
+        return pa.RecordBatch.from_arrays([pa.array(acc.ravel().view(np.int64)), pa.array(band), cls], ["bucket", "band", "cls"])
 
-    return per_batch(classes.select("cls", "sig"), run, "bucket long, turn int, cls binary")
+    return per_batch(classes.select("cls", "sig"), run, "bucket long, band int, cls binary")
 
 
 def _least_agreement(percent: int) -> int:
@@ -152,7 +154,7 @@ def _plausible(sig_a: np.ndarray, sig_b: np.ndarray, n_a: np.ndarray, n_b: np.nd
 
 def _hub_pairs(bands: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Each bucket's members paired with its hub, where sizes and signatures allow a link."""
-    order = F.struct(F.xxhash64("cls", "turn"), F.col("cls"))
+    order = F.struct(F.xxhash64("cls", F.col("band") % HUBS), F.col("cls"))
     hubs = bands.groupBy("bucket").agg(F.min(order).alias("h"), F.min("cls").alias("lo"), F.max("cls").alias("hi"))
     hubs = hubs.filter("lo <> hi").select("bucket", F.col("h.cls").alias("a"))
     pairs = bands.join(hubs, "bucket").filter("cls <> a").select("a", F.col("cls").alias("b"))
@@ -169,28 +171,61 @@ def _hub_pairs(bands: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return per_batch(both, run, "a binary, b binary")
 
 
-def _cross_pairs(bands: DataFrame, classes: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+def _unresolved(bands: DataFrame, groups: DataFrame) -> DataFrame:
+    """The members of buckets that hold more than one group, with the number of blocks of the bucket."""
+    members = bands.join(groups.select("cls", "root"), "cls", "left").select(
+        "bucket", "band", "cls", F.coalesce("root", "cls").alias("root"))
+    split = members.groupBy("bucket").agg(F.count("*").alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+    split = split.filter("lo <> hi").select("bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    return members.join(split, "bucket").select("bucket", "band", "cls", "root", "blocks")
+
+
+def _bottoms(held: DataFrame, size: int) -> DataFrame:
+    """``cls, bottom``: the ``BOTTOM`` smallest 32-bit values of each set (a smaller set is there in whole)."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out = []
+        for _, texts in passes(utf8_texts(batch.column(1))):
+            for s in shingle_sets(texts, size):
+                out.append(np.unique((mix(s) >> _U(32)).astype(np.uint32))[:BOTTOM].tobytes())
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["cls", "bottom"])
+
+    return per_batch(held.select("cls", "t"), run, "cls binary, bottom binary")
+
+
+def _bottoms_allow(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int, percent: int) -> bool:
+    """Whether two sets may be linked; decided up to hash collisions for small sets, else five deviations wide."""
+    if max(n_a, n_b) <= BOTTOM:
+        both = min(len(np.intersect1d(a, b, assume_unique=True)) + 1, n_a, n_b)
+        return 100 * both >= percent * (n_a + n_b - both)
+    merged = np.sort(np.concatenate([a, b]))
+    twice = merged[1:] == merged[:-1]
+    kept = np.cumsum(np.concatenate([[True], ~twice])) <= BOTTOM  # the smallest values of the union
+    p = percent / 100
+    return int((twice & kept[1:]).sum()) >= BOTTOM * (p - 5 * math.sqrt(p * (1 - p) / BOTTOM))
+
+
+def _cross_pairs(members: DataFrame, classes: DataFrame, bottoms: DataFrame, percent: int) -> DataFrame:
     """All plausible pairs of a bucket whose members are in different groups.
 
     A bucket of many members is cut into blocks, each two of which meet in a
-    task of their own, so no task holds more than two blocks of any bucket.
+    task of their own, so no task holds more than two blocks of any bucket.  A
+    pair that shares several bands is taken up in the first of them only.
     """
-    members = bands.join(groups.select("cls", "root"), "cls", "left").select(
-        "bucket", "cls", F.coalesce("root", "cls").alias("root"))
-    split = members.groupBy("bucket").agg(F.count("*").alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-    split = split.filter("lo <> hi").select("bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    met = (members.join(split, "bucket")
-           .withColumn("own", F.pmod(F.xxhash64("cls", F.lit(7)), F.col("blocks")).cast("int"))
+    met = (members.withColumn("own", F.pmod(F.xxhash64("cls", F.lit(7)), F.col("blocks")).cast("int"))
            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-           .select("bucket", "cls", "root", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y")))
-    met = met.join(classes.select("cls", "n", "sig"), "cls").select("bucket", "x", "y", "own", "cls", "root", "n", "sig")
+           .select("bucket", "band", "cls", "root", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y")))
+    about = classes.select("cls", "n", "sig").join(bottoms, "cls")
+    met = met.join(about, "cls").select("bucket", "x", "y", "band", "own", "cls", "root", "n", "sig", "bottom")
     met = met.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y")
 
     def compare(rows: pa.Table) -> pa.RecordBatch | None:
-        x, y = rows.column("x")[0].as_py(), rows.column("y")[0].as_py()
+        x, y, band = (rows.column(c)[0].as_py() for c in ("x", "y", "band"))
         own = rows.column("own").to_numpy()
         sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint16).reshape(-1, SLOTS)
-        n, root = rows.column("n").to_numpy(), np.array(rows.column("root").to_pylist(), object)
+        in_bands = sig[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS)
+        bottom = [np.frombuffer(b, np.uint32) for b in rows.column("bottom").to_pylist()]
+        n, root = rows.column("n").to_numpy(), np.unique(rows.column("root").to_pylist(), return_inverse=True)[1]
         left, right = [], []
         for i in range(len(n)):
             if own[i] != x:
@@ -198,8 +233,10 @@ def _cross_pairs(bands: DataFrame, classes: DataFrame, groups: DataFrame, percen
             js = np.arange(i + 1, len(n)) if x == y else np.flatnonzero(own == y)
             js = js[root[js] != root[i]]
             js = js[_plausible(sig[js], sig[i][None], n[js], np.full(len(js), n[i]), percent)]
+            js = js[(in_bands[js] == in_bands[i]).all(2).argmax(1) == band]
+            js = [j for j in js.tolist() if _bottoms_allow(bottom[i], bottom[j], int(n[i]), int(n[j]), percent)]
             left += [i] * len(js)
-            right += js.tolist()
+            right += js
         if not left:
             return None
         cls = rows.column("cls").combine_chunks()
@@ -232,11 +269,14 @@ def _group_starts(rows: pa.Table) -> list[int]:
     return np.flatnonzero(new).tolist()
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int, path: str) -> DataFrame:
+def _texts_of(needed: DataFrame, classes: DataFrame, texts: DataFrame, path: str) -> DataFrame:
+    """``cls, t``: one whole text for each of the wanted classes."""
+    keys = needed.select("cls").distinct().join(classes.select("cls", "key"), "cls").select("cls", "key")
+    return stored(texts.join(keys, "key").groupBy("cls").agg(F.first("t").alias("t")), path)
+
+
+def _confirmed(pairs: DataFrame, held: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs whose full sets reach the threshold."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    keys = needed.join(classes.select("cls", "key"), "cls").select("cls", "key")
-    held = stored(texts.join(keys, "key").groupBy("cls").agg(F.first("t").alias("t")), path)
     both = (pairs.join(held.toDF("a", "ta"), "a").join(held.toDF("b", "tb"), "b").select("a", "b", "ta", "tb"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -325,11 +365,25 @@ def components(links: DataFrame, folder: str) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 85) -> DataFrame:
     """``id, n_shingles, component_id, kept``: one row per row of ``docs`` (see the module's text)."""
+    rows = _grouped(docs, id_col, text_col, size, percent)
+    return rows.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), "kept")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 85) -> DataFrame:
+    """``docs`` with exactly one document of every group, the one with the smallest id; all columns as they were."""
+    rows = _grouped(docs, id_col, text_col, size, percent).filter("kept")
+    grouped = rows.filter("root is not null").groupBy("root").agg(F.min(F.struct("id", "key")).alias("first")).select("first.*")
+    alone = rows.filter("root is null").select("id", "key")
+    return only_rows(docs, grouped.union(alone), id_col, F.sha2(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), 256))
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
+    """``id, key, n, root, component, kept`` of every row; ``root`` is null for rows without words."""
     if not MIN_PERCENT <= percent <= 100:
         raise ValueError(f"the bands are laid out for similarities of {MIN_PERCENT} to 100 percent")
     folder = work_folder(docs.sparkSession)
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), text.alias("t")).withColumn("key", F.sha2("t", 256))
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("t")).withColumn("key", F.sha2("t", 256))
     sketches = stored(_keyed(rows, size), f"{folder}/sketches")
     classes = sketches.filter("cls is not null").groupBy("cls").agg(
         F.min("n").alias("n"), F.min("id").alias("id"), F.min(F.struct("key", "sig")).alias("k"))
@@ -337,15 +391,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bands = stored(_bands(classes), f"{folder}/bands")
     texts = rows.select("key", "t")
     near = stored(_hub_pairs(bands, classes, percent), f"{folder}/near1")
-    links = stored(_confirmed(near, classes, texts, size, percent, f"{folder}/texts1"), f"{folder}/links1")
-    groups = components(links, f"{folder}/groups1")
-    cross = stored(_cross_pairs(bands, classes, groups, percent).join(near, ["a", "b"], "left_anti"), f"{folder}/near2")
-    more = stored(_confirmed(cross, classes, texts, size, percent, f"{folder}/texts2"), f"{folder}/links2")
+    held = _texts_of(near.select(F.explode(F.array("a", "b")).alias("cls")), classes, texts, f"{folder}/texts1")
+    links = stored(_confirmed(near, held, size, percent), f"{folder}/links1")
+    members = stored(_unresolved(bands, components(links, f"{folder}/groups1")), f"{folder}/members")
+    held = _texts_of(members, classes, texts, f"{folder}/texts2")
+    cross = _cross_pairs(members, classes, _bottoms(held, size), percent).join(near, ["a", "b"], "left_anti")
+    more = stored(_confirmed(stored(cross, f"{folder}/near2"), held, size, percent), f"{folder}/links2")
     groups = components(links.union(more), f"{folder}/groups2")
     rooted = classes.join(groups, "cls", "left").select("cls", "id", F.coalesce("root", "cls").alias("root"))
     label = rooted.groupBy("root").agg(F.min("id").alias("component"))
-    labels = rooted.join(label, "root").select("cls", "component")
-    out = sketches.select("id", "n", "cls").join(labels, "cls", "left")
+    labels = rooted.select("cls", "root").join(label, "root")
+    out = sketches.select("id", "key", "n", "cls").join(labels, "cls", "left")
     component = F.when(F.col("cls").isNull(), F.col("id")).otherwise(F.col("component"))
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
-                      F.col("id").eqNullSafe(component).alias("kept"))
+    return out.select("id", "key", "n", "root", component.alias("component"), F.col("id").eqNullSafe(component).alias("kept"))

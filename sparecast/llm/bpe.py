@@ -173,6 +173,29 @@ def with_tokens(docs: DataFrame, path: str, text_col: str = "text", out_col: str
     return per_batch(rows, run, schema)
 
 
+def verified_tokens(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
+    """``docs`` with ``token_ids``, ``n_tokens`` and ``round_trip``: whether the decoded ids give the text (null: empty) again.
+
+    Columns of these names are replaced.
+    """
+    new = ("token_ids", "n_tokens", "round_trip")
+    kept = [c for c in docs.columns if c not in new]
+    place = kept.index(text_col)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        t = tokenizer(path)
+        texts = _texts(batch.column(place))
+        ids = t.encode(texts)
+        same = [decode(t, x.tolist()) == text for x, text in zip(ids, texts)]
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)),
+                                         pa.array(np.concatenate(ids).astype(np.int32)))
+        return pa.RecordBatch.from_arrays([*batch.columns, lists, pa.array(lengths), pa.array(same)], [*batch.schema.names, *new])
+
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept])
+    return per_batch(rows, run, T.StructType([*rows.schema, *T.StructType.fromDDL("token_ids array<int>, n_tokens long, round_trip boolean")]))
+
+
 def texts_of_tokens(rows: DataFrame, path: str, ids_col: str = "token_ids", out_col: str = "text") -> DataFrame:
     """``rows`` with the decoded text of each list of ids (null for null)."""
     kept = [c for c in rows.columns if c != out_col]

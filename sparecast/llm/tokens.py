@@ -12,6 +12,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 import regex
@@ -76,6 +77,39 @@ def word_starts(codes: np.ndarray, classes: np.ndarray) -> np.ndarray:
     return start
 
 
+class HashIndex:
+    """Places of 64-bit keys, looked up and added many at a time (linear probing over two arrays)."""
+
+    def __init__(self, most: int) -> None:
+        self.mask = np.uint64((1 << (2 * most).bit_length()) - 1)
+        self.keys = np.zeros(int(self.mask) + 1, np.uint64)
+        self.places = np.zeros(int(self.mask) + 1, np.int32)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each key, -1 for unknown ones; keys aren't 0."""
+        out = np.full(len(keys), -1, np.int32)
+        open_ = np.arange(len(keys))
+        slot = keys & self.mask
+        while len(open_):
+            there = self.keys[slot]
+            same = there == keys[open_]
+            out[open_[same]] = self.places[slot[same]]
+            on = ~same & (there != 0)
+            open_, slot = open_[on], (slot[on] + np.uint64(1)) & self.mask
+        return out
+
+    def add(self, keys: np.ndarray, first_place: int) -> None:
+        """Add distinct unknown keys with places from ``first_place`` on."""
+        places = np.arange(first_place, first_place + len(keys), dtype=np.int32)
+        slot = keys & self.mask
+        while len(keys):
+            free = self.keys[slot] == 0
+            self.keys[slot[free]] = keys[free]  # of keys that meet in a slot, one stays
+            won = self.keys[slot] == keys
+            self.places[slot[won]] = places[won]
+            keys, places, slot = keys[~won], places[~won], (slot[~won] + np.uint64(1)) & self.mask
+
+
 class WordTable:
     """Ids of the words met so far; new words go to ``encode`` (many at a time)."""
 
@@ -84,27 +118,34 @@ class WordTable:
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[int, int] = {}
+        self.size, self.room = 0, self.limit
+        self.index = HashIndex(self.room)
         self.flat = np.empty(1 << 16, np.int32)
         self.bounds = np.zeros(1 << 14, np.int64)
 
-    def _add(self, hashes: list[int], words: list[str]) -> None:
-        base = len(self.place)
+    def _add(self, keys: np.ndarray, words: list[str]) -> None:
+        if self.size + len(keys) > self.room:  # one pass alone has more words than are kept
+            self.room = 2 * (self.size + len(keys))
+            known, places = self.index.keys, self.index.places
+            self.index = HashIndex(self.room)
+            used = known != 0
+            self.index.add(known[used][np.argsort(places[used])], 0)
         ids = self.encode(words)
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        first = int(self.bounds[base])
+        first = int(self.bounds[self.size])
         last = first + int(lengths.sum())
         while last > len(self.flat):
             self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
-        while base + len(ids) + 1 > len(self.bounds):
+        while self.size + len(ids) + 1 > len(self.bounds):
             self.bounds = np.concatenate([self.bounds, np.zeros_like(self.bounds)])
-        self.flat[first:last] = np.fromiter((x for w in ids for x in w), np.int32, last - first)
-        self.bounds[base + 1 : base + 1 + len(ids)] = first + np.cumsum(lengths)
-        self.place.update(zip(hashes, range(base, base + len(ids))))
+        self.flat[first:last] = np.fromiter(chain.from_iterable(ids), np.int32, last - first)
+        self.bounds[self.size + 1 : self.size + 1 + len(ids)] = first + np.cumsum(lengths)
+        self.index.add(keys, self.size)
+        self.size += len(ids)
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text of one pass."""
-        if len(self.place) > self.limit:
+        if self.size > self.limit:
             self.clear()
         table, values = code_tables()
         raw = _END_CODE.join([*(t.encode("utf-32-le", "surrogatepass") for t in texts), b""])
@@ -115,16 +156,15 @@ class WordTable:
         real = classes[starts] != END
         text_of = np.cumsum(~real)[real]
         starts, ends = starts[real], ends[real]
-        hashes = substring_hashes(codes, starts, ends, values)
-        distinct, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        keys = distinct.tolist()
-        known = self.place
-        new = [i for i, k in enumerate(keys) if k not in known]
-        if new:
-            spots = where[new]
+        keys = np.maximum(substring_hashes(codes, starts, ends, values), np.uint64(1))
+        place = self.index.find(keys)
+        unknown = np.flatnonzero(place < 0)
+        if len(unknown):
+            new, first, again = np.unique(keys[unknown], return_index=True, return_inverse=True)
+            spots = unknown[first]
             words = [codes[s:e].tobytes().decode("utf-32-le", "surrogatepass") for s, e in zip(starts[spots].tolist(), ends[spots].tolist())]
-            self._add([keys[i] for i in new], words)
-        place = np.fromiter(map(known.__getitem__, keys), np.int64, len(keys))[inverse] if keys else np.empty(0, np.int64)
+            place[unknown] = self.size + again
+            self._add(new, words)
         lo = self.bounds[place]
         lengths = self.bounds[place + 1] - lo
         upto = np.cumsum(lengths)
@@ -189,38 +229,38 @@ def byte_of_sign() -> dict[str, int]:
 def library_words(path: str) -> Callable[[dict], Callable[[list[str]], list[list[int]]]]:
     """Words encoded by the tokenizers library, many to a text.
 
-    Words are parted by a line feed, which stays a token of its own between
-    words that have white space nowhere but as one leading blank; other words
-    are texts of their own.
+    The words are already those of the file's own pre-tokenizer, so it is
+    replaced by one that parts them at line feeds; words with a line feed in
+    them are texts of their own, before the original one.
     """
 
-    def make(spec: dict) -> Callable[[list[str]], list[list[int]]]:
+    def make(_: dict) -> Callable[[list[str]], list[list[int]]]:
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        tokenizer = Tokenizer.from_file(path)
-        sign = {b: s for s, b in byte_of_sign().items()}[0x0A]
-        feed = spec["model"]["vocab"][sign]
-        plain = re.compile(r" ?\S+").fullmatch
+        whole, parted = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        parted.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.Split("\n", "isolated"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        feed = whole.encode("\n", add_special_tokens=False).ids[0]
 
         def encode(words: list[str]) -> list[list[int]]:
             out: list[list[int]] = [[] for _ in words]
-            joined = [i for i, w in enumerate(words) if plain(w)]
-            alone = [i for i, w in enumerate(words) if not plain(w)]
+            joined = [i for i, w in enumerate(words) if "\n" not in w]
+            alone = [i for i, w in enumerate(words) if "\n" in w]
             for at in range(0, len(joined), 1000):
                 some = joined[at : at + 1000]
                 text = "\n".join([*(words[i] for i in some), ""])
-                ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
-                ends = np.flatnonzero(ids == feed)
+                flat = parted.encode_batch_fast([text], add_special_tokens=False)[0].ids
+                ends = np.flatnonzero(np.array(flat, np.int64) == feed).tolist()
                 if len(ends) != len(some):
                     raise AssertionError("a word has a line feed's id")
-                flat, lo = ids.tolist(), 0
-                for i, hi in zip(some, ends.tolist()):
+                lo = 0
+                for i, hi in zip(some, ends):
                     out[i] = flat[lo:hi]
                     lo = hi + 1
-            for i, e in zip(alone, tokenizer.encode_batch_fast([words[i] for i in alone], add_special_tokens=False)):
+            for i, e in zip(alone, whole.encode_batch_fast([words[i] for i in alone], add_special_tokens=False)):
                 out[i] = e.ids
             return out
 

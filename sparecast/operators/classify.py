@@ -28,7 +28,7 @@ from ..functions.expressions import (
 )
 from .demand import segment_demand
 from .pricing import unit_price, unit_prices_by_segment
-from .running import ROWS_PER_BUCKET, materialize_for_running_totals, running_totals_desc
+from .running import materialize_for_running_totals, running_totals_desc
 
 CLASS_TABLE_COLUMNS = (
     "Part_no", "value_contribution_pct", "qty_contribution_pct",
@@ -85,8 +85,7 @@ def share_of_total(demand: DataFrame) -> DataFrame:
     )
 
 
-def pareto_classes(demand: DataFrame, max_buckets: int | None = None,
-                   rows_per_bucket: int = ROWS_PER_BUCKET, cuts: dict | None = None,
+def pareto_classes(demand: DataFrame, buckets: int | None = None, cuts: dict | None = None,
                    by: tuple[str, ...] = ()) -> DataFrame:
     """Class columns for a part-level demand frame (``[*by,] Part_Id, qty, value``).
 
@@ -94,8 +93,7 @@ def pareto_classes(demand: DataFrame, max_buckets: int | None = None,
     (the segment) shares, running totals and classes are computed per group;
     the per-group totals are one row per group, joined by broadcast.
     """
-    df = running_totals_desc(demand, {"value": "_cum_value", "qty": "_cum_qty"},
-                             max_buckets, rows_per_bucket, cuts, by)
+    df = running_totals_desc(demand, {"value": "_cum_value", "qty": "_cum_qty"}, buckets, cuts, by)
     if by:
         totals = demand.groupBy(*by).agg(F.sum("value").alias("_total_value"), F.sum("qty").alias("_total_qty"))
         df = df.join(F.broadcast(totals), list(by))
@@ -128,8 +126,7 @@ PRICE_WINDOW = {"2W": (7, 2), "3W": (5, 2)}
 def classify_parts(billing: DataFrame, dispatch: DataFrame, as_of, segment: str,
                    demand_window: tuple[int, int] = CLASS_WINDOW,
                    price_window: tuple[int, int] | None = None,
-                   dedup: bool = True, max_buckets: int | None = None,
-                   rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+                   dedup: bool = True, buckets: int | None = None) -> DataFrame:
     """The class table of a segment (one row per billed part).
 
     The part-level demand is written to the checkpoint folder once: the totals,
@@ -138,10 +135,9 @@ def classify_parts(billing: DataFrame, dispatch: DataFrame, as_of, segment: str,
     """
     n, m = demand_window
     demand, cuts = materialize_for_running_totals(
-        segment_demand(billing, as_of, n, m, segment, dedup=dedup), ["value", "qty"],
-        max_buckets, rows_per_bucket)
-    classes = pareto_classes(demand, max_buckets, rows_per_bucket, cuts)
-    pn, pm = price_window or PRICE_WINDOW.get(segment, PRICE_WINDOW["2W"])
+        segment_demand(billing, as_of, n, m, segment, dedup=dedup), ["value", "qty"], buckets)
+    classes = pareto_classes(demand, buckets, cuts)
+    pn, pm = price_window or PRICE_WINDOW[segment]
     prices = unit_price(dispatch, as_of, pn, pm).withColumnRenamed("Part_Id", "Part_no")
     return classes.join(prices, "Part_no", "left").select(*CLASS_TABLE_COLUMNS)
 
@@ -153,8 +149,7 @@ def category_counts(class_table: DataFrame) -> DataFrame:
 
 def classify_segments(billing: DataFrame, dispatch: DataFrame, as_of, segments=("2W", "3W"),
                       demand_window: tuple[int, int] = CLASS_WINDOW, price_windows: dict | None = None,
-                      dedup: bool = True, max_buckets: int | None = None,
-                      rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+                      dedup: bool = True, buckets: int | None = None) -> DataFrame:
     """The class tables of several segments from one pass over the invoice lines
     and one over the dispatches; the class-table columns plus ``industry``.
 
@@ -166,8 +161,8 @@ def classify_segments(billing: DataFrame, dispatch: DataFrame, as_of, segments=(
     segments = tuple(segments)
     demand, cuts = materialize_for_running_totals(
         segment_demand(billing, as_of, n, m, segments, by=("industry", "Part_Id"), dedup=dedup),
-        ["value", "qty"], max_buckets, rows_per_bucket)
-    classes = pareto_classes(demand, max_buckets, rows_per_bucket, cuts, by=("industry",))
-    windows = {s: (price_windows or PRICE_WINDOW).get(s, PRICE_WINDOW["2W"]) for s in segments}
+        ["value", "qty"], buckets)
+    classes = pareto_classes(demand, buckets, cuts, by=("industry",))
+    windows = {s: (price_windows or PRICE_WINDOW)[s] for s in segments}
     prices = unit_prices_by_segment(dispatch, as_of, windows).withColumnRenamed("Part_Id", "Part_no")
     return classes.join(prices, ["industry", "Part_no"], "left").select(*CLASS_TABLE_COLUMNS, "industry")

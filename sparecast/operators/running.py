@@ -4,187 +4,122 @@
 ``Exchange SinglePartition``: every row goes to one task.  This operator gives
 the same answer with the work spread over buckets:
 
-1. Collapse ties: one row per distinct ``v`` with the sum of its rows.  Equal
-   values share one running total (RANGE frame), and the table shrinks.
-2. Cut points: approximate quantiles of ``v``, evaluated once and inlined as
-   literals (a handful of numbers, never data rows).  A row's bucket is a pure
-   function of its value, so ties never split and a retried task computes the
-   same bucket.  The cut points of several columns and their distinct counts
-   come from one aggregate, observed during the job that checkpoints the input
-   (no extra pass).
-3. Bucket totals (at most ``buckets + 1`` rows) -> exclusive prefix sums.
-4. Running total inside each bucket by a partitioned window, plus the offset.
-
-The bucket count follows the data: ``ceil(distinct values / rows_per_bucket)``
-capped at ``max_buckets`` (default: the session's shuffle partitions), so a
-small tie table is not cut into many tiny tasks and a large one never lands in
-one task.
-
-Exact for BIGINT and DECIMAL inputs.  NULL values sort last: their running
-total is the sum of all non-NULL values (the RANGE frame includes every row
-before the NULL peer group).
+1. Cut points: approximate quantiles of ``v``, as many as there are shuffle
+   partitions, evaluated once and inlined as literals (never data rows).  A
+   row's bucket is a pure function of its value, so ties never split between
+   buckets and a retried task computes the same bucket.  The cut points of
+   several columns come from one aggregate, observed during the job that
+   checkpoints the input (no extra pass).
+2. A value that is two quantiles or more at once is shared by many rows.  Such
+   a heavy value is a bucket of its own, and so are the NULLs.
+3. Bucket totals (at most two per cut point, plus two) -> exclusive prefix sums.
+4. The total of a heavy value's rows is the prefix sum with its bucket: they
+   need no order and are spread over all tasks by a salt.  All other rows get a
+   window inside their bucket, plus the prefix sum.
+
+Every column costs one shuffle of the rows; there is no join by value.  Exact
+for BIGINT and DECIMAL inputs.  NULL values sort last: their running total is
+the sum of all non-NULL values (the RANGE frame includes every row before the
+NULL peer group).
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_ACCURACY = 10000
-ROWS_PER_BUCKET = 200_000
-# Quantile grid evaluated in the single cut-point job; the cut points actually
-# used are every k-th of them.
-QUANTILE_GRID = 256
 
 
-def _bucket_expr(v: Column, cuts_desc: list[float]) -> Column:
-    """Number of cut points strictly greater than ``v`` (balanced CASE tree);
-    NULL ``v`` -> ``len(cuts) + 1``."""
+def _buckets(spark, buckets: int | None) -> int:
+    return max(1, buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))
 
-    def tree(lo: int, hi: int) -> Column:
-        # Invariant: cuts[:lo] are > v and cuts[hi:] are <= v.
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(F.lit(cuts_desc[mid]) > v, tree(mid + 1, hi)).otherwise(tree(lo, mid))
-
-    return F.when(v.isNull(), F.lit(len(cuts_desc) + 1)).otherwise(tree(0, len(cuts_desc)))
-
-
-def _grid(spark, max_buckets: int | None) -> tuple[int, int]:
-    if max_buckets is None:
-        max_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max_buckets, max(1, min(QUANTILE_GRID, max_buckets))
 
-
-def cut_point_stats(spark, value_cols: list[str], max_buckets: int | None = None,
-                    accuracy: int = DEFAULT_ACCURACY) -> list:
+def cut_point_stats(spark, value_cols: Sequence[str], buckets: int | None = None) -> list:
     """Aggregate columns whose values :func:`cuts_from_stats` turns into cut points.
 
     Evaluate them with ``df.agg`` or, for free, with ``materialize_observed(df, ...)``.
     """
-    _, grid = _grid(spark, max_buckets)
-    fractions = [i / grid for i in range(1, grid)]
-    aggs = []
+    n = _buckets(spark, buckets)
+    fractions = [i / n for i in range(1, n)]
+    accuracy = max(DEFAULT_ACCURACY, 20 * n)
+    return [F.percentile_approx(c, fractions or [0.5], accuracy).alias(f"q_{c}") for c in value_cols]
+
+
+def cuts_from_stats(stats: dict, value_cols: Sequence[str]) -> dict[str, list[tuple]]:
+    """Per column ``(cut point, heavy)`` in descending order from the aggregates of :func:`cut_point_stats`."""
+    out = {}
     for c in value_cols:
-        aggs.append(F.approx_count_distinct(c).alias(f"n_{c}"))
-        if fractions:
-            aggs.append(F.percentile_approx(F.col(c).cast("double"), fractions, accuracy).alias(f"q_{c}"))
-    return aggs
+        q = [v for v in stats.get(f"q_{c}") or [] if v is not None]
+        out[c] = [(v, q.count(v) > 1) for v in sorted(set(q), reverse=True)]
+    return out
 
 
-def plan_buckets(df: DataFrame, value_cols: list[str], max_buckets: int | None = None,
-                 rows_per_bucket: int = ROWS_PER_BUCKET,
-                 accuracy: int = DEFAULT_ACCURACY) -> dict[str, list[float]]:
-    """Descending cut points per column (one small aggregate job, a few numbers back).
+def plan_buckets(df: DataFrame, value_cols: Sequence[str], buckets: int | None = None) -> dict[str, list[tuple]]:
+    """Cut points per column (one small aggregate job, a few numbers back)."""
+    row = df.agg(*cut_point_stats(df.sparkSession, value_cols, buckets)).first()
+    return cuts_from_stats(row.asDict() if row else {}, value_cols)
 
-    The distinct-value count of each column is estimated from the same pass
-    (``approx_count_distinct``); it only decides how many cut points to use.
-    """
-    row = df.agg(*cut_point_stats(df.sparkSession, value_cols, max_buckets, accuracy)).first()
-    return cuts_from_stats(df.sparkSession, row.asDict() if row else {}, value_cols, max_buckets,
-                           rows_per_bucket)
 
+def _bucket_of(v: Column, cuts: list[tuple]) -> Column:
+    """Twice the number of cut points above ``v``, plus one if ``v`` is a heavy one;
+    ascending buckets hold descending values, NULL ``v`` comes last."""
 
-def cuts_from_stats(spark, stats: dict, value_cols: list[str], max_buckets: int | None = None,
-                    rows_per_bucket: int = ROWS_PER_BUCKET) -> dict[str, list[float]]:
-    """Descending cut points per column from the aggregates of :func:`cut_point_stats`."""
-    max_buckets, grid = _grid(spark, max_buckets)
-    out: dict[str, list[float]] = {}
-    for c in value_cols:
-        n = stats.get(f"n_{c}") or 0
-        buckets = max(1, min(max_buckets, math.ceil(n / rows_per_bucket)))
-        q = stats.get(f"q_{c}") or []
-        step = grid / buckets
-        chosen = [q[round(step * j) - 1] for j in range(1, buckets)] if q else []
-        out[c] = sorted(set(chosen), reverse=True)
-    return out
+    def tree(lo: int, hi: int) -> Column:
+        # cuts[:lo] are > v and cuts[hi:] are <= v
+        if lo == hi:
+            heavy = lo < len(cuts) and cuts[lo][1]
+            return F.when(v == F.lit(cuts[lo][0]), 2 * lo + 1).otherwise(2 * lo) if heavy else F.lit(2 * lo)
+        mid = (lo + hi) // 2
+        return F.when(F.lit(cuts[mid][0]) > v, tree(mid + 1, hi)).otherwise(tree(lo, mid))
+
+    return F.when(v.isNull(), F.lit(2 * len(cuts) + 2)).otherwise(tree(0, len(cuts)))
 
 
-def running_total_table(df: DataFrame, value_col: str, out_col: str,
-                        cuts_desc: list[float], key_col: str = "_rt_key",
-                        by: Sequence[str] = ()) -> DataFrame:
-    """``*by, key_col, out_col``: one row per group and distinct value of
-    ``value_col`` with its running total inside the group (see module doc)."""
+def _with_running_total(df: DataFrame, value_col: str, out_col: str, cuts: list[tuple], by: Sequence[str]) -> DataFrame:
     v = F.col(value_col)
-    bucket = _bucket_expr(v.cast("double"), cuts_desc)
-    ties = df.groupBy(*by, v.alias("_v"), bucket.alias("_bucket")).agg(F.sum(value_col).alias("_tie_sum"))
-    # Bucket totals straight from the input (a branch parallel to the ties):
-    # at most groups x (len(cuts) + 2) rows, so the window over them is tiny.
+    alike = (F.col("_bucket") % 2 == 1) | v.isNull()
+    rows = df.withColumn("_bucket", _bucket_of(v, cuts))
+    before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        df.groupBy(*by, bucket.alias("_bucket")).agg(F.sum(value_col).alias("_bucket_sum"))
-        .select(
-            *by, "_bucket",
-            F.sum("_bucket_sum").over(
-                Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-            ).alias("_offset"),
-        )
+        rows.groupBy(*by, "_bucket").agg(F.sum(value_col).alias("_bucket_sum"))
+        .select(*by, "_bucket", "_bucket_sum", F.sum("_bucket_sum").over(before).alias("_offset"))
     )
-    local = F.sum("_tie_sum").over(
-        Window.partitionBy(*by, "_bucket").orderBy(F.col("_v").desc_nulls_last()))
-    off, loc = F.col("_offset"), F.col("_local")
+    salt = F.when(alike, F.pmod(F.xxhash64(*df.columns), F.lit(len(cuts) + 1))).otherwise(0)
+    inside = Window.partitionBy(*by, "_bucket", "_salt").orderBy(v.desc_nulls_last())
+    local = F.when(alike, F.col("_bucket_sum")).otherwise(F.col("_inside"))
+    off = F.col("_offset")
     return (
-        ties.select(*by, "_v", "_bucket", local.alias("_local"))
+        rows.withColumn("_salt", salt).withColumn("_inside", F.sum(value_col).over(inside))
         .join(F.broadcast(offsets), [*by, "_bucket"])
-        .select(
-            *by,
-            F.col("_v").alias(key_col),
-            F.when(off.isNull(), loc).when(loc.isNull(), off).otherwise(off + loc).alias(out_col),
-        )
+        .withColumn(out_col, F.when(off.isNull(), local).when(local.isNull(), off).otherwise(off + local))
+        .select(*df.columns, out_col)
     )
 
 
-def running_total_with_cuts(df: DataFrame, value_col: str, out_col: str,
-                            cuts_desc: list[float]) -> DataFrame:
-    """Add ``out_col`` using the given cut points (see module doc)."""
-    return running_totals_desc(df, {value_col: out_col}, cuts={value_col: cuts_desc})
-
-
-def running_totals_desc(df: DataFrame, columns: dict[str, str], max_buckets: int | None = None,
-                        rows_per_bucket: int = ROWS_PER_BUCKET,
-                        cuts: dict[str, list[float]] | None = None,
-                        by: Sequence[str] = ()) -> DataFrame:
+def running_totals_desc(df: DataFrame, columns: dict[str, str], buckets: int | None = None,
+                        cuts: dict[str, list[tuple]] | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Add one running total per ``{value_col: out_col}``; same result as
     ``F.sum(v).over(Window.partitionBy(*by).orderBy(F.desc(v)))`` for each column.
 
-    The per-column total tables are independent branches over ``df`` (they run
-    concurrently), joined back to ``df`` at the end.  Groups (``by``, e.g. the
-    segment) share the cut points; offsets are per group.  Without ``cuts`` the
-    cut points are computed by one extra job over ``df``; pass them (see
-    :func:`materialize_for_running_totals`) to avoid it.
+    Groups (``by``, e.g. the segment; few) share the cut points; offsets are
+    per group.  Without ``cuts`` the cut points are computed by one extra job
+    over ``df``; pass them (see :func:`materialize_for_running_totals`) to avoid it.
     """
     if cuts is None:
-        cuts = plan_buckets(df, list(columns), max_buckets, rows_per_bucket)
+        cuts = plan_buckets(df, list(columns), buckets)
     out = df
     for c, name in columns.items():
-        key = f"_rt_key_{c}"
-        t = running_total_table(df, c, name, cuts[c], key, by)
-        renamed = t.select(*[F.col(b).alias(f"_rt_{c}_{b}") for b in by], key, name)
-        cond = [F.col(c).eqNullSafe(renamed[key])] + [F.col(b) == renamed[f"_rt_{c}_{b}"] for b in by]
-        out = out.join(renamed, cond)
-    return out.select(*df.columns, *columns.values())
+        out = _with_running_total(out, c, name, cuts[c], by)
+    return out
 
 
-def materialize_for_running_totals(df: DataFrame, value_cols: list[str],
-                                   max_buckets: int | None = None,
-                                   rows_per_bucket: int = ROWS_PER_BUCKET) -> tuple[DataFrame, dict]:
+def materialize_for_running_totals(df: DataFrame, value_cols: Sequence[str],
+                                   buckets: int | None = None) -> tuple[DataFrame, dict]:
     """Checkpoint ``df`` and gather the cut points of ``value_cols`` in the same job."""
     from ..session import materialize_observed
 
-    spark = df.sparkSession
-    out, stats = materialize_observed(df, cut_point_stats(spark, value_cols, max_buckets))
-    return out, cuts_from_stats(spark, stats, value_cols, max_buckets, rows_per_bucket)
-
-
-def running_total_desc(df: DataFrame, value_col: str, out_col: str, max_buckets: int | None = None,
-                       rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Single-column form of :func:`running_totals_desc`."""
-    return running_totals_desc(df, {value_col: out_col}, max_buckets, rows_per_bucket)
-
-
-def running_total_single_task(df: DataFrame, value_col: str, out_col: str) -> DataFrame:
-    """Reference form (one task): used only by tests to check the distributed one."""
-    return df.withColumn(out_col, F.sum(value_col).over(Window.orderBy(F.desc(value_col))))
+    out, stats = materialize_observed(df, cut_point_stats(df.sparkSession, value_cols, buckets))
+    return out, cuts_from_stats(stats, value_cols)

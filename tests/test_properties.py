@@ -7,12 +7,13 @@ import random
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparecast.operators import running as rn
 
-from .conftest import SF_SMALL
+from .conftest import SF_CHECK, SF_SMALL
 
 
 def _random_frame(spark, seed: int, kind: str, n: int = 600):
@@ -39,8 +40,8 @@ def _random_frame(spark, seed: int, kind: str, n: int = 600):
 @pytest.mark.parametrize("buckets", [1, 8])
 def test_distributed_running_total_equals_single_task_window(spark, seed, kind, buckets):
     df = _random_frame(spark, seed, kind)
-    got = rn.running_totals_desc(df, {"v": "rt"}, max_buckets=buckets, rows_per_bucket=10)
-    ref = rn.running_total_single_task(df, "v", "rt_ref")
+    got = rn.running_totals_desc(df, {"v": "rt"}, buckets=buckets)
+    ref = df.withColumn("rt_ref", F.sum("v").over(Window.orderBy(F.desc("v"))))
     joined = got.join(ref.select("id", "rt_ref"), "id")
     bad = joined.where(~F.col("rt").eqNullSafe(F.col("rt_ref"))).count()
     assert joined.count() == df.count()
@@ -51,20 +52,46 @@ def test_bucket_expression_matches_bisect(spark):
     cuts = sorted({random.Random(5).uniform(-100, 100) for _ in range(37)}, reverse=True)
     values = [random.Random(9).uniform(-120, 120) for _ in range(300)] + cuts + [None]
     df = spark.createDataFrame([(x,) for x in values], "v double")
-    out = df.select("v", rn._bucket_expr(F.col("v"), cuts).alias("b")).collect()
+    heavy = set(cuts[::3])
+    out = df.select("v", rn._bucket_of(F.col("v"), [(c, c in heavy) for c in cuts]).alias("b")).collect()
     asc = sorted(cuts)
     for r in out:
         if r.v is None:
-            assert r.b == len(cuts) + 1
+            assert r.b == 2 * len(cuts) + 2
         else:
-            assert r.b == len(asc) - bisect.bisect_right(asc, r.v)
+            assert r.b == 2 * (len(asc) - bisect.bisect_right(asc, r.v)) + (0 if r.v not in heavy else 1)
 
 
-def test_cut_points_follow_data_size(spark):
+def test_cut_points_follow_the_partitions_and_mark_heavy_values(spark):
     df = spark.range(0, 5000).select(F.col("id").alias("v"))
-    assert rn.plan_buckets(df, ["v"], max_buckets=8, rows_per_bucket=10_000)["v"] == []
-    cuts = rn.plan_buckets(df, ["v"], max_buckets=8, rows_per_bucket=100)["v"]
-    assert len(cuts) == 7 and cuts == sorted(cuts, reverse=True)
+    for buckets in (8, 300):
+        cuts = rn.plan_buckets(df, ["v"], buckets)["v"]
+        assert len(cuts) == buckets - 1 and cuts == sorted(cuts, reverse=True) and not any(h for _, h in cuts)
+    assert rn.plan_buckets(df, ["v"], 1)["v"] and rn.plan_buckets(df.limit(0), ["v"], 8)["v"] == []
+    third = df.select(F.when(F.col("v") % 3 == 0, 7).otherwise(F.col("v")).alias("v"))
+    assert (7, True) in rn.plan_buckets(third, ["v"], 16)["v"]
+
+
+def test_hot_value_is_spread_over_tasks(spark):
+    """A value that a third of all rows share meets in no single task."""
+    df = spark.range(0, 9000, 1, 6).select("id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("v"))
+    got = rn.running_totals_desc(df, {"v": "rt"}, buckets=16)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning(v" not in plan
+    assert "_salt" in plan
+    hot = got.where("v = 7").select("rt").distinct().collect()
+    assert [r.rt for r in hot] == [df.where("v >= 7").agg(F.sum("v")).first()[0]]
+
+
+def test_class_queries_use_several_buckets(spark):
+    from sparecast.operators import classify as cl
+    from sparecast.plans.queries import Inputs, _class_demand
+
+    demand = _class_demand(Inputs(spark, SF_CHECK))
+    cuts = rn.plan_buckets(demand, ["value", "qty"])
+    assert all(len(c) > 1 for c in cuts.values())
+    plan = cl.pareto_classes(demand, cuts=cuts)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and "(qty" not in "".join(line for line in plan.splitlines() if "Join" in line)
 
 
 # --- on the shared test tables (sf0.001) -------------------------------------
@@ -145,7 +172,7 @@ def test_grouped_running_total_equals_partitioned_window(spark, buckets):
     a = _random_frame(spark, 11, "decimal").withColumn("g", F.lit("2W"))
     b = _random_frame(spark, 12, "decimal").withColumn("g", F.lit("3W"))
     df = a.unionByName(b).withColumn("id", F.monotonically_increasing_id())
-    got = rn.running_totals_desc(df, {"v": "rt"}, max_buckets=buckets, rows_per_bucket=10, by=["g"])
+    got = rn.running_totals_desc(df, {"v": "rt"}, buckets=buckets, by=["g"])
     ref = df.withColumn("rt_ref", F.sum("v").over(Window.partitionBy("g").orderBy(F.desc("v"))))
     joined = got.join(ref.select("id", "rt_ref"), "id")
     assert joined.count() == df.count()

@@ -65,7 +65,7 @@ def test_classes_with_many_tied_parts_match_single_task_window(spark):
     demand = dm.segment_demand(fx.billing(spark, _hot_rows()), fx.AS_OF, 13, 1, "2W")
     got = {r.Part_no: (r.value_contribution_pct_category, r.qty_contribution_pct_category,
                        r.qty_contribution_cumsum)
-           for r in cl.pareto_classes(demand, max_buckets=8, rows_per_bucket=5).collect()}
+           for r in cl.pareto_classes(demand, buckets=8).collect()}
     totals = demand.agg(F.sum("value").alias("tv"), F.sum("qty").alias("tq")).first()
     ref = (demand
            .withColumn("cv", F.sum("value").over(Window.orderBy(F.desc("value"))))

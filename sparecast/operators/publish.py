@@ -97,56 +97,101 @@ def format_publish(apportioned: DataFrame, master: DataFrame, as_of, segment: st
     )
 
 
+def _number(df: DataFrame, column: str, kind: str) -> F.Column:
+    """A number column, or the number in a text (``1,234.5`` too); NULL where there is none."""
+    text = isinstance(df.schema[column].dataType, T.StringType)
+    value = f"replace(trim(`{column}`), ',', '')" if text else f"`{column}`"
+    return F.expr(f"try_cast({value} AS {kind})")
+
+
 def conform_staging(df: DataFrame) -> DataFrame:
-    """Cast the ten layout columns to the staging types (text dates, double numbers)."""
-    return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in STAGING_SCHEMA.fields])
+    """The ten layout columns in staging types (text dates, double numbers).
+
+    A dealer or quantity that is no number becomes NULL; :func:`checked` tells
+    such rows apart.
+    """
+    return df.select(*[
+        (_number(df, f.name, "DOUBLE") if isinstance(f.dataType, T.DoubleType)
+         else F.col(f"`{f.name}`").cast(f.dataType)).alias(f.name) for f in STAGING_SCHEMA.fields])
+
+
+def _published_columns(date_pattern: str | None) -> list[F.Column]:
+    def date_of(c: str):
+        return F.try_to_date(F.col(c), date_pattern) if date_pattern else F.expr(f"try_cast({c} AS DATE)")
+
+    def trunc_bigint(c: str):
+        return F.expr(f"try_cast({c} AS BIGINT)")
+
+    made = {"order_date": date_of("order_date"), "dealer_id": trunc_bigint("dealer_id"),
+            "order_qty": trunc_bigint("order_qty"), "run_date": date_of("run_date")}
+    return [made.get(c, F.col(c)).alias(c) for c in PUBLISHED_COLUMNS]
 
 
 def to_published(staged: DataFrame, date_pattern: str | None = None) -> DataFrame:
     """Staging rows -> published types and column order.
 
     Dates are parsed as ISO text, or with ``date_pattern`` (e.g. ``yy/MM/dd``);
-    an unparsable date or a non-numeric dealer becomes NULL instead of failing
-    the job.  Doubles are truncated to BIGINT.
+    an unparsable date becomes NULL instead of failing the job.  Doubles are
+    truncated to BIGINT.
     """
-    def date_of(c: str):
-        col = F.col(c)
-        return F.try_to_date(col, date_pattern) if date_pattern else F.expr(f"try_cast({c} AS DATE)")
+    return staged.select(*_published_columns(date_pattern))
 
-    def trunc_bigint(c: str):
-        return F.expr(f"try_cast({c} AS BIGINT)")
 
-    return staged.select(
-        date_of("order_date").alias("order_date"),
-        trunc_bigint("dealer_id").alias("dealer_id"),
-        F.col("country"),
-        F.col("part_id"),
-        trunc_bigint("order_qty").alias("order_qty"),
-        F.col("Material_Description"),
-        F.col("industry"),
-        F.col("ABC_FMS"),
-        date_of("run_date").alias("run_date"),
-        F.col("type"),
-    )
+REJECT = "_reject"
+
+
+def checked(rows: DataFrame, date_pattern: str | None = None) -> DataFrame:
+    """Layout rows in published types with ``_reject``: NULL for rows that can be
+    published, else what is wrong with them.
+
+    A row is rejected when it has no order date or an unreadable one, or when
+    its dealer or quantity is there but is no number.  A missing dealer or
+    quantity stays NULL.
+    """
+    raw = rows.select(*[F.col(f"`{f.name}`") for f in STAGING_SCHEMA.fields])
+    given = [F.col(f"`{c}`").cast("string").alias(f"_given_{c}") for c in ("dealer_id", "order_qty")]
+    staged = raw.select(
+        *[(_number(raw, f.name, "DOUBLE") if isinstance(f.dataType, T.DoubleType)
+           else F.col(f"`{f.name}`").cast(f.dataType)).alias(f.name) for f in STAGING_SCHEMA.fields], *given)
+    typed = staged.select(*_published_columns(date_pattern), "_given_dealer_id", "_given_order_qty")
+    reasons = [F.when(F.col("order_date").isNull(), F.lit("order_date"))]
+    reasons += [F.when(F.col(c).isNull() & (F.trim(f"_given_{c}") != ""), F.lit(c)) for c in ("dealer_id", "order_qty")]
+    return typed.withColumn(REJECT, F.nullif(F.concat_ws(",", *reasons), F.lit(""))).drop("_given_dealer_id", "_given_order_qty")
+
+
+def rejects(rows: DataFrame, date_pattern: str | None = None) -> DataFrame:
+    """The layout rows that cannot be published, with ``_reject``."""
+    return checked(rows, date_pattern).where(F.col(REJECT).isNotNull())
+
+
+def _upload_layout(upload: DataFrame, default_class: str) -> DataFrame:
+    renamed = upload.withColumnRenamed("Material Description", "Material_Description")
+    if "ABC_FMS" not in renamed.columns:
+        return renamed.withColumn("ABC_FMS", F.lit(default_class))
+    return renamed.withColumn("ABC_FMS", F.coalesce(F.col("ABC_FMS"), F.lit(default_class)))
 
 
 def conform_upload(upload: DataFrame, default_class: str = UPLOAD_DEFAULT_CLASS) -> DataFrame:
     """An upload file in staging types: ``Material Description`` renamed and a
     missing class filled with ``default_class``."""
-    renamed = upload.withColumnRenamed("Material Description", "Material_Description")
-    filled = renamed.withColumn("ABC_FMS", F.coalesce(F.col("ABC_FMS"), F.lit(default_class)))
-    return conform_staging(filled)
+    return conform_staging(_upload_layout(upload, default_class))
 
 
 def typed_upload(upload: DataFrame, date_pattern: str = "yy/MM/dd",
                  default_class: str = UPLOAD_DEFAULT_CLASS) -> DataFrame:
-    """An upload file conformed to the published types, checkpointed once.
+    """The rows of an upload file that can be published, in published types, checkpointed once.
 
     Replacing by key reads the uploads twice (keys for the anti join, rows for
     the union); an upload is a manual file, so writing it once to the
     checkpoint folder is cheap and keeps both reads identical.
     """
-    return materialize(to_published(conform_upload(upload, default_class), date_pattern))
+    return checked_upload(upload, date_pattern, default_class).where(F.col(REJECT).isNull()).drop(REJECT)
+
+
+def checked_upload(upload: DataFrame, date_pattern: str = "yy/MM/dd",
+                   default_class: str = UPLOAD_DEFAULT_CLASS) -> DataFrame:
+    """:func:`checked` rows of an upload file, checkpointed once."""
+    return materialize(checked(_upload_layout(upload, default_class), date_pattern))
 
 
 def rows_not_in(target: DataFrame, source: DataFrame, keys: Sequence[str] = PUBLISH_KEYS) -> DataFrame:
@@ -180,39 +225,49 @@ def create_publish_table(spark: SparkSession, name: str) -> None:
     sinks.create_empty_table(spark, name, PUBLISHED_SCHEMA, partition_by="order_date")
 
 
-def publish(layout_rows: DataFrame, target: str, backup: str | None = None,
-            mode: str = "append") -> sinks.WriteReport:
+def publish(layout_rows: DataFrame, target: str, backup: str | None = None, mode: str = "append",
+            segments: Sequence[str] | None = None, run_date=None) -> sinks.WriteReport:
     """Conform, back up the target, write, and report the counts.
 
     ``mode="append"`` (default): appending the same run twice publishes it
-    twice, as the original jobs do.  ``mode="replace_run"``: rows of the same
-    run date and segment in the touched months are replaced (idempotent rerun);
-    ``after == before + inserted - replaced`` then.
+    twice, as the original jobs do.  ``mode="replace_run"``: the rows of the
+    same run (see :func:`replace_run`) go, whatever their month.  Rows that
+    cannot be published are counted and left out (:func:`rejects` has them).
     """
     spark = layout_rows.sparkSession
+    if mode not in ("append", "replace_run"):
+        raise ValueError(f"unknown publish mode {mode!r}")
     create_publish_table(spark, target)
     backup_rows = sinks.snapshot(spark, target, backup) if backup else None
     before = spark.table(target).count()
     if mode == "append":
-        inserted = sinks.append_by_name(to_published(conform_staging(layout_rows)), target)
-    elif mode == "replace_run":
-        inserted = replace_run(layout_rows, target)
-    else:
-        raise ValueError(f"unknown publish mode {mode!r}")
+        rows, good, rejected = _publishable(layout_rows)
+        inserted = sinks.append_by_name(rows, target) if good else 0
+        after = spark.table(target).count()
+        return sinks.WriteReport(target, before, inserted, after, backup_rows, 0, rejected)
+    inserted, rejected = replace_run(layout_rows, target, segments, run_date)
     after = spark.table(target).count()
-    return sinks.WriteReport(target, before, inserted, after, backup_rows)
+    return sinks.WriteReport(target, before, inserted, after, backup_rows, before + inserted - after, rejected)
+
 
+def _publishable(layout_rows: DataFrame) -> tuple[DataFrame, int, int]:
+    """The publishable rows, their number, and the number of rejected ones."""
+    rows = checked(layout_rows)
+    n = rows.agg(F.count(F.lit(1)).alias("rows"), F.count(REJECT).alias("rejected")).first()
+    return rows.where(F.col(REJECT).isNull()).drop(REJECT), n["rows"] - n["rejected"], n["rejected"]
 
-def touched_partitions(rows: DataFrame, column: str = "order_date") -> list:
-    """The distinct partition values ``rows`` write to (a short list of months,
-    read with a one-row aggregate).  Filtering the target with them as literals
-    gives static partition pruning: only those partitions are read."""
-    row = rows.agg(F.collect_set(column).alias("v")).first()
-    return sorted(v for v in (row["v"] if row else []) if v is not None)
 
+def _rows_of_months(target: DataFrame, rows: DataFrame) -> DataFrame:
+    """The target rows in the order dates of ``rows``.
 
-def _in_partitions(target: DataFrame, values: list, column: str = "order_date") -> DataFrame:
-    return target.where(F.col(column).isin(*values)) if values else target.limit(0)
+    The first and last date, read with a one-row aggregate, prune the
+    partitions statically; a semi join leaves the dates that do occur.
+    """
+    span = rows.agg(F.min("order_date").alias("lo"), F.max("order_date").alias("hi")).first()
+    if span is None or span["lo"] is None:
+        return target.where(F.lit(False))
+    near = target.where((F.col("order_date") >= F.lit(span["lo"])) & (F.col("order_date") <= F.lit(span["hi"])))
+    return near.join(rows.select("order_date").distinct(), "order_date", "left_semi").select(*target.columns)
 
 
 def _stage(df: DataFrame, name: str) -> DataFrame:
@@ -222,48 +277,81 @@ def _stage(df: DataFrame, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def replace_run(layout_rows: DataFrame, target: str) -> int:
-    """Publish a run idempotently: in the order months it touches, rows of the
-    same run date and segment are replaced, everything else is kept.  Only the
-    touched ``order_date`` partitions are rewritten.  Returns the rows written
-    for the run (counted while staging, no extra pass)."""
-    from pyspark.sql import Observation
+def _partitioned_by_date(spark: SparkSession, target: str) -> bool:
+    return sinks.partition_columns(spark, target) == ["order_date"]
+
+
+def replace_run(layout_rows: DataFrame, target: str, segments: Sequence[str] | None = None, run_date=None) -> tuple[int, int]:
+    """Publish a run idempotently: all target rows of the run go, the new rows come, everything else is kept.
 
+    The run is every pair of a run date (those of the rows, and ``run_date``)
+    and a segment (``segments``, or those of the rows), in all months: months
+    and named segments that the new rows no longer have are removed too.  The
+    months of the new and the old rows are rewritten by partition where the
+    target is partitioned by ``order_date`` alone and no month becomes empty,
+    else the table is rebuilt and swapped in.  Returns the rows written and rejected.
+    """
     spark = layout_rows.sparkSession
     create_publish_table(spark, target)
-    new = materialize(to_published(conform_staging(layout_rows)))
-    touched = new.select("order_date", "run_date", "industry").distinct()
-    in_touched_months = _in_partitions(spark.table(target), touched_partitions(new))
-    kept = in_touched_months.join(touched, ["order_date", "run_date", "industry"], "left_anti")
-    obs = Observation("replace_run")
-    rows = (kept.select(*PUBLISHED_COLUMNS).withColumn("_new", F.lit(0))
-            .unionByName(new.select(*PUBLISHED_COLUMNS).withColumn("_new", F.lit(1)))
-            .observe(obs, F.sum("_new").alias("new_rows"))
-            .drop("_new"))
-    staged = _stage(rows, f"{target}__stage")
-    sinks.replace_partitions(staged, target)
-    sinks.drop_table(spark, f"{target}__stage")
-    return int(obs.get["new_rows"] or 0)
+    rows, inserted, rejected = _publishable(layout_rows)
+    new = _stage(rows, f"{target}__run")
+    run = new.select("run_date", "industry").distinct()
+    if segments is not None:
+        names = F.explode(F.array(*[F.lit(s) for s in segments])).alias("industry")
+        run = new.select("run_date").distinct().select("run_date", names)
+        if run_date is not None:
+            run = run.union(spark.range(1).select(F.lit(run_date).cast("date"), names)).distinct()
+    elif run_date is not None:
+        run = run.union(new.select(F.lit(run_date).cast("date"), "industry")).distinct()
+    current = spark.table(target).select(*PUBLISHED_COLUMNS)
+    of_run = ["run_date", "industry"]
+    old = current.join(run, of_run, "left_semi").select("order_date").distinct()
+    new_dates = new.select("order_date").distinct()
+    if _partitioned_by_date(spark, target):
+        touched = materialize(old.union(new_dates).distinct())
+        kept = _rows_of_months(current, touched).join(run, of_run, "left_anti")
+        staged = _stage(kept.select(*PUBLISHED_COLUMNS).unionByName(new.select(*PUBLISHED_COLUMNS)), f"{target}__stage")
+        emptied = touched.join(staged.select("order_date").distinct(), [touched.order_date.eqNullSafe(staged.order_date)], "left_anti")
+        if not emptied.limit(1).count():
+            sinks.replace_partitions(staged, target, "order_date")
+            _drop_stages(spark, target)
+            return inserted, rejected
+    kept = current.join(run, of_run, "left_anti")
+    rebuilt = kept.select(*PUBLISHED_COLUMNS).unionByName(new.select(*PUBLISHED_COLUMNS))
+    sinks.swap_table(spark, rebuilt, target, sinks.partition_columns(spark, target))
+    _drop_stages(spark, target)
+    return inserted, rejected
+
+
+def _drop_stages(spark: SparkSession, target: str) -> None:
+    for stage in ("__run", "__stage"):
+        sinks.drop_table(spark, target + stage)
 
 
 def replace_by_key_table(upload: DataFrame, target: str, date_pattern: str = "yy/MM/dd",
-                         keys: Sequence[str] = PUBLISH_KEYS, swap: bool = False) -> int:
-    """Apply a manual upload to the published table; returns the table's new row count.
-
-    Default: only the ``order_date`` partitions the upload touches are read
-    (static partition pruning on the touched months) and rewritten (dynamic
-    partition overwrite from a staged copy).  ``swap=True``
-    rewrites the whole table and swaps it in, keeping ``<target>__backup``.
+                         keys: Sequence[str] = PUBLISH_KEYS, swap: bool = False) -> sinks.WriteReport:
+    """Apply a manual upload to the published table and report the counts.
+
+    Where the target is partitioned by ``order_date`` alone, only the
+    partitions the upload touches are read and rewritten (dynamic partition
+    overwrite from a staged copy).  Any other target, or ``swap=True``, is
+    rebuilt in whole, with its own partitioning, and swapped in, keeping
+    ``<target>__backup``.  Uploads that cannot be published are left out and
+    counted; target rows without a date match no key and stay.
     """
     spark = upload.sparkSession
     create_publish_table(spark, target)
-    uploads = typed_upload(upload, date_pattern)
+    rows = checked_upload(upload, date_pattern)
+    counts = rows.agg(F.count(F.lit(1)).alias("rows"), F.count(REJECT).alias("rejected")).first()
+    uploads = rows.where(F.col(REJECT).isNull()).drop(REJECT)
     current = spark.table(target)
-    if swap:
-        sinks.swap_table(spark, replace_by_key(current, uploads, keys), target, partition_by="order_date")
-        return spark.table(target).count()
-    affected = _in_partitions(current, touched_partitions(uploads))
-    staged = _stage(replace_by_key(affected, uploads, keys), f"{target}__stage")
-    sinks.replace_partitions(staged, target)
-    sinks.drop_table(spark, f"{target}__stage")
-    return spark.table(target).count()
+    before = current.count()
+    if swap or not _partitioned_by_date(spark, target):
+        sinks.swap_table(spark, replace_by_key(current, uploads, keys), target, sinks.partition_columns(spark, target))
+    else:
+        staged = _stage(replace_by_key(_rows_of_months(current, uploads), uploads, keys), f"{target}__stage")
+        sinks.replace_partitions(staged, target, "order_date")
+        _drop_stages(spark, target)
+    inserted = counts["rows"] - counts["rejected"]
+    after = spark.table(target).count()
+    return sinks.WriteReport(target, before, inserted, after, None, before + inserted - after, counts["rejected"])

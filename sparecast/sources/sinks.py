@@ -2,14 +2,21 @@
 
 Tables are Parquet tables in the session catalog (no transactional table format
 is assumed).  A "swap" writes the new content under ``<name>__new`` and then
-renames, so readers never see a missing table for longer than two renames.
+renames, so readers never see a missing table for longer than two renames, and
+whatever is replaced is kept until the new table has its name.
+
+Partitioned writes are first rebalanced on the partition columns: each
+partition is written by as few tasks as its size allows, and a large one by
+several.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -22,12 +29,46 @@ def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+def rename_table(spark: SparkSession, name: str, new: str) -> None:
+    """Rename a table.  The in-memory catalog (sessions without a metastore) moves
+    the files of a managed table but leaves its partitions where they were; they
+    are pointed to the new folder here, one metadata call per partition."""
+    spark.sql(f"ALTER TABLE {name} RENAME TO {new}")
+    if spark.conf.get("spark.sql.catalogImplementation") != "in-memory" or not partition_columns(spark, new):
+        return
+    place = spark.sql(f"DESCRIBE TABLE EXTENDED {new}").where("col_name = 'Location'").first()["data_type"]
+    for row in spark.sql(f"SHOW PARTITIONS {new}").toLocalIterator():
+        pairs = (part.split("=", 1) for part in row[0].split("/"))
+        spec = ", ".join(f"`{unquote(c)}` = {_partition_value(unquote(v))}" for c, v in pairs)
+        spark.sql(f"ALTER TABLE {new} PARTITION ({spec}) SET LOCATION '{place}/{row[0]}'")
+    spark.catalog.refreshTable(new)
+
+
+def _partition_value(text: str) -> str:
+    return "NULL" if text == "__HIVE_DEFAULT_PARTITION__" else "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def partition_columns(spark: SparkSession, name: str) -> list[str]:
+    """The partition columns of a table, in order (empty: not partitioned)."""
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
+def _names(columns: str | list[str] | None) -> list[str]:
+    return [columns] if isinstance(columns, str) else list(columns or [])
+
+
+def clustered(df: DataFrame, columns: str | list[str] | None) -> DataFrame:
+    """``df`` rebalanced on the partition columns it is about to be written by."""
+    names = _names(columns)
+    return df.hint("rebalance", *[F.col(f"`{c}`") for c in names]) if names else df
+
+
 def write_table(df: DataFrame, name: str, partition_by: str | list[str] | None = None,
                 mode: str = "overwrite") -> None:
     """Overwrite (or append to) a Parquet table, optionally partitioned."""
-    writer = df.write.mode(mode).format("parquet")
+    writer = clustered(df, partition_by).write.mode(mode).format("parquet")
     if partition_by:
-        writer = writer.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
+        writer = writer.partitionBy(*_names(partition_by))
     writer.saveAsTable(name)
 
 
@@ -39,10 +80,35 @@ def create_empty_table(spark: SparkSession, name: str, schema: T.StructType,
     write_table(spark.createDataFrame([], schema), name, partition_by, mode="overwrite")
 
 
+def _put_in_place(spark: SparkSession, staged: str, name: str, old: str | None) -> None:
+    """Rename ``staged`` to ``name``; what had that name becomes ``old``, or goes.
+
+    At every step each table that has been complete still exists under some
+    name: the previous ``old`` is dropped last.
+    """
+    if table_exists(spark, name):
+        aside = f"{name}__replaced"
+        if old and table_exists(spark, old):
+            drop_table(spark, f"{old}__replaced")
+            rename_table(spark, old, f"{old}__replaced")
+        drop_table(spark, aside)
+        rename_table(spark, name, old or aside)
+        rename_table(spark, staged, name)
+        drop_table(spark, f"{old}__replaced" if old else aside)
+    else:
+        rename_table(spark, staged, name)
+
+
 def snapshot(spark: SparkSession, source: str, backup: str) -> int:
-    """Copy ``source`` to ``backup`` (replacing it); returns the copied row count."""
-    drop_table(spark, backup)
-    spark.table(source).write.mode("overwrite").format("parquet").saveAsTable(backup)
+    """Copy ``source`` to ``backup`` with the same partitioning; returns the copied row count.
+
+    The copy is written under another name first: a failed write leaves the
+    previous backup as it was.
+    """
+    staged = f"{backup}__new"
+    drop_table(spark, staged)
+    write_table(spark.table(source), staged, partition_columns(spark, source))
+    _put_in_place(spark, staged, backup, None)
     return spark.table(backup).count()
 
 
@@ -54,27 +120,26 @@ def swap_table(spark: SparkSession, df: DataFrame, target: str,
     moved to ``<target>__backup`` (or dropped) and the new one renamed.
     """
     staged = f"{target}__new"
-    backup = f"{target}__backup"
     drop_table(spark, staged)
     write_table(df, staged, partition_by)
-    if table_exists(spark, target):
-        drop_table(spark, backup)
-        if keep_backup:
-            spark.sql(f"ALTER TABLE {target} RENAME TO {backup}")
-        else:
-            drop_table(spark, target)
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {target}")
+    _put_in_place(spark, staged, target, f"{target}__backup" if keep_backup else None)
 
 
 @dataclass(frozen=True)
 class WriteReport:
-    """Row counts around an append: ``after == before + inserted`` holds."""
+    """Row counts around a write: ``after == before + inserted - replaced`` holds.
+
+    ``rejected`` rows could not be published (no date, or a dealer or quantity
+    that is no number) and were left out.
+    """
 
     target: str
     before: int
     inserted: int
     after: int
     backup_rows: int | None = None
+    replaced: int = 0
+    rejected: int = 0
 
 
 def append_by_name(df: DataFrame, target: str) -> int:
@@ -84,24 +149,30 @@ def append_by_name(df: DataFrame, target: str) -> int:
     over ``df`` is needed.
     """
     from pyspark.sql import Observation
-    from pyspark.sql import functions as F
 
-    columns = df.sparkSession.table(target).columns
+    spark = df.sparkSession
+    columns = spark.table(target).columns
     obs = Observation("append")
-    df.select(*columns).observe(obs, F.count(F.lit(1)).alias("rows")).write.insertInto(target)
+    rows = df.select(*columns).observe(obs, F.count(F.lit(1)).alias("rows"))
+    clustered(rows, partition_columns(spark, target)).write.insertInto(target)
     return int(obs.get["rows"])
 
 
-def replace_partitions(df: DataFrame, target: str) -> None:
+def replace_partitions(df: DataFrame, target: str, partition_by: str) -> None:
     """Overwrite only the partitions of ``target`` that ``df`` has rows for.
 
+    ``target`` must be partitioned by exactly ``partition_by``: on any other
+    table a dynamic overwrite would also remove rows that ``df`` never read.
     ``df`` must not read ``target`` itself (stage it first).
     """
     spark = df.sparkSession
+    found = partition_columns(spark, target)
+    if found != [partition_by]:
+        raise ValueError(f"{target} is partitioned by {found}, not by [{partition_by!r}]")
     columns = spark.table(target).columns
     previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        df.select(*columns).write.insertInto(target, overwrite=True)
+        clustered(df.select(*columns), partition_by).write.insertInto(target, overwrite=True)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)

@@ -1,63 +1,92 @@
 """CSV inputs: parts master, monthly plan, manual forecast upload.
 
-Schemas are declared (no inference pass over the file), text is read with the
-encoding the files are delivered in, and only the empty string is NULL so that
-a country code like ``NA`` stays text.
+Columns are found by their header (in any order, further columns are ignored)
+and read as text with the encoding the files are delivered in; a required
+column that is missing is an error.  Only the empty string is NULL, so that a
+country code like ``NA`` stays text.  Numbers are parsed explicitly
+(``1,234.5`` too); rows that cannot be used are reported, never silently NULL.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
-
-PARTS_MASTER_SCHEMA = T.StructType([
-    T.StructField("2W_Part_Id", T.StringType()),
-    T.StructField("3W_Part_Id", T.StringType()),
-    T.StructField("Alternate_Part_Id", T.StringType()),
-    T.StructField("Part_Description", T.StringType()),
-])
-
-PLAN_SCHEMA = T.StructType([
-    T.StructField("Month", T.StringType()),
-    T.StructField("Type", T.StringType()),
-    T.StructField("Plan", T.DoubleType()),
-])
-
-UPLOAD_SCHEMA = T.StructType([
-    T.StructField("order_date", T.StringType()),
-    T.StructField("dealer_id", T.DoubleType()),
-    T.StructField("country", T.StringType()),
-    T.StructField("part_id", T.StringType()),
-    T.StructField("order_qty", T.DoubleType()),
-    T.StructField("type", T.StringType()),
-    T.StructField("Material Description", T.StringType()),
-    T.StructField("industry", T.StringType()),
-    T.StructField("ABC_FMS", T.StringType()),
-    T.StructField("run_date", T.StringType()),
-])
-
-
-def _csv(spark: SparkSession, path: str, schema: T.StructType, encoding: str) -> DataFrame:
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("encoding", encoding)
-        .option("nullValue", "")
-        .option("mode", "PERMISSIVE")
-        .csv(path)
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+PARTS_MASTER_COLUMNS = ("2W_Part_Id", "3W_Part_Id", "Alternate_Part_Id", "Part_Description")
+PLAN_COLUMNS = ("Month", "Type", "Plan")
+UPLOAD_COLUMNS = ("order_date", "dealer_id", "country", "part_id", "order_qty", "type", "Material Description",
+                  "industry", "ABC_FMS", "run_date")
+UPLOAD_OPTIONAL = ("ABC_FMS",)
+
+
+@dataclass(frozen=True)
+class Checked:
+    """The usable rows of a file, and the others as text with a ``reject`` reason."""
+
+    rows: DataFrame
+    rejects: DataFrame
+
+
+def read_by_header(spark: SparkSession, path: str, columns: Sequence[str], encoding: str,
+                   optional: Sequence[str] = ()) -> DataFrame:
+    """The named columns as text (NULL for an optional one that is not there)."""
+    raw = (
+        spark.read.option("header", True).option("encoding", encoding).option("nullValue", "")
+        .option("inferSchema", False).option("mode", "PERMISSIVE").csv(path)
     )
+    found: dict[str, str] = {}
+    for c in raw.columns:
+        found.setdefault(c.strip().lstrip("\ufeff").removeprefix("ï»¿").strip(), c)
+    missing = [c for c in columns if c not in found and c not in optional]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}; it has {', '.join(found) or 'none'}")
+    return raw.select(*[
+        (F.col(f"`{found[c]}`") if c in found else F.lit(None)).cast("string").alias(c) for c in columns])
+
+
+def number(column: str) -> Column:
+    """The number in a text column, thousands separators allowed; NULL where there is none."""
+    return F.expr(f"try_cast(replace(trim(`{column}`), ',', '') AS DOUBLE)")
 
 
 def read_parts_master(spark: SparkSession, path: str, encoding: str = "ISO-8859-1") -> DataFrame:
-    """Active parts master: one id column per segment, a description."""
-    return _csv(spark, path, PARTS_MASTER_SCHEMA, encoding)
+    """Active parts master: one id column per segment, a description (all text, nothing to reject)."""
+    return read_by_header(spark, path, PARTS_MASTER_COLUMNS, encoding)
+
+
+def check_plan(spark: SparkSession, path: str, encoding: str = "UTF-8") -> Checked:
+    """Monthly money plan: ``Month`` (``Nov-24``), ``Type`` (segment), ``Plan``.
 
+    Rejected: a month that is no ``MMM-yy`` label, no segment, a plan that is no number.
+    """
+    text = read_by_header(spark, path, PLAN_COLUMNS, encoding)
+    month = F.trim("Month")
+    readable = F.try_to_date(F.concat(F.lit("01-"), month), "dd-MMM-yy").isNotNull()
+    reasons = F.concat_ws(",", F.when(~F.coalesce(readable, F.lit(False)), "Month"),
+                          F.when(F.coalesce(F.trim("Type"), F.lit("")) == "", "Type"), F.when(number("Plan").isNull(), "Plan"))
+    read = text.withColumn("reject", F.nullif(reasons, F.lit("")))
+    good = read.where(F.col("reject").isNull()).select(month.alias("Month"), F.trim("Type").alias("Type"), number("Plan").alias("Plan"))
+    return Checked(good, read.where(F.col("reject").isNotNull()))
 
-def read_plan(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
-    """Monthly money plan: ``Month`` (``Nov-24``), ``Type`` (segment), ``Plan``."""
-    return _csv(spark, path, PLAN_SCHEMA, encoding)
+
+def read_plan(spark: SparkSession, path: str, encoding: str = "UTF-8", allow_rejects: bool = False) -> DataFrame:
+    """The usable rows of :func:`check_plan`; unusable ones are an error unless allowed.
+
+    A month without a plan is forecast without a money target, so a plan row
+    that cannot be read must not pass unseen.
+    """
+    read = check_plan(spark, path, encoding)
+    if not allow_rejects and (bad := read.rejects.count()):
+        raise ValueError(f"{path}: {bad} plan rows cannot be read (see check_plan(...).rejects)")
+    return read.rows
 
 
 def read_upload(spark: SparkSession, path: str, encoding: str = "ISO-8859-1") -> DataFrame:
-    """Manual forecast upload (dates as text, a column name with a space)."""
-    return _csv(spark, path, UPLOAD_SCHEMA, encoding)
+    """Manual forecast upload, all text (a column name with a space, ``ABC_FMS`` may be missing).
+
+    Dates and numbers are parsed, and unusable rows counted, where the upload is applied.
+    """
+    return read_by_header(spark, path, UPLOAD_COLUMNS, encoding, UPLOAD_OPTIONAL)

@@ -45,8 +45,8 @@ billed AS (
                   JOIN sup_country sc ON l.l_suppkey = sc.s_suppkey),
 billing AS (
   SELECT l_partkey AS MaterialNumber, l_suppkey AS DealerID, n_name AS country,
-         l_shipdate AS BillingDate, CAST(l_quantity AS INTEGER) AS YF2_InvoiceQuantity,
-         CAST(l_extendedprice AS DECIMAL(18,2)) AS YF2_Invoice_ValueinINR,
+         l_shipdate AS BillingDate, CAST(l_quantity AS INTEGER) AS BilledQuantity,
+         CAST(l_extendedprice AS DECIMAL(18,2)) AS BilledValue,
          segment AS industry, line_type AS Type
   FROM billed
   UNION ALL
@@ -55,16 +55,16 @@ billing AS (
   FROM billed WHERE l_linenumber = 7),
 dispatch AS (
   SELECT l.l_partkey AS MaterialNumber, sc.n_name AS Country, l.l_suppkey AS DealerCode,
-         o.o_orderdate AS LeoDate, CAST(l.l_quantity AS BIGINT) AS InvoiceQuantity,
-         CAST(l.l_extendedprice AS DECIMAL(18,2)) AS TotalValueinINR
+         o.o_orderdate AS LeoDate, CAST(l.l_quantity AS BIGINT) AS DispatchQuantity,
+         CAST(l.l_extendedprice AS DECIMAL(18,2)) AS DispatchValue
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
                   JOIN sup_country sc ON l.l_suppkey = sc.s_suppkey),
 master AS (
-  SELECT CASE WHEN segment = '2W' THEN p_partkey END AS "2W_Part_Id",
-         CASE WHEN segment = '3W' THEN p_partkey END AS "3W_Part_Id",
+  SELECT CASE WHEN p_size <= 40 AND segment = '2W' THEN p_partkey END AS "2W_Part_Id",
+         CASE WHEN p_size <= 40 AND segment = '3W' THEN p_partkey END AS "3W_Part_Id",
          CAST(NULL AS BIGINT) AS Alternate_Part_Id,
          p_name AS Part_Description
-  FROM seg_part WHERE p_size <= 40),
+  FROM seg_part),
 plan AS (
   SELECT strftime(date_trunc('month', o.o_orderdate), '%b-%y') AS Month, sp.segment AS Type,
          CAST(SUM(CAST(l.l_extendedprice AS DECIMAL(18,2))) * CAST(2.5 AS DECIMAL(2,1)) AS DOUBLE) AS Plan
@@ -81,14 +81,16 @@ published AS (
          CAST(l_partkey AS VARCHAR) AS part_id, CAST(l_quantity AS BIGINT) AS order_qty,
          p_name AS Material_Description, segment AS industry, 'A_F' AS ABC_FMS,
          CAST(run_day AS DATE) AS run_date, line_type AS type
-  FROM pub_rows WHERE l_linenumber <= 4),
+  FROM pub_rows),
 upload AS (
   SELECT strftime(order_month, '%Y/%m/%d') AS order_date, CAST(l_suppkey AS DOUBLE) AS dealer_id,
-         n_name AS country, CAST(l_partkey AS VARCHAR) AS part_id, l_quantity + 1.0 AS order_qty,
+         n_name AS country,
+         CASE WHEN (l_partkey + l_suppkey) % 3 = 0 THEN '' ELSE 'N' END || CAST(l_partkey AS VARCHAR) AS part_id,
+         l_quantity + 1.0 AS order_qty,
          line_type AS type, p_name AS "Material Description", segment AS industry,
          CASE WHEN l_linenumber <> 6 THEN 'B_M' END AS ABC_FMS,
          strftime(run_day, '%Y/%m/%d') AS run_date
-  FROM pub_rows WHERE l_linenumber >= 4)
+  FROM pub_rows)
 """
 
 
@@ -99,7 +101,7 @@ def demand_cte(name: str, n: int, m: int, segment: str, monthly: bool = False) -
     return f"""{name} AS (
   SELECT Part_Id{month_key}, CAST(SUM(qty) AS BIGINT) AS qty, SUM(value) AS value
   FROM (SELECT DISTINCT MaterialNumber AS Part_Id, CAST(BillingDate AS DATE) AS LeoDate,
-               YF2_InvoiceQuantity AS qty, YF2_Invoice_ValueinINR AS value
+               BilledQuantity AS qty, BilledValue AS value
         FROM billing
         WHERE {window_pred('BillingDate', n, m)} AND industry = '{segment}' AND Type = 'Parts')
   GROUP BY Part_Id{month_group})"""
@@ -110,9 +112,10 @@ def price_cte(name: str, n: int, m: int, by_dealer: bool = False) -> str:
     dealer = "DealerCode, " if by_dealer else ""
     return f"""{name} AS (
   SELECT Part_Id,
-         CASE WHEN q > 0 THEN CAST(((2 * cents + q) // (2 * q)) AS DOUBLE) / 100.0 END AS NDP
-  FROM (SELECT {dealer}MaterialNumber AS Part_Id, SUM(InvoiceQuantity) AS q,
-               CAST(SUM(TotalValueinINR) * 100 AS HUGEINT) AS cents
+         CASE WHEN q <> 0 THEN sign(cents) * sign(q)
+              * CAST((2 * abs(cents) + abs(q)) // (2 * abs(q)) AS DOUBLE) / 100.0 END AS NDP
+  FROM (SELECT {dealer}MaterialNumber AS Part_Id, SUM(DispatchQuantity) AS q,
+               CAST(SUM(DispatchValue) * 100 AS HUGEINT) AS cents
         FROM dispatch WHERE {window_pred('LeoDate', n, m)}
         GROUP BY {dealer}MaterialNumber))"""
 
@@ -166,7 +169,7 @@ def dealer_ctes(segment: str = "2W", s: str = "") -> str:
 dd{s} AS (
   SELECT Part_Id, DealerID, country, CAST(SUM(qty) AS BIGINT) AS qty, SUM(value) AS value
   FROM (SELECT DISTINCT MaterialNumber AS Part_Id, DealerID, country, CAST(BillingDate AS DATE) AS LeoDate,
-               YF2_InvoiceQuantity AS qty, YF2_Invoice_ValueinINR AS value
+               BilledQuantity AS qty, BilledValue AS value
         FROM billing
         WHERE {window_pred('BillingDate', 7, 1)} AND industry = '{segment}' AND Type = 'Parts'
           AND country <> '' AND DealerID IS NOT NULL)
@@ -195,6 +198,7 @@ def weight_case(expr: str, weights: dict) -> str:
     return f"CASE {expr} {whens} ELSE 0 END"
 
 
+# Class weights of the forecast and of the back-test.
 FORECAST_W = {"AF": 4, "AM": 4, "BF": 2, "BM": 2, "CF": 1, "AS": 1, "BS": 1, "CM": 1, "CS": 1}
 BACKTEST_W = {"AF": 20, "AM": 20, "BF": 10, "BM": 5, "CF": 3, "AS": 2, "BS": 1, "CM": 1, "CS": 1}
 
@@ -253,9 +257,10 @@ ff{s} AS (
   FROM ff3{s})"""
 
 
-CLASS_CODE = ("CASE ABC_FMS WHEN 'AF' THEN 'A_F' WHEN 'BF' THEN 'B_F' WHEN 'CF' THEN 'C_F' WHEN 'BM' THEN 'B_M' "
-              "WHEN 'CM' THEN 'C_M' WHEN 'AM' THEN 'A_M' WHEN 'BS' THEN 'B_S' WHEN 'AS' THEN 'A_S' "
-              "WHEN 'CS' THEN 'C_S' ELSE ABC_FMS END")
+def class_code(column: str) -> str:
+    """A pair of class letters with an underscore between them; anything else as it is."""
+    return (f"CASE WHEN regexp_full_match({column}, '[ABC][FMS]') "
+            f"THEN {column}[1:1] || '_' || {column}[2:2] ELSE {column} END")
 
 
 def layout_ctes(segment: str, s: str = "") -> str:
@@ -270,7 +275,7 @@ ap{s} AS (
 lay{s} AS (
   SELECT a.Forecast_month AS order_date, a.DealerID AS dealer_id, a.country, a.Part_Id AS part_id,
          a.Forecast_Qty AS order_qty, 'Forecast' AS type, m.Part_Description AS Material_Description,
-         a.industry, {CLASS_CODE.replace('ABC_FMS', 'a.ABC_FMS')} AS ABC_FMS, '{rd}' AS run_date
+         a.industry, {class_code('a.ABC_FMS')} AS ABC_FMS, '{rd}' AS run_date
   FROM ap{s} a JOIN master m ON a.Part_Id = m."{segment}_Part_Id"),
 stg{s} AS (
   SELECT CAST(order_date AS VARCHAR) AS order_date, CAST(dealer_id AS DOUBLE) AS dealer_id, country,
@@ -373,24 +378,30 @@ def oracle_queries() -> dict[str, str]:
         f"SELECT {PUB_COLS} FROM published UNION ALL SELECT {PUB_COLS} FROM pubnew "
         f"UNION ALL SELECT {PUB_COLS} FROM pubnew_3", full2 + full3)
 
+    q["publish_append_table"] = q["publish_append"]
+    # The run replaces whatever was published under its run date and segments.
+    q["publish_rerun_table"] = _q(
+        f"SELECT {PUB_COLS} FROM published WHERE run_date IS DISTINCT FROM {_d(run_date(AS_OF))} "
+        f"UNION ALL SELECT {PUB_COLS} FROM pubnew UNION ALL SELECT {PUB_COLS} FROM pubnew_3", full2 + full3)
+
     q["rows_not_in_upload"] = _q(f"SELECT {PUB_COLS} FROM kept_target", TYPED_UPLOAD)
     q["replace_by_key"] = _q(f"SELECT {PUB_COLS} FROM kept_target UNION ALL SELECT {PUB_COLS} FROM tu",
                              TYPED_UPLOAD)
 
-    daily = f"""
-  SELECT a.Country, a.Part_Id, a.DealerCode, a.LeoDate, a.qty, a.value
-  FROM (SELECT Country, MaterialNumber AS Part_Id, DealerCode, CAST(LeoDate AS DATE) AS LeoDate,
-               SUM(InvoiceQuantity) AS qty, SUM(TotalValueinINR) AS value
-        FROM dispatch WHERE {window_pred('LeoDate', 2, 1)}
-        GROUP BY Country, MaterialNumber, DealerCode, CAST(LeoDate AS DATE)) a
-  INNER JOIN (SELECT DISTINCT MaterialNumber, industry FROM billing
-              WHERE industry = '2W' AND Type = 'Parts') b ON a.Part_Id = b.MaterialNumber"""
+    q["replace_by_key_table"] = q["replace_by_key_swap"] = q["replace_by_key"]
+
+    sent = f"""
+  SELECT Country, MaterialNumber AS Part_Id, DealerCode, CAST(LeoDate AS DATE) AS LeoDate,
+         DispatchQuantity AS qty, DispatchValue AS value
+  FROM dispatch d
+  WHERE {window_pred('LeoDate', 2, 1)} AND EXISTS (
+    FROM billing b WHERE b.MaterialNumber = d.MaterialNumber AND b.industry = '2W' AND b.Type = 'Parts')"""
     q["parts_in_segment"] = _q(
-        f"SELECT Country, Part_Id, DealerCode, LeoDate, CAST(qty AS BIGINT) AS qty, "
-        f"CAST(value AS DOUBLE) AS value FROM ({daily})")
+        f"SELECT Country, Part_Id, DealerCode, LeoDate, CAST(SUM(qty) AS BIGINT) AS qty, "
+        f"CAST(SUM(value) AS DOUBLE) AS value FROM ({sent}) GROUP BY ALL")
     q["monthly_actuals"] = _q(
         f"SELECT Part_Id, CAST(date_trunc('month', LeoDate) AS DATE) AS start_of_month, "
-        f"CAST(SUM(qty) AS BIGINT) AS qty, CAST(SUM(value) AS DOUBLE) AS value FROM ({daily}) "
+        f"CAST(SUM(qty) AS BIGINT) AS qty, CAST(SUM(value) AS DOUBLE) AS value FROM ({sent}) "
         f"GROUP BY Part_Id, CAST(date_trunc('month', LeoDate) AS DATE)")
     q["published_demand"] = _q(
         "SELECT order_date, part_id AS Part_Id, country AS Country, CAST(SUM(order_qty) AS BIGINT) AS forecast_qty "

@@ -7,10 +7,13 @@ file) are private, so the test tables stand in for them:
               ``l_linenumber = 7`` billed twice (so equal lines exist, which the
               demand dedup must collapse)
 * dispatch  = lineitem x orders x supplier x nation (date = order date)
-* master    = parts with ``p_size <= 40``; the id sits in its segment's column
+* master    = all parts; the id of an active one (``p_size <= 40``) sits in its
+              segment's column, both id columns of the others are NULL
 * plan      = 2.5 x billed value per order month and segment, ``MMM-yy`` label
-* published = billing lines 1-4 as monthly rows of the published layout
-* upload    = billing lines 4-7 with quantity + 1 as an upload file
+* published = all billing lines as monthly rows of the published layout
+* upload    = the same lines with quantity + 1 as an upload file; the part gets
+              a new id where part + dealer is no multiple of 3, so that some
+              keys are replaced and the others are new
 
 Segment: ``2W`` when the first word of ``p_type`` is ECONOMY, SMALL or
 STANDARD, else ``3W``.  Type: ``Accessories`` for returned lines
@@ -31,8 +34,8 @@ MASTER_MAX_SIZE = 40
 REPEATED_LINE = 7
 PLAN_FACTOR = "2.5"
 EXCLUDED_TEST_TEXT = "WIDGET"   # stands in for the excluded product text
-PUBLISHED_MAX_LINE = 4
-UPLOAD_MIN_LINE = 4
+UPLOAD_KEPT_KEYS = 3   # an upload keeps the key where part + dealer is a multiple of this
+UPLOAD_NEW_PART = "N"
 UPLOAD_MISSING_CLASS_LINE = 6
 UPLOAD_CLASS = "B_M"
 UPLOAD_DATE_PATTERN = "yyyy/MM/dd"
@@ -124,8 +127,8 @@ def billing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_suppkey").alias("DealerID"),
         F.col("n_name").alias("country"),
         F.col("l_shipdate").alias("BillingDate"),
-        F.col("l_quantity").cast("int").alias("YF2_InvoiceQuantity"),
-        F.col("l_extendedprice").cast("decimal(18,2)").alias("YF2_Invoice_ValueinINR"),
+        F.col("l_quantity").cast("int").alias("BilledQuantity"),
+        F.col("l_extendedprice").cast("decimal(18,2)").alias("BilledValue"),
         segment_of(F.col("p_type")).alias("industry"),
         _line_type(F.col("l_returnflag")).alias("Type"),
         copies.alias("_copy"),
@@ -144,8 +147,8 @@ def dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("n_name").alias("Country"),
             F.col("l_suppkey").alias("DealerCode"),
             F.col("o_orderdate").alias("LeoDate"),
-            F.col("l_quantity").cast("bigint").alias("InvoiceQuantity"),
-            F.col("l_extendedprice").cast("decimal(18,2)").alias("TotalValueinINR"),
+            F.col("l_quantity").cast("bigint").alias("DispatchQuantity"),
+            F.col("l_extendedprice").cast("decimal(18,2)").alias("DispatchValue"),
         )
     )
 
@@ -154,9 +157,10 @@ def dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def parts_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = _t(spark, sf_dir, "part").select("p_partkey", "p_type", "p_name", "p_size")
     seg = segment_of(F.col("p_type"))
-    return part.where(F.col("p_size") <= MASTER_MAX_SIZE).select(
-        F.when(seg == "2W", F.col("p_partkey")).alias("2W_Part_Id"),
-        F.when(seg == "3W", F.col("p_partkey")).alias("3W_Part_Id"),
+    active = F.col("p_size") <= MASTER_MAX_SIZE
+    return part.select(
+        F.when(active & (seg == "2W"), F.col("p_partkey")).alias("2W_Part_Id"),
+        F.when(active & (seg == "3W"), F.col("p_partkey")).alias("3W_Part_Id"),
         F.lit(None).cast("bigint").alias("Alternate_Part_Id"),
         F.col("p_name").alias("Part_Description"),
     )
@@ -181,8 +185,8 @@ def plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _publish_rows(spark: SparkSession, sf_dir: str, keep: Column) -> DataFrame:
-    lines = _billed_lines(spark, sf_dir).where(keep)
+def _publish_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _billed_lines(spark, sf_dir)
     order_month = F.trunc(F.col("l_shipdate").cast("date"), "MM")
     return lines.select(
         order_month.alias("order_month"),
@@ -197,7 +201,7 @@ def _publish_rows(spark: SparkSession, sf_dir: str, keep: Column) -> DataFrame:
 @_bound
 def published(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the published table (typed as published)."""
-    rows = _publish_rows(spark, sf_dir, F.col("l_linenumber") <= PUBLISHED_MAX_LINE)
+    rows = _publish_rows(spark, sf_dir)
     return rows.select(
         F.col("order_month").alias("order_date"),
         F.col("l_suppkey").alias("dealer_id"),
@@ -215,12 +219,14 @@ def published(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_bound
 def upload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An upload file as read from CSV (dates as text, ``Material Description``)."""
-    rows = _publish_rows(spark, sf_dir, F.col("l_linenumber") >= UPLOAD_MIN_LINE)
+    rows = _publish_rows(spark, sf_dir)
+    kept_key = (F.col("l_partkey") + F.col("l_suppkey")) % UPLOAD_KEPT_KEYS == 0
+    part = F.col("l_partkey").cast("string")
     return rows.select(
         F.date_format("order_month", UPLOAD_DATE_PATTERN).alias("order_date"),
         F.col("l_suppkey").cast("double").alias("dealer_id"),
         F.col("n_name").alias("country"),
-        F.col("l_partkey").cast("string").alias("part_id"),
+        F.when(kept_key, part).otherwise(F.concat(F.lit(UPLOAD_NEW_PART), part)).alias("part_id"),
         (F.col("l_quantity") + F.lit(1.0)).alias("order_qty"),
         F.col("line_type").alias("type"),
         F.col("p_name").alias("Material Description"),

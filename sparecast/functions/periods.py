@@ -68,9 +68,14 @@ def month_label(column: str | Column) -> Column:
     return F.date_format(c, "MMM-yy")
 
 
+# The month names of the plan file (English, whatever the locale).
+MONTH_NAMES = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
+
+
 def month_label_of(d) -> str:
     """Driver-side ``MMM-yy`` label of a literal date."""
-    return to_date(d).strftime("%b-%y")
+    day = to_date(d)
+    return f"{MONTH_NAMES[day.month - 1]}-{day.year % 100:02d}"
 
 
 def first_of_month(column: str | Column) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import BACKTEST_WEIGHTS, EXCLUDED_PART_TEXT, safe_div
+from ..functions.periods import month_label_of, month_start
 from .demand import monthly_demand
 from .forecast import active_parts, base_demand, forecast_frame
 from .pricing import dispatch_lines, unit_price
@@ -25,9 +26,12 @@ def backtest_rows(billing: DataFrame, master: DataFrame, class_table: DataFrame,
                   history: tuple[int, int] = BACKTEST_HISTORY,
                   actual: tuple[int, int] = BACKTEST_ACTUAL,
                   exclude_text: str | None = EXCLUDED_PART_TEXT,
-                  dedup_master: bool = False) -> DataFrame:
+                  dedup_master: bool = False, plan_value: float | None = None) -> DataFrame:
     """Per part: actual quantity of the test month, forecast, absolute error.
 
+    ``plan_value`` is the money plan of the test month; without it the month's
+    rows of ``plan`` are summed.
+
     Output: ``Part_Id, start_of_month, qty, Forecast_month, Rounded_Qty,
     Absolute_error``.  The actuals are joined with the master without
     de-duplication (unless ``dedup_master``), like the forecast side.
@@ -36,6 +40,9 @@ def backtest_rows(billing: DataFrame, master: DataFrame, class_table: DataFrame,
                        weights=weights or BACKTEST_WEIGHTS, exclude_text=exclude_text,
                        dedup_master=dedup_master)
     test_offset = -actual[1]
+    if plan_value is not None:
+        label = month_label_of(month_start(as_of, test_offset))
+        plan = billing.sparkSession.createDataFrame([(label, segment, float(plan_value))], "Month string, Type string, Plan double")
     fc = forecast_frame(base, plan, as_of, segment, horizon=1, first_offset=test_offset).select(
         "Part_Id", "Forecast_month", "Rounded_Qty")
     n, m = actual
@@ -72,11 +79,16 @@ def published_demand(published: DataFrame, run_date, order_date) -> DataFrame:
     )
 
 
-def segment_parts(billing: DataFrame, segment: str, line_type: str = "Parts") -> DataFrame:
-    """Distinct parts ever billed in ``segment`` (``Part_Id``)."""
+def segment_parts(billing: DataFrame, segment: str, wanted: DataFrame, line_type: str = "Parts") -> DataFrame:
+    """The parts (``Part_Id``) of ``wanted`` that were ever billed in ``segment``.
+
+    The whole billing history is filtered to the wanted parts (one month's
+    dispatches) before the DISTINCT, so only their lines are shuffled for it.
+    """
     return (
         billing.where((F.col("industry") == F.lit(segment)) & (F.col("Type") == F.lit(line_type)))
         .select(F.col("MaterialNumber").alias("Part_Id"))
+        .join(wanted.select("Part_Id").distinct(), "Part_Id", "left_semi")
         .distinct()
     )
 
@@ -89,7 +101,7 @@ def dispatch_in_segment(dispatch: DataFrame, billing: DataFrame, as_of, segment:
     lines = dispatch_lines(dispatch, as_of, n, m)
     daily = lines.groupBy("Country", "Part_Id", "DealerCode", "LeoDate").agg(
         F.sum("qty").alias("qty"), F.sum("value").alias("value"))
-    return daily.join(segment_parts(billing, segment), "Part_Id", "left_semi")
+    return daily.join(segment_parts(billing, segment, lines), "Part_Id", "left_semi")
 
 
 def monthly_actuals(dispatch: DataFrame, billing: DataFrame, as_of, segment: str,
@@ -102,10 +114,10 @@ def monthly_actuals(dispatch: DataFrame, billing: DataFrame, as_of, segment: str
     sees one row per part and month.
     """
     n, m = window
-    monthly = dispatch_lines(dispatch, as_of, n, m).groupBy(
-        "Part_Id", F.trunc("LeoDate", "MM").alias("start_of_month")).agg(
+    lines = dispatch_lines(dispatch, as_of, n, m)
+    monthly = lines.groupBy("Part_Id", F.trunc("LeoDate", "MM").alias("start_of_month")).agg(
         F.sum("qty").alias("qty"), F.sum("value").alias("value"))
-    return monthly.join(segment_parts(billing, segment), "Part_Id", "left_semi")
+    return monthly.join(segment_parts(billing, segment, lines), "Part_Id", "left_semi")
 
 
 DEALER_PRICE_WINDOW = (5, 2)

@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.periods import first_of_month, in_month_window
+from ..functions.periods import first_of_month, in_month_window, month_window
 
 PARTS_TYPE = "Parts"
 
@@ -48,8 +48,8 @@ def billing_lines(billing: DataFrame, as_of, n: int, m: int, segment: str | Sequ
         F.col("DealerID"),
         F.col("country"),
         F.col("BillingDate").cast("date").alias("LeoDate"),
-        F.col("YF2_InvoiceQuantity").cast("int").alias("qty"),
-        F.col("YF2_Invoice_ValueinINR").alias("value"),
+        F.col("BilledQuantity").cast("int").alias("qty"),
+        F.col("BilledValue").alias("value"),
         F.col("industry"),
     )
 
@@ -84,6 +84,32 @@ def segment_demand(billing: DataFrame, as_of, n: int, m: int, segment: str | Seq
     )
 
 
+def active_month_demand(billing: DataFrame, as_of, n: int, m: int, segment: str | Sequence[str],
+                        by: Sequence[str] = ("Part_Id",), dedup: bool = True,
+                        line_filter: F.Column | None = None) -> DataFrame:
+    """``*by, _t, Months_Count``: the quantity of a part in the window and its months with a line.
+
+    Every line sets the bit of its month; the bits are OR-ed with the sums, so
+    the months need no grouping of their own.  Windows of up to 63 months.
+    """
+    first, end = month_window(as_of, n, m)
+    months = (end.year - first.year) * 12 + end.month - first.month
+    if months > 63:
+        raise ValueError(f"a window of {months} months has no room in the month bits")
+    lines = billing_lines(billing, as_of, n, m, segment)
+    if line_filter is not None:
+        lines = lines.where(line_filter)
+    lines = lines.select(*by, "LeoDate", "qty", "value")
+    if dedup:
+        lines = lines.distinct()
+    month = (F.year("LeoDate") - first.year) * 12 + F.month("LeoDate") - first.month
+    lines = lines.withColumn("_bit", F.call_function("shiftleft", F.lit(1).cast("bigint"), month))
+    return lines.groupBy(*by).agg(
+        F.sum("qty").cast("bigint").alias("_t"),
+        F.bit_count(F.bit_or("_bit")).cast("bigint").alias("Months_Count"),
+    )
+
+
 def monthly_demand(billing: DataFrame, as_of, n: int, m: int, segment: str,
                    dedup: bool = True) -> DataFrame:
     """Demand per part and month: ``Part_Id, start_of_month, qty, value``."""

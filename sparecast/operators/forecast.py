@@ -36,7 +36,7 @@ from ..functions.expressions import (
 )
 from ..functions.periods import horizon_months, month_label, month_label_of, month_window
 from ..session import materialize
-from .demand import monthly_demand, segment_demand
+from .demand import active_month_demand
 
 # Base demand windows: 9 (2W) or 8 (3W) whole months ending last month.
 BASE_WINDOW = {"2W": (10, 1), "3W": (9, 1)}
@@ -72,36 +72,47 @@ def master_multiplicity(master: DataFrame, segment: str,
     return active_parts(master, segment, exclude_text).groupBy("Part_Id").agg(count.alias("_k"))
 
 
-def avg_active_month(monthly: DataFrame, master: DataFrame, segment: str,
+def avg_active_month(per_part: DataFrame, master: DataFrame, segment: str,
                      exclude_text: str | None = EXCLUDED_PART_TEXT,
                      dedup_master: bool = False) -> DataFrame:
-    """``Part_Id, Total_qty, Months_Count, qty`` for active parts.
+    """``Part_Id, Total_qty, Months_Count, qty`` for active parts, from :func:`active_month_demand`.
 
     ``qty = ceil(Total_qty / Months_Count)``; the divisor counts months with a
     row for the part, not the window length.  A part listed ``k`` times in the
     master has its quantity counted ``k`` times (as a plain inner join would),
     unless ``dedup_master``.
     """
-    per_part = monthly.groupBy("Part_Id").agg(
-        F.sum("qty").alias("_t"), F.count(F.lit(1)).alias("Months_Count"))
-    df = per_part.join(master_multiplicity(master, segment, exclude_text, dedup_master), "Part_Id")
+    return _averages(per_part, master_multiplicity(master, segment, exclude_text, dedup_master), ["Part_Id"])
+
+
+def _averages(per_part: DataFrame, multiplicity: DataFrame, keys: list[str]) -> DataFrame:
     total = (F.col("_t") * F.col("_k")).cast("bigint")
-    return df.select(
-        "Part_Id",
-        total.alias("Total_qty"),
-        "Months_Count",
-        F.ceil(total / F.col("Months_Count")).cast("double").alias("qty"),
-    )
+    return per_part.join(multiplicity, keys).select(
+        *keys, total.alias("Total_qty"), "Months_Count",
+        F.ceil(total / F.col("Months_Count")).cast("double").alias("qty"))
+
 
+def class_pairs(class_table: DataFrame, keys: tuple[str, ...] = ("Part_Id",)) -> DataFrame:
+    """Distinct ``*keys, ABC_class, Fsn_class, NDP`` rows of a class table.
 
-def class_pairs(class_table: DataFrame) -> DataFrame:
-    """Distinct ``Part_Id, ABC_class, Fsn_class, NDP`` rows of a class table."""
-    return class_table.select(
-        F.col("Part_no").alias("Part_Id"),
+    Dealt by the keys once: both the DISTINCT and the join that follows use it.
+    """
+    rows = class_table.withColumnRenamed("Part_no", "Part_Id").select(
+        *keys,
         F.col("value_contribution_pct_category").alias("ABC_class"),
         F.col("qty_contribution_pct_category").alias("Fsn_class"),
         F.col("NDP"),
-    ).distinct()
+    )
+    return rows.repartition(*keys).distinct()
+
+
+def _with_classes(avg: DataFrame, pairs: DataFrame, keys: list[str], weights: dict | None) -> DataFrame:
+    pair = F.concat(F.col("ABC_class"), F.col("Fsn_class"))
+    return avg.join(pairs, keys).withColumns({
+        "OrderValue": F.col("qty") * F.col("NDP"),
+        "ABC_FMS": pair,
+        "ABC_FMS_Ratio": lookup(pair, weights or FORECAST_WEIGHTS, 0),
+    })
 
 
 def base_demand(billing: DataFrame, master: DataFrame, class_table: DataFrame, as_of,
@@ -111,14 +122,9 @@ def base_demand(billing: DataFrame, master: DataFrame, class_table: DataFrame, a
     """Base demand rows: ``Part_Id, Total_qty, Months_Count, qty, ABC_class,
     Fsn_class, NDP, OrderValue, ABC_FMS, ABC_FMS_Ratio``."""
     n, m = window or BASE_WINDOW[segment]
-    monthly = monthly_demand(billing, as_of, n, m, segment, dedup=dedup)
-    avg = avg_active_month(monthly, master, segment, exclude_text, dedup_master)
-    pair = F.concat(F.col("ABC_class"), F.col("Fsn_class"))
-    return avg.join(class_pairs(class_table), "Part_Id").withColumns({
-        "OrderValue": F.col("qty") * F.col("NDP"),
-        "ABC_FMS": pair,
-        "ABC_FMS_Ratio": lookup(pair, weights or FORECAST_WEIGHTS, 0),
-    })
+    per_part = active_month_demand(billing, as_of, n, m, segment, dedup=dedup)
+    avg = avg_active_month(per_part, master, segment, exclude_text, dedup_master)
+    return _with_classes(avg, class_pairs(class_table), ["Part_Id"], weights)
 
 
 def base_demand_segments(billing: DataFrame, master: DataFrame, class_table: DataFrame, as_of,
@@ -140,31 +146,13 @@ def base_demand_segments(billing: DataFrame, master: DataFrame, class_table: Dat
         start, end = month_window(as_of, sn, sm)
         cond = (F.col("industry") == F.lit(s)) & (F.col("LeoDate") >= F.lit(start)) & (F.col("LeoDate") < F.lit(end))
         keep = cond if keep is None else keep | cond
-    monthly = segment_demand(billing, as_of, n, m, segments, by=("industry", "Part_Id"), monthly=True,
-                             dedup=dedup, line_filter=keep)
-    per_part = monthly.groupBy("industry", "Part_Id").agg(
-        F.sum("qty").alias("_t"), F.count(F.lit(1)).alias("Months_Count"))
+    keys = ["industry", "Part_Id"]
+    per_part = active_month_demand(billing, as_of, n, m, segments, by=keys, dedup=dedup, line_filter=keep)
     mult = None
     for s in segments:
         one = master_multiplicity(master, s, exclude_text, dedup_master).withColumn("industry", F.lit(s))
         mult = one if mult is None else mult.unionByName(one)
-    total = (F.col("_t") * F.col("_k")).cast("bigint")
-    avg = per_part.join(mult, ["industry", "Part_Id"]).select(
-        "industry", "Part_Id", total.alias("Total_qty"), "Months_Count",
-        F.ceil(total / F.col("Months_Count")).cast("double").alias("qty"))
-    pairs = class_table.select(
-        "industry",
-        F.col("Part_no").alias("Part_Id"),
-        F.col("value_contribution_pct_category").alias("ABC_class"),
-        F.col("qty_contribution_pct_category").alias("Fsn_class"),
-        F.col("NDP"),
-    ).distinct()
-    pair = F.concat(F.col("ABC_class"), F.col("Fsn_class"))
-    return avg.join(pairs, ["industry", "Part_Id"]).withColumns({
-        "OrderValue": F.col("qty") * F.col("NDP"),
-        "ABC_FMS": pair,
-        "ABC_FMS_Ratio": lookup(pair, weights or FORECAST_WEIGHTS, 0),
-    })
+    return _with_classes(_averages(per_part, mult, keys), class_pairs(class_table, tuple(keys)), keys, weights)
 
 
 def month_plan(plan: DataFrame, segment, months) -> DataFrame:

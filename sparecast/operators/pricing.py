@@ -22,8 +22,8 @@ def dispatch_lines(dispatch: DataFrame, as_of, n: int, m: int) -> DataFrame:
         F.col("DealerCode"),
         F.col("Country"),
         F.col("LeoDate").cast("date").alias("LeoDate"),
-        F.col("InvoiceQuantity").alias("qty"),
-        F.col("TotalValueinINR").alias("value"),
+        F.col("DispatchQuantity").alias("qty"),
+        F.col("DispatchValue").alias("value"),
     )
 
 
@@ -58,8 +58,8 @@ def unit_prices_by_segment(dispatch: DataFrame, as_of, windows: dict) -> DataFra
     lines = dispatch.where((F.col("LeoDate") >= F.lit(lo)) & (F.col("LeoDate") < F.lit(hi))).select(
         F.col("MaterialNumber").alias("Part_Id"),
         F.col("LeoDate").cast("date").alias("LeoDate"),
-        F.col("InvoiceQuantity").alias("qty"),
-        F.col("TotalValueinINR").alias("value"),
+        F.col("DispatchQuantity").alias("qty"),
+        F.col("DispatchValue").alias("value"),
     )
     aggs, prices = [], []
     for i, (seg, (start, end)) in enumerate(bounds.items()):

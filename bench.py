@@ -46,7 +46,7 @@ def main() -> None:
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
 
     from sparecast.plans.queries import registry
-    from sparecast.session import local_session
+    from tests.session import local_session
 
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "8")),
                           app="sparecast-bench")

@@ -6,7 +6,6 @@ Sub-packages:
 * ``sources``    table/CSV readers, table writers, and the test-data binding
 * ``operators``  DataFrame-in/DataFrame-out domain operators
 * ``plans``      end-to-end jobs and the registry of named queries
-* ``streaming``  (empty: the monthly jobs are batch only)
 
 Every operator takes an explicit ``as_of`` date instead of reading the clock.
 """

@@ -3,9 +3,9 @@
     python -m sparecast.plans.cli month --as-of 2025-04-15 \
         --billing db.billing --dispatch db.dispatch \
         --master /data/Active_Parts_Master.csv --plan /data/2W_3W_Monthly_Plan.csv \
-        --published db.ib_industry_country_spare
+        --published db.planning_published
 
-    python -m sparecast.plans.cli upload --upload /data/upload.csv --published db.ib_industry_country_spare
+    python -m sparecast.plans.cli upload --upload /data/upload.csv --published db.planning_published
     python -m sparecast.plans.cli backtest --as-of 2025-04-15 ...
     python -m sparecast.plans.cli monthly_inputs --as-of 2025-05-15 --run-date 2025-04-03 \
         --order-date 2025-05-01 ...
@@ -22,6 +22,7 @@ import sys
 from dataclasses import asdict
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from ..sources import sinks
 from . import jobs
@@ -37,10 +38,13 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--dispatch")
     p.add_argument("--master")
     p.add_argument("--plan")
+    p.add_argument("--billing-columns", default="", help="canonical=own,... for columns with other names")
+    p.add_argument("--dispatch-columns", default="", help="canonical=own,... for columns with other names")
+    p.add_argument("--plan-value", type=float, help="backtest: the plan of the test month (one segment only)")
     p.add_argument("--exclude-text", default="BATTERY")
-    p.add_argument("--prefix", default="ib_spares")
-    p.add_argument("--published", default="ib_industry_country_spare")
-    p.add_argument("--backup", default="ib_industry_country_spare_backup")
+    p.add_argument("--prefix", default="planning")
+    p.add_argument("--published", default="planning_published")
+    p.add_argument("--backup", default="planning_published_backup")
     p.add_argument("--mode", choices=["append", "replace_run"], default="append")
     p.add_argument("--upload")
     p.add_argument("--date-pattern", default="yy/MM/dd")
@@ -49,11 +53,30 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
+def _names(text: str) -> dict[str, str] | None:
+    return dict(pair.split("=", 1) for pair in text.split(",") if pair) or None
+
+
+def _monthly_inputs(spark, src, tables, args, segments) -> dict[str, str]:
+    """One table per input; the actuals hold all segments, with ``industry``."""
+    frames: dict = {}
+    for s in segments:
+        of_segment = jobs.monthly_inputs(spark, src, tables, args.as_of, args.run_date, args.order_date, s)
+        actuals = of_segment.pop("monthly_actuals").withColumn("industry", F.lit(s))
+        known = frames.get("monthly_actuals")
+        frames["monthly_actuals"] = actuals if known is None else known.unionByName(actuals)
+        frames.update(of_segment)   # the others are the same for every segment
+    for name, df in frames.items():
+        sinks.write_table(df, f"{tables.prefix}_{name}")
+    return {name: f"{tables.prefix}_{name}" for name in frames}
+
+
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"sparecast-{args.step}").getOrCreate()
     src = jobs.Sources(billing=args.billing, dispatch=args.dispatch, master=args.master, plan=args.plan,
-                       exclude_text=args.exclude_text)
+                       exclude_text=args.exclude_text, billing_columns=_names(args.billing_columns),
+                       dispatch_columns=_names(args.dispatch_columns))
     tables = jobs.Tables(prefix=args.prefix, published=args.published, backup=args.backup or None)
     segments = tuple(s for s in args.segments.split(",") if s)
     out: object = None
@@ -62,18 +85,16 @@ def main(argv: list[str] | None = None) -> int:
     elif args.step in ("classify", "forecast", "apportion"):
         getattr(jobs, args.step)(spark, src, tables, args.as_of, segments)
     elif args.step == "publish":
-        out = asdict(jobs.publish(spark, tables, args.mode))
+        out = asdict(jobs.publish(spark, tables, args.mode, segments, args.as_of))
     elif args.step == "upload":
-        out = {"published_rows": jobs.upload(spark, tables, args.upload, args.date_pattern)}
+        out = asdict(jobs.upload(spark, tables, args.upload, args.date_pattern))
     elif args.step == "monthly_inputs":
-        frames = jobs.monthly_inputs(spark, src, tables, args.as_of, args.run_date, args.order_date,
-                                     segments[0])
-        for name, df in frames.items():
-            sinks.write_table(df, f"{tables.prefix}_{name}")
-        out = {name: f"{tables.prefix}_{name}" for name in frames}
+        out = _monthly_inputs(spark, src, tables, args, segments)
     elif args.step == "backtest":
-        row = jobs.backtest(spark, src, tables, args.as_of, segments[0]).first()   # one-row report
-        out = row.asDict() if row is not None else None
+        if args.plan_value is not None and len(segments) != 1:
+            raise SystemExit("--plan-value needs exactly one segment")
+        rows = ((s, jobs.backtest(spark, src, tables, args.as_of, s, args.plan_value).first()) for s in segments)
+        out = {s: row.asDict() for s, row in rows if row is not None}   # one-row reports
     if out is not None:
         print(json.dumps(out, default=str))
     return 0

@@ -25,6 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.periods import run_date as run_date_of
 from ..operators import accuracy as acc
 from ..operators import apportion as ap
 from ..operators import classify as cl
@@ -53,15 +54,24 @@ class Sources:
     master: object
     plan: object
     exclude_text: str = fc.EXCLUDED_PART_TEXT
+    #: Canonical column -> the source's own column, where they differ.
+    billing_columns: dict[str, str] | None = None
+    dispatch_columns: dict[str, str] | None = None
+
+    def billing_lines(self, spark: SparkSession) -> DataFrame:
+        return read_billing(spark, _frame(spark, self.billing), self.billing_columns)
+
+    def dispatch_lines(self, spark: SparkSession) -> DataFrame:
+        return read_dispatch(spark, _frame(spark, self.dispatch), self.dispatch_columns)
 
 
 @dataclass
 class Tables:
     """Names of the tables the jobs write."""
 
-    prefix: str = "ib_spares"
-    published: str = "ib_industry_country_spare"
-    backup: str | None = "ib_industry_country_spare_backup"
+    prefix: str = "planning"
+    published: str = "planning_published"
+    backup: str | None = "planning_published_backup"
 
     @property
     def classes(self) -> str:
@@ -91,8 +101,8 @@ def classify(spark: SparkSession, src: Sources, tables: Tables, as_of,
              segments=("2W", "3W")) -> DataFrame:
     """Write the class table of all segments (one pass over the invoice lines and
     one over the dispatches); return the category counts per segment (lazy)."""
-    billing = read_billing(spark, _frame(spark, src.billing))
-    dispatch = read_dispatch(spark, _frame(spark, src.dispatch))
+    billing = src.billing_lines(spark)
+    dispatch = src.dispatch_lines(spark)
     sinks.write_table(cl.classify_segments(billing, dispatch, as_of, segments), tables.classes,
                       partition_by="industry")
     return spark.table(tables.classes).groupBy("industry", "categorisation").agg(F.count(F.lit(1)).alias("count"))
@@ -103,7 +113,7 @@ def forecast(spark: SparkSession, src: Sources, tables: Tables, as_of, segments=
     lines over the widest demand window; each segment keeps its own months),
     partitioned by segment and month."""
     segments = tuple(segments)
-    billing = read_billing(spark, _frame(spark, src.billing))
+    billing = src.billing_lines(spark)
     master = _frame(spark, src.master, csv_src.read_parts_master)
     plan = _frame(spark, src.plan, csv_src.read_plan)
     base = fc.base_demand_segments(billing, master, spark.table(tables.classes), as_of, segments,
@@ -116,7 +126,7 @@ def apportion(spark: SparkSession, src: Sources, tables: Tables, as_of, segments
     """Write the dealer/country forecast of all segments in the publish layout
     (one pass over the invoice lines for the ratios), partitioned by order date."""
     segments = tuple(segments)
-    billing = read_billing(spark, _frame(spark, src.billing))
+    billing = src.billing_lines(spark)
     master = _frame(spark, src.master, csv_src.read_parts_master)
     forecasts = spark.table(tables.part_forecasts).where(F.col("industry").isin(*segments))
     ratios = ap.dealer_ratios(billing, as_of, segments)
@@ -125,35 +135,40 @@ def apportion(spark: SparkSession, src: Sources, tables: Tables, as_of, segments
                       partition_by="order_date")
 
 
-def publish(spark: SparkSession, tables: Tables, mode: str = "append") -> sinks.WriteReport:
+def publish(spark: SparkSession, tables: Tables, mode: str = "append", segments=None, as_of=None) -> sinks.WriteReport:
     """Write the dealer forecast of all segments to the published table (backup first).
 
-    ``mode="append"`` as the original jobs; ``"replace_run"`` makes a rerun idempotent.
+    ``mode="append"`` as the original jobs; ``"replace_run"`` makes a rerun
+    idempotent: the earlier rows of the run of ``as_of`` and of ``segments`` go,
+    also where the forecast has no such rows any more.
     """
-    return pb.publish(spark.table(tables.dealer_forecast), tables.published, tables.backup, mode)
+    run = run_date_of(as_of) if as_of is not None else None
+    return pb.publish(spark.table(tables.dealer_forecast), tables.published, tables.backup, mode, segments, run)
 
 
-def upload(spark: SparkSession, tables: Tables, upload_source, date_pattern: str = "yy/MM/dd") -> int:
+def upload(spark: SparkSession, tables: Tables, upload_source, date_pattern: str = "yy/MM/dd") -> sinks.WriteReport:
     """Apply a manual upload (CSV path or DataFrame) to the published table by key."""
     up = _frame(spark, upload_source, csv_src.read_upload)
     return pb.replace_by_key_table(up, tables.published, date_pattern)
 
 
-def backtest(spark: SparkSession, src: Sources, tables: Tables, as_of, segment: str = "2W") -> DataFrame:
-    """Accuracy of last month's forecast from history ending two months back."""
-    billing = read_billing(spark, _frame(spark, src.billing))
+def backtest(spark: SparkSession, src: Sources, tables: Tables, as_of, segment: str = "2W",
+             plan_value: float | None = None) -> DataFrame:
+    """Accuracy of last month's forecast from history ending two months back
+    (``plan_value``: that month's plan, instead of the plan's rows)."""
+    billing = src.billing_lines(spark)
     master = _frame(spark, src.master, csv_src.read_parts_master)
     plan = _frame(spark, src.plan, csv_src.read_plan)
     rows = acc.backtest_rows(billing, master, tables.class_table(spark, segment), plan, as_of, segment,
-                             exclude_text=src.exclude_text)
+                             exclude_text=src.exclude_text, plan_value=plan_value)
     return acc.accuracy(rows)
 
 
 def monthly_inputs(spark: SparkSession, src: Sources, tables: Tables, as_of, run_date, order_date,
                    segment: str = "2W") -> dict[str, DataFrame]:
     """Published demand of one run and month, monthly actuals, dealer unit prices."""
-    billing = read_billing(spark, _frame(spark, src.billing))
-    dispatch = read_dispatch(spark, _frame(spark, src.dispatch))
+    billing = src.billing_lines(spark)
+    dispatch = src.dispatch_lines(spark)
     return {
         "published_demand": acc.published_demand(spark.table(tables.published), run_date, order_date),
         "monthly_actuals": acc.monthly_actuals(dispatch, billing, as_of, segment),
@@ -168,4 +183,4 @@ def run_month(spark: SparkSession, src: Sources, tables: Tables, as_of,
     classify(spark, src, tables, as_of, segments)
     forecast(spark, src, tables, as_of, segments)
     apportion(spark, src, tables, as_of, segments)
-    return publish(spark, tables, mode)
+    return publish(spark, tables, mode, segments, as_of)

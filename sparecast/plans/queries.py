@@ -8,6 +8,7 @@ types agree one to one.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -24,6 +25,8 @@ from ..operators import forecast as fc
 from ..operators import publish as pb
 from ..operators.pricing import unit_price
 from ..operators.running import materialize_for_running_totals, running_totals_desc
+from ..session import materialize
+from ..sources import sinks
 from ..sources import testdata as td
 from .oracle import AS_OF
 
@@ -173,7 +176,7 @@ def q_active_parts(spark, sf_dir):
 def q_avg_active_month(spark, sf_dir):
     i = Inputs(spark, sf_dir)
     n, m = fc.BASE_WINDOW["2W"]
-    return fc.avg_active_month(dm.monthly_demand(i.billing, i.as_of, n, m, "2W"), i.master, "2W",
+    return fc.avg_active_month(dm.active_month_demand(i.billing, i.as_of, n, m, "2W"), i.master, "2W",
                                i.exclude_text)
 
 
@@ -247,6 +250,47 @@ def q_replace_by_key(spark, sf_dir):
     return pb.replace_by_key(i.published, i.typed_upload())
 
 
+def _own_table(spark: SparkSession, what: str) -> str:
+    """A table name no other run has; the table stays in the session's warehouse for the returned frame."""
+    return f"sparecast_{what}_{uuid.uuid4().hex}"
+
+
+def q_publish_append_table(spark, sf_dir):
+    """``publish_append`` through the catalog: backup, append by name, counts."""
+    i, name = Inputs(spark, sf_dir), _own_table(spark, "append")
+    sinks.write_table(i.published, name, partition_by="order_date")
+    report = pb.publish(_layout_all(i), name, f"{name}_backup")
+    assert report.after == report.before + report.inserted and report.backup_rows == report.before
+    return spark.table(name).select(*pb.PUBLISHED_COLUMNS)
+
+
+def q_publish_rerun_table(spark, sf_dir):
+    """The same run published by ``append`` and again by ``replace_run``: the rows of one run."""
+    i, name = Inputs(spark, sf_dir), _own_table(spark, "rerun")
+    sinks.write_table(i.published, name, partition_by="order_date")
+    dealer = materialize(_layout_all(i))
+    pb.publish(dealer, name)
+    report = pb.publish(dealer, name, mode="replace_run", segments=SEGMENTS, run_date=run_date(i.as_of))
+    assert report.replaced >= report.inserted
+    return spark.table(name).select(*pb.PUBLISHED_COLUMNS)
+
+
+def q_replace_by_key_table(spark, sf_dir):
+    """``replace_by_key`` on a table partitioned by order date (dynamic overwrite of the touched months)."""
+    i, name = Inputs(spark, sf_dir), _own_table(spark, "upload")
+    sinks.write_table(i.published, name, partition_by="order_date")
+    pb.replace_by_key_table(i.upload, name, td.UPLOAD_DATE_PATTERN)
+    return spark.table(name).select(*pb.PUBLISHED_COLUMNS)
+
+
+def q_replace_by_key_swap(spark, sf_dir):
+    """``replace_by_key`` on a table without partitions (whole rebuild and swap, backup kept)."""
+    i, name = Inputs(spark, sf_dir), _own_table(spark, "swap")
+    sinks.write_table(i.published, name)
+    pb.replace_by_key_table(i.upload, name, td.UPLOAD_DATE_PATTERN)
+    return spark.table(name).select(*pb.PUBLISHED_COLUMNS)
+
+
 def q_parts_in_segment(spark, sf_dir):
     i = Inputs(spark, sf_dir)
     return _money(acc.dispatch_in_segment(i.dispatch, i.billing, i.as_of, "2W"), "value")
@@ -363,6 +407,10 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "publish_layout": q_publish_layout,
         "conform_types": q_conform_types,
         "publish_append": q_publish_append,
+        "publish_append_table": q_publish_append_table,
+        "publish_rerun_table": q_publish_rerun_table,
+        "replace_by_key_table": q_replace_by_key_table,
+        "replace_by_key_swap": q_replace_by_key_swap,
         "rows_not_in_upload": q_rows_not_in_upload,
         "replace_by_key": q_replace_by_key,
         "parts_in_segment": q_parts_in_segment,

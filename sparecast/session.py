@@ -1,17 +1,15 @@
-"""Session settings and lineage cuts.
+"""Recommended session settings and lineage cuts.
 
 Library code never creates its own session; it uses the one it is given.
-``local_session`` exists for tests and the benchmark only.
 """
 
 from __future__ import annotations
 
-import tempfile
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings the jobs are tuned for.  On a cluster these belong in the job
-# submission; ``local_session`` applies them for tests and the benchmark.
+# Settings the jobs are tuned for.  On a cluster these belong in the job submission.
 RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -27,23 +25,6 @@ RECOMMENDED_CONF = {
 }
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "sparecast",
-                  extra: dict | None = None) -> SparkSession:
-    """A local session for tests and benchmarks (never used by library code)."""
-    builder = (
-        SparkSession.builder.master(f"local[{cores}]")
-        .appName(app)
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", "8g")
-    )
-    for k, v in {**RECOMMENDED_CONF, **(extra or {})}.items():
-        builder = builder.config(k, v)
-    spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
-    return spark
-
-
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder the cluster names, if any."""
     sc = spark.sparkContext
@@ -57,14 +38,12 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return None
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's checkpoint folder; only when none is set (local tests)
-    create a private one."""
-    found = checkpoint_dir(spark)
-    if found:
-        return found
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sparecast-ckpt-"))
-    return spark.sparkContext.getCheckpointDir()
+def _has_checkpoint_dir(spark: SparkSession) -> bool:
+    if checkpoint_dir(spark) is not None:
+        return True
+    warnings.warn("spark.checkpoint.dir is not set: intermediate results are computed again wherever they are read",
+                  RuntimeWarning, stacklevel=3)
+    return False
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -74,11 +53,10 @@ def materialize(df: DataFrame) -> DataFrame:
     that later stages read several times; recomputing them would rescan the
     fact tables.  The checkpoint is reliable storage, so a lost executor does
     not force a recomputation.  Without a checkpoint folder the plan stays lazy
-    (Spark then recomputes the input where it is referenced: correct, slower).
+    (Spark then recomputes the input where it is referenced: correct, slower)
+    and a warning says so.
     """
-    if checkpoint_dir(df.sparkSession) is None:
-        return df
-    return df.checkpoint(eager=True)
+    return df.checkpoint(eager=True) if _has_checkpoint_dir(df.sparkSession) else df
 
 
 def materialize_observed(df: DataFrame, aggregates: list) -> tuple[DataFrame, dict]:
@@ -90,7 +68,7 @@ def materialize_observed(df: DataFrame, aggregates: list) -> tuple[DataFrame, di
     """
     from pyspark.sql import Observation
 
-    if checkpoint_dir(df.sparkSession) is None:
+    if not _has_checkpoint_dir(df.sparkSession):
         row = df.agg(*aggregates).first()
         return df, (row.asDict() if row is not None else {})
     obs = Observation("materialize")

@@ -78,7 +78,7 @@ def compare(spark, con, name: str, query, sql: str, sf_dir: str) -> dict:
 def main(argv: list[str]) -> int:
     sys.path.insert(0, ".")
     from __spark_entry__ import oracle_sql, queries
-    from sparecast.session import local_session
+    from tests.session import local_session
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:] or list(queries())

@@ -13,7 +13,7 @@ SF_BENCH = "/root/testdata/sf0.1"
 
 @pytest.fixture(scope="session")
 def spark():
-    from sparecast.session import local_session
+    from tests.session import local_session
 
     warehouse = tempfile.mkdtemp(prefix="sparecast-wh-")
     s = local_session("*", shuffle_partitions=8, app="sparecast-tests",

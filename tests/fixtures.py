@@ -14,8 +14,8 @@ BILLING_SCHEMA = T.StructType([
     T.StructField("DealerID", T.StringType()),
     T.StructField("country", T.StringType()),
     T.StructField("BillingDate", T.DateType()),
-    T.StructField("YF2_InvoiceQuantity", T.DoubleType()),
-    T.StructField("YF2_Invoice_ValueinINR", T.DecimalType(18, 2)),
+    T.StructField("BilledQuantity", T.DoubleType()),
+    T.StructField("BilledValue", T.DecimalType(18, 2)),
     T.StructField("industry", T.StringType()),
     T.StructField("Type", T.StringType()),
 ])

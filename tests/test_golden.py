@@ -26,7 +26,7 @@ DEMAND_SCHEMA = T.StructType([
 def classes(spark, values, buckets=8):
     rows = [(f"P{i + 1}", int(v), Decimal(v)) for i, v in enumerate(values)]
     df = spark.createDataFrame(rows, DEMAND_SCHEMA)
-    out = cl.pareto_classes(df, max_buckets=buckets, rows_per_bucket=1).collect()
+    out = cl.pareto_classes(df, buckets=buckets).collect()
     by = {r.Part_no: r for r in out}
     return ([by[f"P{i + 1}"].value_contribution_pct_category for i in range(len(values))],
             [by[f"P{i + 1}"].qty_contribution_pct_category for i in range(len(values))],
@@ -174,16 +174,18 @@ def test_g5_replace_by_key(spark):
 
 
 def test_g5_upload_text_dates_and_default_class(spark):
-    from sparecast.sources.csv import UPLOAD_SCHEMA
+    from sparecast.sources.csv import UPLOAD_COLUMNS
 
+    schema = T.StructType([T.StructField(c, T.DoubleType() if c in ("dealer_id", "order_qty") else T.StringType())
+                           for c in UPLOAD_COLUMNS])
     upload = spark.createDataFrame(
         [("25/05/01", 7.0, "IN", "P", 5.7, "Forecast", "desc", "2W", None, "25/04/03"),
-         ("25/05/01", None, "IN", "Q", 1.0, "Forecast", "desc", "2W", "B_M", "bad")], UPLOAD_SCHEMA)
+         ("25/05/01", None, "IN", "Q", 1.0, "Forecast", "desc", "2W", "B_M", "bad")], schema)
     rows = sorted(pb.to_published(pb.conform_upload(upload), "yy/MM/dd").collect(), key=lambda r: r.part_id)
     assert rows[0].order_date == dt.date(2025, 5, 1)
     assert rows[0].dealer_id == 7 and rows[0].order_qty == 5          # truncated
     assert rows[0].ABC_FMS == "A_F" and rows[0].run_date == dt.date(2025, 4, 3)
-    assert rows[1].dealer_id is None and rows[1].run_date is None       # rejected, not an error
+    assert rows[1].dealer_id is None and rows[1].run_date is None       # NULL, not an error
 
 
 # G6 -------------------------------------------------------------------------
@@ -223,3 +225,29 @@ def test_g5_replace_by_key_with_shared_lineage(spark):
     assert out == [(1, 10), (2, 21), (3, 30)]
     kept = sorted(r.dealer_id for r in pb.rows_not_in(target, target.where("dealer_id <> 2")).collect())
     assert kept == [2]
+
+
+def test_negative_net_quantity_is_priced(spark):
+    """More returned than sent: the price of the net, rounded half away from zero."""
+    import datetime as dt
+    from decimal import Decimal
+
+    from sparecast.operators.pricing import unit_price
+
+    schema = "MaterialNumber string, Country string, DealerCode string, LeoDate date, DispatchQuantity bigint, DispatchValue decimal(18,2)"
+    day = dt.date(2000, 8, 1)
+    rows = [("P1", "C", "D", day, 2, Decimal("5.00")), ("P1", "C", "D", day, -10, Decimal("-27.00")),
+            ("P2", "C", "D", day, -2, Decimal("0.01")), ("P3", "C", "D", day, 3, Decimal("9.00")), ("P3", "C", "D", day, -3, Decimal("-1.00"))]
+    got = {r.Part_Id: r.NDP for r in unit_price(spark.createDataFrame(rows, schema), fx.AS_OF, 7, 2).collect()}
+    assert got == {"P1": 2.75, "P2": -0.01, "P3": None}
+
+
+def test_unknown_segments_raise(spark):
+    with pytest.raises(KeyError):
+        cl.classify_segments(fx.billing(spark, []), fx.billing(spark, []), fx.AS_OF, ("2W", "4W"))
+
+
+def test_plan_labels_do_not_follow_the_locale():
+    from sparecast.functions.periods import month_label_of
+
+    assert [month_label_of(f"2024-{m:02d}-15") for m in (1, 5, 12)] == ["Jan-24", "May-24", "Dec-24"]

@@ -142,8 +142,8 @@ def _joined_result(docs: DataFrame, id_col: str, text_col: str, windows: DataFra
     slot = F.shiftrightunsigned("hash", 64 - BITMAP_BITS).cast("int")
     bits = np.zeros(1 << BITMAP_BITS, bool)
     sizes = [r[0] for r in windows.select("size").distinct().orderBy("size").collect()]  # WINDOW values at most
-    slots = windows.select((slot / 32).cast("int").alias("w"), F.pmod(slot, F.lit(32)).alias("b")).groupBy("w").agg(
-        F.bit_or(F.shiftleft(F.lit(1).cast("long"), F.col("b"))).alias("m"))
+    slots = windows.select((slot / 32).cast("int").alias("w"), (slot % 32).alias("b")).groupBy("w").agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("b"))).alias("m"))
     for r in slots.toLocalIterator():  # 2 ** BITMAP_BITS / 32 rows at most, whatever the input
         for b in range(32):
             bits[r.w * 32 + b] = r.m >> b & 1

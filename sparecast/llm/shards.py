@@ -141,7 +141,12 @@ class Edges:
 
 
 def _finer(groups: DataFrame, cells: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and group counts of finer cells inside the given ones: at most ``CELLS`` + one per cell."""
+    """Starts and group counts of finer cells inside the given ones: two for each of ``CELLS`` pieces at most.
+
+    A piece gives the start of its first group and that of its last one, which
+    is then a cell of its own; so every cell of several groups is divided, and
+    groups that crowd beside a huge one are in a narrow cell the next time.
+    """
     pieces = max(2, CELLS // len(cells))
     lo = np.array([c[0] for c in cells], np.int64)
     hi = np.array([c[1] for c in cells], np.int64)
@@ -157,13 +162,21 @@ def _finer(groups: DataFrame, cells: list[tuple[int, int]]) -> tuple[np.ndarray,
             if len(start):
                 piece = (start - lo_[cell]) // step[cell]
                 first = np.flatnonzero(np.concatenate([[True], (np.diff(cell) != 0) | (np.diff(piece) != 0)]))
-                n = np.diff(np.append(first, len(start)))
+                upto = np.append(first[1:], len(start))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cell[first]), pa.array(piece[first]), pa.array(start[first]), pa.array(n)], ["cell", "piece", "start", "n"])
+                    [pa.array(cell[first]), pa.array(piece[first]), pa.array(start[first]), pa.array(start[upto - 1]), pa.array(upto - first)],
+                    ["cell", "piece", "start", "last", "n"])
+
+    found = groups.select("start").mapInArrow(run, "cell long, piece long, start long, last long, n long")
+    rows = found.groupBy("cell", "piece").agg(F.min("start").alias("start"), F.max("last").alias("last"), F.sum("n").alias("n")).collect()
+    return edges_of_pieces([r.start for r in rows], [r["last"] for r in rows], [r.n for r in rows])
+
 
-    found = groups.select("start").mapInArrow(run, "cell long, piece long, start long, n long")
-    rows = found.groupBy("cell", "piece").agg(F.min("start").alias("start"), F.sum("n").alias("n")).select("start", "n").collect()
-    return np.array([r.start for r in rows], np.int64), np.array([r.n for r in rows], np.int64)
+def edges_of_pieces(first: list[int], last: list[int], n: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Cell starts and counts of pieces with ``n`` groups from ``first`` to ``last`` (starts)."""
+    a, b, k = (np.array(x, np.int64) for x in (first, last, n))
+    several = k > 1
+    return np.concatenate([a, b[several]]), np.concatenate([np.where(several, k - 1, k), np.ones(several.sum(), np.int64)])
 
 
 def smallest_capacity(groups: DataFrame, total: int, shards: int) -> tuple[int, Edges]:

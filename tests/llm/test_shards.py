@@ -5,7 +5,7 @@ import random
 import zlib
 
 from sparecast.llm import shards as sharding
-from sparecast.llm.shards import Edges, shard_documents
+from sparecast.llm.shards import Edges, edges_of_pieces, shard_documents
 
 from . import brute
 from .conftest import ODD_TEXTS
@@ -67,11 +67,9 @@ def test_capacity_search_with_unknown_cells():
                 step = max(1, -(-(b - a) // 3))
                 for s in starts:
                     if a <= s < b:
-                        first, n = found.get((a, (s - a) // step), (s, 0))
-                        found[a, (s - a) // step] = (first, n + 1)
-            import numpy as np
-
-            edges.divide(np.array([f for f, _ in found.values()]), np.array([n for _, n in found.values()]))
+                        first, _, n = found.get((a, (s - a) // step), (s, s, 0))
+                        found[a, (s - a) // step] = (first, s, n + 1)
+            edges.divide(*edges_of_pieces(*(list(x) for x in zip(*found.values()))))
         assert high == brute.smallest_capacity(sizes, shards)
         cuts = [*edges.even_cuts(high, shards), sum(sizes)]
         assert all(0 <= b - a <= high for a, b in zip(cuts, cuts[1:])) and set(cuts) <= {*starts, sum(sizes)}

@@ -110,10 +110,30 @@ SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept,
 FROM d JOIN g ON d.t = g.t
 """
 
+_WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+#: Decontamination as a join of all windows, written out as text.
+OP10_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+s AS (SELECT item, w, least(10, len(w)) AS size FROM b WHERE len(w) > 0),
+iw AS (SELECT DISTINCT item, size, array_to_string(w[p:p + size - 1], ' ') AS t
+       FROM (SELECT item, w, size, unnest(generate_series(1, len(w) - size + 1)) AS p FROM s)),
+dw AS (SELECT r, size, p, array_to_string(w[p:p + size - 1], ' ') AS t
+       FROM (SELECT r, w, size, unnest(generate_series(1, len(w) - size + 1)) AS p
+             FROM d CROSS JOIN (SELECT DISTINCT size FROM iw) WHERE len(w) >= size)),
+hits AS (SELECT DISTINCT dw.r, dw.p, dw.size, iw.item FROM dw JOIN iw ON dw.size = iw.size AND dw.t = iw.t),
+n AS (SELECT r, count(DISTINCT q) AS n_hit FROM (SELECT r, unnest(generate_series(p, p + size - 1)) AS q FROM hits) GROUP BY r),
+i AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n ON d.r = n.r LEFT JOIN i ON d.r = i.r
+"""
+
 
 def llm_queries() -> dict[str, Query]:
     return {f.__name__: f for f in QUERIES}
 
 
 def llm_sql() -> dict[str, str]:
-    return {"op7_exact_dedup": OP7_SQL}
+    return {"op7_exact_dedup": OP7_SQL, "op10_decontamination": OP10_SQL}

@@ -18,7 +18,7 @@ import time
 import duckdb
 
 EXACT = os.environ.get("COMPARE_EXACT") == "1"
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "benchmark")
 
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:

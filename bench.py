@@ -15,6 +15,7 @@ import json
 import os
 import re
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -32,6 +33,9 @@ HEADLINE = (
     "publish_layout",
     "publish_append",
     "replace_by_key",
+    "publish_append_table",
+    "publish_rerun_table",
+    "replace_by_key_table",
     "monthly_actuals",
     "backtest_accuracy",
 )
@@ -49,7 +53,8 @@ def main() -> None:
     from tests.session import local_session
 
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "8")),
-                          app="sparecast-bench")
+                          app="sparecast-bench",
+                          extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="sparecast-bench-")})
     reg = registry()
 
     def run(name: str, folder: str) -> float:

@@ -7,7 +7,8 @@ verified word for word; the words inside verified windows are hit.
 
 The hash set is broadcast only while the windows' text stays below
 ``max_broadcast_bytes``.  Beyond that, the document windows that pass a bitmap
-of fixed size are joined with the benchmark's windows in a shuffle instead.
+of fixed size are joined with the benchmark's windows in a shuffle instead,
+and their hits with the documents by the text's SHA-256.
 
 Defined results: a null or empty text has no words and no hits; a null item
 text has no windows; a null item_id hits words but is not listed as an item;
@@ -23,7 +24,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -135,8 +136,15 @@ def _arrow(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
-def _joined_result(docs: DataFrame, id_col: str, text_col: str, windows: DataFrame) -> DataFrame:
-    """The same rows through a bitmap of fixed size and a shuffle join, for a benchmark of any size."""
+def _key(text_col: str) -> Column:
+    return F.sha2(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), 256)
+
+
+def _joined_hits(docs: DataFrame, text_col: str, windows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``key, n_words`` of every distinct text and ``key, first, size, item`` of every verified hit.
+
+    A bitmap of fixed size and a shuffle join, for a benchmark of any size; the key is the text's SHA-256.
+    """
     folder = work_folder(docs.sparkSession)
     windows = stored(windows, f"{folder}/windows")
     slot = F.shiftrightunsigned("hash", 64 - BITMAP_BITS).cast("int")
@@ -169,18 +177,27 @@ def _joined_result(docs: DataFrame, id_col: str, text_col: str, windows: DataFra
         kinds = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["key", "n_words", "first", "size", "hash", "words"])
 
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("t")).withColumn("key", F.sha2("t", 256))
-    texts = rows.select("key", "t").distinct()
+    texts = docs.select(_key(text_col).alias("key"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("t")).distinct()
     seen = stored(per_batch(texts, run, "key string, n_words long, first long, size int, hash long, words binary"), f"{folder}/seen")
     hits = seen.filter("first >= 0").drop("n_words").join(windows, ["size", "hash", "words"])
-    hit = hits.select("key", F.explode(F.sequence("first", F.col("first") + F.col("size") - 1)).alias("p")).distinct()
-    hit = hit.groupBy("key").agg(F.count("*").alias("n_hit"))
+    return seen.filter("first < 0").select("key", "n_words"), hits
+
+
+def _hit_words(hits: DataFrame) -> DataFrame:
+    """``key, p``: the places of the words inside verified windows, each once."""
+    return hits.select("key", F.explode(F.sequence("first", F.col("first") + F.col("size") - 1)).alias("p")).distinct()
+
+
+def _joined_result(docs: DataFrame, id_col: str, text_col: str, windows: DataFrame) -> DataFrame:
+    """The same rows as ``_broadcast_result``, for a benchmark of any size."""
+    texts, hits = _joined_hits(docs, text_col, windows)
+    hit = _hit_words(hits).groupBy("key").agg(F.count("*").alias("n_hit"))
     items = hits.groupBy("key").agg(F.sort_array(F.collect_set("item")).alias("items"))
-    per_text = (seen.filter("first < 0").select("key", "n_words").join(hit, "key", "left").join(items, "key", "left")
+    per_text = (texts.join(hit, "key", "left").join(items, "key", "left")
                 .select("key", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
                         F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
                         F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256).alias("items_sha256")))
-    out = rows.select("id", "key").join(per_text, "key")
+    out = docs.select(F.col(f"`{id_col}`").alias("id"), _key(text_col).alias("key")).join(per_text, "key")
     return out.select(F.col("id").alias(id_col), "n_words", "n_hit", "n_items", "items_sha256", (F.col("n_hit") > 0).alias("contaminated"))
 
 
@@ -215,10 +232,10 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text"
     windows = benchmark_windows(benchmark, item_col, item_text_col, size)
     rows = _if_small(windows, max_broadcast_bytes)
     if rows is None:
-        raise ValueError("the benchmark's windows exceed max_broadcast_bytes: use contamination() and a join by id")
+        return _joined_without(docs, text_col, windows, mode)
     shared = docs.sparkSession.sparkContext.broadcast(rows)
     held: list[WindowSet] = []
-    place, names = docs.columns.index(text_col), docs.columns
+    place = docs.columns.index(text_col)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         if not held:
@@ -227,30 +244,65 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text"
         for at, texts in passes(utf8_texts(batch.column(place))):
             w = Words(texts, ALNUM)
             inside = _covered(w, held[0].hits(w))
-            marked = np.bincount(w.text[inside], minlength=len(texts)) > 0
-            keep += (~marked).tolist()
-            base = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
-            for i in np.flatnonzero(marked).tolist():
-                lo, hi = w.bounds[i], w.bounds[i + 1]
-                cut[at + i] = _without(texts[i], w.starts[lo:hi] - base[i], w.ends[lo:hi] - base[i], inside[lo:hi])
-        if mode == "drop":
-            return batch.filter(pa.array(keep))
-        texts_out = batch.column(place).to_pylist()
-        for i, t in cut.items():
-            texts_out[i] = t
-        columns = list(batch.columns)
-        columns[place] = pa.array(texts_out, batch.schema.field(place).type)
-        if "n_chars" in names:
-            at = names.index("n_chars")
-            lengths = columns[at].to_pylist()
-            for i, t in cut.items():
-                lengths[i] = len(t)
-            columns[at] = pa.array(lengths, batch.schema.field(at).type)
-        return pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+            keep += (np.bincount(w.text[inside], minlength=len(texts)) == 0).tolist()
+            cut.update((at + i, t) for i, t in _cut(w, texts, inside))
+        return batch.filter(pa.array(keep, pa.bool_())) if mode == "drop" else _replaced(batch, place, cut)
 
     return per_batch(docs, run, docs.schema)
 
 
+def _joined_without(docs: DataFrame, text_col: str, windows: DataFrame, mode: str) -> DataFrame:
+    """The same rows for a benchmark of any size: hits by the text's SHA-256, joined with the documents."""
+    _, hits = _joined_hits(docs, text_col, windows)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = docs.select(F.struct(*columns).alias("row"), _key(text_col).alias("key"))
+    if mode == "drop":
+        return keyed.join(hits.select("key").distinct(), "key", "left_anti").select("row.*")
+    places = _hit_words(hits).groupBy("key").agg(F.collect_list("p").alias("places"))
+    rows = keyed.join(places, "key", "left").select("row.*", F.col("places").alias("__places"))
+    place = docs.columns.index(text_col)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        at_words, cut = batch.column(batch.num_columns - 1), {}
+        for at, texts in passes(utf8_texts(batch.column(place))):
+            w = Words(texts, ALNUM)
+            inside = np.zeros(len(w.starts), bool)
+            for i in range(len(texts)):
+                if (p := at_words[at + i].as_py()) is not None:
+                    inside[w.bounds[i] + np.array(p, np.int64)] = True
+            cut.update((at + i, t) for i, t in _cut(w, texts, inside))
+        docs_only = pa.RecordBatch.from_arrays(batch.columns[:-1], schema=pa.schema(list(batch.schema)[:-1]))
+        return _replaced(docs_only, place, cut)
+
+    return per_batch(rows, run, docs.schema)
+
+
+def _cut(w: Words, texts: list[bytes], inside: np.ndarray) -> list[tuple[int, str]]:
+    """``(number of the text, text without its hit words)`` of the texts with a hit."""
+    base = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
+    out = []
+    for i in np.unique(w.text[inside]).tolist():
+        lo, hi = w.bounds[i], w.bounds[i + 1]
+        out.append((i, _without(texts[i], w.starts[lo:hi] - base[i], w.ends[lo:hi] - base[i], inside[lo:hi])))
+    return out
+
+
+def _replaced(batch: pa.RecordBatch, place: int, cut: dict[int, str]) -> pa.RecordBatch:
+    """The batch with the cut texts and, where there is such a column, their ``n_chars``."""
+    texts = batch.column(place).to_pylist()
+    for i, t in cut.items():
+        texts[i] = t
+    columns = list(batch.columns)
+    columns[place] = pa.array(texts, batch.schema.field(place).type)
+    if "n_chars" in batch.schema.names:
+        at = batch.schema.names.index("n_chars")
+        lengths = columns[at].to_pylist()
+        for i, t in cut.items():
+            lengths[i] = len(t)
+        columns[at] = pa.array(lengths, batch.schema.field(at).type)
+    return pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+
+
 def _without(text: bytes, starts: np.ndarray, ends: np.ndarray, inside: np.ndarray) -> str:
     """The text without its hit words and what stands between two of them."""
     edge = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8)))

@@ -49,3 +49,19 @@ def test_dropping_and_cutting(spark, odd):
     docs = spark.createDataFrame([(1, "before, one two; after", 99), (2, "clean", 5)], "doc_id long, text string, n_chars long")
     cut = {r.doc_id: (r.text, r.n_chars) for r in decontaminated(docs, _items(spark), mode="cut").collect()}
     assert cut == {1: ("before, ; after", 15), 2: ("clean", 5)}
+
+
+def test_dropping_and_cutting_beyond_the_broadcast_bound(spark, odd, empty):
+    docs = spark.createDataFrame([(1, "before, one two; after", 99, "k"), (2, "clean", 5, "k"), (2, "clean", 5, "k"), (3, None, 0, None),
+                                  (4, "One TWO", 7, "é, one two, one two 漢字 \U0001F600 é.")], "doc_id long, text string, n_chars long, key string")
+    cases = [(odd, "text"), (docs, "text"), (docs, "key"), (empty, "text")]
+    for rows, col in cases:
+        for mode in ("drop", "cut"):
+            both = [decontaminated(rows, _items(spark), text_col=col, mode=mode, max_broadcast_bytes=n) for n in (32 << 20, 0)]
+            assert both[1].schema == rows.schema
+            small, large = (collections.Counter(map(tuple, x.collect())) for x in both)
+            assert small == large
+    cut = {r.doc_id: (r.text, r.n_chars) for r in decontaminated(docs, _items(spark), mode="cut", max_broadcast_bytes=0).collect()}
+    assert cut == {1: ("before, ; after", 15), 2: ("clean", 5), 3: (None, 0), 4: ("", 0)}
+    left = decontaminated(docs, _items(spark), max_broadcast_bytes=0).collect()
+    assert sorted(r.doc_id for r in left) == [2, 2, 3]

@@ -39,8 +39,7 @@ _TAG = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<rest2>[^>]*)(?:>|\Z)", re.DOTALL)
-_NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
-_HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?until)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 _COMMA = re.compile("[,،、，]")
 
@@ -81,16 +80,38 @@ class Node:
         self.inline = tag in INLINE
 
 
+def _attributes(rest: str) -> dict[str, str]:
+    """The attributes of a tag; of one name the first counts."""
+    out: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(rest):
+        out.setdefault(name.lower(), "".join(values))
+    return out
+
+
+def _hidden(attributes: dict[str, str]) -> bool:
+    """A ``hidden`` attribute, ``aria-hidden`` of true, or a last ``display`` declaration of none."""
+    if attributes.get("hidden", "until-found").strip().lower() != "until-found":
+        return True
+    if attributes.get("aria-hidden", "").strip().lower() == "true":
+        return True
+    display = ""
+    for declaration in html.unescape(attributes.get("style", "")).split(";"):
+        name, _, value = declaration.partition(":")
+        if name.strip().lower() == "display":
+            display = value.lower().replace("!important", "").strip()
+    return display == "none"
+
+
 def _unwanted(tag: str, rest: str) -> bool:
     if tag in LEFT_OUT:
         return True
     if tag in KEPT_WHOLE or not rest:
         return False
-    if _HIDDEN.search(rest):
+    attributes = _attributes(rest)
+    if _hidden(attributes):
         return True
-    for m in _NAMES.finditer(rest):
-        value = m.group(2) or m.group(3) or m.group(4) or ""
-        parts = [p.lower() for p in _PART.findall(value)]
+    for key in ("class", "id", "role"):
+        parts = [p.lower() for p in _PART.findall(attributes.get(key, ""))]
         if tag == "article":
             if not ARTICLE_UNWANTED.isdisjoint(parts):
                 return True

@@ -65,3 +65,21 @@ def test_rows(spark):
     got = sorted(map(tuple, extract(pages).collect()), key=str)
     assert got == sorted([(1, "u", "a", 1), (1, "u", "a", 1), (None, None, "", 0)], key=str)
     assert extract(pages.filter("false")).count() == 0
+
+
+@pytest.mark.parametrize("attribute, kept", [
+    ('style="overflow:hidden"', True), ('class="overflow-hidden"', True), ('aria-hidden="false"', True), ('data-x="hidden"', True),
+    ('title="display:none"', True), ('hidden="until-found"', True), ("hidden=until-found", True), ('style="display:none;display:block"', True),
+    ('data-hidden', True), ('style="visibility:hidden"', True), ("data-role='menu'", True),
+    ("hidden", False), ("HIDDEN=''", False), ('hidden="hidden"', False), ("aria-hidden=TRUE", False), ("style='color:red; Display : NONE !important'", False),
+])
+def test_hidden_elements(attribute, kept):
+    for tag in ("div", "article", "section"):
+        got = main_text(f"<body><p>Other, {LONG}</p><p>Other, {LONG}</p><{tag} {attribute}><p>{LONG} {LONG}</p></{tag}></body>")
+        assert (f"{LONG} {LONG}" in got) == kept
+    want = "See the coast, now." if kept else "See the , now."
+    assert main_text(f"<article><p>See the <a href='/hidden-coast' {attribute}>coast</a>, now.</p></article>") == want
+
+
+def test_words_in_other_attributes():
+    assert main_text("<article><p>See the <a href='/hidden-coast?id=ad'>coast</a>, now.</p></article>") == "See the coast, now."

@@ -66,18 +66,22 @@ CLOSES = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl
           "td": ("td th", "table tr"), "th": ("td th", "table tr"), "thead": ("thead tbody tfoot tr td th", "table"),
           "tbody": ("thead tbody tfoot tr td th", "table"), "tfoot": ("thead tbody tfoot tr td th", "table"), "option": ("option", "select")}
 SCOPES = frozenset("html body article aside main section nav header footer table td th div form ul ol dl blockquote".split())
+#: An open paragraph outside of these isn't closed by what they hold.
+BOUNDS = SCOPES | LEFT_OUT
+FOREIGN = frozenset(("svg", "math"))  # their elements may end with their start tag
 
 
 class Node:
-    __slots__ = ("tag", "parent", "start", "end", "children", "points", "chars", "links", "own", "commas", "inline")
+    __slots__ = ("tag", "parent", "start", "end", "children", "points", "chars", "links", "own", "commas", "inline", "out")
 
-    def __init__(self, tag: str, parent: Node | None, start: int) -> None:
+    def __init__(self, tag: str, parent: Node | None, start: int, out: bool = False) -> None:
         self.tag, self.parent, self.start, self.end = tag, parent, start, start
         self.children: list[Node] = []
         self.points = 0.0
         self.chars = self.links = 0  # of the whole element, without white space runs
         self.own = self.commas = 0  # of the text whose nearest block this is
         self.inline = tag in INLINE
+        self.out = out  # left out, or inside an element that is
 
 
 def _attributes(rest: str) -> dict[str, str]:
@@ -128,7 +132,6 @@ class Page:
         self.root = Node("html", None, 0)
         self.nodes = [self.root]
         self.stack = [self.root]
-        self.dropped: list[str] = []  # open elements inside one that is left out, that one first
         at = 0
         while at < len(source):
             cut = source.find("<", at)
@@ -160,7 +163,7 @@ class Page:
             self._pop()
 
     def _text(self, raw: str) -> None:
-        if self.dropped:
+        if self.stack[-1].out:
             return
         text = html.unescape(raw) if "&" in raw else raw
         self.pieces.append(text)
@@ -176,31 +179,30 @@ class Page:
             n.links += chars * linked
 
     def _open(self, tag: str, rest: str) -> None:
-        if self.dropped:
-            if tag not in VOID:
-                if tag in CLOSES and self.dropped[-1] in CLOSES[tag][0].split() and len(self.dropped) > 1:
-                    self.dropped.pop()
-                self.dropped.append(tag)
-            return
         if tag == "html" or tag == "body" and any(n.tag == "body" for n in self.stack):
             return
-        if tag not in INLINE:
-            self.pieces.append(" ")
-        if tag in VOID:
-            return
         if tag in CLOSES_P:
-            self._end(("p",), SCOPES)
+            self._end(("p",), BOUNDS)
         if tag in CLOSES:
             names, bounds = CLOSES[tag]
-            self._end(tuple(names.split()), frozenset(bounds.split()))
-        if _unwanted(tag, rest):
-            if not rest.rstrip().endswith("/") or tag in LEFT_OUT:
-                self.dropped.append(tag)
+            self._end(tuple(names.split()), LEFT_OUT.union(bounds.split()))
+        out = self.stack[-1].out
+        if tag not in INLINE and not out:
+            self.pieces.append(" ")
+        if tag in VOID:
+            return
+        ends = rest.rstrip().endswith("/")
+        if ends and (tag in FOREIGN or out and any(n.tag in FOREIGN for n in self.stack)):
             return
-        node = Node(tag, self.stack[-1], len(self.pieces))
-        self.stack[-1].children.append(node)
+        if not out and _unwanted(tag, rest):
+            if ends and tag not in LEFT_OUT:
+                return
+            out = True
+        node = Node(tag, self.stack[-1], len(self.pieces), out)
         self.stack.append(node)
-        self.nodes.append(node)
+        if not out:
+            node.parent.children.append(node)
+            self.nodes.append(node)
 
     def _end(self, names: tuple[str, ...], bounds: frozenset[str]) -> None:
         """Close the innermost open element of these names, unless a bound comes first."""
@@ -214,22 +216,14 @@ class Page:
         return None
 
     def _close(self, tag: str) -> None:
-        if self.dropped:
-            if tag in self.dropped:
-                while self.dropped.pop() != tag:
-                    pass
-            elif tag not in INLINE and tag in SCOPES and any(n.tag == tag for n in self.stack[1:]):
-                self.dropped.clear()  # left open inside its container, which ends here
-                self._close(tag)
-            return
-        if tag not in INLINE:
+        if tag not in INLINE and not self.stack[-1].out:
             self.pieces.append(" ")
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i].tag == tag:
                 while len(self.stack) > i:
                     self._pop()
                 return
-            if tag in INLINE and not self.stack[i].inline:
+            if tag in INLINE and not self.stack[i].inline or tag not in SCOPES and self.stack[i].tag in LEFT_OUT:
                 return
 
     def _pop(self) -> None:

@@ -83,3 +83,19 @@ def test_hidden_elements(attribute, kept):
 
 def test_words_in_other_attributes():
     assert main_text("<article><p>See the <a href='/hidden-coast?id=ad'>coast</a>, now.</p></article>") == "See the coast, now."
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<article><p hidden>Cookies<p>First paragraph</p><p>Second</p></article>", "First paragraph Second"),
+    ("<article><p class=notice>Cookies<p>First paragraph</p><p>Second</p></article>", "First paragraph Second"),
+    ("<article><p hidden>Cookies<ul><li>One<li>Two</ul><p>Second</article>", "One Two Second"),
+    ("<article><ul><li hidden>No<li>One<li>Two</ul></article>", "One Two"),
+    ("<article><ul><li class=ad>No<ul><li>no<li>no</ul><li>One<li>Two</ul></article>", "One Two"),
+    ("<article><dl><dt hidden>No<dd>One<dt class=ad>No<dd>Two</dl></article>", "One Two"),
+    ("<article><table><tr hidden><td>No<td>no<tr><td hidden>No<td>One<tr><td>Two</table></article>", "One Two"),
+    ("<article><p>One <button>no<p>no</button> and <svg><path/><g><text>no</svg>two</p><nav><li>no<p>no</nav>three</article>", "One and two three"),
+    ("<article><ul><li>One<nav><li>no</nav> two<li>three</ul></article>", "One two three"),
+    ("<article><p>One <span hidden>no</p><p>Two</p></article>", "One Two"),
+])
+def test_omitted_end_tags_of_what_is_left_out(page, want):
+    assert main_text(f"<body>{page}</body>") == want

@@ -2,9 +2,14 @@
 
 The page becomes a tree (unclosed and stray tags are put right as browsers do
 in the common cases).  Elements that never hold article text are left out:
-menus, headers, footers, sidebars, forms, scripts, styles, and elements whose
-class, id or role names a notice, advert, comment section or the like.  Each
-block of text of some length earns points for its length and its commas and
+menus, headers, footers, sidebars, forms, scripts, styles, hidden elements, and
+elements whose class, id or role has a notice, advert, comment section or the
+like as its main part.  A named element stays when it holds an article element
+or, but for comments and what stands beside an article element, more than half
+of the page's points.  A page without an article element that names leave with
+hardly any text is read once more without them.
+
+Each block of text of some length earns points for its length and its commas and
 passes them to its ancestors, in whole to its parent (and to every article
 around it), then a half, a third and so on.  A container's points are
 discounted by its link density.  The best container is kept, with those of its
@@ -59,6 +64,27 @@ UNWANTED = frozenset(("ad ads advert adverts advertisement advertising adsense b
 STARTS_UNWANTED = tuple("advert breadcrumb commentlist commentform commentsection cookie newsletter sidebar sponsor".split())
 KEPT_WHOLE = frozenset("html body main".split())  # never left out for their names
 ARTICLE_UNWANTED = frozenset("ad ads advert comment comments promo related reply replies respond sponsored".split())
+#: Comments may be longer than the article; other named elements are left out only while they are the smaller part.
+COMMENTS = frozenset("comment comments commentlist commentform commentsection disqus replies reply respond response".split())
+#: Words after (or before) the main part of a name: 'sidebar-right', 'comment-list', 'main-menu'.
+MODIFIERS = frozenset(("left right top bottom upper lower middle center first last inner outer primary secondary main wide small large sticky"
+                       " fixed mobile desktop global site page wrap wrapper container holder box block area region zone section group row"
+                       " col column cell panel pane card tile unit slot frame layer overlay backdrop body text title heading head label list"
+                       " items item entry link links post posts article articles story stories news content contents button buttons btn icon"
+                       " icons bar strip widget widgets tool tools tray drawer toggle field input policy message msg count counts meta info"
+                       " thread tree id no n").split())
+#: Names that wrap content beside something: 'content-sidebar-wrap'; and states: 'has-comments'.
+WRAPS = frozenset("wrap wrapper container holder layout grid".split())
+HOLDS_CONTENT = frozenset("content article entry story main page post text body".split())
+STATES = frozenset("has have with without no not is show hide hides on off".split())
+#: An id of these elements is an anchor, and these words may come from a title.
+ANCHORED = frozenset("h1 h2 h3 h4 h5 h6 section p li dt dd a span b strong em".split())
+TITLE_WORDS = frozenset(("ad alert alertdialog banner banners comment consent cookie cookies dialog form header menu menus navigation notice"
+                         " notices notification promo promotion recommended related replies reply respond search share sharing social"
+                         " sponsor sponsored subscription advertising advertisement newsletter footer").split())
+NAMED_SHARE = 0.5  # of the page's points: a named element with more is no sidebar
+NAMED_PENALTY = 0.3  # on the points of a named element that stays for its share
+LEAST_TEXT, DROPPED_TO_TEXT = 140, 3  # less text than that, beside this many times as much left out for names
 CLOSES_P = frozenset(("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3"
                       " h4 h5 h6 header hr main menu nav ol p pre section table ul").split())
 #: A start tag closes an open element of these names, up to the nearest of the bounds.
@@ -72,7 +98,7 @@ FOREIGN = frozenset(("svg", "math"))  # their elements may end with their start
 
 
 class Node:
-    __slots__ = ("tag", "parent", "start", "end", "children", "points", "chars", "links", "own", "commas", "inline", "out")
+    __slots__ = ("tag", "parent", "start", "end", "children", "points", "chars", "links", "own", "commas", "inline", "out", "named", "first", "last", "penalty")
 
     def __init__(self, tag: str, parent: Node | None, start: int, out: bool = False) -> None:
         self.tag, self.parent, self.start, self.end = tag, parent, start, start
@@ -82,6 +108,14 @@ class Node:
         self.own = self.commas = 0  # of the text whose nearest block this is
         self.inline = tag in INLINE
         self.out = out  # left out, or inside an element that is
+        self.named = ""  # the word of its name that marks what isn't article text
+        self.first = self.last = 0  # places of its descendants in the page's list of nodes
+        self.penalty = 1.0
+
+    def earned(self) -> float:
+        if self.own < LEAST_BLOCK:
+            return 0.0
+        return 1 + self.commas + min(self.own / POINT_CHARS, MOST_LENGTH_POINTS)
 
 
 def _attributes(rest: str) -> dict[str, str]:
@@ -106,29 +140,38 @@ def _hidden(attributes: dict[str, str]) -> bool:
     return display == "none"
 
 
-def _unwanted(tag: str, rest: str) -> bool:
-    if tag in LEFT_OUT:
-        return True
-    if tag in KEPT_WHOLE or not rest:
-        return False
-    attributes = _attributes(rest)
-    if _hidden(attributes):
-        return True
-    for key in ("class", "id", "role"):
-        parts = [p.lower() for p in _PART.findall(attributes.get(key, ""))]
-        if tag == "article":
-            if not ARTICLE_UNWANTED.isdisjoint(parts):
-                return True
-        elif any(p in UNWANTED or p.startswith(STARTS_UNWANTED) for p in parts):
-            return True
-    return False
+def _unwanted_name(name: str, words: frozenset[str], starts: tuple[str, ...]) -> str:
+    """The main part of a class, id or role, if it is one of ``words``, else nothing."""
+    parts = [p.lower() for p in _PART.findall(name)]
+    if not STATES.isdisjoint(parts) or not WRAPS.isdisjoint(parts) and not HOLDS_CONTENT.isdisjoint(parts):
+        return ""
+    while parts and (parts[-1].isdigit() or parts[-1] in MODIFIERS):
+        parts.pop()
+    return parts[-1] if parts and (parts[-1] in words or parts[-1].startswith(starts)) else ""
+
+
+def _named(tag: str, attributes: dict[str, str]) -> str:
+    """The word that marks the element as none of the article's, if there is one."""
+    if tag in KEPT_WHOLE:
+        return ""
+    words, starts = (ARTICLE_UNWANTED, ("\n",)) if tag == "article" else (UNWANTED, STARTS_UNWANTED)
+    for key in ("class", "role", "id"):
+        for name in attributes.get(key, "").split():
+            word = _unwanted_name(name, words, starts)
+            if word and not (key == "id" and tag in ANCHORED and word in TITLE_WORDS):
+                return word
+    return ""
 
 
 class Page:
     """The tree of a page: elements with the range of text pieces they hold."""
 
-    def __init__(self, source: str) -> None:
+    def __init__(self, source: str, names: bool = True) -> None:
+        self.names = names
         self.pieces: list[str] = []
+        self.texts: list[tuple[Node, int, int]] = []  # element, characters, commas
+        self.named: list[Node] = []
+        self.left_out_chars = 0  # for names
         self.root = Node("html", None, 0)
         self.nodes = [self.root]
         self.stack = [self.root]
@@ -161,6 +204,10 @@ class Page:
             self._open(tag, rest)
         while self.stack:
             self._pop()
+        self._count()
+        if self.named:
+            self._leave_out()
+            self._count()
 
     def _text(self, raw: str) -> None:
         if self.stack[-1].out:
@@ -170,13 +217,62 @@ class Page:
         chars = len(text) if not text.isspace() else 0
         if not chars:
             return
-        linked = any(n.tag == "a" for n in reversed(self.stack))
-        block = next(n for n in reversed(self.stack) if not n.inline)
-        block.own += chars
-        block.commas += len(_COMMA.findall(text))
-        for n in self.stack:
-            n.chars += chars
-            n.links += chars * linked
+        self.texts.append((self.stack[-1], chars, len(_COMMA.findall(text))))
+
+    def _count(self) -> None:
+        """Characters, links and commas of all elements, of the text that isn't left out."""
+        for n in self.nodes:
+            n.chars = n.links = n.own = n.commas = 0
+        for n, chars, commas in self.texts:
+            if n.out:
+                continue
+            block = n
+            while block.inline:
+                block = block.parent
+            block.own += chars
+            block.commas += commas
+            around, linked = n, False
+            while around is not None:
+                around.chars += chars
+                linked = linked or around.tag == "a"
+                around = around.parent
+            while linked and n is not None:
+                n.links += chars
+                n = n.parent
+
+    def marked(self) -> list[Node]:
+        """The article and main elements with text."""
+        return [n for n in self.nodes if n.tag in ("article", "main") and not n.named and not n.out and n.chars]
+
+    def _leave_out(self) -> None:
+        """Leave out the named elements that hold no article and, but for comments, a small share of the page's points.
+
+        Beside an article element the share doesn't count.
+        """
+        earned = [0.0]
+        for n in self.nodes:
+            earned.append(earned[-1] + (0.0 if n.inline else n.earned()))
+        total = lambda n: earned[n.last] - earned[n.first - 1]
+        outside, end = earned[-1], 0
+        for n in self.named:
+            if n.first > end:
+                outside, end = outside - total(n), n.last
+        marked = self.marked()
+        for n in self.named:
+            if n.out:
+                continue
+            inside = self.nodes[n.first : n.last]
+            if any(n.first < x.first <= n.last for x in marked):
+                continue
+            beside = marked and not any(x.first < n.first <= x.last for x in marked)
+            large = n.chars >= LEAST_TEXT and total(n) > NAMED_SHARE * (total(n) + outside)
+            if large and not beside and n.named not in COMMENTS:
+                n.penalty = NAMED_PENALTY
+                continue
+            self.left_out_chars += n.chars
+            for x in (n, *inside):
+                x.out = True
+            self.pieces[n.start : n.end] = [""] * (n.end - n.start)
 
     def _open(self, tag: str, rest: str) -> None:
         if tag == "html" or tag == "body" and any(n.tag == "body" for n in self.stack):
@@ -194,15 +290,22 @@ class Page:
         ends = rest.rstrip().endswith("/")
         if ends and (tag in FOREIGN or out and any(n.tag in FOREIGN for n in self.stack)):
             return
-        if not out and _unwanted(tag, rest):
-            if ends and tag not in LEFT_OUT:
+        named = ""
+        if not out:
+            attributes = _attributes(rest) if rest and tag not in LEFT_OUT else {}
+            out = tag in LEFT_OUT or tag not in KEPT_WHOLE and _hidden(attributes)
+            named = _named(tag, attributes) if self.names and not out else ""
+            if ends and tag not in LEFT_OUT and (out or named):
                 return
-            out = True
         node = Node(tag, self.stack[-1], len(self.pieces), out)
         self.stack.append(node)
         if not out:
             node.parent.children.append(node)
             self.nodes.append(node)
+            node.first = len(self.nodes)
+            if named:
+                node.named = named
+                self.named.append(node)
 
     def _end(self, names: tuple[str, ...], bounds: frozenset[str]) -> None:
         """Close the innermost open element of these names, unless a bound comes first."""
@@ -228,13 +331,17 @@ class Page:
 
     def _pop(self) -> None:
         node = self.stack.pop()
-        node.end = len(self.pieces)
+        node.end, node.last = len(self.pieces), len(self.nodes)
 
     def score(self) -> None:
         for block in self.nodes:
-            if block.own < LEAST_BLOCK or block.inline:
+            earned = 0.0 if block.inline or block.out else block.earned()
+            if not earned:
                 continue
-            earned = 1 + block.commas + min(block.own / POINT_CHARS, MOST_LENGTH_POINTS)
+            at = block
+            while at is not None:
+                earned *= at.penalty
+                at = at.parent
             around = block.parent if block.tag not in ("article", "section", "div", "main", "body", "html", "td") else block
             level = 1
             while around is not None:
@@ -249,7 +356,7 @@ class Page:
     def main(self) -> list[Node]:
         """The best container and the siblings that stay, in page order."""
         self.score()
-        holders = [n for n in self.nodes if not n.inline and n.chars]
+        holders = [n for n in self.nodes if not n.inline and not n.out and n.chars]
         best = max(holders, key=self.worth, default=None)
         if best is None:
             return []
@@ -270,7 +377,13 @@ class Page:
 
 
 def main_text(source: str | None) -> str:
-    return Page(source).text() if source else ""
+    if not source:
+        return ""
+    page = Page(source)
+    text = page.text()
+    if not page.marked() and len(text) < LEAST_TEXT and page.left_out_chars > DROPPED_TO_TEXT * len(text):
+        return Page(source, names=False).text()
+    return text
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

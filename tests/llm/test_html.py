@@ -99,3 +99,25 @@ def test_words_in_other_attributes():
 ])
 def test_omitted_end_tags_of_what_is_left_out(page, want):
     assert main_text(f"<body>{page}</body>") == want
+
+
+@pytest.mark.parametrize("name", ["content-sidebar-wrap", "entry has-comments", "with-sidebar", "post social-share-on", "sidebar", "related"])
+def test_wrappers_with_unwanted_words(name):
+    text = f"<h1>Head</h1><p>First, {LONG}</p><p>Second, {LONG}</p>"
+    want = f"Head First, {LONG} Second, {LONG}"
+    for inner in (text, f"<article>{text}</article>", f"<div>{text}</div>"):
+        assert main_text(f"<body><div class='{name}'>{inner}<div class=comments><p>No, {LONG}</p></div></div><p>Foot</p></body>").startswith(want)
+        assert "No, " not in main_text(f"<body><div class='{name}'>{inner}<div class=comments><p>No, {LONG}</p></div></div><p>Foot</p></body>")
+
+
+@pytest.mark.parametrize("tag", ["h2", "section", "p"])
+@pytest.mark.parametrize("name", ["search-methods", "related-work", "form", "promotion-of-health", "notice"])
+def test_anchors_with_unwanted_words(tag, name):
+    page = f"<body><article><h1>Head</h1><p>First, {LONG}</p><{tag} id={name}>A part, of the text</{tag}><p>Second, {LONG}</p></article></body>"
+    assert main_text(page) == f"Head First, {LONG} A part, of the text Second, {LONG}"
+
+
+def test_long_comments_are_left_out_and_named_pages_read():
+    comments = "<div class=comment-list>" + f"<div class=comment-body><p>{LONG} {LONG}</p></div>" * 30 + "</div>"
+    assert main_text(f"<body><div><p>First, {LONG}</p><p>Second, {LONG}</p></div>{comments}</body>") == f"First, {LONG} Second, {LONG}"
+    assert main_text(f"<body><p>Short</p>{comments}</body>").count(LONG) == 60

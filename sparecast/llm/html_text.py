@@ -9,11 +9,13 @@ or, but for comments and what stands beside an article element, more than half
 of the page's points.  A page without an article element that names leave with
 hardly any text is read once more without them.
 
-Each block of text of some length earns points for its length and its commas and
-passes them to its ancestors, in whole to its parent (and to every article
-around it), then a half, a third and so on.  A container's points are
-discounted by its link density.  The best container is kept, with those of its
-siblings that have a fifth of its points or are long texts with few links.
+Each block of text of some length earns points for its length and its commas,
+less its share of links, and passes them to the containers around it, in whole to the nearest (and to every
+article), then a half, a third and so on; lists, tables and quotes pass them
+on.  A container's points are discounted by its link density.  The best
+container is kept, with those of its siblings that have a fifth of its points or
+are long texts with few links, the headings right before them, and what stands
+between them but for links.
 
 Character references are decoded, white space inside a block becomes one
 space, and blocks are joined in page order by one space.  Nothing else is cut.
@@ -91,6 +93,13 @@ CLOSES_P = frozenset(("address article aside blockquote center details dialog di
 CLOSES = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"),
           "td": ("td th", "table tr"), "th": ("td th", "table tr"), "thead": ("thead tbody tfoot tr td th", "table"),
           "tbody": ("thead tbody tfoot tr td th", "table"), "tfoot": ("thead tbody tfoot tr td th", "table"), "option": ("option", "select")}
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+CELLS = frozenset("td th".split())
+#: Elements that structure a text: their points belong to the container around them.
+PASS_ON = HEADINGS | frozenset(("p pre ul ol dl li dt dd table caption thead tbody tfoot tr blockquote figure figcaption address summary"
+                                " details").split())
+CELL_BLOCKS = PASS_ON - frozenset(["p", "table"]) - HEADINGS
+COLUMN_CHARS = 400  # of a cell's own text: a column of a page laid out as a table
 SCOPES = frozenset("html body article aside main section nav header footer table td th div form ul ol dl blockquote".split())
 #: An open paragraph outside of these isn't closed by what they hold.
 BOUNDS = SCOPES | LEFT_OUT
@@ -112,10 +121,16 @@ class Node:
         self.first = self.last = 0  # places of its descendants in the page's list of nodes
         self.penalty = 1.0
 
+    def passes_on(self) -> bool:
+        """Whether points go on in full: a text block, list, table, quote, or a cell that isn't laid out as a page's column."""
+        if self.tag in CELLS:
+            return self.own < COLUMN_CHARS and all(n.inline or n.tag in CELL_BLOCKS for n in self.children)
+        return self.tag in PASS_ON
+
     def earned(self) -> float:
         if self.own < LEAST_BLOCK:
             return 0.0
-        return 1 + self.commas + min(self.own / POINT_CHARS, MOST_LENGTH_POINTS)
+        return (1 + self.commas + min(self.own / POINT_CHARS, MOST_LENGTH_POINTS)) * (1 - self.links / self.chars)
 
 
 def _attributes(rest: str) -> dict[str, str]:
@@ -334,6 +349,7 @@ class Page:
         node.end, node.last = len(self.pieces), len(self.nodes)
 
     def score(self) -> None:
+        passing = {n for n in self.nodes if n.inline or n.passes_on()}
         for block in self.nodes:
             earned = 0.0 if block.inline or block.out else block.earned()
             if not earned:
@@ -342,10 +358,10 @@ class Page:
             while at is not None:
                 earned *= at.penalty
                 at = at.parent
-            around = block.parent if block.tag not in ("article", "section", "div", "main", "body", "html", "td") else block
+            around: Node | None = block
             level = 1
             while around is not None:
-                if not around.inline:
+                if around not in passing:
                     around.points += earned if around.tag == "article" else earned / level
                     level += 1
                 around = around.parent
@@ -366,14 +382,29 @@ class Page:
             return [best]
         least = SIBLING_SHARE * self.worth(best)
 
-        def stays(n: Node) -> bool:
-            few_links = n.chars and n.links / n.chars < SIBLING_LINKS
-            return n is best or self.worth(n) >= least or bool(not n.inline and few_links and n.own > SIBLING_CHARS)
+        def few_links(n: Node) -> bool:
+            return n.links < SIBLING_LINKS * n.chars
 
-        return [n for n in best.parent.children if stays(n)]
+        beside = [n for n in best.parent.children if not n.out and n.chars]
+        stays = [n is best or not n.inline and (self.worth(n) >= least or few_links(n) and n.chars > SIBLING_CHARS) for n in beside]
+        for i in range(len(beside) - 2, -1, -1):  # headings go with what they head
+            stays[i] = stays[i] or stays[i + 1] and beside[i].tag in HEADINGS
+        first, last = stays.index(True), len(stays) - 1 - stays[::-1].index(True)
+        return [n for i, n in enumerate(beside) if stays[i] or first < i < last and (n.inline or few_links(n))]
 
     def text(self) -> str:
-        return " ".join(" ".join("".join(self.pieces[n.start : n.end]) for n in self.main()).split())
+        """The text of the kept elements, and what stands between them outside of other elements."""
+        kept = self.main()
+        if not kept:
+            return ""
+        held = set(kept)
+        out, at = [], kept[0].start
+        for n in kept[0].parent.children if kept[0].parent else ():
+            if n.start >= kept[0].start and n.end <= kept[-1].end and n not in held:
+                out += self.pieces[at : n.start]
+                out.append("" if n.inline else " ")
+                at = n.end
+        return " ".join("".join([*out, *self.pieces[at : kept[-1].end]]).split())
 
 
 def main_text(source: str | None) -> str:

@@ -121,3 +121,29 @@ def test_long_comments_are_left_out_and_named_pages_read():
     comments = "<div class=comment-list>" + f"<div class=comment-body><p>{LONG} {LONG}</p></div>" * 30 + "</div>"
     assert main_text(f"<body><div><p>First, {LONG}</p><p>Second, {LONG}</p></div>{comments}</body>") == f"First, {LONG} Second, {LONG}"
     assert main_text(f"<body><p>Short</p>{comments}</body>").count(LONG) == 60
+
+
+ITEM = "An item of the list, of about 40 signs."
+
+
+@pytest.mark.parametrize("inner", [
+    "<h1>Head</h1><p>{0} {0}</p><ul>" + f"<li>{ITEM}</li>" * 20 + "</ul><p>A last paragraph of some sixty characters, and no more.</p>",
+    "<h1>Head</h1><p>{0}</p><table>" + f"<tr><td>{ITEM}<td>{ITEM}" * 20 + "</table><p>Last</p>",
+    "<h1>Head</h1><p>{0}</p><table>" + f"<tr><td><p>{ITEM}</p><td><p>{ITEM}</p>" * 20 + "</table><p>Last</p>",
+    "<h1>Head</h1><blockquote><p>{0} {0}</p><p>{0} {0}</p></blockquote><p>{0}</p>",
+    "<h1>Head</h1><section><h2>Large</h2>" + "<p>{0} {0}</p>" * 20 + "</section><h2>Small</h2><section><div><p>{0}</p></div></section>",
+    "<section><h2>Large</h2>" + "<p>{0} {0}</p>" * 20 + "</section>bare text<section><p>Short one.</p></section><section><div><p>{0}</p></div></section>",
+])
+def test_nothing_of_an_article_without_the_element_is_lost(inner):
+    inner = inner.format(LONG)
+    menu = "<ul>" + "".join(f"<li><a href=x>Another page, of this site, number {i}</a>" for i in range(9)) + "</ul>"
+    want = " ".join(re.sub("<[^>]*>", " ", inner).split())
+    for box in ("<div>{}</div>", "<main>{}</main>", "<div><div>{}</div></div>"):
+        assert main_text(f"<body>{menu}{box.format(inner)}{menu}</body>") == want
+
+
+def test_a_column_of_a_page_laid_out_as_a_table():
+    menu = "".join(f"<a href=x>Another page, of this site, number {i}</a><br>" for i in range(9))
+    for text in (f"<p>First, {LONG}</p><p>Second, {LONG}</p>", f"First, {LONG} {LONG} {LONG}<br><br>Second, {LONG} {LONG}"):
+        want = " ".join(re.sub("<[^>]*>", " ", text).split())
+        assert main_text(f"<body><table><tr><td>{menu}<td>{text}</table></body>") == want

@@ -5,12 +5,14 @@ Fixed kinds, each found leftmost and without overlap over the whole text:
 signs), ``access`` (AKIA keys of at least 18 signs) and ``hex`` (at least 16
 hexadecimal digits).
 
-The test adds ``random``: a run of at least ``RUN`` signs that a tokenizer of
-natural text cuts into many short tokens, ``RATIO_MIXED`` characters a token or
-fewer (``RATIO_LETTERS`` for runs of letters alone, since rare words are cut
-into short tokens too).  Runs that are known digests (hexadecimal of a digest's
-length), UUIDs or plain numbers are no secrets, and runs that overlap a span
-already found are not reported again.
+The test adds ``random``: a string that a tokenizer of natural text cuts into
+many short tokens.  The runs of URL-safe and base64 signs are taken without the
+spans already found, UUIDs, and parts that are known digests (hexadecimal of a
+digest's length) or plain numbers, which are no secrets.  What is left is tested
+as a whole, else its parts between ``/ _ -``, else with a window of ``RUN``
+signs, so words around a random string don't hide it.  Letters of one case alone
+need ``RUN`` signs, since rare words are cut into short tokens too; strings with
+digits or inner capitals ``RUN_MIXED``, between ``/ _ -``.
 
 Spans are ``kind:start:end`` in code points, end exclusive, by start and then
 by kind in the order above.  Defined results: null text counts as empty and has
@@ -39,15 +41,20 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 LEAST_VALUE, LEAST_ACCESS, LEAST_HEX = 12, 18, 16
 
-RUN = 20
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % RUN)
-RATIO_MIXED, RATIO_LETTERS = 2.05, 1.6
+RUN, RUN_MIXED = 20, 16
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % RUN_MIXED)
+#: Most characters a token: strings with digits or inner capitals from ``RUN`` signs and below, letters alone, windows of each.
+RATIO_MIXED, RATIO_SHORT, RATIO_LETTERS = 2.05, 1.8, 2.05
+WINDOW_MIXED, WINDOW_LETTERS = 1.7, 1.6
+WINDOW_LEAST_LETTERS = 6
 DIGEST_LENGTHS = frozenset((32, 40, 48, 56, 64, 96, 128))
 _HEXADECIMAL = re.compile(r"[0-9a-fA-F]+")
 _UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 _NUMBER = re.compile(r"[0-9+/_-]+")
 _MIXED = re.compile(r"[0-9]|[A-Za-z][A-Z]")
-_LETTERS_RUN = re.compile(r"[A-Za-z]+")
+_PARTS = re.compile(r"[A-Za-z0-9+]+={0,2}")
+_LETTER = re.compile(r"[A-Za-z]")
+_INNER_UUID = re.compile(rf"(?<![0-9a-fA-F]){_UUID.pattern}(?![0-9a-fA-F])")
 _LONG_HEX = re.compile(r"[0-9a-f]{%d,}" % LEAST_HEX)  # a run is matched whole, so failing ones need no match of their own
 
 
@@ -68,8 +75,11 @@ def looks_random(run: str, encoding: tiktoken.Encoding) -> bool:
     """Whether few characters go into a token of the run."""
     if known_identifier(run):
         return False
-    least = RATIO_MIXED if _MIXED.search(run[1:]) else RATIO_LETTERS
-    return len(run) <= least * len(encoding.encode_ordinary(run))
+    if _MIXED.search(run[1:]):
+        least = RATIO_MIXED if len(run) >= RUN else RATIO_SHORT if len(run) >= RUN_MIXED and _PARTS.fullmatch(run) else 0
+    else:
+        least = RATIO_LETTERS if len(run) >= RUN else 0
+    return bool(least) and len(run) <= least * len(encoding.encode_ordinary(run))
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -80,10 +90,71 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def _window_spans(run: str, encoding: tiktoken.Encoding) -> list[tuple[int, int]]:
+    """The stretches of a run whose windows of ``RUN`` signs have few characters a token."""
+    ends = [0]
+    for token in encoding.decode_tokens_bytes(encoding.encode_ordinary(run)):
+        ends.append(ends[-1] + len(token))
+    out: list[tuple[int, int]] = []
+    last = 0
+    for first, start in enumerate(ends):
+        while last < len(ends) and ends[last] - start < RUN:
+            last += 1
+        if last == len(ends):
+            break
+        end = ends[last]
+        least = WINDOW_MIXED if _MIXED.search(run, start + 1, end) else WINDOW_LETTERS
+        if end - start > least * (last - first):
+            continue
+        window = run[start:end]
+        if len(_LETTER.findall(window)) < WINDOW_LEAST_LETTERS or sum(window.count(c) for c in "/_-") > RUN // 8:
+            continue
+        if out and start <= out[-1][1]:
+            out[-1] = out[-1][0], end
+        else:
+            out.append((start, end))
+    return out
+
+
+def _free(run: tuple[int, int], taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What is left of a range without others, which come by start."""
+    out, (at, end) = [], run
+    for s, e in taken:
+        if s < end and at < e:
+            out.append((at, s))
+            at = e
+    return [(s, e) for s, e in [*out, (at, end)] if e > s]
+
+
 def random_spans(text: str, encoding: tiktoken.Encoding, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Spans of random strings that overlap none of ``taken``."""
-    return [(m.start(), 3, m.end()) for m in CANDIDATE.finditer(text)
-            if looks_random(m.group(), encoding) and not any(s < m.end() and m.start() < e for s, _, e in taken)]
+    """Spans of random strings in what ``taken`` leaves of the text."""
+    found: list[tuple[int, int, int]] = []
+    used = [(s, e) for s, _, e in taken]
+    for m in CANDIDATE.finditer(text):
+        if known_identifier(m.group()):
+            continue
+        known = [(u.start(), u.end()) for u in _INNER_UUID.finditer(text, m.start(), m.end())]
+        known += [(p.start(), p.end()) for p in _PARTS.finditer(text, m.start(), m.end())
+                  if p.end() - p.start() >= RUN_MIXED // 2 and known_identifier(p.group())]
+        near = [x for x in used if x[0] < m.end() and m.start() < x[1]] if used else []
+        for start, end in _free(m.span(), sorted(near + known)) if near or known else (m.span(),):
+            if (start, end) != m.span():
+                while start < end and text[start] in "/_-=":
+                    start += 1
+                while start < end and text[end - 1] in "/_-":
+                    end -= 1
+            run = text[start:end]
+            if len(run) < RUN_MIXED:
+                continue
+            if looks_random(run, encoding):
+                found.append((start, 3, end))
+                continue
+            spans = [p.span() for p in _PARTS.finditer(run) if p.end() - p.start() >= RUN_MIXED and looks_random(p.group(), encoding)]
+            for s, e in _free((0, len(run)), spans):
+                if e - s >= RUN:
+                    spans += [(s + x, s + y) for x, y in _window_spans(run[s:e], encoding)]
+            found += [(start + s, 3, start + e) for s, e in sorted(spans)]
+    return found
 
 
 def joined(spans: list[tuple[int, int, int]]) -> str:

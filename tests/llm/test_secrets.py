@@ -7,7 +7,7 @@ import string
 
 import public_tokenizers
 
-from sparecast.llm.secret_scan import KINDS, known_identifier, looks_random, redact, scan, vocabulary
+from sparecast.llm.secret_scan import KINDS, base_spans, known_identifier, looks_random, random_spans, redact, scan, vocabulary
 
 from . import brute
 from .conftest import ODD_TEXTS
@@ -72,3 +72,34 @@ def test_redaction(spark, odd):
     got = {r.doc_id: r.text for r in redact(docs, *VOCABULARY).collect()}
     assert got == {1: "a [secret]\" b [secret] c [secret] d", 2: None}
     assert redact(odd, *VOCABULARY).columns == odd.columns
+
+
+def _share_found(before, alphabet, signs, after=""):
+    """Share of random strings of which four fifths lie in spans."""
+    encoding, rnd, found = vocabulary(*VOCABULARY), random.Random(signs), 0
+    for _ in range(300):
+        text = f"see {before}{''.join(rnd.choice(alphabet) for _ in range(signs))}{after} here"
+        lo = 4 + len(before)
+        base = base_spans(text)
+        inside = sum(max(0, min(e, lo + signs) - max(s, lo)) for s, _, e in random_spans(text, encoding, base))
+        found += inside >= 0.8 * signs
+    return found / 300
+
+
+def test_random_strings_among_words_and_beside_other_spans():
+    lower, mixed = string.ascii_lowercase, string.ascii_letters + string.digits
+    for signs in (20, 24, 32, 40, 64):
+        assert _share_found("", lower, signs) >= 0.95
+    for signs in (16, 20, 24, 32):
+        assert _share_found("", mixed, signs) >= 0.98
+        assert _share_found("production/database/credentials/", mixed, signs) >= 0.98
+        assert _share_found("0123456789abcdef0123456789abcdef-", mixed, signs) >= 0.98
+    assert _share_found("databasecredentialspassphrase", mixed, 24) >= 0.95
+    assert _share_found("", mixed, 24, "-0123456789abcdef0123456789abcdef") >= 0.98
+
+
+def test_no_random_spans_in_paths_and_identifiers():
+    encoding = vocabulary(*VOCABULARY)
+    for plain in ("production/database/credentials/password-rotation", "user-123e4567-e89b-12d3-a456-426614174000-profile", "order_4111111111111111_invoice",
+                  "DA39A3EE5E6B4B0D3255BFEF95601890AFD80709-checksum", "internationalization_and_localization/settings", "OP_SINGLE_DH_USE"):
+        assert random_spans(plain, encoding, base_spans(plain)) == []

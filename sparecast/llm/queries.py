@@ -97,8 +97,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10)
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparecast.llm.quality_rules import quality_rules
+
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
 QUERIES = (op1_secret_scan, op2_token_files, op3_toxicity, op4_quality_classifier, op5_html_main_text, op6_minimax_shards,
-           op7_exact_dedup, op8_bpe_round_trip, op9_minhash_near_dedup, op10_decontamination)
+           op7_exact_dedup, op8_bpe_round_trip, op9_minhash_near_dedup, op10_decontamination, op13_quality_rules)
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -136,4 +142,6 @@ def llm_queries() -> dict[str, Query]:
 
 
 def llm_sql() -> dict[str, str]:
-    return {"op7_exact_dedup": OP7_SQL, "op10_decontamination": OP10_SQL}
+    from sparecast.llm.quality_rules import rules_sql
+
+    return {"op7_exact_dedup": OP7_SQL, "op10_decontamination": OP10_SQL, "op13_quality_rules": rules_sql()}

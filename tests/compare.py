@@ -18,7 +18,8 @@ import time
 import duckdb
 
 EXACT = os.environ.get("COMPARE_EXACT") == "1"
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "benchmark")
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents",
+          "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:

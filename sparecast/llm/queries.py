@@ -97,6 +97,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparecast.llm.vector_codes import vector_codes
+
+    importable(spark)
+    return vector_codes(table(spark, sf_dir, "embeddings"))
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparecast.llm.quality_rules import quality_rules
 
@@ -104,7 +111,8 @@ def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = (op1_secret_scan, op2_token_files, op3_toxicity, op4_quality_classifier, op5_html_main_text, op6_minimax_shards,
-           op7_exact_dedup, op8_bpe_round_trip, op9_minhash_near_dedup, op10_decontamination, op13_quality_rules)
+           op7_exact_dedup, op8_bpe_round_trip, op9_minhash_near_dedup, op10_decontamination, op11_vector_codes,
+           op13_quality_rules)
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -143,5 +151,7 @@ def llm_queries() -> dict[str, Query]:
 
 def llm_sql() -> dict[str, str]:
     from sparecast.llm.quality_rules import rules_sql
+    from sparecast.llm.vector_codes import codes_sql
 
-    return {"op7_exact_dedup": OP7_SQL, "op10_decontamination": OP10_SQL, "op13_quality_rules": rules_sql()}
+    return {"op7_exact_dedup": OP7_SQL, "op10_decontamination": OP10_SQL, "op11_vector_codes": codes_sql(),
+            "op13_quality_rules": rules_sql()}

@@ -104,6 +104,13 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes(table(spark, sf_dir, "embeddings"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparecast.llm.spelling import spelling_variants
+
+    importable(spark)
+    return spelling_variants(table(spark, sf_dir, "documents"), damage_every=199)
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparecast.llm.quality_rules import quality_rules
 
@@ -112,7 +119,7 @@ def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = (op1_secret_scan, op2_token_files, op3_toxicity, op4_quality_classifier, op5_html_main_text, op6_minimax_shards,
            op7_exact_dedup, op8_bpe_round_trip, op9_minhash_near_dedup, op10_decontamination, op11_vector_codes,
-           op13_quality_rules)
+           op12_spelling_variants, op13_quality_rules)
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 

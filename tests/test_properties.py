@@ -62,6 +62,25 @@ def test_bucket_expression_matches_bisect(spark):
             assert r.b == 2 * (len(asc) - bisect.bisect_right(asc, r.v)) + (0 if r.v not in heavy else 1)
 
 
+def test_bucket_expression_does_not_grow_with_the_cut_points(spark):
+    """One constant array and a bisection: no expression node per cut point, about the same time for 2,000 buckets."""
+    import time
+
+    df = spark.range(0, 200_000).selectExpr("id", "cast(pmod(id * 7919, 100003) as decimal(18,2)) as v")
+    took = {}
+    for buckets in (8, 2000):
+        cuts = {"v": [(c, False) for c in rn.plan_buckets(df, ["v"], buckets)["v"] for c in [c[0]]]}
+        got = rn.running_totals_desc(df, {"v": "rt"}, cuts=cuts)
+        plan = got._jdf.queryExecution().analyzed().toString()
+        assert plan.count("CASE WHEN") < 12 and len(cuts["v"]) == buckets - 1
+        got.agg(F.sum("rt")).collect()
+        start = time.perf_counter()
+        total = got.agg(F.sum("rt")).first()[0]
+        took[buckets] = time.perf_counter() - start
+    assert total == df.withColumn("rt", F.sum("v").over(Window.orderBy(F.desc("v")))).agg(F.sum("rt")).first()[0]
+    assert took[2000] < 3 * took[8] + 1, took
+
+
 def test_cut_points_follow_the_partitions_and_mark_heavy_values(spark):
     df = spark.range(0, 5000).select(F.col("id").alias("v"))
     for buckets in (8, 300):

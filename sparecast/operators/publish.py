@@ -15,15 +15,17 @@ Writes match columns by name, never by position.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.expressions import FORECAST_TYPE, UPLOAD_DEFAULT_CLASS, class_code
 from ..functions.periods import run_date as run_date_of
 from ..session import materialize
+from ..sources import csv as csv_src
 from ..sources import sinks
 from .forecast import active_parts
 
@@ -138,25 +140,29 @@ def to_published(staged: DataFrame, date_pattern: str | None = None) -> DataFram
 
 
 REJECT = "_reject"
+#: Column in which a file reader says what is wrong with a line (NULL: nothing).
+BAD_LINE = csv_src.BAD_LINE
 
 
 def checked(rows: DataFrame, date_pattern: str | None = None) -> DataFrame:
     """Layout rows in published types with ``_reject``: NULL for rows that can be
     published, else what is wrong with them.
 
-    A row is rejected when it has no order date or an unreadable one, or when
-    its dealer or quantity is there but is no number.  A missing dealer or
-    quantity stays NULL.
+    A row is rejected when it has no order date or an unreadable one, when
+    its dealer, quantity or run date is there but cannot be read, or when its
+    reader marked the line as broken (``BAD_LINE``).  A missing dealer, quantity or run
+    date stays NULL.
     """
-    raw = rows.select(*[F.col(f"`{f.name}`") for f in STAGING_SCHEMA.fields])
-    given = [F.col(f"`{c}`").cast("string").alias(f"_given_{c}") for c in ("dealer_id", "order_qty")]
+    raw = rows.select(*[F.col(f"`{f.name}`") for f in STAGING_SCHEMA.fields],
+                      (F.col(BAD_LINE) if BAD_LINE in rows.columns else F.lit(None)).cast("string").alias(BAD_LINE))
+    given = [F.col(f"`{c}`").cast("string").alias(f"_given_{c}") for c in ("dealer_id", "order_qty", "run_date")]
     staged = raw.select(
         *[(_number(raw, f.name, "DOUBLE") if isinstance(f.dataType, T.DoubleType)
-           else F.col(f"`{f.name}`").cast(f.dataType)).alias(f.name) for f in STAGING_SCHEMA.fields], *given)
-    typed = staged.select(*_published_columns(date_pattern), "_given_dealer_id", "_given_order_qty")
-    reasons = [F.when(F.col("order_date").isNull(), F.lit("order_date"))]
-    reasons += [F.when(F.col(c).isNull() & (F.trim(f"_given_{c}") != ""), F.lit(c)) for c in ("dealer_id", "order_qty")]
-    return typed.withColumn(REJECT, F.nullif(F.concat_ws(",", *reasons), F.lit(""))).drop("_given_dealer_id", "_given_order_qty")
+           else F.col(f"`{f.name}`").cast(f.dataType)).alias(f.name) for f in STAGING_SCHEMA.fields], BAD_LINE, *given)
+    typed = staged.select(*_published_columns(date_pattern), BAD_LINE, *[f"_given_{c}" for c in ("dealer_id", "order_qty", "run_date")])
+    reasons = [F.when(F.col(BAD_LINE).isNotNull(), F.lit("line")), F.when(F.col("order_date").isNull(), F.lit("order_date"))]
+    reasons += [F.when(F.col(c).isNull() & (F.trim(f"_given_{c}") != ""), F.lit(c)) for c in ("dealer_id", "order_qty", "run_date")]
+    return typed.withColumn(REJECT, F.nullif(F.concat_ws(",", *reasons), F.lit(""))).select(*PUBLISHED_COLUMNS, REJECT)
 
 
 def rejects(rows: DataFrame, date_pattern: str | None = None) -> DataFrame:
@@ -220,41 +226,161 @@ def replace_by_key(target: DataFrame, upload_rows: DataFrame,
 # ---------------------------------------------------------------------------
 
 
-def create_publish_table(spark: SparkSession, name: str) -> None:
-    """Create the published table (partitioned by ``order_date``) if missing."""
+def create_publish_table(spark: SparkSession, name: str, backup: str | None = None) -> list[str]:
+    """Recover the published table, or create it (partitioned by ``order_date``) if there never was one.
+
+    Returns what the recovery did; the publishing of an interrupted run ends as :func:`_finish_append`.
+    """
+    done = sinks.recover(spark, name, backup)
+    done += _finish_append(spark, name)
     sinks.create_empty_table(spark, name, PUBLISHED_SCHEMA, partition_by="order_date")
+    return done
+
+
+def ledger_name(target: str) -> str:
+    return f"{target}__ledger"
+
+
+def _run_rows(staged: DataFrame, publish_id: str) -> DataFrame:
+    """The ledger's rows of a publish: per run date and segment the rows and their hash (of no order)."""
+    content = F.sum(F.xxhash64(*PUBLISHED_COLUMNS).cast("decimal(38,0)")).cast("string")
+    return staged.groupBy("run_date", F.col("industry").alias("segment")).agg(
+        F.count(F.lit(1)).alias("rows"), content.alias("input_hash")).select(
+        F.lit(publish_id).alias("publish_id"), "run_date", "segment", "rows", "input_hash")
+
+
+def _write_ledger(spark: SparkSession, target: str, staged: DataFrame, publish_id: str) -> None:
+    """Add a publish to the ledger, once."""
+    rows, name = _run_rows(staged, publish_id), ledger_name(target)
+    if sinks.table_exists(spark, name):
+        if spark.table(name).where(F.col("publish_id") == publish_id).limit(1).count():
+            return
+        rows.coalesce(1).write.insertInto(name)
+    else:
+        sinks.write_table(rows.coalesce(1), name)
+
+
+def _published_before(spark: SparkSession, target: str, staged: DataFrame, publish_id: str | None = None) -> DataFrame:
+    """``run_date, industry`` of the staged runs that the ledger holds with the same rows (of one publish if given)."""
+    known = spark.table(ledger_name(target))
+    if publish_id is not None:
+        known = known.where(F.col("publish_id") == publish_id)
+    new = _run_rows(staged, "").alias("n")
+    same = [F.col(f"n.{c}").eqNullSafe(F.col(f"k.{c}")) for c in ("run_date", "segment", "rows", "input_hash")]
+    return new.join(known.alias("k"), same, "left_semi").select("run_date", F.col("segment").alias("industry"))
+
+
+def _touched_rows(spark: SparkSession, target: str) -> int:
+    """The rows of ``target`` in the partitions of its staged append (all rows where it isn't partitioned by date)."""
+    rows = spark.table(target)
+    if _partitioned_by_date(spark, target):
+        dates = sinks.partition_values(spark, target + sinks.APPEND)
+        rows = rows.where(F.col("order_date").isin([F.lit(d).cast("date") for d in dates]) if dates else F.lit(False))
+    return rows.count()
+
+
+def _finish_append(spark: SparkSession, target: str) -> list[str]:
+    """Bring an interrupted append to its end; returns its publish id in a line that says so.
+
+    The partitions it touches hold as many rows as before it (nothing was
+    committed: append now), or all of the staged ones more (done), or they are
+    restored from its backup first.
+    """
+    staged_name = target + sinks.APPEND
+    intent = sinks.intent_of(spark, staged_name)
+    if intent is None:
+        sinks.drop_table(spark, staged_name)
+        return []
+    staged = spark.table(staged_name)
+    if _partitioned_by_date(spark, target):
+        spark.catalog.recoverPartitions(target)
+    spark.catalog.refreshTable(target)
+    held = _touched_rows(spark, target)
+    if held != intent["before"] + intent["rows"]:
+        if held != intent["before"]:
+            if not intent["restore"]:
+                raise sinks.LostTable(f"an append to {target} was cut in the middle and has no backup of its months: "
+                                      f"{held} rows, {intent['before']} before it, {intent['rows']} to add ({staged_name})")
+            sinks.restore(spark, intent["restore"])
+        sinks.append_by_name(staged, target)
+    _write_ledger(spark, target, staged, intent["publish_id"])
+    sinks.drop_table(spark, staged_name)
+    return [f"finished append {intent['publish_id']}"]
 
 
 def publish(layout_rows: DataFrame, target: str, backup: str | None = None, mode: str = "append",
-            segments: Sequence[str] | None = None, run_date=None) -> sinks.WriteReport:
+            segments: Sequence[str] | None = None, run_date=None, backup_scope: str = "all") -> sinks.WriteReport:
     """Conform, back up the target, write, and report the counts.
 
     ``mode="append"`` (default): appending the same run twice publishes it
-    twice, as the original jobs do.  ``mode="replace_run"``: the rows of the
-    same run (see :func:`replace_run`) go, whatever their month.  Rows that
-    cannot be published are counted and left out (:func:`rejects` has them).
+    twice, as the original jobs do.  ``mode="append_once"``: a run date and
+    segment that the ledger (``<target>__ledger``) holds with the same rows isn't published again.
+    ``mode="replace_run"``: the rows of the same run (see :func:`replace_run`) go,
+    whatever their month.  Rows that cannot be published are counted and left
+    out (:func:`rejects` has them).
+
+    The input is evaluated once, when it is staged.  An interrupted append is
+    finished by the next writer; where that is a call with the same rows, it is taken
+    as the repeated call and adds nothing more.
+
+    ``backup_scope="touched"`` backs up the order dates that the new rows fall
+    into, with a manifest for ``sinks.restore``, instead of the whole table
+    (targets partitioned by ``order_date``; appends).
     """
     spark = layout_rows.sparkSession
-    if mode not in ("append", "replace_run"):
+    if mode not in ("append", "append_once", "replace_run"):
         raise ValueError(f"unknown publish mode {mode!r}")
-    create_publish_table(spark, target)
-    backup_rows = sinks.snapshot(spark, target, backup) if backup else None
-    before = spark.table(target).count()
-    if mode == "append":
-        rows, good, rejected = _publishable(layout_rows)
-        inserted = sinks.append_by_name(rows, target) if good else 0
+    if backup_scope not in ("all", "touched"):
+        raise ValueError(f"unknown backup scope {backup_scope!r}")
+    done = create_publish_table(spark, target, backup)
+    if mode == "replace_run":
+        backup_rows = sinks.snapshot(spark, target, backup) if backup else None
+        before = spark.table(target).count()
+        inserted, rejected = replace_run(layout_rows, target, segments, run_date)
         after = spark.table(target).count()
-        return sinks.WriteReport(target, before, inserted, after, backup_rows, 0, rejected)
-    inserted, rejected = replace_run(layout_rows, target, segments, run_date)
+        return sinks.WriteReport(target, before, inserted, after, backup_rows, before + inserted - after, rejected)
+    staged, rows, rejected = _stage_publishable(layout_rows, target + sinks.APPEND)
+    before = spark.table(target).count()
+    finished = next((d.rsplit(" ", 1)[1] for d in done if d.startswith("finished append")), None)
+    if (mode == "append_once" or finished) and sinks.table_exists(spark, ledger_name(target)):
+        known = _published_before(spark, target, staged, None if mode == "append_once" else finished)
+        fresh = staged.alias("s").join(known.alias("k"), [F.col(f"s.{c}").eqNullSafe(F.col(f"k.{c}")) for c in ("run_date", "industry")],
+                                       "left_anti")
+        n = fresh.count()
+        if n != rows:
+            _stage(fresh.select(*PUBLISHED_COLUMNS), target + sinks.RUN)
+            sinks.drop_table(spark, target + sinks.APPEND)
+            sinks.rename_table(spark, target + sinks.RUN, target + sinks.APPEND)
+            staged, rows = spark.table(target + sinks.APPEND), n
+    by_date = _partitioned_by_date(spark, target)
+    backup_rows = None
+    touched = backup is not None and backup_scope == "touched" and by_date
+    if touched:
+        dates = sinks.partition_values(spark, target + sinks.APPEND)
+        backup_rows = sinks.backup_partitions(spark, target, backup, "order_date", dates)
+    elif backup:
+        backup_rows = sinks.snapshot(spark, target, backup)
+    if rows:
+        publish_id = uuid.uuid4().hex
+        sinks.set_intent(spark, target + sinks.APPEND, do="append", publish_id=publish_id, rows=rows,
+                         before=_touched_rows(spark, target), restore=backup if touched else None)
+        sinks.append_by_name(staged, target)
+        _write_ledger(spark, target, staged, publish_id)
+    sinks.drop_table(spark, target + sinks.APPEND)
     after = spark.table(target).count()
-    return sinks.WriteReport(target, before, inserted, after, backup_rows, before + inserted - after, rejected)
+    return sinks.WriteReport(target, before, rows, after, backup_rows, 0, rejected)
 
 
-def _publishable(layout_rows: DataFrame) -> tuple[DataFrame, int, int]:
-    """The publishable rows, their number, and the number of rejected ones."""
-    rows = checked(layout_rows)
-    n = rows.agg(F.count(F.lit(1)).alias("rows"), F.count(REJECT).alias("rejected")).first()
-    return rows.where(F.col(REJECT).isNull()).drop(REJECT), n["rows"] - n["rejected"], n["rejected"]
+def _stage_publishable(layout_rows: DataFrame, name: str) -> tuple[DataFrame, int, int]:
+    """The publishable rows in a table of their own, their number, and the number of rejected ones, in one pass."""
+    seen = Observation("publishable")
+    rows = checked(layout_rows).observe(seen, F.count(F.lit(1)).alias("rows"), F.count(REJECT).alias("rejected"))
+    staged = _stage(rows.where(F.col(REJECT).isNull()).select(*PUBLISHED_COLUMNS), name)
+    counts = sinks.observed(seen)
+    good, rejected = staged.count(), counts.get("rejected", 0)
+    if good + rejected != counts.get("rows", 0):
+        raise RuntimeError(f"{name} holds {good} rows, but {counts} were seen")
+    return staged, good, rejected
 
 
 def _rows_of_months(target: DataFrame, rows: DataFrame) -> DataFrame:
@@ -293,8 +419,7 @@ def replace_run(layout_rows: DataFrame, target: str, segments: Sequence[str] | N
     """
     spark = layout_rows.sparkSession
     create_publish_table(spark, target)
-    rows, inserted, rejected = _publishable(layout_rows)
-    new = _stage(rows, f"{target}__run")
+    new, inserted, rejected = _stage_publishable(layout_rows, target + sinks.RUN)
     run = new.select("run_date", "industry").distinct()
     if segments is not None:
         names = F.explode(F.array(*[F.lit(s) for s in segments])).alias("industry")
@@ -304,28 +429,27 @@ def replace_run(layout_rows: DataFrame, target: str, segments: Sequence[str] | N
     elif run_date is not None:
         run = run.union(new.select(F.lit(run_date).cast("date"), "industry")).distinct()
     current = spark.table(target).select(*PUBLISHED_COLUMNS)
-    of_run = ["run_date", "industry"]
-    old = current.join(run, of_run, "left_semi").select("order_date").distinct()
+
+    def in_run(rows: DataFrame, how: str) -> DataFrame:
+        """Rows of the run (a missing run date or segment is one of its own), or the others."""
+        same = [F.col(f"_t.{c}").eqNullSafe(F.col(f"_r.{c}")) for c in ("run_date", "industry")]
+        return rows.alias("_t").join(run.alias("_r"), same, how).select(*[F.col(f"_t.{c}") for c in PUBLISHED_COLUMNS])
+
+    old = in_run(current, "left_semi").select("order_date").distinct()
     new_dates = new.select("order_date").distinct()
     if _partitioned_by_date(spark, target):
         touched = materialize(old.union(new_dates).distinct())
-        kept = _rows_of_months(current, touched).join(run, of_run, "left_anti")
-        staged = _stage(kept.select(*PUBLISHED_COLUMNS).unionByName(new.select(*PUBLISHED_COLUMNS)), f"{target}__stage")
+        kept = in_run(_rows_of_months(current, touched), "left_anti")
+        staged = _stage(kept.unionByName(new.select(*PUBLISHED_COLUMNS)), target + sinks.STAGE)
         emptied = touched.join(staged.select("order_date").distinct(), [touched.order_date.eqNullSafe(staged.order_date)], "left_anti")
         if not emptied.limit(1).count():
-            sinks.replace_partitions(staged, target, "order_date")
-            _drop_stages(spark, target)
+            sinks.finish_stage(spark, target, "order_date")
             return inserted, rejected
-    kept = current.join(run, of_run, "left_anti")
-    rebuilt = kept.select(*PUBLISHED_COLUMNS).unionByName(new.select(*PUBLISHED_COLUMNS))
-    sinks.swap_table(spark, rebuilt, target, sinks.partition_columns(spark, target))
-    _drop_stages(spark, target)
-    return inserted, rejected
-
-
-def _drop_stages(spark: SparkSession, target: str) -> None:
-    for stage in ("__run", "__stage"):
+    rebuilt = in_run(current, "left_anti").unionByName(new.select(*PUBLISHED_COLUMNS))
+    sinks.rebuild_table(spark, rebuilt, target)
+    for stage in (sinks.RUN, sinks.STAGE):
         sinks.drop_table(spark, target + stage)
+    return inserted, rejected
 
 
 def replace_by_key_table(upload: DataFrame, target: str, date_pattern: str = "yy/MM/dd",
@@ -347,11 +471,10 @@ def replace_by_key_table(upload: DataFrame, target: str, date_pattern: str = "yy
     current = spark.table(target)
     before = current.count()
     if swap or not _partitioned_by_date(spark, target):
-        sinks.swap_table(spark, replace_by_key(current, uploads, keys), target, sinks.partition_columns(spark, target))
+        sinks.rebuild_table(spark, replace_by_key(current, uploads, keys), target)
     else:
-        staged = _stage(replace_by_key(_rows_of_months(current, uploads), uploads, keys), f"{target}__stage")
-        sinks.replace_partitions(staged, target, "order_date")
-        _drop_stages(spark, target)
+        _stage(replace_by_key(_rows_of_months(current, uploads), uploads, keys), target + sinks.STAGE)
+        sinks.finish_stage(spark, target, "order_date")
     inserted = counts["rows"] - counts["rejected"]
     after = spark.table(target).count()
     return sinks.WriteReport(target, before, inserted, after, None, before + inserted - after, counts["rejected"])

@@ -136,14 +136,15 @@ def apportion(spark: SparkSession, src: Sources, tables: Tables, as_of, segments
 
 
 def publish(spark: SparkSession, tables: Tables, mode: str = "append", segments=None, as_of=None) -> sinks.WriteReport:
-    """Write the dealer forecast of all segments to the published table (backup first).
+    """Write the dealer forecast of all segments to the published table (backup of the touched months first).
 
-    ``mode="append"`` as the original jobs; ``"replace_run"`` makes a rerun
+    ``mode="append"`` as the original jobs; ``"append_once"`` publishes a run with the
+    same rows once only; ``"replace_run"`` makes a rerun
     idempotent: the earlier rows of the run of ``as_of`` and of ``segments`` go,
     also where the forecast has no such rows any more.
     """
     run = run_date_of(as_of) if as_of is not None else None
-    return pb.publish(spark.table(tables.dealer_forecast), tables.published, tables.backup, mode, segments, run)
+    return pb.publish(spark.table(tables.dealer_forecast), tables.published, tables.backup, mode, segments, run, backup_scope="touched")
 
 
 def upload(spark: SparkSession, tables: Tables, upload_source, date_pattern: str = "yy/MM/dd") -> sinks.WriteReport:

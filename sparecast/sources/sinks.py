@@ -1,9 +1,23 @@
-"""Table writers: overwrite, append with backup, swap, dynamic partition replace.
+"""Table writers: overwrite, append with backup, swap, dynamic partition replace, and their recovery.
 
 Tables are Parquet tables in the session catalog (no transactional table format
-is assumed).  A "swap" writes the new content under ``<name>__new`` and then
-renames, so readers never see a missing table for longer than two renames, and
-whatever is replaced is kept until the new table has its name.
+is assumed).  Every change of an existing table is staged in a table beside it
+first.  Once the staged copy is complete it is given an intent, a table property
+that says what is to be done with it, and from then on the change is bound to
+happen: :func:`recover`, which every writer calls first, finishes it.  A staged
+copy without an intent was never complete and goes.
+
+* A swap writes ``<name>__new`` and then renames: the table to
+  ``<name>__replaced``, the new one to the table's name, the replaced one to the
+  backup (or it is dropped).  The property moves with the new table and goes last.
+* A partition replace writes ``<name>__stage`` and overwrites the partitions it
+  holds; doing it again gives the same table.
+* An append writes ``<name>__append`` (see ``operators.publish``), with the row
+  count of the partitions it will touch.
+
+At every step each complete table exists under some name.  A table that is
+missing while a copy of it exists is never created anew, and a copy that
+nothing accounts for is never dropped: both raise :class:`LostTable`.
 
 Partitioned writes are first rebalanced on the partition columns: each
 partition is written by as few tasks as its size allows, and a large one by
@@ -12,10 +26,13 @@ several.
 
 from __future__ import annotations
 
+import json
+import threading
 from dataclasses import dataclass
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,49 +97,191 @@ def create_empty_table(spark: SparkSession, name: str, schema: T.StructType,
     write_table(spark.createDataFrame([], schema), name, partition_by, mode="overwrite")
 
 
-def _put_in_place(spark: SparkSession, staged: str, name: str, old: str | None) -> None:
-    """Rename ``staged`` to ``name``; what had that name becomes ``old``, or goes.
+# ---------------------------------------------------------------------------
+# Intents and recovery
+# ---------------------------------------------------------------------------
 
-    At every step each table that has been complete still exists under some
-    name: the previous ``old`` is dropped last.
-    """
-    if table_exists(spark, name):
-        aside = f"{name}__replaced"
-        if old and table_exists(spark, old):
-            drop_table(spark, f"{old}__replaced")
-            rename_table(spark, old, f"{old}__replaced")
-        drop_table(spark, aside)
-        rename_table(spark, name, old or aside)
-        rename_table(spark, staged, name)
-        drop_table(spark, f"{old}__replaced" if old else aside)
+INTENT = "sparecast.intent"
+NEW, REPLACED, BACKUP, STAGE, RUN, APPEND = "__new", "__replaced", "__backup", "__stage", "__run", "__append"
+
+
+class LostTable(RuntimeError):
+    """A table and its copies are in a state that no writer leaves; a person has to say which one holds."""
+
+
+def set_intent(spark: SparkSession, name: str, **intent) -> None:
+    """Mark a staged table as complete, with what is to be done with it."""
+    text = json.dumps(intent, default=str).replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{INTENT}' = '{text}')")
+
+
+def intent_of(spark: SparkSession, name: str) -> dict | None:
+    """The intent of a table (None: there is no such table, or it has none)."""
+    if not table_exists(spark, name):
+        return None
+    found = spark.sql(f"SHOW TBLPROPERTIES {name}").where(F.col("key") == INTENT).first()
+    return json.loads(found["value"]) if found else None
+
+
+def clear_intent(spark: SparkSession, name: str) -> None:
+    spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES IF EXISTS ('{INTENT}')")
+
+
+def _finish_swap(spark: SparkSession, target: str) -> None:
+    """Bring a swap to its end from wherever it stands."""
+    staged, aside = target + NEW, target + REPLACED
+    intent = intent_of(spark, staged)
+    if intent is None:
+        intent = intent_of(spark, target)
     else:
-        rename_table(spark, staged, name)
+        if table_exists(spark, target):
+            if table_exists(spark, aside):
+                raise LostTable(f"{target}, {staged} and {aside} all exist: compare {target} with {aside} and drop one of them")
+            rename_table(spark, target, aside)
+        rename_table(spark, staged, target)
+    if table_exists(spark, aside):
+        if old := intent["old"]:
+            drop_table(spark, old)
+            rename_table(spark, aside, old)
+        else:
+            drop_table(spark, aside)
+    clear_intent(spark, target)
+
+
+def _finish_partitions(spark: SparkSession, target: str, intent: dict) -> None:
+    replace_partitions(spark.table(target + STAGE), target, intent["by"])
+    drop_table(spark, target + STAGE)
+    drop_table(spark, target + RUN)
+
+
+def recover(spark: SparkSession, target: str, backup: str | None = None) -> list[str]:
+    """Finish or take back what an interrupted writer left of ``target``; returns what was done.
+
+    After it, ``target`` holds the rows of before the interrupted change or
+    of after it, and no staged copy is left but that of an append (which
+    ``operators.publish`` finishes).  Raises :class:`LostTable` where the table is
+    missing and only a backup (``<target>__backup``, ``backup``) could replace it.
+    """
+    staged, aside = target + NEW, target + REPLACED
+    done = []
+    if intent_of(spark, staged) or intent_of(spark, target):
+        _finish_swap(spark, target)
+        done.append("finished a swap")
+    if table_exists(spark, aside):
+        if table_exists(spark, target):
+            raise LostTable(f"{aside} is beside {target} and no swap is under way: compare them and drop one")
+        rename_table(spark, aside, target)
+        done.append("took the replaced table back")
+    if not table_exists(spark, target):
+        for copy in {target + BACKUP, backup} - {None}:
+            if table_exists(spark, copy):
+                raise LostTable(f"{target} is missing but {copy} exists: rename or copy it to {target}, or drop it")
+    if table_exists(spark, staged):
+        drop_table(spark, staged)
+        done.append("dropped an incomplete copy")
+    if intent := intent_of(spark, target + STAGE):
+        _finish_partitions(spark, target, intent)
+        done.append("finished a partition replace")
+    for stage in (STAGE, RUN):
+        drop_table(spark, target + stage)
+    return done
+
+
+def swap_table(spark: SparkSession, df: DataFrame, target: str,
+               partition_by: str | list[str] | None = None, keep_backup: bool = True) -> None:
+    """Replace ``target`` by ``df`` (which may read ``target``), keeping the old one as ``<target>__backup`` if wanted.
+
+    A writer whose ``df`` reads ``target`` calls :func:`recover` before it builds ``df``.
+    """
+    recover(spark, target)
+    _swap(spark, df, target, partition_by, target + BACKUP if keep_backup else None)
+
+
+def _swap(spark: SparkSession, df: DataFrame, target: str, partition_by: str | list[str] | None, old: str | None) -> None:
+    drop_table(spark, target + NEW)
+    write_table(df, target + NEW, partition_by)
+    set_intent(spark, target + NEW, do="swap", old=old)
+    _finish_swap(spark, target)
 
 
 def snapshot(spark: SparkSession, source: str, backup: str) -> int:
     """Copy ``source`` to ``backup`` with the same partitioning; returns the copied row count.
 
-    The copy is written under another name first: a failed write leaves the
-    previous backup as it was.
+    The copy is swapped in: a failed write leaves the previous backup as it was.
     """
-    staged = f"{backup}__new"
-    drop_table(spark, staged)
-    write_table(spark.table(source), staged, partition_columns(spark, source))
-    _put_in_place(spark, staged, backup, None)
+    recover(spark, backup)
+    _swap(spark, spark.table(source), backup, partition_columns(spark, source), None)
     return spark.table(backup).count()
 
 
-def swap_table(spark: SparkSession, df: DataFrame, target: str,
-               partition_by: str | list[str] | None = None, keep_backup: bool = True) -> None:
-    """Replace ``target`` by ``df`` (which may read ``target``).
+def finish_stage(spark: SparkSession, target: str, partition_by: str) -> None:
+    """Overwrite the partitions of ``target`` that the complete staged copy ``<target>__stage`` holds."""
+    intent = {"do": "partitions", "by": partition_by}
+    set_intent(spark, target + STAGE, **intent)
+    _finish_partitions(spark, target, intent)
+
 
-    ``df`` is written to ``<target>__new`` first; only then is the old table
-    moved to ``<target>__backup`` (or dropped) and the new one renamed.
+def rebuild_table(spark: SparkSession, df: DataFrame, target: str) -> None:
+    """Swap in ``df``, which reads the recovered ``target``, with the target's own partitioning; keeps ``<target>__backup``."""
+    _swap(spark, df, target, partition_columns(spark, target), target + BACKUP)
+
+
+# ---------------------------------------------------------------------------
+# Backup of what a change touches
+# ---------------------------------------------------------------------------
+
+MANIFEST = "sparecast.manifest"
+
+
+def partition_values(spark: SparkSession, name: str) -> list[str]:
+    """The values of a table's one partition column, as text, from the catalog (no data is read)."""
+    return sorted(unquote(row[0].split("=", 1)[1]) for row in spark.sql(f"SHOW PARTITIONS {name}").toLocalIterator())
+
+
+def _only(df: DataFrame, column: str, values: list[str]) -> DataFrame:
+    return df.where(F.col(column).isin([F.lit(v).cast(df.schema[column].dataType) for v in values]) if values else F.lit(False))
+
+
+def backup_partitions(spark: SparkSession, source: str, backup: str, partition_by: str, values: list[str]) -> int:
+    """Copy the named partitions of ``source`` to ``backup``, with a manifest of what they were; returns the copied rows.
+
+    The manifest (a property of ``backup``) names every partition that is about to
+    change; one that ``source`` doesn't have yet is named too, and goes at a restore.
     """
-    staged = f"{target}__new"
+    recover(spark, backup)
+    staged = backup + NEW
     drop_table(spark, staged)
-    write_table(df, staged, partition_by)
-    _put_in_place(spark, staged, target, f"{target}__backup" if keep_backup else None)
+    write_table(_only(spark.table(source), partition_by, values), staged, partition_by)
+    text = json.dumps({"source": source, "by": partition_by, "values": values})
+    spark.sql(f"ALTER TABLE {staged} SET TBLPROPERTIES ('{MANIFEST}' = '{text}')")
+    set_intent(spark, staged, do="swap", old=None)
+    _finish_swap(spark, backup)
+    return spark.table(backup).count()
+
+
+def manifest_of(spark: SparkSession, backup: str) -> dict | None:
+    """``source, by, values`` of a backup of partitions (None for a whole copy)."""
+    found = spark.sql(f"SHOW TBLPROPERTIES {backup}").where(F.col("key") == MANIFEST).first()
+    return json.loads(found["value"]) if found else None
+
+
+def restore(spark: SparkSession, backup: str) -> None:
+    """Give a table the rows it had when ``backup`` was taken by :func:`backup_partitions`.
+
+    The partitions of the manifest are overwritten from the backup, those that
+    did not exist then are dropped; other partitions are not read.  Doing it again
+    changes nothing, so an interrupted restore is simply run again.
+    """
+    manifest = manifest_of(spark, backup)
+    if manifest is None:
+        raise ValueError(f"{backup} has no manifest: it is no backup of partitions")
+    target, by = manifest["source"], manifest["by"]
+    held = partition_values(spark, backup)
+    if held:
+        replace_partitions(spark.table(backup), target, by)
+    for value in sorted(set(manifest["values"]) - set(held)):
+        spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION (`{by}` = {_partition_value(value)})")
+    spark.catalog.refreshTable(target)
 
 
 @dataclass(frozen=True)
@@ -142,20 +301,32 @@ class WriteReport:
     rejected: int = 0
 
 
+def observed(seen: Observation) -> dict:
+    """The values of an observation; none where Spark knew the input to be empty and planned it away."""
+    try:
+        return dict(seen.get)
+    except Py4JJavaError as e:
+        if "assertion failed" not in str(e.java_exception):
+            raise
+        return {}
+
+
+#: ``insertInto`` takes the overwrite mode from the session only; writers of one driver take turns with it.
+_OVERWRITE_MODE = threading.RLock()
+
+
 def append_by_name(df: DataFrame, target: str) -> int:
     """Append ``df`` to ``target`` matching columns by name; returns the rows written.
 
     The count comes from an observation on the written rows, so no second pass
     over ``df`` is needed.
     """
-    from pyspark.sql import Observation
-
     spark = df.sparkSession
     columns = spark.table(target).columns
     obs = Observation("append")
-    rows = df.select(*columns).observe(obs, F.count(F.lit(1)).alias("rows"))
+    rows = df.select(*[F.col(f"`{c}`") for c in columns]).observe(obs, F.count(F.lit(1)).alias("rows"))
     clustered(rows, partition_columns(spark, target)).write.insertInto(target)
-    return int(obs.get["rows"])
+    return int(observed(obs).get("rows", 0))
 
 
 def replace_partitions(df: DataFrame, target: str, partition_by: str) -> None:
@@ -170,9 +341,11 @@ def replace_partitions(df: DataFrame, target: str, partition_by: str) -> None:
     if found != [partition_by]:
         raise ValueError(f"{target} is partitioned by {found}, not by [{partition_by!r}]")
     columns = spark.table(target).columns
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        clustered(df.select(*columns), partition_by).write.insertInto(target, overwrite=True)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    rows = clustered(df.select(*[F.col(f"`{c}`") for c in columns]), partition_by)
+    with _OVERWRITE_MODE:
+        previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        try:
+            rows.write.insertInto(target, overwrite=True)
+        finally:
+            spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)

@@ -229,6 +229,29 @@ def test_plan_numbers_and_rejects(spark):
     assert reasons == {"Jan-25": "Plan", "January": "Month", "Feb-25": "Type", "Mar-25": "Plan"}
 
 
+def test_csv_fields_are_those_of_pandas(spark):
+    """Doubled quotes, commas and line breaks in fields, short lines; a line with more fields is a reject."""
+    import pandas as pd
+
+    lines = ['2W_Part_Id,3W_Part_Id,Alternate_Part_Id,Part_Description', 'A1,,X,"BOLT 1/2"" HEX, ZINC"', 'A2,,,"LINE\nBREAK, ""two"""',
+             'A3,B3', '"A4",,"","back\\slash"', 'A5,,,"ends in \\"', 'A6,,Y, spaced ', '"A""7",,,x']
+    path = _file("quotes.csv", "\n".join(lines) + "\n")
+    want = pd.read_csv(path, dtype=str, encoding="ISO-8859-1", keep_default_na=False, na_values=[""])
+    want = [tuple(None if pd.isna(v) else v for v in r) for r in want.itertuples(index=False)]
+    assert [tuple(r) for r in csv_src.read_parts_master(spark, path).collect()] == want
+    long = _file("long.csv", "\n".join([*lines, "A8,,,x,surplus", "A9,,,x,"]) + "\n")
+    with pytest.raises(ValueError, match="1 master rows"):
+        csv_src.read_parts_master(spark, long)
+    read = csv_src.check_parts_master(spark, long)
+    assert [tuple(r) for r in read.rows.collect()] == [*want, ("A9", None, None, "x")]
+    assert [(r["2W_Part_Id"], r.reject) for r in read.rejects.collect()] == [("A8", "line")]
+    up = _file("up.csv", "run_date,dealer_id,country,part_id,order_qty,type,Material Description,industry,order_date\n"
+                         '25/04/03,12,IN,P1,1,Forecast,"a ""b"", c",2W,25/05/01\n25/04/03,12,IN,P2,1,Forecast,a,b,2W,25/05/01\n')
+    rows = pb.checked_upload(csv_src.read_upload(spark, up)).orderBy("part_id").collect()
+    assert [(r.part_id, r.Material_Description) for r in rows][0] == ("P1", 'a "b", c')
+    assert rows[0]._reject is None and rows[1]._reject.split(",")[0] == "line"
+
+
 def test_upload_file_round_trip(spark):
     path = _file("upload.csv", "run_date,dealer_id,country,part_id,order_qty,type,Material Description,industry,order_date,note\n"
                                '25/04/03,12,NA,P1,"1,003",Forecast,desc,2W,25/05/01,x\n')

@@ -31,6 +31,10 @@ from sparecast.llm.common import per_batch
 from sparecast.llm.tokens import ByteTokenizer, byte_of_sign, held_tokenizer
 
 
+#: Pairs of tokens that a worker remembers.
+KEPT_PAIRS = 1_000_000
+
+
 class TrieEncoder:
     """Ids of words by last-token states, from a vocabulary and its merge list."""
 
@@ -71,6 +75,8 @@ class TrieEncoder:
         pair = (left, right)
         known = self.follows.get(pair)
         if known is None:
+            if len(self.follows) >= KEPT_PAIRS:
+                self.follows.clear()
             known = self.follows[pair] = self.merged(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
         return known
 

@@ -80,9 +80,9 @@ def only_rows(docs: DataFrame, kept: DataFrame, id_col: str, key: Column) -> Dat
     """One row of ``docs``, all columns as they were, for every ``id`` (null matches null) and text ``key`` in ``kept``."""
     from pyspark.sql import Window
 
-    wanted = kept.select(F.col("id").alias("__kept_id"), F.col("key").alias("__kept_key")).distinct()
-    marked = docs.withColumn("__key", key)
-    match = marked[f"`{id_col}`"].eqNullSafe(wanted["__kept_id"]) & (marked["__key"] == wanted["__kept_key"])
-    copies = Window.partitionBy("__kept_id", "__kept_key").orderBy(F.lit(0))
-    rows = marked.join(wanted, match).withColumn("__copy", F.row_number().over(copies)).filter("__copy = 1")
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
+    wanted = kept.select(F.col("id").alias("kept_id"), F.col("key").alias("kept_key")).distinct()
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(whole.alias("row"), F.col(f"`{id_col}`").alias("row_id"), key.alias("row_key"))
+    copies = Window.partitionBy("kept_id", "kept_key").orderBy(F.lit(0))
+    met = rows.join(wanted, F.col("row_id").eqNullSafe(F.col("kept_id")) & (F.col("row_key") == F.col("kept_key")))
+    return met.withColumn("copy", F.row_number().over(copies)).filter("copy = 1").select("row.*")

@@ -30,6 +30,9 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left, bisect_right
+from collections import Counter
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -53,7 +56,7 @@ _COMMA = re.compile("[,،、，]")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is text up to their own end tag.
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
-LEFT_OUT = frozenset(("script style textarea title xmp iframe noembed noframes noscript template head nav header footer aside form"
+LEFT_OUT = frozenset(("script style textarea title xmp iframe noembed noframes noscript template head nav header footer aside"
                       " button select option datalist menu dialog svg math canvas audio video object map applet").split())
 INLINE = frozenset(("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span"
                     " strike strong sub sup time tt u var wbr").split())
@@ -85,6 +88,8 @@ TITLE_WORDS = frozenset(("ad alert alertdialog banner banners comment consent co
                          " notices notification promo promotion recommended related replies reply respond search share sharing social"
                          " sponsor sponsored subscription advertising advertisement newsletter footer").split())
 NAMED_SHARE = 0.5  # of the page's points: a named element with more is no sidebar
+MOST_LEVELS = 64  # of containers that a block's points climb
+WRAPPING_FORM = "a form"
 NAMED_PENALTY = 0.3  # on the points of a named element that stays for its share
 LEAST_TEXT, DROPPED_TO_TEXT = 140, 3  # less text than that, beside this many times as much left out for names
 CLOSES_P = frozenset(("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3"
@@ -107,7 +112,8 @@ FOREIGN = frozenset(("svg", "math"))  # their elements may end with their start
 
 
 class Node:
-    __slots__ = ("tag", "parent", "start", "end", "children", "points", "chars", "links", "own", "commas", "inline", "out", "named", "first", "last", "penalty")
+    __slots__ = ("tag", "parent", "start", "end", "children", "points", "chars", "links", "own", "commas", "inline", "out", "named", "first",
+                 "last", "penalty", "block", "linked")
 
     def __init__(self, tag: str, parent: Node | None, start: int, out: bool = False) -> None:
         self.tag, self.parent, self.start, self.end = tag, parent, start, start
@@ -120,6 +126,8 @@ class Node:
         self.named = ""  # the word of its name that marks what isn't article text
         self.first = self.last = 0  # places of its descendants in the page's list of nodes
         self.penalty = 1.0
+        self.block: Node = parent.block if self.inline and parent is not None else self  # the nearest that isn't inline
+        self.linked: bool = tag == "a" or parent is not None and parent.linked
 
     def passes_on(self) -> bool:
         """Whether points go on in full: a text block, list, table, quote, or a cell that isn't laid out as a page's column."""
@@ -187,6 +195,7 @@ class Page:
         self.texts: list[tuple[Node, int, int]] = []  # element, characters, commas
         self.named: list[Node] = []
         self.left_out_chars = 0  # for names
+        self.open_tags: Counter[str] = Counter()
         self.root = Node("html", None, 0)
         self.nodes = [self.root]
         self.stack = [self.root]
@@ -241,19 +250,15 @@ class Page:
         for n, chars, commas in self.texts:
             if n.out:
                 continue
-            block = n
-            while block.inline:
-                block = block.parent
-            block.own += chars
-            block.commas += commas
-            around, linked = n, False
-            while around is not None:
-                around.chars += chars
-                linked = linked or around.tag == "a"
-                around = around.parent
-            while linked and n is not None:
+            n.block.own += chars
+            n.block.commas += commas
+            n.chars += chars
+            if n.linked:
                 n.links += chars
-                n = n.parent
+        for n in reversed(self.nodes):  # children come after their parents
+            if n.parent is not None:
+                n.parent.chars += n.chars
+                n.parent.links += n.links
 
     def marked(self) -> list[Node]:
         """The article and main elements with text."""
@@ -273,19 +278,20 @@ class Page:
             if n.first > end:
                 outside, end = outside - total(n), n.last
         marked = self.marked()
+        firsts, lasts = [x.first for x in marked], list(accumulate((x.last for x in marked), max))
         for n in self.named:
             if n.out:
                 continue
-            inside = self.nodes[n.first : n.last]
-            if any(n.first < x.first <= n.last for x in marked):
+            before, behind = bisect_left(firsts, n.first), bisect_right(firsts, n.first)
+            if behind < len(firsts) and firsts[behind] <= n.last:
                 continue
-            beside = marked and not any(x.first < n.first <= x.last for x in marked)
+            beside = marked and not (before and lasts[before - 1] >= n.first)
             large = n.chars >= LEAST_TEXT and total(n) > NAMED_SHARE * (total(n) + outside)
             if large and not beside and n.named not in COMMENTS:
-                n.penalty = NAMED_PENALTY
+                n.penalty = NAMED_PENALTY if n.named != WRAPPING_FORM else 1.0
                 continue
-            self.left_out_chars += n.chars
-            for x in (n, *inside):
+            self.left_out_chars += n.chars if n.named != WRAPPING_FORM else 0
+            for x in (n, *self.nodes[n.first : n.last]):
                 x.out = True
             self.pieces[n.start : n.end] = [""] * (n.end - n.start)
 
@@ -310,10 +316,13 @@ class Page:
             attributes = _attributes(rest) if rest and tag not in LEFT_OUT else {}
             out = tag in LEFT_OUT or tag not in KEPT_WHOLE and _hidden(attributes)
             named = _named(tag, attributes) if self.names and not out else ""
+            if tag == "form" and not out:  # a search or login form goes, one around the page or its article stays
+                named = named if named in COMMENTS else WRAPPING_FORM
             if ends and tag not in LEFT_OUT and (out or named):
                 return
         node = Node(tag, self.stack[-1], len(self.pieces), out)
         self.stack.append(node)
+        self.open_tags[tag] += 1
         if not out:
             node.parent.children.append(node)
             self.nodes.append(node)
@@ -324,6 +333,8 @@ class Page:
 
     def _end(self, names: tuple[str, ...], bounds: frozenset[str]) -> None:
         """Close the innermost open element of these names, unless a bound comes first."""
+        if not any(self.open_tags[name] for name in names):
+            return None
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i].tag in names:
                 while len(self.stack) > i:
@@ -336,6 +347,8 @@ class Page:
     def _close(self, tag: str) -> None:
         if tag not in INLINE and not self.stack[-1].out:
             self.pieces.append(" ")
+        if not self.open_tags[tag]:
+            return
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i].tag == tag:
                 while len(self.stack) > i:
@@ -346,25 +359,25 @@ class Page:
 
     def _pop(self) -> None:
         node = self.stack.pop()
+        self.open_tags[node.tag] -= 1
         node.end, node.last = len(self.pieces), len(self.nodes)
 
     def score(self) -> None:
-        passing = {n for n in self.nodes if n.inline or n.passes_on()}
+        """Every block's points go to the containers around it, divided by their level; above ``MOST_LEVELS`` nothing is left."""
+        holder: dict[Node, Node | None] = {}  # the nearest that keeps points, itself included
+        weight: dict[Node, float] = {}
+        for n in self.nodes:  # parents come before their children
+            above = holder[n.parent] if n.parent is not None else None
+            holder[n] = above if n.inline or n.passes_on() else n
+            weight[n] = n.penalty * (weight[n.parent] if n.parent is not None else 1.0)
+            n.points = 0.0
         for block in self.nodes:
-            earned = 0.0 if block.inline or block.out else block.earned()
-            if not earned:
-                continue
-            at = block
-            while at is not None:
-                earned *= at.penalty
-                at = at.parent
-            around: Node | None = block
-            level = 1
-            while around is not None:
-                if around not in passing:
-                    around.points += earned if around.tag == "article" else earned / level
-                    level += 1
-                around = around.parent
+            earned = 0.0 if block.inline or block.out else block.earned() * weight[block]
+            around, level = holder[block], 1
+            while earned and around is not None and level <= MOST_LEVELS:
+                around.points += earned if around.tag == "article" else earned / level
+                level += 1
+                around = holder[around.parent] if around.parent is not None else None
 
     def worth(self, node: Node) -> float:
         return node.points * (1 - node.links / node.chars) if node.chars else 0.0

@@ -12,7 +12,7 @@ links.  Two documents are linked when ``100 * |A & B| >= percent * |A | B|``.
    and a text stops as soon as no further level can lower any slot.
 2. Documents with equal sets form a class; only classes go on.
 3. Classes that share a band of signature slots are candidates.  First each
-   bucket links its members to a few hub classes; what that leaves in
+   bucket links its members to a hub class; what that leaves in
    different groups is then compared in full, pair by pair, inside blocks of
    a bucket.  So no link between groups is lost, while a bucket of one group
    costs one row per member instead of all its pairs.  The pairs left out are
@@ -24,6 +24,8 @@ links.  Two documents are linked when ``100 * |A & B| >= percent * |A | B|``.
 5. Links are grouped by union-find inside partitions, then by distributed
    smallest-label rounds over what remains.
 
+Shingles are compared by 64-bit hashes under a key drawn for each run.
+
 At similarity 0.85 the 25 bands of 5 slots miss a pair with probability 4e-7.
 
 Defined results: null text counts as empty; repeated rows are separate rows of
@@ -42,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparecast.llm.common import only_rows, per_batch, stored, utf8_texts, work_folder
-from sparecast.llm.words import SPACED, Words, mix, passes, window_hashes
+from sparecast.llm.words import SPACED, Words, mix, new_key, passes, window_hashes
 
 SLOTS, BANDS, ROWS = 128, 25, 5
 HUBS = 3
@@ -55,9 +57,9 @@ _DRAWS = mix(np.arange(1, SLOTS + 1, dtype=np.uint64) * _U(0x9E3779B97F4A7C15))
 _LOW40 = _U((1 << 40) - 1)
 
 
-def shingle_sets(texts: list[bytes], size: int) -> list[np.ndarray]:
+def shingle_sets(texts: list[bytes], size: int, key: int = 0) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
-    words = Words(texts, SPACED)
+    words = Words(texts, SPACED, key)
     first, hashes = words.windows(size)
     cut = np.searchsorted(words.text[first], np.arange(len(texts) + 1)) if len(first) else np.zeros(len(texts) + 1, np.int64)
     out = []
@@ -98,13 +100,13 @@ def super_minhash(sets: list[np.ndarray]) -> np.ndarray:
     return ranks.reshape(n, SLOTS)
 
 
-def describe(texts: list[bytes], size: int) -> tuple[np.ndarray, list[bytes | None], list[bytes | None]]:
+def describe(texts: list[bytes], size: int, key: int = 0) -> tuple[np.ndarray, list[bytes | None], list[bytes | None]]:
     """Set sizes, set digests (class keys) and packed signatures; null keys for empty sets."""
     counts = np.zeros(len(texts), np.int64)
     keys: list[bytes | None] = [None] * len(texts)
     signs: list[bytes | None] = [None] * len(texts)
     for at, run in passes(texts):
-        sets = shingle_sets(run, size)
+        sets = shingle_sets(run, size, key)
         packed = mix(super_minhash(sets)).astype(np.uint16)
         for i, s in enumerate(sets):
             counts[at + i] = len(s)
@@ -115,11 +117,11 @@ def describe(texts: list[bytes], size: int) -> tuple[np.ndarray, list[bytes | No
     return counts, keys, signs
 
 
-def _keyed(rows: DataFrame, size: int) -> DataFrame:
+def _keyed(rows: DataFrame, size: int, key: int) -> DataFrame:
     """Per row: id, text key, set size, class key and signature; no text goes on from here."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        counts, keys, signs = describe(utf8_texts(batch.column(1)), size)
+        counts, keys, signs = describe(utf8_texts(batch.column(1)), size, key)
         return pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(2), pa.array(counts), pa.array(keys, pa.binary()), pa.array(signs, pa.binary())],
             ["id", "key", "n", "cls", "sig"])
@@ -180,13 +182,13 @@ def _unresolved(bands: DataFrame, groups: DataFrame) -> DataFrame:
     return members.join(split, "bucket").select("bucket", "band", "cls", "root", "blocks")
 
 
-def _bottoms(held: DataFrame, size: int) -> DataFrame:
+def _bottoms(held: DataFrame, size: int, key: int) -> DataFrame:
     """``cls, bottom``: the ``BOTTOM`` smallest 32-bit values of each set (a smaller set is there in whole)."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
         for _, texts in passes(utf8_texts(batch.column(1))):
-            for s in shingle_sets(texts, size):
+            for s in shingle_sets(texts, size, key):
                 out.append(np.unique((mix(s) >> _U(32)).astype(np.uint32))[:BOTTOM].tobytes())
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["cls", "bottom"])
 
@@ -275,7 +277,7 @@ def _texts_of(needed: DataFrame, classes: DataFrame, texts: DataFrame, path: str
     return stored(texts.join(keys, "key").groupBy("cls").agg(F.first("t").alias("t")), path)
 
 
-def _confirmed(pairs: DataFrame, held: DataFrame, size: int, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, held: DataFrame, size: int, percent: int, key: int) -> DataFrame:
     """The pairs whose full sets reach the threshold."""
     both = (pairs.join(held.toDF("a", "ta"), "a").join(held.toDF("b", "tb"), "b").select("a", "b", "ta", "tb"))
 
@@ -297,7 +299,7 @@ def _confirmed(pairs: DataFrame, held: DataFrame, size: int, percent: int) -> Da
             sets = {k: s for k, s in sets.items() if k in todo}
             fresh = [k for k in todo if k not in sets]
             for at, run_ in passes([todo[k] for k in fresh]):
-                for i, s in enumerate(shingle_sets(run_, size)):
+                for i, s in enumerate(shingle_sets(run_, size, key)):
                     sets[fresh[at + i]] = s
             for i in range(start, end):
                 x, y = sets[a[i]], sets[b[i]]
@@ -381,10 +383,10 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, size: int, percent: in
     """``id, key, n, root, component, kept`` of every row; ``root`` is null for rows without words."""
     if not MIN_PERCENT <= percent <= 100:
         raise ValueError(f"the bands are laid out for similarities of {MIN_PERCENT} to 100 percent")
-    folder = work_folder(docs.sparkSession)
+    folder, key = work_folder(docs.sparkSession), new_key()
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("t")).withColumn("key", F.sha2("t", 256))
-    sketches = stored(_keyed(rows, size), f"{folder}/sketches")
+    sketches = stored(_keyed(rows, size, key), f"{folder}/sketches")
     classes = sketches.filter("cls is not null").groupBy("cls").agg(
         F.min("n").alias("n"), F.min("id").alias("id"), F.min(F.struct("key", "sig")).alias("k"))
     classes = stored(classes.select("cls", "n", "id", "k.key", "k.sig"), f"{folder}/classes")
@@ -392,11 +394,11 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, size: int, percent: in
     texts = rows.select("key", "t")
     near = stored(_hub_pairs(bands, classes, percent), f"{folder}/near1")
     held = _texts_of(near.select(F.explode(F.array("a", "b")).alias("cls")), classes, texts, f"{folder}/texts1")
-    links = stored(_confirmed(near, held, size, percent), f"{folder}/links1")
+    links = stored(_confirmed(near, held, size, percent, key), f"{folder}/links1")
     members = stored(_unresolved(bands, components(links, f"{folder}/groups1")), f"{folder}/members")
     held = _texts_of(members, classes, texts, f"{folder}/texts2")
-    cross = _cross_pairs(members, classes, _bottoms(held, size), percent).join(near, ["a", "b"], "left_anti")
-    more = stored(_confirmed(stored(cross, f"{folder}/near2"), held, size, percent), f"{folder}/links2")
+    cross = _cross_pairs(members, classes, _bottoms(held, size, key), percent).join(near, ["a", "b"], "left_anti")
+    more = stored(_confirmed(stored(cross, f"{folder}/near2"), held, size, percent, key), f"{folder}/links2")
     groups = components(links.union(more), f"{folder}/groups2")
     rooted = classes.join(groups, "cls", "left").select("cls", "id", F.coalesce("root", "cls").alias("root"))
     label = rooted.groupBy("root").agg(F.min("id").alias("component"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 import pathlib
 from collections.abc import Callable
 
@@ -152,6 +153,13 @@ FROM d LEFT JOIN n ON d.r = n.r LEFT JOIN i ON d.r = i.r
 """
 
 
+def check_imports() -> None:
+    """Raise ImportError where a module of an operator, or a package that it needs, is missing."""
+    for name in ("bpe", "decontaminate", "exact_dedup", "html_text", "near_dedup", "quality", "quality_rules", "secret_scan", "shards", "spelling",
+                 "token_files", "toxicity", "vector_codes"):
+        importlib.import_module(f"sparecast.llm.{name}")
+
+
 def llm_queries() -> dict[str, Query]:
     return {f.__name__: f for f in QUERIES}
 

@@ -25,6 +25,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from bisect import bisect_left
 from functools import lru_cache
 
 import pyarrow as pa
@@ -129,14 +130,17 @@ def _free(run: tuple[int, int], taken: list[tuple[int, int]]) -> list[tuple[int,
 def random_spans(text: str, encoding: tiktoken.Encoding, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Spans of random strings in what ``taken`` leaves of the text."""
     found: list[tuple[int, int, int]] = []
-    used = [(s, e) for s, _, e in taken]
+    used, low = [(s, e) for s, _, e in taken], 0  # both come by start
+    starts = [s for s, _ in used]
     for m in CANDIDATE.finditer(text):
         if known_identifier(m.group()):
             continue
         known = [(u.start(), u.end()) for u in _INNER_UUID.finditer(text, m.start(), m.end())]
         known += [(p.start(), p.end()) for p in _PARTS.finditer(text, m.start(), m.end())
                   if p.end() - p.start() >= RUN_MIXED // 2 and known_identifier(p.group())]
-        near = [x for x in used if x[0] < m.end() and m.start() < x[1]] if used else []
+        while low < len(used) and used[low][1] <= m.start():
+            low += 1
+        near = [x for x in used[low : bisect_left(starts, m.end(), low)] if m.start() < x[1]]
         for start, end in _free(m.span(), sorted(near + known)) if near or known else (m.span(),):
             if (start, end) != m.span():
                 while start < end and text[start] in "/_-=":

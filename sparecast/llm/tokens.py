@@ -17,7 +17,7 @@ from itertools import chain
 import numpy as np
 import regex
 
-from sparecast.llm.words import mix, passes, substring_hashes
+from sparecast.llm.words import mix, new_key, passes, substring_hashes
 
 OTHER, LETTER, NUMBER, SPACE, END = range(5)
 _LAST = 0x110000
@@ -114,7 +114,7 @@ class WordTable:
     """Ids of the words met so far; new words go to ``encode`` (many at a time)."""
 
     def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = KEPT_WORDS) -> None:
-        self.encode, self.limit = encode, limit
+        self.encode, self.limit, self.key = encode, limit, new_key()
         self.clear()
 
     def clear(self) -> None:
@@ -156,7 +156,7 @@ class WordTable:
         real = classes[starts] != END
         text_of = np.cumsum(~real)[real]
         starts, ends = starts[real], ends[real]
-        keys = np.maximum(substring_hashes(codes, starts, ends, values), np.uint64(1))
+        keys = np.maximum(substring_hashes(codes, starts, ends, values, self.key), np.uint64(1))
         place = self.index.find(keys)
         unknown = np.flatnonzero(place < 0)
         if len(unknown):

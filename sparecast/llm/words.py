@@ -2,12 +2,14 @@
 
 Texts are handled as UTF-8 bytes with A-Z lower-cased.  A batch is one byte
 string of texts parted by a space, which no word class contains, so one numpy
-pass finds the words of all its texts.  Hashes are 64 bits wide; where a wrong
-match would matter the callers compare the words themselves or whole sets.
+pass finds the words of all its texts.  Hashes are 64 bits wide and keyed; callers
+whose results rest on them draw a new key for every run, so that two given words
+or sets meet with a chance of 2^-64, whatever the texts are made of.
 """
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +25,7 @@ ALNUM = np.array([0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 for b in r
 PASS_BYTES = 2 << 20
 
 _BLOCK = 1 << 18
-_BASE = 0x9E3779B97F4A7C15 | 1
+_STEP = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 _U = np.uint64
 
@@ -37,15 +39,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def _powers(base: int) -> np.ndarray:
-    out = np.full(_BLOCK, base, dtype=np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
-_POW = _powers(_BASE)
-_INV = pow(_BASE, -1, 1 << 64)
-_INVPOW = _powers(_INV)
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _U(0xD1B54A32D192ED03))
 
 
@@ -69,29 +62,46 @@ def spans(data: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(step == 1), np.flatnonzero(step == -1)
 
 
-def substring_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = _BYTE) -> np.ndarray:
-    """Hash of every ``data[start:end]``; ``starts`` and ``ends`` ascend, ``values`` has each element's own hash.
+def new_key() -> int:
+    """A random key for the hashes of one run: no text can be made to collide under it beforehand."""
+    return secrets.randbits(64)
+
+
+def substring_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = _BYTE, key: int = 0) -> np.ndarray:
+    """Keyed hash of every ``data[start:end]``; ``starts`` and ``ends`` ascend, ``values`` has each element's own hash.
 
-    Differences of one running polynomial sum, taken block by block so that a
-    very long text needs no more scratch memory than a short one.
+    The sum of a mixed value per element, its place in the substring and the key:
+    unlike a polynomial it has no algebra that makes long substrings collide under
+    every base.  Sums are differences of one running sum, taken block by block so
+    that a very long text needs no more scratch memory than a short one.
     """
     at_start, at_end = np.zeros(len(starts), np.uint64), np.zeros(len(ends), np.uint64)
-    carry = 0
+    carry, begin = _U(0), 0
     for b in range(0, len(data) + 1, _BLOCK):
         chunk = data[b : b + _BLOCK]
-        lead = _U(pow(_BASE, b, 1 << 64))
+        lo, hi = np.searchsorted(starts, (b, b + _BLOCK))
+        here = starts[lo:hi]
+        since = np.zeros(len(chunk), np.int64)
+        since[here[here < b + len(chunk)] - b] = here[here < b + len(chunk)]
+        if len(chunk) and not since[0]:
+            since[0] = begin
+        np.maximum.accumulate(since, out=since)
+        begin = int(since[-1]) if len(chunk) else begin
+        place = (np.arange(b, b + len(chunk)) - since).astype(np.uint64)
+        term = (place * _U(_STEP) + _U(key)) ^ values[chunk]
+        term *= _U(0xBF58476D1CE4E5B9)
+        term ^= term >> _U(29)
+        term *= _U(0x94D049BB133111EB)
+        term ^= term >> _U(32)
         run = np.empty(len(chunk) + 1, np.uint64)
-        run[0] = 0
-        np.cumsum(values[chunk] * _POW[: len(chunk)], out=run[1:])
-        run = run * lead + _U(carry)
-        for positions, out in ((starts, at_start), (ends, at_end)):
-            lo, hi = np.searchsorted(positions, (b, b + _BLOCK))
-            out[lo:hi] = run[positions[lo:hi] - b]
-        carry = int(run[-1])
-    blocks = starts // _BLOCK
-    lead = np.array([pow(_INV, int(k) * _BLOCK, 1 << 64) for k in range(int(blocks[-1]) + 1 if len(blocks) else 0)], dtype=np.uint64)
-    unshift = _INVPOW[starts % _BLOCK] * lead[blocks] if len(starts) else at_start
-    return mix((at_end - at_start) * unshift + (ends - starts).astype(np.uint64))
+        run[0] = carry
+        np.cumsum(term, out=run[1:])
+        run[1:] += carry
+        at_start[lo:hi] = run[here - b]
+        lo, hi = np.searchsorted(ends, (b, b + _BLOCK))
+        at_end[lo:hi] = run[ends[lo:hi] - b]
+        carry = run[-1]
+    return mix(at_end - at_start + (ends - starts).astype(np.uint64) * _U(_STEP))
 
 
 def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
@@ -108,11 +118,11 @@ def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
 class Words:
     """The words of some texts: byte spans, hashes and the text each word is in."""
 
-    def __init__(self, texts: list[bytes], table: np.ndarray) -> None:
+    def __init__(self, texts: list[bytes], table: np.ndarray, key: int = 0) -> None:
         self.data = b" ".join(texts).translate(LOWER)
         raw = np.frombuffer(self.data, np.uint8)
         self.starts, self.ends = spans(raw, table)
-        self.hashes = substring_hashes(raw, self.starts, self.ends)
+        self.hashes = substring_hashes(raw, self.starts, self.ends, key=key)
         lengths = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
         self.bounds = np.searchsorted(self.starts, np.concatenate([[0], np.cumsum(lengths)]))
         self.counts = np.diff(self.bounds)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import BACKTEST_WEIGHTS, EXCLUDED_PART_TEXT, safe_div
 from ..functions.periods import month_label_of, month_start
-from .demand import monthly_demand
+from .demand import MonthStates, monthly_demand
 from .forecast import active_parts, base_demand, forecast_frame
 from .pricing import dispatch_lines, unit_price
 
@@ -84,10 +84,15 @@ def segment_parts(billing: DataFrame, segment: str, wanted: DataFrame, line_type
 
     The whole billing history is filtered to the wanted parts (one month's
     dispatches) before the DISTINCT, so only their lines are shuffled for it.
+    With month tables (over all history) their part column is read instead of the lines.
     """
+    if isinstance(billing, MonthStates):
+        billed = billing.parts.where(F.col("industry") == F.lit(segment)).select("Part_Id")
+    else:
+        billed = billing.where((F.col("industry") == F.lit(segment)) & (F.col("Type") == F.lit(line_type))).select(
+            F.col("MaterialNumber").alias("Part_Id"))
     return (
-        billing.where((F.col("industry") == F.lit(segment)) & (F.col("Type") == F.lit(line_type)))
-        .select(F.col("MaterialNumber").alias("Part_Id"))
+        billed
         .join(wanted.select("Part_Id").distinct(), "Part_Id", "left_semi")
         .distinct()
     )

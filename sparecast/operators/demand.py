@@ -15,6 +15,7 @@ raw lines.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +25,40 @@ from ..functions.periods import first_of_month, in_month_window, month_window
 PARTS_TYPE = "Parts"
 
 
+@dataclass(frozen=True)
+class MonthStates:
+    """Demand per month in place of invoice lines (see ``operators.months``): every function here takes either.
+
+    ``parts`` has ``industry, Part_Id, month, qty, value`` and ``dealers`` the
+    dealer and country too.  Windows are whole months, so a condition on the
+    day (``LeoDate``) holds for all days of a month or none.
+    """
+
+    parts: DataFrame
+    dealers: DataFrame
+    dedup: bool = True
+
+    @property
+    def sparkSession(self):
+        return self.parts.sparkSession
+
+    def rows(self, as_of, n: int, m: int, segment: str | Sequence[str] | None, by: Sequence[str], dedup: bool,
+             dealers: bool = False, line_type: str | None = PARTS_TYPE, line_filter: F.Column | None = None) -> DataFrame:
+        """The month rows of a window, with ``LeoDate`` for the month."""
+        if dedup != self.dedup or line_type != PARTS_TYPE:
+            raise ValueError("the month tables were made with other rules (repeated lines, line type)")
+        if not isinstance(segment, str) and "industry" not in by:
+            raise ValueError("month tables keep segments apart: name one segment, or group by industry")
+        if {"DealerID", "country"} & set(by) and not dealers:
+            raise ValueError("the month tables hold dealers only for lines with a dealer and a country")
+        held = self.dealers if dealers else self.parts
+        cond = in_month_window("month", as_of, n, m)
+        if segment is not None:
+            cond = cond & segment_filter(segment)
+        found = held.where(cond).withColumnRenamed("month", "LeoDate")
+        return found if line_filter is None else found.where(line_filter)
+
+
 def segment_filter(segment: str | Sequence[str]) -> F.Column:
     """``industry = segment``, or ``industry IN (...)`` for several segments."""
     if isinstance(segment, str):
@@ -67,6 +102,13 @@ def segment_demand(billing: DataFrame, as_of, n: int, m: int, segment: str | Seq
     extra predicate on the lines (e.g. a window per segment).
     Output: ``*by, [start_of_month], qty (BIGINT), value``.
     """
+    keys = [F.col(k) for k in by]
+    if monthly:
+        keys.append(first_of_month("LeoDate").alias("start_of_month"))
+    if isinstance(billing, MonthStates):
+        rows = billing.rows(as_of, n, m, segment, by, dedup, require_dealer_country, line_type, line_filter)
+        return rows.groupBy(*keys).agg(F.sum("qty").cast("bigint").alias("qty"),
+                                       F.sum("value").cast(rows.schema["value"].dataType).alias("value"))
     lines = billing_lines(billing, as_of, n, m, segment, line_type)
     if line_filter is not None:
         lines = lines.where(line_filter)
@@ -75,9 +117,6 @@ def segment_demand(billing: DataFrame, as_of, n: int, m: int, segment: str | Seq
     lines = lines.select(*by, "LeoDate", "qty", "value")
     if dedup:
         lines = lines.distinct()
-    keys = [F.col(k) for k in by]
-    if monthly:
-        keys.append(first_of_month("LeoDate").alias("start_of_month"))
     return lines.groupBy(*keys).agg(
         F.sum("qty").cast("bigint").alias("qty"),
         F.sum("value").alias("value"),
@@ -96,6 +135,9 @@ def active_month_demand(billing: DataFrame, as_of, n: int, m: int, segment: str
     months = (end.year - first.year) * 12 + end.month - first.month
     if months > 63:
         raise ValueError(f"a window of {months} months has no room in the month bits")
+    if isinstance(billing, MonthStates):  # one row per part and month
+        rows = billing.rows(as_of, n, m, segment, by, dedup, line_filter=line_filter)
+        return rows.groupBy(*by).agg(F.sum("qty").cast("bigint").alias("_t"), F.count(F.lit(1)).alias("Months_Count"))
     lines = billing_lines(billing, as_of, n, m, segment)
     if line_filter is not None:
         lines = lines.where(line_filter)

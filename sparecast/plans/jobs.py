@@ -30,7 +30,9 @@ from ..operators import accuracy as acc
 from ..operators import apportion as ap
 from ..operators import classify as cl
 from ..operators import forecast as fc
+from ..operators import months as months_of_lines
 from ..operators import publish as pb
+from ..operators.demand import MonthStates
 from ..sources import csv as csv_src
 from ..sources import sinks
 from ..sources.tables import read_billing, read_dispatch, read_table
@@ -57,6 +59,12 @@ class Sources:
     #: Canonical column -> the source's own column, where they differ.
     billing_columns: dict[str, str] | None = None
     dispatch_columns: dict[str, str] | None = None
+    #: Monthly partial aggregates (kept up by :func:`close_months`) that the demand steps read instead of the lines.
+    months: months_of_lines.MonthTables | None = None
+
+    def demand(self, spark: SparkSession) -> DataFrame | MonthStates:
+        """What the demand steps read: the month tables if there are any, else the invoice lines."""
+        return months_of_lines.month_states(spark, self.months) if self.months else self.billing_lines(spark)
 
     def billing_lines(self, spark: SparkSession) -> DataFrame:
         return read_billing(spark, _frame(spark, self.billing), self.billing_columns)
@@ -97,11 +105,16 @@ class Tables:
         return spark.table(self.classes).where(F.col("industry") == segment).drop("industry")
 
 
+def close_months(spark: SparkSession, src: Sources, as_of, since=None, late: DataFrame | None = None) -> list:
+    """Add the closed months that ``src.months`` doesn't hold yet, and those of ``late`` lines; returns them."""
+    return months_of_lines.close_months(spark, src.billing_lines(spark), src.months, as_of, since, late)
+
+
 def classify(spark: SparkSession, src: Sources, tables: Tables, as_of,
              segments=("2W", "3W")) -> DataFrame:
     """Write the class table of all segments (one pass over the invoice lines and
     one over the dispatches); return the category counts per segment (lazy)."""
-    billing = src.billing_lines(spark)
+    billing = src.demand(spark)
     dispatch = src.dispatch_lines(spark)
     sinks.write_table(cl.classify_segments(billing, dispatch, as_of, segments), tables.classes,
                       partition_by="industry")
@@ -113,7 +126,7 @@ def forecast(spark: SparkSession, src: Sources, tables: Tables, as_of, segments=
     lines over the widest demand window; each segment keeps its own months),
     partitioned by segment and month."""
     segments = tuple(segments)
-    billing = src.billing_lines(spark)
+    billing = src.demand(spark)
     master = _frame(spark, src.master, csv_src.read_parts_master)
     plan = _frame(spark, src.plan, csv_src.read_plan)
     base = fc.base_demand_segments(billing, master, spark.table(tables.classes), as_of, segments,
@@ -126,7 +139,7 @@ def apportion(spark: SparkSession, src: Sources, tables: Tables, as_of, segments
     """Write the dealer/country forecast of all segments in the publish layout
     (one pass over the invoice lines for the ratios), partitioned by order date."""
     segments = tuple(segments)
-    billing = src.billing_lines(spark)
+    billing = src.demand(spark)
     master = _frame(spark, src.master, csv_src.read_parts_master)
     forecasts = spark.table(tables.part_forecasts).where(F.col("industry").isin(*segments))
     ratios = ap.dealer_ratios(billing, as_of, segments)
@@ -157,7 +170,7 @@ def backtest(spark: SparkSession, src: Sources, tables: Tables, as_of, segment:
              plan_value: float | None = None) -> DataFrame:
     """Accuracy of last month's forecast from history ending two months back
     (``plan_value``: that month's plan, instead of the plan's rows)."""
-    billing = src.billing_lines(spark)
+    billing = src.demand(spark)
     master = _frame(spark, src.master, csv_src.read_parts_master)
     plan = _frame(spark, src.plan, csv_src.read_plan)
     rows = acc.backtest_rows(billing, master, tables.class_table(spark, segment), plan, as_of, segment,
@@ -168,7 +181,7 @@ def backtest(spark: SparkSession, src: Sources, tables: Tables, as_of, segment:
 def monthly_inputs(spark: SparkSession, src: Sources, tables: Tables, as_of, run_date, order_date,
                    segment: str = "2W") -> dict[str, DataFrame]:
     """Published demand of one run and month, monthly actuals, dealer unit prices."""
-    billing = src.billing_lines(spark)
+    billing = src.demand(spark)
     dispatch = src.dispatch_lines(spark)
     return {
         "published_demand": acc.published_demand(spark.table(tables.published), run_date, order_date),

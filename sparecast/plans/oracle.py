@@ -451,6 +451,10 @@ CROSS JOIN (SELECT COUNT(DISTINCT Part_Id) AS demand_parts, MAX(start_of_month)
                 "ABC_FMS, run_date")
     q["publish_layout_all"] = _q(f"SELECT {lay_cols} FROM lay UNION ALL SELECT {lay_cols} FROM lay_3",
                                  full2 + full3)
+    # The same results by other ways: month tables, the jobs over files and tables, publishing once.
+    q["class_table_months"], q["base_demand_months"] = q["class_table_all"], q["base_demand"]
+    q["dealer_ratios_months"], q["jobs_layout"] = q["dealer_ratios_all"], q["publish_layout_all"]
+    q["upload_file_table"], q["publish_once_table"] = q["replace_by_key"], q["publish_append"]
     q["preview"] = _q(
         f"SELECT {PUB_COLS} FROM published ORDER BY order_date, dealer_id, country, part_id, type, order_qty, "
         "Material_Description, industry, ABC_FMS, run_date LIMIT 10")

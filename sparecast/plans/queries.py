@@ -22,12 +22,14 @@ from ..operators import checks
 from ..operators import classify as cl
 from ..operators import demand as dm
 from ..operators import forecast as fc
+from ..operators import months
 from ..operators import publish as pb
 from ..operators.pricing import unit_price
 from ..operators.running import materialize_for_running_totals, running_totals_desc
-from ..session import materialize
+from ..session import checkpoint_dir, materialize
 from ..sources import sinks
 from ..sources import testdata as td
+from . import jobs
 from .oracle import AS_OF
 
 PREVIEW_ROWS = 10
@@ -291,6 +293,86 @@ def q_replace_by_key_swap(spark, sf_dir):
     return spark.table(name).select(*pb.PUBLISHED_COLUMNS)
 
 
+def _month_states(i: Inputs) -> dm.MonthStates:
+    """The month tables of all closed months, built in two steps: up to a year before, then the rest with a late month again."""
+    tables = months.MonthTables(_own_table(i.spark, "months"))
+    early = month_start(i.as_of, -12)
+    first = months.close_months(i.spark, i.billing.where(F.col("BillingDate") < F.lit(early)), tables, early)
+    late = i.billing.where((F.col("BillingDate") >= F.lit(month_start(i.as_of, -14))) & (F.col("BillingDate") < F.lit(month_start(i.as_of, -13))))
+    done = months.close_months(i.spark, i.billing, tables, i.as_of, first[0] if first else early, late)
+    assert len(done) == (13 if first else 12)
+    return months.month_states(i.spark, tables)
+
+
+def q_class_table_months(spark, sf_dir):
+    """``class_table_all`` from the month tables."""
+    i = Inputs(spark, sf_dir)
+    return cl.classify_segments(_month_states(i), i.dispatch, i.as_of)
+
+
+def q_base_demand_months(spark, sf_dir):
+    """``base_demand`` from the month tables."""
+    i = Inputs(spark, sf_dir)
+    return fc.base_demand(_month_states(i), i.master, i.class_table("2W"), i.as_of, "2W", exclude_text=i.exclude_text)
+
+
+def q_dealer_ratios_months(spark, sf_dir):
+    """``dealer_ratios_all`` from the month tables."""
+    i = Inputs(spark, sf_dir)
+    return ap.dealer_ratios(_month_states(i), i.as_of, SEGMENTS)
+
+
+def _shared_folder(spark: SparkSession) -> str:
+    """A folder that driver and executors share, for the files a query makes."""
+    return checkpoint_dir(spark) or spark.conf.get("spark.sql.warehouse.dir")
+
+
+def _sources(i: Inputs) -> jobs.Sources:
+    """The canonical inputs as a user has them: two tables (one under other column names), two CSV files."""
+    own, folder = _own_table(i.spark, "sources"), _shared_folder(i.spark)
+    sinks.write_table(i.billing.withColumnRenamed("BilledValue", "net value"), f"{own}_billing")
+    sinks.write_table(i.dispatch, f"{own}_dispatch")
+    files = {}
+    for name, frame, encoding in (("master", i.master, "ISO-8859-1"), ("plan", i.plan, "UTF-8")):
+        files[name] = f"{folder}/{own}_{name}.csv"
+        frame.write.options(header=True, escape='"', encoding=encoding).csv(files[name])
+    return jobs.Sources(f"{own}_billing", f"{own}_dispatch", files["master"], files["plan"], i.exclude_text, {"BilledValue": "net value"})
+
+
+def q_jobs_layout(spark, sf_dir):
+    """``publish_layout_all`` by the monthly jobs, over catalog tables and CSV files, through the readers."""
+    i = Inputs(spark, sf_dir)
+    src, tables = _sources(i), jobs.Tables(prefix=_own_table(spark, "jobs"))
+    jobs.classify(spark, src, tables, i.as_of)
+    jobs.forecast(spark, src, tables, i.as_of)
+    jobs.apportion(spark, src, tables, i.as_of)
+    return spark.table(tables.dealer_forecast).select(*pb.LAYOUT_COLUMNS)
+
+
+def q_upload_file_table(spark, sf_dir):
+    """``replace_by_key`` by the upload job, from a CSV file."""
+    i, name = Inputs(spark, sf_dir), _own_table(spark, "upload")
+    sinks.write_table(i.published, name, partition_by="order_date")
+    path = f"{_shared_folder(spark)}/{name}.csv"
+    i.upload.write.options(header=True, escape='"', encoding="ISO-8859-1").csv(path)
+    jobs.upload(spark, jobs.Tables(published=name), path, td.UPLOAD_DATE_PATTERN)
+    return spark.table(name).select(*pb.PUBLISHED_COLUMNS)
+
+
+def q_publish_once_table(spark, sf_dir):
+    """``publish_append`` published twice by ``append_once``, with a backup of the touched months, restored and published again."""
+    i, name = Inputs(spark, sf_dir), _own_table(spark, "once")
+    sinks.write_table(i.published, name, partition_by="order_date")
+    dealer = materialize(_layout_all(i))
+    first = pb.publish(dealer, name, f"{name}_backup", mode="append_once", backup_scope="touched")
+    assert pb.publish(dealer, name, mode="append_once").inserted == 0
+    sinks.restore(spark, f"{name}_backup")
+    assert spark.table(name).count() == first.before
+    again = pb.publish(dealer, name, f"{name}_backup", backup_scope="touched")
+    assert again.after == first.after and again.backup_rows == first.backup_rows <= first.before
+    return spark.table(name).select(*pb.PUBLISHED_COLUMNS)
+
+
 def q_parts_in_segment(spark, sf_dir):
     i = Inputs(spark, sf_dir)
     return _money(acc.dispatch_in_segment(i.dispatch, i.billing, i.as_of, "2W"), "value")
@@ -425,4 +507,10 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "plan_forecast_all": q_plan_forecast_all,
         "dealer_ratios_all": q_dealer_ratios_all,
         "publish_layout_all": q_publish_layout_all,
+        "class_table_months": q_class_table_months,
+        "base_demand_months": q_base_demand_months,
+        "dealer_ratios_months": q_dealer_ratios_months,
+        "jobs_layout": q_jobs_layout,
+        "upload_file_table": q_upload_file_table,
+        "publish_once_table": q_publish_once_table,
     }

@@ -84,10 +84,11 @@ def segment_parts(billing: DataFrame, segment: str, wanted: DataFrame, line_type
 
     The whole billing history is filtered to the wanted parts (one month's
     dispatches) before the DISTINCT, so only their lines are shuffled for it.
-    With month tables (over all history) their part column is read instead of the lines.
+    With month tables (over all history) their index of parts is read instead of the lines.
     """
     if isinstance(billing, MonthStates):
-        billed = billing.parts.where(F.col("industry") == F.lit(segment)).select("Part_Id")
+        held = billing.parts if billing.segments is None else billing.segments
+        billed = held.where(F.col("industry") == F.lit(segment)).select("Part_Id")
     else:
         billed = billing.where((F.col("industry") == F.lit(segment)) & (F.col("Type") == F.lit(line_type))).select(
             F.col("MaterialNumber").alias("Part_Id"))

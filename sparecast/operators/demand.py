@@ -37,6 +37,8 @@ class MonthStates:
     parts: DataFrame
     dealers: DataFrame
     dedup: bool = True
+    #: ``industry, Part_Id, first_month``: the parts each segment ever billed.
+    segments: DataFrame | None = None
 
     @property
     def sparkSession(self):

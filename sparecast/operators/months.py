@@ -4,12 +4,15 @@ Classification, base demand, ratios and back-test read overlapping windows of
 whole months, six to twelve each.  Lines count once per part, day, quantity and value, and the day
 lies in one month, so the demand of a window is exactly the sum of the
 demands of its months.  Two tables hold these, written once per closed month
-and partitioned by ``month``:
+and partitioned by ``month``, and a third which parts each segment ever billed:
 
 * ``<prefix>_part_months``: industry, Part_Id, month, qty, value;
 * ``<prefix>_dealer_months``: industry, Part_Id, DealerID, country, month, qty,
   value (lines with a dealer and a country; lines that two dealers have in common count
-  for each of them here and once above, which is why there are two tables).
+  for each of them here and once above, which is why there are two tables);
+* ``<prefix>_part_segments``: industry, Part_Id, partitioned by ``first_month``, the
+  first closed month with a line.  A closed month adds the parts that no earlier one
+  has; a reopened one replaces the entries from that month on, out of the month table.
 
 :class:`sparecast.operators.demand.MonthStates` stands in for the invoice lines
 in all demand operators.  A new month reads the lines of that month only;
@@ -35,7 +38,7 @@ DEALER_KEYS = ("industry", "Part_Id", "DealerID", "country")
 
 @dataclass(frozen=True)
 class MonthTables:
-    """Names of the two tables."""
+    """Names of the tables."""
 
     prefix: str = "planning"
 
@@ -47,6 +50,10 @@ class MonthTables:
     def dealers(self) -> str:
         return f"{self.prefix}_dealer_months"
 
+    @property
+    def segments(self) -> str:
+        return f"{self.prefix}_part_segments"
+
 
 def in_months(column: str, months: Iterable[dt.date]) -> Column:
     """Whether a date falls into one of the months: half-open ranges, one per run of consecutive months."""
@@ -79,7 +86,7 @@ def month_demand(billing: DataFrame, months: Iterable[dt.date], keys: tuple[str,
 
 
 def held_months(spark: SparkSession, tables: MonthTables) -> set[dt.date]:
-    """The months that both tables hold (from the catalog)."""
+    """The months that both month tables hold (from the catalog)."""
     held = None
     for name in (tables.parts, tables.dealers):
         if not sinks.table_exists(spark, name):
@@ -96,27 +103,53 @@ def months_of(lines: DataFrame, column: str = "BillingDate") -> set[dt.date]:
 
 
 def refresh(spark: SparkSession, billing: DataFrame, tables: MonthTables, months: Iterable[dt.date], dedup: bool = True) -> None:
-    """Compute the given months anew, in both tables; other months are neither read nor written.
+    """Compute the given months anew, in all tables; the lines of other months are not read.
 
     Each table is staged and then overwritten by partition, so an interruption is
     finished by the next call (``sinks.recover``) or the month is computed again.
+    The dealers' table comes last: only with it a month is held.
     """
     months = sorted({month_start(m) for m in months})
     if not months:
         return
-    for name, keys in ((tables.parts, PART_KEYS), (tables.dealers, DEALER_KEYS)):
-        sinks.recover(spark, name)
-        rows = month_demand(billing, months, keys, dedup)
-        sinks.create_empty_table(spark, name, rows.schema, partition_by="month")
-        sinks.write_table(rows, name + sinks.STAGE, partition_by="month")
-        filled = set(sinks.partition_values(spark, name + sinks.STAGE))
-        if filled:
-            sinks.finish_stage(spark, name, "month")
-        else:
-            sinks.drop_table(spark, name + sinks.STAGE)
-        for month in months:
-            if month.isoformat() not in filled:  # all its lines are gone
-                spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (month = DATE'{month.isoformat()}')")
+    days = {m.isoformat() for m in months}
+    _replace_months(spark, month_demand(billing, months, PART_KEYS, dedup), tables.parts, "month", days)
+    sinks.recover(spark, tables.segments)
+    known = spark.table(tables.segments) if sinks.table_exists(spark, tables.segments) else None
+    later = set(sinks.partition_values(spark, tables.segments)) if known is not None else set()
+    first = first_months(spark.table(tables.parts), known, months[0] if later else None)
+    _replace_months(spark, first, tables.segments, "first_month", {d for d in later if d >= months[0].isoformat()})
+    _replace_months(spark, month_demand(billing, months, DEALER_KEYS, dedup), tables.dealers, "month", days)
+
+
+def first_months(parts: DataFrame, known: DataFrame | None, since: dt.date | None) -> DataFrame:
+    """``industry, Part_Id, first_month`` of the parts whose first month is ``since`` or later.
+
+    ``known`` holds the entries before ``since``, which later months cannot change; of the
+    month table only the months from ``since`` on are read (all without it).
+    """
+    if since is not None:
+        parts = parts.where(F.col("month") >= F.lit(since))
+    first = parts.groupBy(*PART_KEYS).agg(F.min("month").alias("first_month"))
+    if since is None or known is None:
+        return first
+    before = known.where(F.col("first_month") < F.lit(since)).select(*[F.col(k).alias(f"known_{k}") for k in PART_KEYS])
+    same = [F.col(k).eqNullSafe(F.col(f"known_{k}")) for k in PART_KEYS]
+    return first.join(before, same[0] & same[1], "left_anti")
+
+
+def _replace_months(spark: SparkSession, rows: DataFrame, name: str, column: str, days: set[str]) -> None:
+    """Put ``rows`` in place of the partitions they have and of those of ``days``, which go where no row is left."""
+    sinks.recover(spark, name)
+    sinks.create_empty_table(spark, name, rows.schema, partition_by=column, sort_by=list(PART_KEYS))
+    sinks.write_table(rows, name + sinks.STAGE, partition_by=column)
+    filled = set(sinks.partition_values(spark, name + sinks.STAGE))
+    if filled:
+        sinks.finish_stage(spark, name, column)
+    else:
+        sinks.drop_table(spark, name + sinks.STAGE)
+    for day in sorted(days - filled):  # all its rows are gone
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({column} = DATE'{day}')")
 
 
 def close_months(spark: SparkSession, billing: DataFrame, tables: MonthTables, as_of, since=None, late: DataFrame | None = None,
@@ -141,7 +174,16 @@ def close_months(spark: SparkSession, billing: DataFrame, tables: MonthTables, a
     return sorted(todo)
 
 
-def month_states(spark: SparkSession, tables: MonthTables, dedup: bool = True) -> MonthStates:
-    """What stands in for the invoice lines in the demand operators."""
-    return MonthStates(spark.table(tables.parts), spark.table(tables.dealers), dedup)
+def month_states(spark: SparkSession, tables: MonthTables, dedup: bool = True, lines: DataFrame | None = None) -> MonthStates:
+    """What stands in for the invoice lines in the demand operators.
+
+    With ``lines`` (all invoice lines), the index of parts counts the months that aren't held too, of which only those lines are read.
+    """
+    index = spark.table(tables.segments) if sinks.table_exists(spark, tables.segments) else None
+    if index is not None and lines is not None:
+        held = in_months("BillingDate", held_months(spark, tables))
+        others = lines.where((~held | F.col("BillingDate").isNull()) & (F.col("Type") == F.lit(PARTS_TYPE)))
+        index = index.unionByName(others.select(
+            "industry", F.col("MaterialNumber").alias("Part_Id"), first_of_month("BillingDate").alias("first_month")))
+    return MonthStates(spark.table(tables.parts), spark.table(tables.dealers), dedup, index)
 

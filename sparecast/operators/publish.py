@@ -58,6 +58,8 @@ PUBLISHED_SCHEMA = T.StructType([
     T.StructField("type", T.StringType()),
 ])
 PUBLISHED_COLUMNS = tuple(f.name for f in PUBLISHED_SCHEMA.fields)
+#: The order inside the published files: readers ask for a segment or some parts of a month.
+PUBLISHED_SORT = ["industry", "part_id"]
 PUBLISH_KEYS = ("order_date", "dealer_id", "country", "part_id", "type")
 
 
@@ -233,7 +235,7 @@ def create_publish_table(spark: SparkSession, name: str, backup: str | None = No
     """
     done = sinks.recover(spark, name, backup)
     done += _finish_append(spark, name)
-    sinks.create_empty_table(spark, name, PUBLISHED_SCHEMA, partition_by="order_date")
+    sinks.create_empty_table(spark, name, PUBLISHED_SCHEMA, partition_by="order_date", sort_by=PUBLISHED_SORT)
     return done
 
 

@@ -64,7 +64,8 @@ class Sources:
 
     def demand(self, spark: SparkSession) -> DataFrame | MonthStates:
         """What the demand steps read: the month tables if there are any, else the invoice lines."""
-        return months_of_lines.month_states(spark, self.months) if self.months else self.billing_lines(spark)
+        lines = self.billing_lines(spark)
+        return months_of_lines.month_states(spark, self.months, lines=lines) if self.months else lines
 
     def billing_lines(self, spark: SparkSession) -> DataFrame:
         return read_billing(spark, _frame(spark, self.billing), self.billing_columns)

@@ -453,6 +453,7 @@ CROSS JOIN (SELECT COUNT(DISTINCT Part_Id) AS demand_parts, MAX(start_of_month)
                                  full2 + full3)
     # The same results by other ways: month tables, the jobs over files and tables, publishing once.
     q["class_table_months"], q["base_demand_months"] = q["class_table_all"], q["base_demand"]
+    q["monthly_actuals_index"], q["parts_in_segment_index"] = q["monthly_actuals"], q["parts_in_segment"]
     q["dealer_ratios_months"], q["jobs_layout"] = q["dealer_ratios_all"], q["publish_layout_all"]
     q["upload_file_table"], q["publish_once_table"] = q["replace_by_key"], q["publish_append"]
     q["preview"] = _q(

@@ -301,7 +301,7 @@ def _month_states(i: Inputs) -> dm.MonthStates:
     late = i.billing.where((F.col("BillingDate") >= F.lit(month_start(i.as_of, -14))) & (F.col("BillingDate") < F.lit(month_start(i.as_of, -13))))
     done = months.close_months(i.spark, i.billing, tables, i.as_of, first[0] if first else early, late)
     assert len(done) == (13 if first else 12)
-    return months.month_states(i.spark, tables)
+    return months.month_states(i.spark, tables, lines=i.billing)
 
 
 def q_class_table_months(spark, sf_dir):
@@ -322,6 +322,18 @@ def q_dealer_ratios_months(spark, sf_dir):
     return ap.dealer_ratios(_month_states(i), i.as_of, SEGMENTS)
 
 
+def q_monthly_actuals_index(spark, sf_dir):
+    """``monthly_actuals`` from the index of parts, and the lines of months that aren't closed."""
+    i = Inputs(spark, sf_dir)
+    return _money(acc.monthly_actuals(i.dispatch, _month_states(i), i.as_of, "2W"), "value")
+
+
+def q_parts_in_segment_index(spark, sf_dir):
+    """``parts_in_segment`` from the index of parts."""
+    i = Inputs(spark, sf_dir)
+    return _money(acc.dispatch_in_segment(i.dispatch, _month_states(i), i.as_of, "2W"), "value")
+
+
 def _shared_folder(spark: SparkSession) -> str:
     """A folder that driver and executors share, for the files a query makes."""
     return checkpoint_dir(spark) or spark.conf.get("spark.sql.warehouse.dir")
@@ -510,6 +522,8 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "class_table_months": q_class_table_months,
         "base_demand_months": q_base_demand_months,
         "dealer_ratios_months": q_dealer_ratios_months,
+        "monthly_actuals_index": q_monthly_actuals_index,
+        "parts_in_segment_index": q_parts_in_segment_index,
         "jobs_layout": q_jobs_layout,
         "upload_file_table": q_upload_file_table,
         "publish_once_table": q_publish_once_table,

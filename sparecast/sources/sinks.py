@@ -21,7 +21,8 @@ nothing accounts for is never dropped: both raise :class:`LostTable`.
 
 Partitioned writes are first rebalanced on the partition columns: each
 partition is written by as few tasks as its size allows, and a large one by
-several.
+several.  A table may name columns that its files are sorted by (``sort_by``, kept as a
+table property): every later writer keeps to them.
 """
 
 from __future__ import annotations
@@ -80,21 +81,47 @@ def clustered(df: DataFrame, columns: str | list[str] | None) -> DataFrame:
     return df.hint("rebalance", *[F.col(f"`{c}`") for c in names]) if names else df
 
 
+SORT = "sparecast.sort_by"
+
+
+def sort_columns(spark: SparkSession, name: str) -> list[str]:
+    """The columns that the table's files are sorted by (empty: none)."""
+    found = spark.sql(f"SHOW TBLPROPERTIES {name}").where(F.col("key") == SORT).first()
+    return json.loads(found["value"]) if found else []
+
+
+def set_sort(spark: SparkSession, name: str, sort_by: str | list[str]) -> None:
+    """Have later writes sort by these columns; what the table holds stays as it is."""
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{SORT}' = '{json.dumps(_names(sort_by))}')")
+
+
+def arranged(df: DataFrame, partition_by: str | list[str] | None, sort_by: str | list[str] | None) -> DataFrame:
+    """``df`` as it is written: rebalanced on the partition columns, then sorted inside each task.
+
+    Sorted files have row groups and pages with narrow ranges of the sort columns, so a
+    filter on them skips the rest.  No shuffle is added.
+    """
+    rows = clustered(df, partition_by)
+    return rows.sortWithinPartitions(*[F.col(f"`{c}`") for c in _names(partition_by) + _names(sort_by)]) if sort_by else rows
+
+
 def write_table(df: DataFrame, name: str, partition_by: str | list[str] | None = None,
-                mode: str = "overwrite") -> None:
-    """Overwrite (or append to) a Parquet table, optionally partitioned."""
-    writer = clustered(df, partition_by).write.mode(mode).format("parquet")
+                mode: str = "overwrite", sort_by: str | list[str] | None = None) -> None:
+    """Overwrite (or append to) a Parquet table, optionally partitioned, and sorted inside its files."""
+    writer = arranged(df, partition_by, sort_by).write.mode(mode).format("parquet")
     if partition_by:
         writer = writer.partitionBy(*_names(partition_by))
     writer.saveAsTable(name)
+    if sort_by:
+        set_sort(df.sparkSession, name, sort_by)
 
 
 def create_empty_table(spark: SparkSession, name: str, schema: T.StructType,
-                       partition_by: str | list[str] | None = None) -> None:
+                       partition_by: str | list[str] | None = None, sort_by: str | list[str] | None = None) -> None:
     """Create a table with a declared schema and no rows (if it does not exist)."""
     if table_exists(spark, name):
         return
-    write_table(spark.createDataFrame([], schema), name, partition_by, mode="overwrite")
+    write_table(spark.createDataFrame([], schema), name, partition_by, mode="overwrite", sort_by=sort_by)
 
 
 # ---------------------------------------------------------------------------
@@ -194,12 +221,13 @@ def swap_table(spark: SparkSession, df: DataFrame, target: str,
     A writer whose ``df`` reads ``target`` calls :func:`recover` before it builds ``df``.
     """
     recover(spark, target)
-    _swap(spark, df, target, partition_by, target + BACKUP if keep_backup else None)
+    _swap(spark, df, target, partition_by, target + BACKUP if keep_backup else None, target)
 
 
-def _swap(spark: SparkSession, df: DataFrame, target: str, partition_by: str | list[str] | None, old: str | None) -> None:
+def _swap(spark: SparkSession, df: DataFrame, target: str, partition_by: str | list[str] | None, old: str | None, like: str) -> None:
+    """Swap ``df`` in, sorted as the table ``like`` is (if there is one)."""
     drop_table(spark, target + NEW)
-    write_table(df, target + NEW, partition_by)
+    write_table(df, target + NEW, partition_by, sort_by=sort_columns(spark, like) if table_exists(spark, like) else None)
     set_intent(spark, target + NEW, do="swap", old=old)
     _finish_swap(spark, target)
 
@@ -210,7 +238,7 @@ def snapshot(spark: SparkSession, source: str, backup: str) -> int:
     The copy is swapped in: a failed write leaves the previous backup as it was.
     """
     recover(spark, backup)
-    _swap(spark, spark.table(source), backup, partition_columns(spark, source), None)
+    _swap(spark, spark.table(source), backup, partition_columns(spark, source), None, source)
     return spark.table(backup).count()
 
 
@@ -223,7 +251,7 @@ def finish_stage(spark: SparkSession, target: str, partition_by: str) -> None:
 
 def rebuild_table(spark: SparkSession, df: DataFrame, target: str) -> None:
     """Swap in ``df``, which reads the recovered ``target``, with the target's own partitioning; keeps ``<target>__backup``."""
-    _swap(spark, df, target, partition_columns(spark, target), target + BACKUP)
+    _swap(spark, df, target, partition_columns(spark, target), target + BACKUP, target)
 
 
 # ---------------------------------------------------------------------------
@@ -325,7 +353,7 @@ def append_by_name(df: DataFrame, target: str) -> int:
     columns = spark.table(target).columns
     obs = Observation("append")
     rows = df.select(*[F.col(f"`{c}`") for c in columns]).observe(obs, F.count(F.lit(1)).alias("rows"))
-    clustered(rows, partition_columns(spark, target)).write.insertInto(target)
+    arranged(rows, partition_columns(spark, target), sort_columns(spark, target)).write.insertInto(target)
     return int(observed(obs).get("rows", 0))
 
 
@@ -341,7 +369,7 @@ def replace_partitions(df: DataFrame, target: str, partition_by: str) -> None:
     if found != [partition_by]:
         raise ValueError(f"{target} is partitioned by {found}, not by [{partition_by!r}]")
     columns = spark.table(target).columns
-    rows = clustered(df.select(*[F.col(f"`{c}`") for c in columns]), partition_by)
+    rows = arranged(df.select(*[F.col(f"`{c}`") for c in columns]), partition_by, sort_columns(spark, target))
     with _OVERWRITE_MODE:
         previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from sparecast.operators import accuracy as acc
 from sparecast.operators import demand as dm
 from sparecast.operators import months as mo
 from sparecast.sources import sinks
@@ -36,7 +38,7 @@ ROWS = [
 
 def _tables(spark, name):
     t = mo.MonthTables(name)
-    for table in (t.parts, t.dealers):
+    for table in (t.parts, t.dealers, t.segments):
         for suffix in ("", sinks.STAGE, sinks.NEW):
             sinks.drop_table(spark, table + suffix)
     return t
@@ -47,8 +49,21 @@ def _same(a, b):
     return sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
 
 
+def _check_index(spark, lines, tables):
+    states = mo.month_states(spark, tables, lines=lines)
+    every = lines.where("Type = 'Parts' and BillingDate is not null").select(
+        "industry", F.col("MaterialNumber").alias("Part_Id"), F.trunc("BillingDate", "MM").alias("first_month"))
+    closed = every.where(F.col("first_month").isin([D.fromisoformat(d) for d in sinks.partition_values(spark, tables.parts)]))
+    first = closed.groupBy("industry", "Part_Id").agg(F.min("first_month").alias("first_month"))
+    assert _same(spark.table(tables.segments), first)
+    wanted = spark.createDataFrame([(p,) for p in ("P", "Q", "R", "Z", "none", None)], "Part_Id string")
+    for segment in ("2W", "3W"):
+        assert _same(acc.segment_parts(states, segment, wanted), acc.segment_parts(lines, segment, wanted))
+    return states
+
+
 def _check(spark, lines, tables, as_of):
-    states = mo.month_states(spark, tables)
+    states = _check_index(spark, lines, tables)
     for n, m in ((13, 1), (4, 2)):
         for segment, by in (("2W", ("Part_Id",)), (("2W", "3W"), ("industry", "Part_Id"))):
             assert _same(dm.segment_demand(states, as_of, n, m, segment, by), dm.segment_demand(lines, as_of, n, m, segment, by))
@@ -114,5 +129,24 @@ def test_an_interrupted_refresh_is_finished(spark, monkeypatch):
                 mo.close_months(spark, lines, tables, "2000-10-01", "2000-05-01")
         mo.close_months(spark, lines, tables, "2000-10-01", "2000-05-01")
         _check(spark, lines, tables, "2000-10-01")
-        for table in (tables.parts, tables.dealers):
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (month = DATE'2000-08-01')")
+        for table, column in ((tables.parts, "month"), (tables.dealers, "month"), (tables.segments, "first_month")):
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column} = DATE'2000-08-01')")
+
+
+def test_the_index_of_parts_reads_what_may_change(spark, tmp_path):
+    """A closed month reads its own month rows and the older entries; lines are read for open months only."""
+    lines, tables = _lines(spark, [*ROWS, _line("N", (2000, 10, 3)), _line("N", (2000, 4, 30))]), _tables(spark, "mo_index")
+    mo.close_months(spark, lines, tables, "2000-09-15", "2000-05-01")
+    _check_index(spark, lines, tables)  # N was billed before the first held month and after the last one only
+    rows = mo.first_months(spark.table(tables.parts), spark.table(tables.segments), D(2000, 8, 1))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    filters = re.findall(r"PartitionFilters: \[(.*?)\], Pushed", plan)
+    assert len(filters) == 2 and any(">= 2000-08-01" in f for f in filters) and any("< 2000-08-01" in f for f in filters)
+    lines.write.parquet(str(tmp_path / "lines"))
+    states = mo.month_states(spark, tables, lines=spark.read.parquet(str(tmp_path / "lines")))
+    wanted = spark.createDataFrame([("P",)], "Part_Id string")
+    plan = acc.segment_parts(states, "2W", wanted)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("mo_index_part_segments") == 1 and "mo_index_part_months" not in plan
+    lines_read = [line for line in plan.splitlines() if "Filter" in line and "BillingDate" in line]
+    # August has no line with a dealer and a country, so it isn't held
+    assert len(lines_read) == 1 and "2000-05-01" in lines_read[0] and "2000-08-01" in lines_read[0], plan

@@ -288,3 +288,58 @@ def test_source_columns_are_mapped_by_name(spark):
     assert read_billing(spark, own, {"BilledValue": "net value"}).columns == list(BILLING_COLUMNS)
     with pytest.raises(ValueError, match="not canonical"):
         read_billing(spark, own, {"Value": "net value"})
+
+
+def _files(spark, name):
+    import pyarrow.parquet as pq
+
+    paths = sorted({r.f for r in spark.table(name).select(F.input_file_name().alias("f")).distinct().collect()})
+    return [pq.ParquetFile(p.removeprefix("file://")) for p in paths]
+
+
+def _rows_read(spark, name, condition):
+    """Rows that the executed scan takes out of the files (those of skipped row groups and pages aren't among them)."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = spark.table(name).where(condition)._jdf.queryExecution().executedPlan()
+        plan.executeCollect()
+        return plan.collectLeaves().head().metrics().apply("numOutputRows").value()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+@pytest.mark.parametrize("partition_by", ["order_date", None])
+def test_published_files_are_sorted_and_scans_skip(spark, partition_by):
+    """Every writer keeps the order of the files; a scan of one segment or part reads a small share of the rows."""
+    target = f"pub_sorted_{'date' if partition_by else 'plain'}"
+    for t in (target, f"{target}__backup", f"{target}_b"):
+        sinks.drop_table(spark, t)
+    rows = spark.range(20_000).select(
+        F.lit(dt.date(2025, 5, 1)).alias("order_date"), (F.col("id") % 7).cast("double").alias("dealer_id"), F.lit("IN").alias("country"),
+        F.format_string("P%05d", F.pmod(F.xxhash64("id"), F.lit(5000))).alias("part_id"), F.lit(1.0).alias("order_qty"),
+        F.lit("Forecast").alias("type"), F.lit("d").alias("Material_Description"),
+        F.when(F.col("id") % 2 == 0, "2W").otherwise("3W").alias("industry"), F.lit("A_F").alias("ABC_FMS"), F.lit("2025-04-03").alias("run_date"))
+    upload = rows.where("part_id < 'P00100'").withColumn("order_qty", F.lit(5.0)).withColumn("order_date", F.lit("2025/05/01"))
+    spark.conf.set("parquet.block.size", "16384")
+    try:
+        if partition_by is None:
+            sinks.create_empty_table(spark, target, pb.PUBLISHED_SCHEMA, None, pb.PUBLISHED_SORT)
+        for write in (lambda: pb.publish(rows, target, f"{target}_b"),
+                      lambda: pb.publish(rows, target, mode="replace_run", segments=("2W", "3W"), run_date=dt.date(2025, 4, 3)),
+                      lambda: pb.replace_by_key_table(upload, target, "yyyy/MM/dd")):
+            write()
+            held = spark.table(target).count()
+            assert held == 20_000 and sinks.sort_columns(spark, target) == ["industry", "part_id"]
+            groups = 0
+            for f in _files(spark, target):
+                keys = [(r["industry"], r["part_id"]) for r in f.read(["industry", "part_id"]).to_pylist()]
+                assert keys == sorted(keys)
+                groups += f.num_row_groups
+            assert groups > 8
+            assert _rows_read(spark, target, "industry = '2W'") < 0.75 * held
+            assert _rows_read(spark, target, "industry = '2W' and part_id = 'P01234'") < 0.2 * held
+        assert sinks.sort_columns(spark, f"{target}_b") == ["industry", "part_id"]
+    finally:
+        spark.conf.unset("parquet.block.size")
+    sinks.set_sort(spark, target, "part_id")
+    assert sinks.sort_columns(spark, target) == ["part_id"]

@@ -51,6 +51,8 @@ HUBS = 3
 BLOCK = 256
 BOTTOM = 1024
 MIN_PERCENT = 80
+#: Tasks that one key's rows are spread over.
+SALTS = 64
 
 _U = np.uint64
 _DRAWS = mix(np.arange(1, SLOTS + 1, dtype=np.uint64) * _U(0x9E3779B97F4A7C15))
@@ -340,24 +342,36 @@ def _local_forest(edges: DataFrame) -> DataFrame:
     return edges.mapInArrow(run, "a binary, b binary")
 
 
+def with_least(rows: DataFrame, key: str, value: str, out: str, spread_by: str | None = None) -> DataFrame:
+    """``rows`` with the least ``value`` of all rows of their ``key`` (not null) in ``out``.
+
+    The rows of one key are spread over up to ``SALTS`` tasks by ``spread_by``
+    (``value`` by default): least values per key and salt, then per key, which go back to the
+    salts that the key has, so there are never more of them than rows.
+    """
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64(spread_by or value), F.lit(SALTS)))
+    parts = salted.groupBy(key, "salt").agg(F.min(value).alias(out))
+    whole = parts.groupBy(key).agg(F.min(out).alias(out), F.collect_list("salt").alias("salts"))
+    return salted.join(whole.select(key, F.explode("salts").alias("salt"), out), [key, "salt"]).drop("salt")
+
+
 def components(links: DataFrame, folder: str) -> DataFrame:
     """``(cls, root)`` for every linked class, ``root`` the smallest class of its group.
 
     Each round turns every node's edges toward its smallest neighbour (once
     with the larger ends, once with the smaller) until nothing changes; the
     rounds grow with the logarithm of the longest chain.  Nodes with many
-    edges are first thinned by union-find inside partitions.
+    edges are first thinned by union-find inside partitions, and their edges are
+    spread over the tasks.
     """
     edges = stored(_local_forest(links), f"{folder}/edges0")
     turn = 0
     while True:
         turn += 1
         both = edges.union(edges.select(F.col("b"), F.col("a"))).toDF("u", "v")
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("m").alias("a"), F.col("v").alias("b"))
+        large = with_least(both, "u", "v", "m").filter("v > u").select(F.least("u", "m").alias("a"), F.col("v").alias("b"))
         large = large.filter("a <> b").distinct()
-        down = large.groupBy("b").agg(F.min("a").alias("m"))
-        small = large.join(down, "b").select(F.col("m").alias("a"), F.explode(F.array("a", "b")).alias("b"))
+        small = with_least(large, "b", "a", "m").select(F.col("m").alias("a"), F.explode(F.array("a", "b")).alias("b"))
         new = stored(small.filter("a <> b").distinct(), f"{folder}/edges{turn}")
         changed = new.join(edges, ["a", "b"], "left_anti").limit(1).count() or edges.join(new, ["a", "b"], "left_anti").limit(1).count()
         edges = new
@@ -401,8 +415,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, size: int, percent: in
     more = stored(_confirmed(stored(cross, f"{folder}/near2"), held, size, percent, key), f"{folder}/links2")
     groups = components(links.union(more), f"{folder}/groups2")
     rooted = classes.join(groups, "cls", "left").select("cls", "id", F.coalesce("root", "cls").alias("root"))
-    label = rooted.groupBy("root").agg(F.min("id").alias("component"))
-    labels = rooted.select("cls", "root").join(label, "root")
+    labels = with_least(rooted, "root", "id", "component", spread_by="cls").select("cls", "root", "component")
     out = sketches.select("id", "key", "n", "cls").join(labels, "cls", "left")
     component = F.when(F.col("cls").isNull(), F.col("id")).otherwise(F.col("component"))
     return out.select("id", "key", "n", "root", component.alias("component"), F.col("id").eqNullSafe(component).alias("kept"))

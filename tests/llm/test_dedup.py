@@ -100,6 +100,19 @@ def test_components_of_a_long_chain(spark, tmp_path):
     assert got == {f"{i:04d}".encode(): b"0000" for i in range(1, 201)} | {b"b": b"a"}
 
 
+def test_components_of_a_hub(spark, tmp_path):
+    """Stars around the smallest, a middle and the largest node, chained; no task gets a hub's edges whole."""
+    ends = [(hub, f"{side}{i:03d}") for side, hub in (("b", "a"), ("c", "b500"), ("d", "z")) for i in range(900)]
+    edges = [tuple(sorted((u.encode(), v.encode()))) for u, v in [*ends, ("c001", "d001")]]
+    random.Random(5).shuffle(edges)
+    links = spark.createDataFrame(edges, "a binary, b binary").repartition(50)
+    got = {bytes(r.cls): bytes(r.root) for r in components(links, str(tmp_path)).collect()}
+    assert got == {n: b"a" for e in edges for n in e if n != b"a"}
+    rows = spark.createDataFrame([("hub", i) for i in range(900)] + [("x", None), ("y", 3), ("y", None)], "k string, v int")
+    least = near_dedup.with_least(rows, "k", "v", "m")
+    assert {(r.k, r.m) for r in least.collect()} == {("hub", 0), ("x", None), ("y", 3)} and least.count() == 903
+
+
 def test_signature_estimates():
     import numpy as np
 

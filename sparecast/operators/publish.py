@@ -61,6 +61,10 @@ PUBLISHED_COLUMNS = tuple(f.name for f in PUBLISHED_SCHEMA.fields)
 #: The order inside the published files: readers ask for a segment or some parts of a month.
 PUBLISHED_SORT = ["industry", "part_id"]
 PUBLISH_KEYS = ("order_date", "dealer_id", "country", "part_id", "type")
+#: The keys that a published table can be bucketed by (its partition column cannot be one of them).
+BUCKET_KEYS = ("part_id", "dealer_id", "country", "type")
+#: Order dates of an upload that are named one by one in the scan of the target; more are met by a semi join.
+MAX_NAMED_DATES = 500
 
 
 def format_publish(apportioned: DataFrame, master: DataFrame, as_of, segment: str | Sequence[str],
@@ -213,14 +217,34 @@ def rows_not_in(target: DataFrame, source: DataFrame, keys: Sequence[str] = PUBL
         *[F.col(f"_t.`{c}`").alias(c) for c in target.columns])
 
 
+def rows_not_in_bucketed(target: DataFrame, source: DataFrame, keys: Sequence[str], buckets: sinks.Buckets) -> DataFrame:
+    """:func:`rows_not_in` by an equi join on the bucket columns of ``target`` alone, so ``target`` isn't shuffled.
+
+    Spark joins a bucketed table in place where the equi keys are the bucket columns and the other side
+    has as many partitions.  The other keys (the order date) travel as a set in the one source row per
+    bucket key; such a set holds the distinct order dates of one dealer, part, country and type at most,
+    since repeated source keys are combined before the shuffle.  NULL keys never match.  The bucket columns are a part of ``keys``.
+    """
+    rest = [k for k in keys if k not in buckets.columns]
+    once = source.select(*keys).dropna().distinct().repartition(buckets.count, *buckets.columns)
+    met = once.groupBy(*buckets.columns).agg(F.collect_set(F.struct(*rest) if rest else F.lit(True)).alias("_met"))
+    cond = [F.col(f"_t.{k}") == F.col(f"_s.{k}") for k in buckets.columns]
+    if rest:
+        cond.append(F.array_contains(F.col("_s._met"), F.struct(*[F.col(f"_t.{k}").alias(k) for k in rest])))
+    return target.alias("_t").join(met.alias("_s"), cond, "left_anti").select(*[F.col(f"_t.`{c}`").alias(c) for c in target.columns])
+
+
 def replace_by_key(target: DataFrame, upload_rows: DataFrame,
-                   keys: Sequence[str] = PUBLISH_KEYS) -> DataFrame:
+                   keys: Sequence[str] = PUBLISH_KEYS, buckets: sinks.Buckets | None = None) -> DataFrame:
     """Target rows whose key is not uploaded, plus every uploaded row (no dedup).
 
-    Both inputs in published types.
+    Both inputs in published types.  ``buckets`` are those of the table that the target is
+    read from, if any; where their columns are keys, the target is joined in place.
     """
-    uploads = upload_rows.select(*PUBLISHED_COLUMNS)
-    return rows_not_in(target.select(*PUBLISHED_COLUMNS), uploads, keys).unionByName(uploads)
+    uploads, rows = upload_rows.select(*PUBLISHED_COLUMNS), target.select(*PUBLISHED_COLUMNS)
+    in_place = buckets is not None and set(buckets.columns) <= set(keys)
+    kept = rows_not_in_bucketed(rows, uploads, keys, buckets) if in_place else rows_not_in(rows, uploads, keys)
+    return kept.unionByName(uploads)
 
 
 # ---------------------------------------------------------------------------
@@ -228,14 +252,18 @@ def replace_by_key(target: DataFrame, upload_rows: DataFrame,
 # ---------------------------------------------------------------------------
 
 
-def create_publish_table(spark: SparkSession, name: str, backup: str | None = None) -> list[str]:
+def create_publish_table(spark: SparkSession, name: str, backup: str | None = None, buckets: int | None = None) -> list[str]:
     """Recover the published table, or create it (partitioned by ``order_date``) if there never was one.
 
+    ``buckets`` gives a new table that many buckets by :data:`BUCKET_KEYS`; uploads are then matched
+    without a shuffle of the table (:func:`rows_not_in_bucketed`).  An existing table stays as it is.
+
     Returns what the recovery did; the publishing of an interrupted run ends as :func:`_finish_append`.
     """
     done = sinks.recover(spark, name, backup)
     done += _finish_append(spark, name)
-    sinks.create_empty_table(spark, name, PUBLISHED_SCHEMA, partition_by="order_date", sort_by=PUBLISHED_SORT)
+    sinks.create_empty_table(spark, name, PUBLISHED_SCHEMA, partition_by="order_date", sort_by=PUBLISHED_SORT,
+                             buckets=sinks.Buckets(buckets, BUCKET_KEYS) if buckets else None)
     return done
 
 
@@ -388,13 +416,18 @@ def _stage_publishable(layout_rows: DataFrame, name: str) -> tuple[DataFrame, in
 def _rows_of_months(target: DataFrame, rows: DataFrame) -> DataFrame:
     """The target rows in the order dates of ``rows``.
 
-    The first and last date, read with a one-row aggregate, prune the
-    partitions statically; a semi join leaves the dates that do occur.
+    Up to :data:`MAX_NAMED_DATES` dates are named in the filter, so the scan lists
+    their partitions only and no join is needed.  Of more, the first and last
+    prune the partitions statically and a semi join leaves the dates that do occur.
     """
-    span = rows.agg(F.min("order_date").alias("lo"), F.max("order_date").alias("hi")).first()
+    span = rows.agg(F.min("order_date").alias("lo"), F.max("order_date").alias("hi"),
+                    F.count_distinct("order_date").alias("dates")).first()
     if span is None or span["lo"] is None:
         return target.where(F.lit(False))
     near = target.where((F.col("order_date") >= F.lit(span["lo"])) & (F.col("order_date") <= F.lit(span["hi"])))
+    if span["dates"] <= MAX_NAMED_DATES:
+        named = rows.agg(F.sort_array(F.collect_set("order_date")).alias("dates")).first()["dates"]
+        return near.where(F.col("order_date").isin([F.lit(d) for d in named]))
     return near.join(rows.select("order_date").distinct(), "order_date", "left_semi").select(*target.columns)
 
 
@@ -460,7 +493,8 @@ def replace_by_key_table(upload: DataFrame, target: str, date_pattern: str = "yy
 
     Where the target is partitioned by ``order_date`` alone, only the
     partitions the upload touches are read and rewritten (dynamic partition
-    overwrite from a staged copy).  Any other target, or ``swap=True``, is
+    overwrite from a staged copy); a target bucketed by keys is matched without
+    a shuffle of its rows.  Any other target, or ``swap=True``, is
     rebuilt in whole, with its own partitioning, and swapped in, keeping
     ``<target>__backup``.  Uploads that cannot be published are left out and
     counted; target rows without a date match no key and stay.
@@ -472,10 +506,11 @@ def replace_by_key_table(upload: DataFrame, target: str, date_pattern: str = "yy
     uploads = rows.where(F.col(REJECT).isNull()).drop(REJECT)
     current = spark.table(target)
     before = current.count()
+    buckets = sinks.buckets_of(spark, target)
     if swap or not _partitioned_by_date(spark, target):
-        sinks.rebuild_table(spark, replace_by_key(current, uploads, keys), target)
+        sinks.rebuild_table(spark, replace_by_key(current, uploads, keys, buckets), target)
     else:
-        _stage(replace_by_key(_rows_of_months(current, uploads), uploads, keys), target + sinks.STAGE)
+        _stage(replace_by_key(_rows_of_months(current, uploads), uploads, keys, buckets), target + sinks.STAGE)
         sinks.finish_stage(spark, target, "order_date")
     inserted = counts["rows"] - counts["rejected"]
     after = spark.table(target).count()

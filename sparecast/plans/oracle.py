@@ -388,7 +388,7 @@ def oracle_queries() -> dict[str, str]:
     q["replace_by_key"] = _q(f"SELECT {PUB_COLS} FROM kept_target UNION ALL SELECT {PUB_COLS} FROM tu",
                              TYPED_UPLOAD)
 
-    q["replace_by_key_table"] = q["replace_by_key_swap"] = q["replace_by_key"]
+    q["replace_by_key_table"] = q["replace_by_key_swap"] = q["replace_by_key_bucketed"] = q["replace_by_key"]
 
     sent = f"""
   SELECT Country, MaterialNumber AS Part_Id, DealerCode, CAST(LeoDate AS DATE) AS LeoDate,

@@ -285,6 +285,15 @@ def q_replace_by_key_table(spark, sf_dir):
     return spark.table(name).select(*pb.PUBLISHED_COLUMNS)
 
 
+def q_replace_by_key_bucketed(spark, sf_dir):
+    """``replace_by_key`` on a table by order date whose rows are bucketed by the other keys (the table isn't shuffled)."""
+    i, name = Inputs(spark, sf_dir), _own_table(spark, "bucketed")
+    pb.create_publish_table(spark, name, buckets=4)
+    sinks.append_by_name(i.published, name)
+    pb.replace_by_key_table(i.upload, name, td.UPLOAD_DATE_PATTERN)
+    return spark.table(name).select(*pb.PUBLISHED_COLUMNS)
+
+
 def q_replace_by_key_swap(spark, sf_dir):
     """``replace_by_key`` on a table without partitions (whole rebuild and swap, backup kept)."""
     i, name = Inputs(spark, sf_dir), _own_table(spark, "swap")
@@ -505,6 +514,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "publish_rerun_table": q_publish_rerun_table,
         "replace_by_key_table": q_replace_by_key_table,
         "replace_by_key_swap": q_replace_by_key_swap,
+        "replace_by_key_bucketed": q_replace_by_key_bucketed,
         "rows_not_in_upload": q_rows_not_in_upload,
         "replace_by_key": q_replace_by_key,
         "parts_in_segment": q_parts_in_segment,

@@ -22,12 +22,14 @@ nothing accounts for is never dropped: both raise :class:`LostTable`.
 Partitioned writes are first rebalanced on the partition columns: each
 partition is written by as few tasks as its size allows, and a large one by
 several.  A table may name columns that its files are sorted by (``sort_by``, kept as a
-table property): every later writer keeps to them.
+table property): every later writer keeps to them.  A table may also be bucketed
+(:class:`Buckets`, kept by the catalog): a join on the bucket columns then reads it without a shuffle.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import threading
 from dataclasses import dataclass
 from urllib.parse import unquote
@@ -95,33 +97,67 @@ def set_sort(spark: SparkSession, name: str, sort_by: str | list[str]) -> None:
     spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{SORT}' = '{json.dumps(_names(sort_by))}')")
 
 
-def arranged(df: DataFrame, partition_by: str | list[str] | None, sort_by: str | list[str] | None) -> DataFrame:
+@dataclass(frozen=True)
+class Buckets:
+    """The bucket columns of a table, in the order they are hashed, and their number of buckets."""
+
+    count: int
+    columns: tuple[str, ...]
+
+
+def buckets_of(spark: SparkSession, name: str) -> Buckets | None:
+    """The buckets of a table (None: it has none)."""
+    found = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where(F.col("col_name").isin("Num Buckets", "Bucket Columns"))
+    told = {row["col_name"]: row["data_type"] for row in found.toLocalIterator()}
+    if "Num Buckets" not in told:
+        return None
+    return Buckets(int(told["Num Buckets"]), tuple(re.findall(r"`([^`]+)`", told["Bucket Columns"])))
+
+
+_BUCKET = "__bucket_of_row"
+
+
+def _bucketed(df: DataFrame, partition_by: str | list[str] | None, buckets: Buckets) -> DataFrame:
+    """``df`` rebalanced on partition and bucket, so that a bucket of a partition is written by as few tasks as its size allows."""
+    number = F.pmod(F.hash(*[F.col(f"`{c}`") for c in buckets.columns]), F.lit(buckets.count))
+    return clustered(df.withColumn(_BUCKET, number), _names(partition_by) + [_BUCKET]).drop(_BUCKET)
+
+
+def arranged(df: DataFrame, partition_by: str | list[str] | None, sort_by: str | list[str] | None,
+             buckets: Buckets | None = None) -> DataFrame:
     """``df`` as it is written: rebalanced on the partition columns, then sorted inside each task.
 
     Sorted files have row groups and pages with narrow ranges of the sort columns, so a
-    filter on them skips the rest.  No shuffle is added.
+    filter on them skips the rest.  No shuffle is added.  Rows of a bucketed table are rebalanced on their
+    bucket too; the writer itself sorts them, by the sort columns that the bucketing names.
     """
+    if buckets:
+        return _bucketed(df, partition_by, buckets)
     rows = clustered(df, partition_by)
     return rows.sortWithinPartitions(*[F.col(f"`{c}`") for c in _names(partition_by) + _names(sort_by)]) if sort_by else rows
 
 
 def write_table(df: DataFrame, name: str, partition_by: str | list[str] | None = None,
-                mode: str = "overwrite", sort_by: str | list[str] | None = None) -> None:
-    """Overwrite (or append to) a Parquet table, optionally partitioned, and sorted inside its files."""
-    writer = arranged(df, partition_by, sort_by).write.mode(mode).format("parquet")
+                mode: str = "overwrite", sort_by: str | list[str] | None = None, buckets: Buckets | None = None) -> None:
+    """Overwrite (or append to) a Parquet table, optionally partitioned, bucketed, and sorted inside its files."""
+    writer = arranged(df, partition_by, sort_by, buckets).write.mode(mode).format("parquet")
     if partition_by:
         writer = writer.partitionBy(*_names(partition_by))
+    if buckets:
+        writer = writer.bucketBy(buckets.count, *buckets.columns)
+        writer = writer.sortBy(*_names(sort_by)) if sort_by else writer
     writer.saveAsTable(name)
     if sort_by:
         set_sort(df.sparkSession, name, sort_by)
 
 
 def create_empty_table(spark: SparkSession, name: str, schema: T.StructType,
-                       partition_by: str | list[str] | None = None, sort_by: str | list[str] | None = None) -> None:
+                       partition_by: str | list[str] | None = None, sort_by: str | list[str] | None = None,
+                       buckets: Buckets | None = None) -> None:
     """Create a table with a declared schema and no rows (if it does not exist)."""
     if table_exists(spark, name):
         return
-    write_table(spark.createDataFrame([], schema), name, partition_by, mode="overwrite", sort_by=sort_by)
+    write_table(spark.createDataFrame([], schema), name, partition_by, mode="overwrite", sort_by=sort_by, buckets=buckets)
 
 
 # ---------------------------------------------------------------------------
@@ -225,9 +261,11 @@ def swap_table(spark: SparkSession, df: DataFrame, target: str,
 
 
 def _swap(spark: SparkSession, df: DataFrame, target: str, partition_by: str | list[str] | None, old: str | None, like: str) -> None:
-    """Swap ``df`` in, sorted as the table ``like`` is (if there is one)."""
+    """Swap ``df`` in, sorted and bucketed as the table ``like`` is (if there is one)."""
     drop_table(spark, target + NEW)
-    write_table(df, target + NEW, partition_by, sort_by=sort_columns(spark, like) if table_exists(spark, like) else None)
+    known = table_exists(spark, like)
+    write_table(df, target + NEW, partition_by, sort_by=sort_columns(spark, like) if known else None,
+                buckets=buckets_of(spark, like) if known else None)
     set_intent(spark, target + NEW, do="swap", old=old)
     _finish_swap(spark, target)
 
@@ -353,7 +391,7 @@ def append_by_name(df: DataFrame, target: str) -> int:
     columns = spark.table(target).columns
     obs = Observation("append")
     rows = df.select(*[F.col(f"`{c}`") for c in columns]).observe(obs, F.count(F.lit(1)).alias("rows"))
-    arranged(rows, partition_columns(spark, target), sort_columns(spark, target)).write.insertInto(target)
+    arranged(rows, partition_columns(spark, target), sort_columns(spark, target), buckets_of(spark, target)).write.insertInto(target)
     return int(observed(obs).get("rows", 0))
 
 
@@ -369,7 +407,7 @@ def replace_partitions(df: DataFrame, target: str, partition_by: str) -> None:
     if found != [partition_by]:
         raise ValueError(f"{target} is partitioned by {found}, not by [{partition_by!r}]")
     columns = spark.table(target).columns
-    rows = arranged(df.select(*[F.col(f"`{c}`") for c in columns]), partition_by, sort_columns(spark, target))
+    rows = arranged(df.select(*[F.col(f"`{c}`") for c in columns]), partition_by, sort_columns(spark, target), buckets_of(spark, target))
     with _OVERWRITE_MODE:
         previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")

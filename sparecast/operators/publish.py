@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from ..functions.expressions import FORECAST_TYPE, UPLOAD_DEFAULT_CLASS, class_code
 from ..functions.periods import run_date as run_date_of
-from ..session import materialize
+from ..session import materialize, materialize_files, remove_files
 from ..sources import csv as csv_src
 from ..sources import sinks
 from .forecast import active_parts
@@ -191,19 +191,23 @@ def conform_upload(upload: DataFrame, default_class: str = UPLOAD_DEFAULT_CLASS)
 
 def typed_upload(upload: DataFrame, date_pattern: str = "yy/MM/dd",
                  default_class: str = UPLOAD_DEFAULT_CLASS) -> DataFrame:
-    """The rows of an upload file that can be published, in published types, checkpointed once.
+    """The rows of an upload file that can be published, in published types, written once to the checkpoint folder.
 
     Replacing by key reads the uploads twice (keys for the anti join, rows for
-    the union); an upload is a manual file, so writing it once to the
-    checkpoint folder is cheap and keeps both reads identical.
+    the union); writing them once keeps both reads identical.
     """
     return checked_upload(upload, date_pattern, default_class).where(F.col(REJECT).isNull()).drop(REJECT)
 
 
 def checked_upload(upload: DataFrame, date_pattern: str = "yy/MM/dd",
                    default_class: str = UPLOAD_DEFAULT_CLASS) -> DataFrame:
-    """:func:`checked` rows of an upload file, checkpointed once."""
-    return materialize(checked(_upload_layout(upload, default_class), date_pattern))
+    """:func:`checked` rows of an upload file, written once to the checkpoint folder (and left there)."""
+    return _stored_upload(upload, date_pattern, default_class)[0]
+
+
+def _stored_upload(upload: DataFrame, date_pattern: str, default_class: str = UPLOAD_DEFAULT_CLASS) -> tuple[DataFrame, str | None]:
+    """:func:`checked_upload` and the folder of its files."""
+    return materialize_files(checked(_upload_layout(upload, default_class), date_pattern))
 
 
 def rows_not_in(target: DataFrame, source: DataFrame, keys: Sequence[str] = PUBLISH_KEYS) -> DataFrame:
@@ -431,10 +435,15 @@ def _rows_of_months(target: DataFrame, rows: DataFrame) -> DataFrame:
     return near.join(rows.select("order_date").distinct(), "order_date", "left_semi").select(*target.columns)
 
 
-def _stage(df: DataFrame, name: str) -> DataFrame:
+def _stage(df: DataFrame, name: str, partition_by: str | None = "order_date") -> DataFrame:
+    """``df`` written to a table of its own.
+
+    A copy that only feeds a partition replace needs no partitions (None): the replace deals
+    its rows by partition, so dealing them here too would shuffle every row once more.
+    """
     spark = df.sparkSession
     sinks.drop_table(spark, name)
-    sinks.write_table(df, name, partition_by="order_date")
+    sinks.write_table(df, name, partition_by=partition_by)
     return spark.table(name)
 
 
@@ -475,7 +484,7 @@ def replace_run(layout_rows: DataFrame, target: str, segments: Sequence[str] | N
     if _partitioned_by_date(spark, target):
         touched = materialize(old.union(new_dates).distinct())
         kept = in_run(_rows_of_months(current, touched), "left_anti")
-        staged = _stage(kept.unionByName(new.select(*PUBLISHED_COLUMNS)), target + sinks.STAGE)
+        staged = _stage(kept.unionByName(new.select(*PUBLISHED_COLUMNS)), target + sinks.STAGE, None)
         emptied = touched.join(staged.select("order_date").distinct(), [touched.order_date.eqNullSafe(staged.order_date)], "left_anti")
         if not emptied.limit(1).count():
             sinks.finish_stage(spark, target, "order_date")
@@ -501,17 +510,20 @@ def replace_by_key_table(upload: DataFrame, target: str, date_pattern: str = "yy
     """
     spark = upload.sparkSession
     create_publish_table(spark, target)
-    rows = checked_upload(upload, date_pattern)
-    counts = rows.agg(F.count(F.lit(1)).alias("rows"), F.count(REJECT).alias("rejected")).first()
-    uploads = rows.where(F.col(REJECT).isNull()).drop(REJECT)
-    current = spark.table(target)
-    before = current.count()
-    buckets = sinks.buckets_of(spark, target)
-    if swap or not _partitioned_by_date(spark, target):
-        sinks.rebuild_table(spark, replace_by_key(current, uploads, keys, buckets), target)
-    else:
-        _stage(replace_by_key(_rows_of_months(current, uploads), uploads, keys, buckets), target + sinks.STAGE)
-        sinks.finish_stage(spark, target, "order_date")
+    rows, files = _stored_upload(upload, date_pattern)
+    try:
+        counts = rows.agg(F.count(F.lit(1)).alias("rows"), F.count(REJECT).alias("rejected")).first()
+        uploads = rows.where(F.col(REJECT).isNull()).drop(REJECT)
+        current = spark.table(target)
+        before = current.count()
+        buckets = sinks.buckets_of(spark, target)
+        if swap or not _partitioned_by_date(spark, target):
+            sinks.rebuild_table(spark, replace_by_key(current, uploads, keys, buckets), target)
+        else:
+            _stage(replace_by_key(_rows_of_months(current, uploads), uploads, keys, buckets), target + sinks.STAGE, None)
+            sinks.finish_stage(spark, target, "order_date")
+    finally:
+        remove_files(spark, files)
     inserted = counts["rows"] - counts["rejected"]
     after = spark.table(target).count()
     return sinks.WriteReport(target, before, inserted, after, None, before + inserted - after, counts["rejected"])

@@ -5,6 +5,7 @@ Library code never creates its own session; it uses the one it is given.
 
 from __future__ import annotations
 
+import uuid
 import warnings
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # Plans name their filters in full, whatever the length of the column ids.
+    "spark.sql.maxMetadataStringLength": "2000",
     # Call-site capture for error messages costs several JVM round trips per
     # DataFrame API call; a forecast plan is built from hundreds of calls.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
@@ -59,6 +62,27 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True) if _has_checkpoint_dir(df.sparkSession) else df
 
 
+def materialize_files(df: DataFrame) -> tuple[DataFrame, str | None]:
+    """:func:`materialize` for large results: Parquet in the checkpoint folder, and that folder's path.
+
+    A checkpoint keeps whole rows, uncompressed; columns take a fraction of it, and a reader of some
+    of them reads only those.  Nothing removes the files by itself: whoever ends their use calls
+    :func:`remove_files`.  Without a checkpoint folder the plan stays lazy and the path is None.
+    """
+    if not _has_checkpoint_dir(df.sparkSession):
+        return df, None
+    path = f"{str(checkpoint_dir(df.sparkSession)).rstrip('/')}/sparecast-rows-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def remove_files(spark: SparkSession, path: str | None) -> None:
+    """Delete what :func:`materialize_files` wrote (None: nothing)."""
+    if path is not None:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def materialize_observed(df: DataFrame, aggregates: list) -> tuple[DataFrame, dict]:
     """:func:`materialize` plus aggregates computed during the same job.
 

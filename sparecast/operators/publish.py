@@ -61,6 +61,9 @@ PUBLISHED_COLUMNS = tuple(f.name for f in PUBLISHED_SCHEMA.fields)
 #: The order inside the published files: readers ask for a segment or some parts of a month.
 PUBLISHED_SORT = ["industry", "part_id"]
 PUBLISH_KEYS = ("order_date", "dealer_id", "country", "part_id", "type")
+#: Keys by how well they tell rows apart.  A join sorts by its first key's prefix and compares whole rows where
+#: that is equal: behind a month, which thousands of rows share, it would compare nearly all of them.
+SORT_FIRST = ("part_id", "dealer_id", "order_date", "country", "type")
 #: The keys that a published table can be bucketed by (its partition column cannot be one of them).
 BUCKET_KEYS = ("part_id", "dealer_id", "country", "type")
 #: Order dates of an upload that are named one by one in the scan of the target; more are met by a semi join.
@@ -216,7 +219,7 @@ def rows_not_in(target: DataFrame, source: DataFrame, keys: Sequence[str] = PUBL
     Both sides are aliased, so the condition stays unambiguous when the source
     is derived from the target itself.
     """
-    cond = [F.col(f"_t.{k}") == F.col(f"_s.{k}") for k in keys]
+    cond = [F.col(f"_t.{k}") == F.col(f"_s.{k}") for k in sorted(keys, key=(*SORT_FIRST, *keys).index)]
     return target.alias("_t").join(source.select(*keys).alias("_s"), cond, "left_anti").select(
         *[F.col(f"_t.`{c}`").alias(c) for c in target.columns])
 

@@ -40,3 +40,15 @@ def test_an_upload_is_kept_as_columns_and_removed(spark, monkeypatch):
     assert len(made) == 1 and made[0].startswith("sparecast-rows-")
     assert _folders(spark) == before
     assert _bag(spark.table(name)) == expected
+
+
+def test_the_match_sorts_by_telling_keys_first(spark):
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = pb.rows_not_in(_target(spark), _upload(spark))
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        join = next(line for line in plan.splitlines() if "SortMergeJoin" in line)
+        assert join.split("SortMergeJoin [", 1)[1].startswith("part_id#")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)

@@ -263,7 +263,8 @@ def create_publish_table(spark: SparkSession, name: str, backup: str | None = No
     """Recover the published table, or create it (partitioned by ``order_date``) if there never was one.
 
     ``buckets`` gives a new table that many buckets by :data:`BUCKET_KEYS`; uploads are then matched
-    without a shuffle of the table (:func:`rows_not_in_bucketed`).  An existing table stays as it is.
+    without a shuffle of the table (:func:`rows_not_in_bucketed`).  One task matches a bucket of all months, so
+    their number follows the table's rows (``sinks.bucket_count``).  An existing table stays as it is.
 
     Returns what the recovery did; the publishing of an interrupted run ends as :func:`_finish_append`.
     """
@@ -506,7 +507,7 @@ def replace_by_key_table(upload: DataFrame, target: str, date_pattern: str = "yy
     Where the target is partitioned by ``order_date`` alone, only the
     partitions the upload touches are read and rewritten (dynamic partition
     overwrite from a staged copy); a target bucketed by keys is matched without
-    a shuffle of its rows.  Any other target, or ``swap=True``, is
+    a shuffle of its rows, unless table or upload has outgrown its buckets (``sinks.ROWS_PER_BUCKET``, twice).  Any other target, or ``swap=True``, is
     rebuilt in whole, with its own partitioning, and swapped in, keeping
     ``<target>__backup``.  Uploads that cannot be published are left out and
     counted; target rows without a date match no key and stay.
@@ -520,6 +521,8 @@ def replace_by_key_table(upload: DataFrame, target: str, date_pattern: str = "yy
         current = spark.table(target)
         before = current.count()
         buckets = sinks.buckets_of(spark, target)
+        if buckets and max(before, counts["rows"]) > 2 * buckets.count * sinks.ROWS_PER_BUCKET:
+            buckets = None  # a bucket is too much for one task: shuffled into as many as the rows need
         if swap or not _partitioned_by_date(spark, target):
             sinks.rebuild_table(spark, replace_by_key(current, uploads, keys, buckets), target)
         else:

@@ -288,7 +288,7 @@ def q_replace_by_key_table(spark, sf_dir):
 def q_replace_by_key_bucketed(spark, sf_dir):
     """``replace_by_key`` on a table by order date whose rows are bucketed by the other keys (the table isn't shuffled)."""
     i, name = Inputs(spark, sf_dir), _own_table(spark, "bucketed")
-    pb.create_publish_table(spark, name, buckets=4)
+    pb.create_publish_table(spark, name, buckets=sinks.bucket_count(td.published_at_most(spark, sf_dir)))
     sinks.append_by_name(i.published, name)
     pb.replace_by_key_table(i.upload, name, td.UPLOAD_DATE_PATTERN)
     return spark.table(name).select(*pb.PUBLISHED_COLUMNS)

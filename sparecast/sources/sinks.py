@@ -105,6 +105,15 @@ class Buckets:
     columns: tuple[str, ...]
 
 
+#: Rows that one bucket of a table may hold over all its partitions: a join in place reads a bucket in one task.
+ROWS_PER_BUCKET = 2_000_000
+
+
+def bucket_count(rows: int, least: int = 4) -> int:
+    """How many buckets a table of so many rows needs."""
+    return max(least, -(-rows // ROWS_PER_BUCKET))
+
+
 def buckets_of(spark: SparkSession, name: str) -> Buckets | None:
     """The buckets of a table (None: it has none)."""
     found = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where(F.col("col_name").isin("Num Buckets", "Bucket Columns"))

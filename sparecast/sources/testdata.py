@@ -216,6 +216,11 @@ def published(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def published_at_most(spark: SparkSession, sf_dir: str) -> int:
+    """The most rows that :func:`published` can have, one a line (from the files' footers)."""
+    return _t(spark, sf_dir, "lineitem").count()
+
+
 @_bound
 def upload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An upload file as read from CSV (dates as text, ``Material Description``)."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pathlib
 
 from sparecast.operators import publish as pb
-from sparecast.plans import jobs, queries
+from sparecast.plans import queries
 from sparecast.session import checkpoint_dir
 from sparecast.sources import sinks
 
@@ -52,3 +52,29 @@ def test_the_match_sorts_by_telling_keys_first(spark):
         assert join.split("SortMergeJoin [", 1)[1].startswith("part_id#")
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def test_buckets_follow_the_rows(spark, monkeypatch):
+    assert [sinks.bucket_count(n) for n in (0, 8_000_000, 8_000_001, 216_000_000)] == [4, 4, 5, 108]
+    made = []
+    create = pb.create_publish_table
+    monkeypatch.setattr(sinks, "ROWS_PER_BUCKET", 1000)
+    monkeypatch.setattr(pb, "create_publish_table", lambda *a, **k: made.append(k.get("buckets")) or create(*a, **k))
+    rows = queries.q_replace_by_key_bucketed(spark, "/root/testdata/sf0.001")
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+    assert rows.count() and made[0] == -(-lines // 1000) > 4
+
+
+def test_an_outgrown_bucketed_table_is_matched_by_a_shuffle(spark, monkeypatch):
+    name, used = "scale_outgrown", []
+    for suffix in ("", "__backup", "__new", "__stage"):
+        sinks.drop_table(spark, name + suffix)
+    pb.create_publish_table(spark, name, buckets=4)
+    sinks.append_by_name(_target(spark), name)
+    expected = _bag(pb.replace_by_key(_target(spark), _upload(spark)))
+    plain = pb.rows_not_in
+    monkeypatch.setattr(pb, "rows_not_in", lambda *a: used.append(a) or plain(*a))
+    monkeypatch.setattr(sinks, "ROWS_PER_BUCKET", 5)
+    pb.replace_by_key_table(_as_file(_upload(spark)), name)
+    assert used and _bag(spark.table(name)) == expected
+    assert sinks.buckets_of(spark, name).count == 4

@@ -375,7 +375,7 @@ def q_upload_file_table(spark, sf_dir):
     i, name = Inputs(spark, sf_dir), _own_table(spark, "upload")
     sinks.write_table(i.published, name, partition_by="order_date")
     path = f"{_shared_folder(spark)}/{name}.csv"
-    i.upload.write.options(header=True, escape='"', encoding="ISO-8859-1").csv(path)
+    i.upload.write.options(header=True, escape='"', encoding="ISO-8859-1", compression="gzip").csv(path)
     jobs.upload(spark, jobs.Tables(published=name), path, td.UPLOAD_DATE_PATTERN)
     return spark.table(name).select(*pb.PUBLISHED_COLUMNS)
 

@@ -78,3 +78,17 @@ def test_an_outgrown_bucketed_table_is_matched_by_a_shuffle(spark, monkeypatch):
     pb.replace_by_key_table(_as_file(_upload(spark)), name)
     assert used and _bag(spark.table(name)) == expected
     assert sinks.buckets_of(spark, name).count == 4
+
+
+def test_the_upload_file_is_written_compressed(spark, monkeypatch):
+    seen = []
+    upload = queries.jobs.upload
+
+    def watched(spark, tables, path, pattern):
+        seen.extend(p.name for p in pathlib.Path(path.removeprefix("file:")).glob("part-*"))
+        return upload(spark, tables, path, pattern)
+
+    monkeypatch.setattr(queries.jobs, "upload", watched)
+    folder = "/root/testdata/sf0.001"
+    assert _bag(queries.q_upload_file_table(spark, folder)) == _bag(queries.q_replace_by_key(spark, folder))
+    assert seen and all(name.endswith(".csv.gz") for name in seen)

@@ -142,8 +142,8 @@ def _replace_months(spark: SparkSession, rows: DataFrame, name: str, column: str
     """Put ``rows`` in place of the partitions they have and of those of ``days``, which go where no row is left."""
     sinks.recover(spark, name)
     sinks.create_empty_table(spark, name, rows.schema, partition_by=column, sort_by=list(PART_KEYS))
-    sinks.write_table(rows, name + sinks.STAGE, partition_by=column)
-    filled = set(sinks.partition_values(spark, name + sinks.STAGE))
+    sinks.write_table(rows, name + sinks.STAGE)  # the replace deals the rows by month: once is enough
+    filled = {str(r[0]) for r in spark.table(name + sinks.STAGE).select(column).distinct().toLocalIterator()}
     if filled:
         sinks.finish_stage(spark, name, column)
     else:

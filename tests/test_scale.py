@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pathlib
 
+from sparecast.operators import months
 from sparecast.operators import publish as pb
 from sparecast.plans import queries
 from sparecast.session import checkpoint_dir
@@ -92,3 +93,17 @@ def test_the_upload_file_is_written_compressed(spark, monkeypatch):
     folder = "/root/testdata/sf0.001"
     assert _bag(queries.q_upload_file_table(spark, folder)) == _bag(queries.q_replace_by_key(spark, folder))
     assert seen and all(name.endswith(".csv.gz") for name in seen)
+
+
+def test_months_are_dealt_once(spark, monkeypatch):
+    name, stages = "scale_months", []
+    for suffix in ("", "__stage", "__new"):
+        sinks.drop_table(spark, name + suffix)
+    finish = sinks.finish_stage
+    monkeypatch.setattr(sinks, "finish_stage", lambda s, t, by: (stages.append(sinks.partition_columns(s, t + sinks.STAGE)), finish(s, t, by)))
+    rows = spark.sql("SELECT '2W' industry, id Part_Id, add_months(DATE'2000-01-01', int(id % 3)) month FROM range(30)")
+    months._replace_months(spark, rows, name, "month", set())
+    months._replace_months(spark, rows.where("month(month) = 1 AND Part_Id > 9"), name, "month", {"2000-01-01", "2000-02-01"})
+    assert stages == [[], []]
+    assert sinks.partition_values(spark, name) == ["2000-01-01", "2000-03-01"]
+    assert {r.Part_Id for r in spark.table(name).collect()} == {k for k in range(30) if k % 3 == 2 or k % 3 == 0 and k > 9}

@@ -128,9 +128,7 @@ def trie_words(_: str) -> Callable[[dict], Callable[[list[str]], list[list[int]]
 def tokenizer(path: str) -> ByteTokenizer:
     t = held_tokenizer(path, "trie", trie_words)
     if not hasattr(t, "bytes_of"):
-        signs = byte_of_sign()
-        t.bytes_of = {i: bytes(signs[c] for c in s) for s, i in t.spec["model"]["vocab"].items() if all(c in signs for c in s)}
-        t.bytes_of.update((i, s.encode()) for s, i in t.added.items())
+        t.bytes_of = {**t.table.encode.bytes_of, **{i: s.encode() for s, i in t.added.items()}}
     return t
 
 

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from sparecast.session import checkpoint_dir
 
+#: Bytes of an Arrow batch, about.
+BATCH_BYTES = "2m"
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -52,6 +55,15 @@ def utf8_texts(column: pa.Array) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of the session in bytes, not in rows alone: a batch is held several times over, by the JVM and by Python.
+
+    A bound that the session sets itself, in rows or bytes, holds.  The setting stays, since rows are computed after a query has returned.
+    """
+    if not {"spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.execution.arrow.maxRecordsPerBatch"} & set(spark.conf.getAll):
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def per_batch(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """Apply a function to each Arrow batch of ``df``."""
 

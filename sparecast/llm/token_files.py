@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparecast.llm.common import offsets, per_batch, work_folder
+from sparecast.llm.common import bounded_batches, offsets, per_batch, work_folder
 from sparecast.llm.tokens import held_tokenizer, library_words
 
 END_ID = 0
@@ -70,6 +70,7 @@ def _encoded(docs: DataFrame, path: str, id_col: str, text_col: str, parts: int)
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Write the token files of ``docs`` to ``path``."""
+    bounded_batches(docs.sparkSession)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     _encoded(docs, tokenizer_path, id_col, text_col, parts).write.options(**LAYOUT).parquet(path)
 
@@ -103,6 +104,7 @@ def checksums(rows: DataFrame) -> DataFrame:
         crc = [zlib.crc32(flat[a:b].tobytes()) for a, b in zip(cut[:-1], cut[1:])]
         return pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(crc, pa.int64())], [*batch.schema.names[:4], "ids_crc32"])
 
+    bounded_batches(rows.sparkSession)
     kind = rows.schema["id"].dataType.simpleString()
     ordered = rows.select("part", "id", "start_in_part", "n_tokens", "tokens")
     return per_batch(ordered, run, f"part int, id {kind}, start_in_part long, n_tokens long, ids_crc32 long")

@@ -25,7 +25,9 @@ _END_CODE = np.array([0x7FFFFFFF], "<u4").tobytes()
 #: White_Space of Unicode.
 _WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 #: Distinct words that a worker keeps.
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 500_000
+#: Code points handled in one numpy pass (one longer text is a pass of its own).
+PASS_CHARS = 1 << 18
 
 _tables: list[np.ndarray] = []
 
@@ -180,20 +182,19 @@ class ByteTokenizer:
 
     def __init__(self, path: str, encode_words: Callable[[dict], Callable[[list[str]], list[list[int]]]]) -> None:
         with open(path, encoding="utf-8") as f:
-            self.spec = json.load(f)
-        self.added = {t["content"]: t["id"] for t in self.spec["added_tokens"]}
-        pre = self.spec["pre_tokenizer"]
-        plain = not any(t[k] for t in self.spec["added_tokens"] for k in ("single_word", "lstrip", "rstrip"))
-        if self.spec["normalizer"] or pre["type"] != "ByteLevel" or pre["add_prefix_space"] or not pre["use_regex"] or not plain:
+            spec = json.load(f)  # not kept: the encoder takes from it what it needs
+        self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        pre = spec["pre_tokenizer"]
+        plain = not any(t[k] for t in spec["added_tokens"] for k in ("single_word", "lstrip", "rstrip"))
+        if spec["normalizer"] or pre["type"] != "ByteLevel" or pre["add_prefix_space"] or not pre["use_regex"] or not plain:
             raise ValueError(f"{path} isn't a plain byte-level BPE")
         self.split = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) or r"(?!)")
-        self.table = WordTable(encode_words(self.spec))
+        self.table = WordTable(encode_words(spec))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray] = []
-        sizes = [t.encode("utf-8", "surrogatepass") for t in texts]
-        for at, run in passes(sizes):
-            out += self._pass(texts[at : at + len(run)])
+        for _, run in passes(texts, PASS_CHARS):
+            out += self._pass(run)
         return out
 
     def _pass(self, texts: list[str]) -> list[np.ndarray]:
@@ -240,19 +241,21 @@ def library_words(path: str) -> Callable[[dict], Callable[[list[str]], list[list
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
 
-        whole, parted = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        parted.pre_tokenizer = pre_tokenizers.Sequence(
+        tokenizer = Tokenizer.from_file(path)
+        whole = tokenizer.pre_tokenizer
+        parted = pre_tokenizers.Sequence(
             [pre_tokenizers.Split("\n", "isolated"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        feed = whole.encode("\n", add_special_tokens=False).ids[0]
+        feed = tokenizer.encode("\n", add_special_tokens=False).ids[0]
 
         def encode(words: list[str]) -> list[list[int]]:
             out: list[list[int]] = [[] for _ in words]
             joined = [i for i, w in enumerate(words) if "\n" not in w]
             alone = [i for i, w in enumerate(words) if "\n" in w]
+            tokenizer.pre_tokenizer = parted
             for at in range(0, len(joined), 1000):
                 some = joined[at : at + 1000]
                 text = "\n".join([*(words[i] for i in some), ""])
-                flat = parted.encode_batch_fast([text], add_special_tokens=False)[0].ids
+                flat = tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
                 ends = np.flatnonzero(np.array(flat, np.int64) == feed).tolist()
                 if len(ends) != len(some):
                     raise AssertionError("a word has a line feed's id")
@@ -260,7 +263,8 @@ def library_words(path: str) -> Callable[[dict], Callable[[list[str]], list[list
                 for i, hi in zip(some, ends):
                     out[i] = flat[lo:hi]
                     lo = hi + 1
-            for i, e in zip(alone, whole.encode_batch_fast([words[i] for i in alone], add_special_tokens=False)):
+            tokenizer.pre_tokenizer = whole
+            for i, e in zip(alone, tokenizer.encode_batch_fast([words[i] for i in alone], add_special_tokens=False)):
                 out[i] = e.ids
             return out
 

@@ -11,9 +11,12 @@ from __future__ import annotations
 
 import secrets
 from collections.abc import Iterator
+from typing import TypeVar
 
 import numpy as np
 
+Text = TypeVar("Text", bytes, str)
+
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 #: Bytes of ``[^\x20\x09-\x0D]+``: everything but space and the ASCII line and tab marks.
@@ -42,8 +45,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _U(0xD1B54A32D192ED03))
 
 
-def passes(texts: list[bytes], limit: int = PASS_BYTES) -> Iterator[tuple[int, list[bytes]]]:
-    """``(index of the first, texts)`` in runs of about ``limit`` bytes."""
+def passes(texts: list[Text], limit: int = PASS_BYTES) -> Iterator[tuple[int, list[Text]]]:
+    """``(index of the first, texts)`` in runs of about ``limit`` bytes (of strings: code points)."""
     start, size = 0, 0
     for i, t in enumerate(texts):
         if size and size + len(t) > limit:

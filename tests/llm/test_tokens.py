@@ -4,13 +4,15 @@ import collections
 import random
 import zlib
 
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from sparecast.llm import bpe
+from sparecast.llm.common import bounded_batches
 from sparecast.llm.queries import tokenizer_file
 from sparecast.llm.token_files import read_index, read_tokens, token_report, write_tokens
-from sparecast.llm.tokens import ByteTokenizer, WordTable, library_words
+from sparecast.llm.tokens import PASS_CHARS, ByteTokenizer, WordTable, library_words
 
 from . import brute
 from .conftest import ODD_TEXTS
@@ -101,3 +103,40 @@ def test_selective_reads(spark, sf, tmp_path):
     column = pq.ParquetFile(file).metadata.row_group(0).column(4)
     assert "tokens" in column.path_in_schema and any("DICT" in e for e in column.encodings)
     assert pq.ParquetFile(file).metadata.row_group(0).column(1).has_column_index
+
+
+@pytest.mark.parametrize("make", [bpe.trie_words, library_words])
+def test_a_worker_holds_little(library, make):
+    t = ByteTokenizer(PATH, make(PATH))
+    assert not hasattr(t, "spec") and t.table.index.keys.nbytes + t.table.index.places.nbytes <= 16 << 20
+    sizes, ids = [], t.table.ids
+    t.table.ids = lambda texts: sizes.append(sum(map(len, texts))) or ids(texts)
+    texts = [f"{'word ' * 9000}{i}" for i in range(60)] + ["漢字 " * 200_000, "", "a\n\nb"]  # one is longer than a pass
+    assert [x.tolist() for x in t.encode(texts)] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert sorted(sizes)[-1] == 600_000 and sorted(sizes)[-2] <= PASS_CHARS
+
+
+def _bytes_of_batches(docs):
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["rows", "bytes"])
+
+    return docs.mapInArrow(run, "rows long, bytes long").collect()
+
+
+def test_batches_are_bounded_in_bytes(spark, tmp_path):
+    session = spark.newSession()
+    docs = session.range(0, 400, 1, 1).selectExpr("id AS doc_id", "repeat(concat('word', id, ' '), 8000) AS text")  # 26 MB
+    write_tokens(docs, str(tmp_path / "tokens"), PATH)
+    got = _bytes_of_batches(docs)
+    assert sum(r.rows for r in got) == 400 and max(r.bytes for r in got) <= 4 << 20
+    assert session.read.parquet(str(tmp_path / "tokens")).count() == 400
+
+
+@pytest.mark.parametrize("key", ["maxRecordsPerBatch", "maxBytesPerBatch"])
+def test_a_session_s_own_batches_hold(spark, key):
+    session = spark.newSession()
+    session.conf.set(f"spark.sql.execution.arrow.{key}", "777")
+    before = dict(session.conf.getAll)
+    bounded_batches(session)
+    assert dict(session.conf.getAll) == before

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparecast.llm.bpe import verified_tokens
-from sparecast.llm.common import stored, table, work_folder
+from sparecast.llm.common import bounded_batches, stored, table, work_folder
 from sparecast.llm.decontaminate import decontaminated
 from sparecast.llm.exact_dedup import drop_exact_duplicates
 from sparecast.llm.near_dedup import drop_near_duplicates
@@ -36,10 +36,14 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def lean(stage: Stage) -> Stage:
-    """``stage`` with Python workers that keep little memory; values that the session sets itself hold, and other jobs see none of it."""
+    """``stage`` with Python workers that keep little memory; values that the session sets itself hold, and other jobs see none of it.
+
+    Its batches are bounded in bytes (``bounded_batches``: a setting that stays with the session).
+    """
 
     @functools.wraps(stage)
     def run_lean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bounded_batches(spark)
         environment = spark.sparkContext.environment
         added = {k: v for k, v in LEAN_WORKERS.items() if k not in environment}
         environment.update(added)

@@ -32,7 +32,7 @@ from sparecast.llm.tokens import ByteTokenizer, byte_of_sign, held_tokenizer
 
 
 #: Pairs of tokens that a worker remembers.
-KEPT_PAIRS = 1_000_000
+KEPT_PAIRS = 250_000
 
 
 class TrieEncoder:

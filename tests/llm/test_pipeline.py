@@ -6,7 +6,7 @@ import sys
 from pathlib import Path
 
 import corpus_pipeline
-from sparecast.llm.common import stored
+from sparecast.llm.common import BATCH_BYTES, stored
 
 from . import brute
 
@@ -78,3 +78,10 @@ def test_nothing_else_imports_the_subpackage():
     for path in (ROOT / "sparecast").rglob("*.py"):
         if "llm" not in path.relative_to(ROOT / "sparecast").parts:
             assert "llm" not in path.read_text(), path
+
+
+def test_stages_bound_their_batches(spark, sf):
+    for name, stage in corpus_pipeline.STAGES[-2:]:
+        session = spark.newSession()
+        stage(session, session.read.parquet(f"{sf}/documents.parquet"), sf)
+        assert session.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == BATCH_BYTES, name

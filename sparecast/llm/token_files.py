@@ -31,6 +31,8 @@ from sparecast.llm.common import bounded_batches, offsets, per_batch, work_folde
 from sparecast.llm.tokens import held_tokenizer, library_words
 
 END_ID = 0
+#: Distinct words that a worker keeps: more than elsewhere, since the library takes longer over new ones than over kept ones.
+KEPT_WORDS = 1_000_000
 #: Writer settings: row groups of 16 MB, pages of at most 2,000 documents or 256 KB, checksums in pages.
 LAYOUT = {
     "compression": "zstd",
@@ -49,7 +51,7 @@ def _encoded(docs: DataFrame, path: str, id_col: str, text_col: str, parts: int)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, start = TaskContext.get().partitionId(), 0
-        tokenizer = held_tokenizer(path, "library", library_words)
+        tokenizer = held_tokenizer(path, "library", library_words, KEPT_WORDS)
         end = np.array([END_ID], np.int32)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):

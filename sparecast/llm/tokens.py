@@ -180,7 +180,8 @@ class WordTable:
 class ByteTokenizer:
     """A byte-level BPE file: its added tokens are split off first, the words between them go to a word table."""
 
-    def __init__(self, path: str, encode_words: Callable[[dict], Callable[[list[str]], list[list[int]]]]) -> None:
+    def __init__(self, path: str, encode_words: Callable[[dict], Callable[[list[str]], list[list[int]]]],
+                 kept_words: int = KEPT_WORDS) -> None:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)  # not kept: the encoder takes from it what it needs
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
@@ -189,7 +190,7 @@ class ByteTokenizer:
         if spec["normalizer"] or pre["type"] != "ByteLevel" or pre["add_prefix_space"] or not pre["use_regex"] or not plain:
             raise ValueError(f"{path} isn't a plain byte-level BPE")
         self.split = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) or r"(?!)")
-        self.table = WordTable(encode_words(spec))
+        self.table = WordTable(encode_words(spec), kept_words)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray] = []
@@ -276,8 +277,9 @@ def library_words(path: str) -> Callable[[dict], Callable[[list[str]], list[list
 _held: dict[tuple[str, str], ByteTokenizer] = {}
 
 
-def held_tokenizer(path: str, kind: str, make: Callable[[str], Callable[[dict], Callable[[list[str]], list[list[int]]]]]) -> ByteTokenizer:
+def held_tokenizer(path: str, kind: str, make: Callable[[str], Callable[[dict], Callable[[list[str]], list[list[int]]]]],
+                   kept_words: int = KEPT_WORDS) -> ByteTokenizer:
     """A tokenizer that the worker process keeps from task to task, with the words it has met."""
     if (path, kind) not in _held:
-        _held[path, kind] = ByteTokenizer(path, make(path))
+        _held[path, kind] = ByteTokenizer(path, make(path), kept_words)
     return _held[path, kind]

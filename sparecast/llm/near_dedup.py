@@ -197,16 +197,20 @@ def _bottoms(held: DataFrame, size: int, key: int) -> DataFrame:
     return per_batch(held.select("cls", "t"), run, "cls binary, bottom binary")
 
 
-def _bottoms_allow(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int, percent: int) -> bool:
-    """Whether two sets may be linked; decided up to hash collisions for small sets, else five deviations wide."""
-    if max(n_a, n_b) <= BOTTOM:
-        both = min(len(np.intersect1d(a, b, assume_unique=True)) + 1, n_a, n_b)
-        return 100 * both >= percent * (n_a + n_b - both)
-    merged = np.sort(np.concatenate([a, b]))
-    twice = merged[1:] == merged[:-1]
-    kept = np.cumsum(np.concatenate([[True], ~twice])) <= BOTTOM  # the smallest values of the union
+def _bottoms_allow(one: np.ndarray, others: list[np.ndarray], n_one: int, n_others: np.ndarray, percent: int) -> np.ndarray:
+    """Which of the ``others`` may be linked with ``one``; decided up to hash collisions for small sets, else five deviations wide."""
+    values = np.concatenate(others)
+    first = np.cumsum([0] + [len(o) for o in others[:-1]])
+    there = one[np.minimum(np.searchsorted(one, values), len(one) - 1)] == values
+    both = np.minimum(np.add.reduceat(there, first, dtype=np.int64) + 1, np.minimum(n_one, n_others))
+    ok = 100 * both >= percent * (n_one + n_others - both)
     p = percent / 100
-    return int((twice & kept[1:]).sum()) >= BOTTOM * (p - 5 * math.sqrt(p * (1 - p) / BOTTOM))
+    for j in np.flatnonzero(np.maximum(n_one, n_others) > BOTTOM).tolist():
+        merged = np.sort(np.concatenate([one, others[j]]))
+        twice = merged[1:] == merged[:-1]
+        kept = np.cumsum(np.concatenate([[True], ~twice])) <= BOTTOM  # the smallest values of the union
+        ok[j] = int((twice & kept[1:]).sum()) >= BOTTOM * (p - 5 * math.sqrt(p * (1 - p) / BOTTOM))
+    return ok
 
 
 def _cross_pairs(members: DataFrame, classes: DataFrame, bottoms: DataFrame, percent: int) -> DataFrame:
@@ -238,9 +242,10 @@ def _cross_pairs(members: DataFrame, classes: DataFrame, bottoms: DataFrame, per
             js = js[root[js] != root[i]]
             js = js[_plausible(sig[js], sig[i][None], n[js], np.full(len(js), n[i]), percent)]
             js = js[(in_bands[js] == in_bands[i]).all(2).argmax(1) == band]
-            js = [j for j in js.tolist() if _bottoms_allow(bottom[i], bottom[j], int(n[i]), int(n[j]), percent)]
+            if len(js):
+                js = js[_bottoms_allow(bottom[i], [bottom[j] for j in js.tolist()], int(n[i]), n[js], percent)]
             left += [i] * len(js)
-            right += js
+            right += js.tolist()
         if not left:
             return None
         cls = rows.column("cls").combine_chunks()
@@ -346,12 +351,11 @@ def with_least(rows: DataFrame, key: str, value: str, out: str, spread_by: str |
     """``rows`` with the least ``value`` of all rows of their ``key`` (not null) in ``out``.
 
     The rows of one key are spread over up to ``SALTS`` tasks by ``spread_by``
-    (``value`` by default): least values per key and salt, then per key, which go back to the
-    salts that the key has, so there are never more of them than rows.
+    (``value`` by default): each task sends one least value per key with the salts that it saw, and
+    the key's least value goes back to the salts that the key has, so there are never more of them than rows.
     """
     salted = rows.withColumn("salt", F.pmod(F.xxhash64(spread_by or value), F.lit(SALTS)))
-    parts = salted.groupBy(key, "salt").agg(F.min(value).alias(out))
-    whole = parts.groupBy(key).agg(F.min(out).alias(out), F.collect_list("salt").alias("salts"))
+    whole = salted.groupBy(key).agg(F.min(value).alias(out), F.collect_set("salt").alias("salts"))
     return salted.join(whole.select(key, F.explode("salts").alias("salt"), out), [key, "salt"]).drop("salt")
 
 
@@ -359,24 +363,40 @@ def components(links: DataFrame, folder: str) -> DataFrame:
     """``(cls, root)`` for every linked class, ``root`` the smallest class of its group.
 
     Each round turns every node's edges toward its smallest neighbour (once
-    with the larger ends, once with the smaller) until nothing changes; the
+    with the larger ends, once with the smaller) until only stars are left; the
     rounds grow with the logarithm of the longest chain.  Nodes with many
     edges are first thinned by union-find inside partitions, and their edges are
     spread over the tasks.
     """
     edges = stored(_local_forest(links), f"{folder}/edges0")
     turn = 0
-    while True:
+    while not _only_stars(edges):
         turn += 1
         both = edges.union(edges.select(F.col("b"), F.col("a"))).toDF("u", "v")
-        large = with_least(both, "u", "v", "m").filter("v > u").select(F.least("u", "m").alias("a"), F.col("v").alias("b"))
-        large = large.filter("a <> b").distinct()
-        small = with_least(large, "b", "a", "m").select(F.col("m").alias("a"), F.explode(F.array("a", "b")).alias("b"))
-        new = stored(small.filter("a <> b").distinct(), f"{folder}/edges{turn}")
-        changed = new.join(edges, ["a", "b"], "left_anti").limit(1).count() or edges.join(new, ["a", "b"], "left_anti").limit(1).count()
-        edges = new
-        if not changed:
-            return edges.select(F.col("b").alias("cls"), F.col("a").alias("root"))
+        large = with_least(both, "u", "v", "m").filter("v > u").select(F.least("u", "m").alias("a"), F.col("v").alias("b"), "u")
+        small = with_least(large, "b", "a", "m", spread_by="u").select(F.col("m").alias("a"), F.explode(F.array("a", "b")).alias("b"))
+        edges = stored(small.filter("a <> b").distinct(), f"{folder}/edges{turn}")
+    return edges.select(F.col("b").alias("cls"), F.col("a").alias("root"))
+
+
+def _only_stars(edges: DataFrame) -> bool:
+    """Whether every larger end (``b``) of an edge has no other edge: then each ``a`` is the smallest of its group.
+
+    An edge that is there twice counts as no star.
+    """
+    ends = edges.select(F.posexplode(F.array("a", "b")).alias("side", "node"))
+    nodes = ends.groupBy("node").agg(F.sum("side").alias("as_larger"), F.count("*").alias("edges"))
+    return not nodes.filter("as_larger > 0 and edges > 1").limit(1).count()
+
+
+def _joined(groups: DataFrame, links: DataFrame, folder: str) -> DataFrame:
+    """``groups`` (as of ``components``) with further links: only the roots that a link joins are grouped anew."""
+    ends = links.join(groups.toDF("a", "ra"), "a", "left").join(groups.toDF("b", "rb"), "b", "left")
+    ends = ends.select(F.coalesce("ra", "a").alias("ra"), F.coalesce("rb", "b").alias("rb"))
+    tops = ends.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).filter("a <> b")
+    above = components(tops, folder)
+    below = groups.join(above.toDF("root", "top"), "root", "left")
+    return below.select("cls", F.coalesce("top", "root").alias("root")).union(above)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 85) -> DataFrame:
@@ -409,11 +429,12 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, size: int, percent: in
     near = stored(_hub_pairs(bands, classes, percent), f"{folder}/near1")
     held = _texts_of(near.select(F.explode(F.array("a", "b")).alias("cls")), classes, texts, f"{folder}/texts1")
     links = stored(_confirmed(near, held, size, percent, key), f"{folder}/links1")
-    members = stored(_unresolved(bands, components(links, f"{folder}/groups1")), f"{folder}/members")
+    groups = components(links, f"{folder}/groups1")
+    members = stored(_unresolved(bands, groups), f"{folder}/members")
     held = _texts_of(members, classes, texts, f"{folder}/texts2")
     cross = _cross_pairs(members, classes, _bottoms(held, size, key), percent).join(near, ["a", "b"], "left_anti")
-    more = stored(_confirmed(stored(cross, f"{folder}/near2"), held, size, percent, key), f"{folder}/links2")
-    groups = components(links.union(more), f"{folder}/groups2")
+    more = stored(_confirmed(cross, held, size, percent, key), f"{folder}/links2")
+    groups = _joined(groups, more, f"{folder}/groups2")
     rooted = classes.join(groups, "cls", "left").select("cls", "id", F.coalesce("root", "cls").alias("root"))
     labels = with_least(rooted, "root", "id", "component", spread_by="cls").select("cls", "root", "component")
     out = sketches.select("id", "key", "n", "cls").join(labels, "cls", "left")

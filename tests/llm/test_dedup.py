@@ -113,6 +113,50 @@ def test_components_of_a_hub(spark, tmp_path):
     assert {(r.k, r.m) for r in least.collect()} == {("hub", 0), ("x", None), ("y", 3)} and least.count() == 903
 
 
+def test_components_end_when_only_stars_are_left(spark, tmp_path):
+    """No round, and no comparison of two rounds' edges, for links that make stars already, or for none."""
+    for name, edges in (("stars", [(b"a", b"b"), (b"a", b"c"), (b"d", b"e")]), ("none", []), ("path", [(b"a", b"b"), (b"b", b"c")])):
+        links = spark.createDataFrame(edges, "a binary, b binary").repartition(1)
+        got = {bytes(r.cls): bytes(r.root) for r in components(links, str(tmp_path / name)).collect()}
+        assert got == {"stars": {b"b": b"a", b"c": b"a", b"e": b"d"}, "none": {}, "path": {b"b": b"a", b"c": b"a"}}[name]
+        assert [f.name for f in (tmp_path / name).iterdir()] == ["edges0"], name
+
+
+def test_only_stars(spark):
+    def stars(*edges):
+        return near_dedup._only_stars(spark.createDataFrame([(a.encode(), b.encode()) for a, b in edges], "a binary, b binary"))
+
+    assert stars() and stars("ab") and stars("ab", "ac", "de")
+    assert not stars("ab", "bc") and not stars("ac", "bc") and not stars("ab", "ab") and not stars("de", "ab", "bc", "ad")
+
+
+def test_further_links_join_groups(spark, tmp_path):
+    """Groups with further links are the components of all links, whatever ends (roots, others, new nodes) these join."""
+    rnd = random.Random(11)
+    for turn in range(3):
+        edges = [tuple(sorted(f"{rnd.randrange(150):03d}".encode() for _ in "ab")) for _ in range(150)]
+        edges = [e for e in edges if e[0] != e[1]]
+        first, more = (spark.createDataFrame(e, "a binary, b binary").repartition(6) for e in (edges[:60], edges[60:] if turn else []))
+        groups = near_dedup._joined(components(first, str(tmp_path / f"first{turn}")), more, str(tmp_path / f"more{turn}"))
+        got = sorted((bytes(r.cls), bytes(r.root)) for r in groups.collect())
+        assert got == sorted(near_dedup.forest(edges if turn else edges[:60]))
+
+
+def test_bottoms_against_whole_sets():
+    """No pair that reaches the threshold is dropped; small sets are decided by it, larger ones (beyond ``BOTTOM`` values) near it."""
+    import numpy as np
+
+    rnd = np.random.default_rng(4)
+    for n in (1, 9, 300, 6 * near_dedup.BOTTOM):
+        one = np.unique(rnd.integers(0, 1 << 32, n, dtype=np.uint32))
+        others = [np.unique(np.concatenate([one[: int(len(one) * share)], rnd.integers(0, 1 << 32, n - int(n * share), dtype=np.uint32)]))
+                  for share in (1, 0.97, 0.93, 0.7, 0.3, 0)]
+        likeness = np.array([len(np.intersect1d(one, o)) / len(np.union1d(one, o)) for o in others])
+        ok = near_dedup._bottoms_allow(one[: near_dedup.BOTTOM], [o[: near_dedup.BOTTOM] for o in others], len(one),
+                                       np.array([len(o) for o in others]), 85)
+        assert ok[likeness >= 0.85].all() and (n == 1 or not ok[likeness < 0.6].any())
+
+
 def test_signature_estimates():
     import numpy as np
 
